@@ -13,13 +13,15 @@ Steps, in order (each a ``DataFrame -> DataFrame`` usable with ``transform``):
 9. ``nest_activity_schedule``
 10. ``nest_response``               response struct, answer parsed by item type
 
-Everything is a narrow transformation (projections, one Expand for the
-unpivot, one Union): no shuffle, no Python worker.  Columns the steps do not
+Everything is a narrow transformation (projections and one Generate for
+the subscale unpivot): no shuffle, no Python worker, one scan of the input.  Columns the steps do not
 consume pass through untouched.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -61,22 +63,41 @@ def unpivot_subscales(df: DataFrame) -> DataFrame:
     ``subscale_name_``, ``item_type`` = 'subscale', status 'completed'.  The
     index is every column except subscale, item and response columns.  No-op
     when there is no subscale column.
+
+    Done as one ``Generate`` per input row (the row itself plus one entry per
+    subscale column, null entries filtered) instead of a union of two scans
+    of the input.
     """
     subs = subscale_columns(df.columns)
     if not subs:
         return df
     consumed = set(subs) | set(schema.ITEM_COLUMNS) | set(schema.RESPONSE_COLUMNS)
     index = [c for c in df.columns if c not in consumed]
-    long = (
-        df.select(*index, *[F.col(f"`{c}`").cast("string").alias(c) for c in subs])
-        .unpivot(index, subs, "item_id", "item_response")
-        .where(F.col("item_response").isNotNull())
-        .withColumn("item_type", F.lit(schema.SUBSCALE))
-        .withColumn("item_name", F.regexp_replace("item_id", "^(.*?)" + SUBSCALE_NAME_PREFIX, "$1"))
-        .withColumn("item_response_status", F.lit("completed"))
+    carried = [c for c in df.columns if c in set(schema.ITEM_COLUMNS) | set(schema.RESPONSE_COLUMNS)]
+    fields = list(dict.fromkeys(carried + ["item_id", "item_name", "item_type", "item_response",
+                                           "item_response_status"]))
+
+    def entry(kind: int, values: dict[str, Column]) -> Column:
+        return F.struct(F.lit(kind).alias("_sub"),
+                        *[values.get(f, F.lit(None).cast("string")).alias(f) for f in fields])
+
+    own = entry(0, {f: F.col(f"`{f}`") for f in carried})
+    extra = [
+        entry(1, {
+            "item_id": F.lit(c),
+            "item_name": F.lit(re.sub("^(.*?)" + SUBSCALE_NAME_PREFIX, r"\1", c, count=1)),
+            "item_type": F.lit(schema.SUBSCALE),
+            "item_response": F.col(f"`{c}`").cast("string"),
+            "item_response_status": F.lit("completed"),
+        })
+        for c in subs
+    ]
+    e = F.col("_e")
+    return (
+        df.select(*[F.col(f"`{c}`") for c in index], F.explode(F.array(own, *extra)).alias("_e"))
+        .where((e["_sub"] == 0) | e["item_response"].isNotNull())
+        .select(*[F.col(f"`{c}`") for c in index], *[e[f].alias(f) for f in fields])
     )
-    base = df.drop(*subs)
-    return base.unionByName(long, allowMissingColumns=True)
 
 
 def parse_times(df: DataFrame) -> DataFrame:

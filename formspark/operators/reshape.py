@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.options import parse_options
+from ..functions.scalars import strip_all
 from .structs import unnest
 
 
@@ -61,13 +63,19 @@ def item_response_options(report: DataFrame) -> DataFrame:
     """Distinct option rows keyed by the struct columns (the single-select score table).
 
     Columns: applet_version, activity_flow, activity, item,
-    item_option_name, item_option_value, item_option_score.  The distinct runs
-    with a partial (map-side) aggregate, so a hot item costs one row per task
-    before the shuffle.
+    item_option_name, item_option_value, item_option_score.  Distinct items
+    are found first (partial aggregation map-side) and their options parsed
+    afterwards, so option texts are parsed once per distinct item.
     """
+    fields = [f for f in report.schema["item"].dataType.fieldNames() if f != "response_options"]
+    lite = F.struct(*[F.col(f"item.{f}").alias(f) for f in fields]).alias("_item")
+    items = report.select("applet_version", "activity_flow", "activity", lite).distinct()
+    parsed = parse_options(strip_all(F.col("_item.raw_options")))
+    item = F.struct(*[F.col(f"_item.{f}").alias(f) for f in fields], parsed.alias("response_options"))
     return (
-        report.select("applet_version", "activity_flow", "activity", "item",
-                      F.explode_outer("item.response_options").alias("_o"))
+        items.select("applet_version", "activity_flow", "activity", item.alias("item"))
+        .select("applet_version", "activity_flow", "activity", "item",
+                F.explode_outer("item.response_options").alias("_o"))
         .select("applet_version", "activity_flow", "activity", "item",
                 F.col("_o.name").alias("item_option_name"),
                 F.col("_o.value").alias("item_option_value"),

@@ -35,7 +35,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema
-from ..functions.scalars import iso_duration
+from ..functions.options import parse_options
+from ..functions.scalars import iso_duration, strip_all
 from .structs import order_columns, unnest
 
 # Types pivoted by their own rule; every other type uses the text rule.
@@ -51,74 +52,124 @@ class DuplicateAnswerError(ValueError):
 
 @dataclass
 class WideLayout:
-    """Driver-side column plan (bounded by questionnaire size, not by rows)."""
+    """Driver-side column plan (bounded by questionnaire size, not by rows).
+
+    Option lists are parsed once per distinct options text; single-select
+    answers look their option up by (options text, value) and multi-select
+    headers check membership by options text, so the wide pass runs no option
+    regex per row.
+    """
 
     multi: dict[str, list[int]] = field(default_factory=dict)   # item -> option values
     single: dict[str, bool] = field(default_factory=dict)        # item -> scored?
     subscale: list[str] = field(default_factory=list)
     text: list[str] = field(default_factory=list)
+    option_keys: list[str] = field(default_factory=list)         # options text + SEP + value
+    option_names: list[str | None] = field(default_factory=list)
+    option_scores: list[int | None] = field(default_factory=list)
+    multi_texts: list[str] = field(default_factory=list)         # options text of multi-select items
+    multi_values: list[list[int]] = field(default_factory=list)
 
     def n_columns(self) -> int:
         return (sum(len(v) for v in self.multi.values()) + 3 * len(self.single)
                 + 2 * len(self.subscale) + 2 * len(self.text))
 
 
+_SEP = "\u0001"
+
+
 def _rule(t: Column) -> Column:
     return F.when(t.isin(*_OWN_RULE), t).otherwise(F.lit(schema.TEXT))
 
 
-def _staged(report: DataFrame) -> DataFrame:
-    """Per-row helper columns: the pivot rule, item name, matched single-select option."""
+def _options_text() -> Column:
+    return strip_all(F.col("item.raw_options"))
+
+
+def _lookup_map(keys: list, values: list, value_type: str) -> Column:
+    if not keys:
+        return F.create_map().cast(f"map<string,{value_type}>")
+    return F.map_from_arrays(F.array(*[F.lit(k) for k in keys]),
+                             F.array(*[F.lit(v).cast(value_type) for v in values]))
+
+
+def _staged(report: DataFrame, lay: WideLayout) -> DataFrame:
+    """Per-row helper columns: pivot rule, item name, chosen option, multi-select option values."""
     t = F.col("item.type")
-    sv = F.col("response.value.single_value")
-    matched = F.filter("item.response_options", lambda o: o["value"] == sv)
-    option = F.when(
-        F.size(F.array_distinct(matched)) > 1,
-        F.raise_error(F.concat(F.lit("option value is not unique in item "), F.col("item.name"))),
-    ).otherwise(F.get(matched, 0))
+    text = _options_text()
+    key = F.concat(text, F.lit(_SEP), F.col("response.value.single_value").cast("string"))
+    names = _lookup_map(lay.option_keys, lay.option_names, "string")
+    scores = _lookup_map(lay.option_keys, lay.option_scores, "bigint")
+    multi = _lookup_map(lay.multi_texts, lay.multi_values, "array<bigint>")
+    single = t == schema.SINGLE_SELECT
     return report.select(
         "*",
         _rule(t).alias("_rule"),
         F.col("item.name").alias("_name"),
-        F.when(t == schema.SINGLE_SELECT, option).alias("_opt"),
+        F.when(single, F.try_element_at(names, key)).alias("_opt_name"),
+        F.when(single, F.try_element_at(scores, key)).alias("_opt_score"),
+        F.when(t == schema.MULTI_SELECT, F.try_element_at(multi, text)).alias("_opt_values"),
     )
 
 
 def layout(report: DataFrame, *, max_columns: int = DEFAULT_MAX_COLUMNS) -> WideLayout:
-    """Collect the column plan with one small aggregate over the report."""
-    st = _staged(report)
+    """Collect the column plan: one distinct over (rule, item name, options text),
+    options parsed on the distinct rows only."""
     meta = (
-        st.where(F.col("_name").isNotNull())
-        .groupBy("_rule", "_name")
-        .agg(
-            F.array_sort(F.array_distinct(F.flatten(F.collect_set(
-                F.when(F.col("_rule") == schema.MULTI_SELECT,
-                       F.transform("item.response_options", lambda o: o["value"])))))).alias("vals"),
-            F.max(F.col("_opt.score").isNotNull()).alias("scored"),
-        )
+        report.select(_rule(F.col("item.type")).alias("rule"), F.col("item.name").alias("name"),
+                      _options_text().alias("text"))
+        .where(F.col("name").isNotNull())
+        .distinct()
     )
-    rows = meta.limit(max_columns + 1).collect()
+    parsed = meta.select("rule", "name", "text", parse_options(F.col("text")).alias("opts"))
+    rows = parsed.limit(max_columns * 64 + 1).collect()
+    if len(rows) > max_columns * 64:
+        raise ValueError("too many distinct items for a wide table; split by activity")
     lay = WideLayout()
-    for r in sorted(rows, key=lambda r: (r["_rule"], r["_name"])):
-        if r["_rule"] == schema.MULTI_SELECT:
-            vals = [v for v in (r["vals"] or []) if v is not None]
-            if vals:
-                lay.multi[r["_name"]] = vals
-        elif r["_rule"] == schema.SINGLE_SELECT:
-            lay.single[r["_name"]] = bool(r["scored"])
-        elif r["_rule"] == schema.SUBSCALE:
-            lay.subscale.append(r["_name"])
+    multi: dict[str, set[int]] = {}
+    single: dict[str, bool] = {}
+    subs: set[str] = set()
+    texts: set[str] = set()
+    lookup: dict[str, tuple] = {}
+    multi_text: dict[str, list[int]] = {}
+    for r in rows:
+        rule, name, text, opts = r["rule"], r["name"], r["text"], r["opts"] or []
+        if rule == schema.MULTI_SELECT:
+            vals = [o["value"] for o in opts if o["value"] is not None]
+            multi.setdefault(name, set()).update(vals)
+            if text is not None:
+                multi_text[text] = sorted(set(vals))
+        elif rule == schema.SINGLE_SELECT:
+            single[name] = single.get(name, False) or any(o["score"] is not None for o in opts)
+            seen: dict[int, tuple] = {}
+            for o in opts:
+                if o["value"] is None:
+                    continue
+                entry = (o["name"], o["score"])
+                if seen.get(o["value"], entry) != entry:
+                    raise ValueError(f"option value {o['value']} is not unique in item {name}")
+                seen[o["value"]] = entry
+            if text is not None:
+                for v, entry in seen.items():
+                    lookup[f"{text}{_SEP}{v}"] = entry
+        elif rule == schema.SUBSCALE:
+            subs.add(name)
         else:
-            lay.text.append(r["_name"])
-    if len(rows) > max_columns or lay.n_columns() > max_columns:
+            texts.add(name)
+    lay.multi = {n: sorted(v) for n, v in sorted(multi.items()) if v}
+    lay.single = dict(sorted(single.items()))
+    lay.subscale = sorted(subs)
+    lay.text = sorted(texts)
+    lay.option_keys = list(lookup)
+    lay.option_names = [lookup[k][0] for k in lay.option_keys]
+    lay.option_scores = [lookup[k][1] for k in lay.option_keys]
+    lay.multi_texts = list(multi_text)
+    lay.multi_values = [multi_text[k] for k in lay.multi_texts]
+    if lay.n_columns() > max_columns:
         raise ValueError(f"wide table would exceed {max_columns} columns; split by activity")
     return lay
 
 
-def _value_is(v: int):
-    return lambda o: o["value"] == F.lit(v)
-
-
 def _first(cond: Column, value: Column) -> Column:
     return F.first(F.when(cond, value), ignorenulls=True)
 
@@ -140,15 +191,15 @@ def wide_columns(lay: WideLayout, *, clean_names: bool = False) -> tuple[list[Co
         c = is_item(schema.MULTI_SELECT, n)
         counts.append(F.count(F.when(c, 1)))
         for v in vals:
-            has = F.exists("item.response_options", _value_is(v))
+            has = F.array_contains(F.col("_opt_values"), F.lit(v))
             aggs.append(_first(c & has, F.array_contains("response.value.value", F.lit(v))).alias(f"{n}_{v}"))
     for n, scored in lay.single.items():
         c = is_item(schema.SINGLE_SELECT, n)
         counts.append(F.count(F.when(c, 1)))
-        bare = F.col("_opt.score") if scored else F.col("_opt.name")
+        bare = F.col("_opt_score") if scored else F.col("_opt_name")
         aggs.append(_first(c, bare).alias(n))
         aggs.append(_first(c, F.col("response.value.single_value")).alias(f"{n}__index"))
-        aggs.append(_first(c, F.col("_opt.name")).alias(f"{n}__response"))
+        aggs.append(_first(c, F.col("_opt_name")).alias(f"{n}__response"))
     for n in lay.subscale:
         c = is_item(schema.SUBSCALE, n)
         counts.append(F.count(F.when(c, 1)))
@@ -185,7 +236,7 @@ def pivot_wide(report: DataFrame, lay: WideLayout | None = None, *, on_duplicate
     lay = lay if lay is not None else layout(report, max_columns=max_columns)
     index = index_columns(report)
     aggs, counts = wide_columns(lay, clean_names=clean_names)
-    st = _staged(report)
+    st = _staged(report, lay)
     count_names = [f"_n{i}" for i in range(len(counts))]
     grouped = st.groupBy(*[F.col(f"`{c}`") for c in index]).agg(
         F.lit(True).alias("_any"), *aggs, *[c.alias(nm) for c, nm in zip(counts, count_names)]

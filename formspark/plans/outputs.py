@@ -16,14 +16,28 @@ from pyspark.sql import functions as F
 
 from .. import schema
 from ..operators import grids, reshape, wide as wide_op
+from ..functions.options import parse_options
+from ..functions.scalars import strip_all
 from ..operators.structs import unnest
 from ..sinks.writers import NamedOutput
 from ..sources.participants import read_participants
 
 
+def _distinct_items(report: DataFrame, cols: list) -> DataFrame:
+    """Distinct rows of ``cols`` plus the item's parsed options.
+
+    The distinct runs on the options *text* and the parse happens on the
+    distinct rows only (option texts repeat on every answer row); a second,
+    small distinct merges texts that parse to the same list.
+    """
+    base = report.select(*cols, strip_all(F.col("item.raw_options")).alias("_ro")).distinct()
+    return (base.withColumn("item_response_options", parse_options(F.col("_ro")))
+            .drop("_ro").distinct())
+
+
 def data_dictionary(report: DataFrame) -> DataFrame:
     """Distinct items with their context (output ``dictionary``)."""
-    return report.select(
+    return _distinct_items(report, [
         "applet_version",
         F.col("activity_flow.id").alias("activity_flow_id"),
         F.col("activity_flow.name").alias("activity_flow_name"),
@@ -32,20 +46,21 @@ def data_dictionary(report: DataFrame) -> DataFrame:
         F.col("item.id").alias("item_id"),
         F.col("item.name").alias("item_name"),
         F.col("item.prompt").alias("item_prompt"),
-        F.col("item.response_options").alias("item_response_options"),
-    ).distinct()
+    ])
 
 
 def data_dictionary_full(report: DataFrame) -> DataFrame:
     """Distinct items with every field of the flow, activity and item structs."""
-    return report.select(
-        "applet_version", *unnest(report, "activity_flow"), *unnest(report, "activity"), *unnest(report, "item"),
+    item_fields = [c for c in unnest(report, "item") if "response_options" not in str(c)]
+    base = report.select(
+        "applet_version", *unnest(report, "activity_flow"), *unnest(report, "activity"), *item_fields,
     ).distinct()
+    return base.withColumn("item_response_options", parse_options(strip_all(F.col("item_raw_options"))))
 
 
 def options(report: DataFrame) -> DataFrame:
     """One row per answer option of every distinct item (output ``options``)."""
-    items = report.select(
+    items = _distinct_items(report, [
         F.col("activity_flow.id").alias("activity_flow_id"),
         F.col("activity_flow.name").alias("activity_flow_name"),
         F.col("activity.id").alias("activity_id"),
@@ -53,8 +68,7 @@ def options(report: DataFrame) -> DataFrame:
         F.col("item.id").alias("item_id"),
         F.col("item.name").alias("item_name"),
         F.col("item.prompt").alias("item_prompt"),
-        F.col("item.response_options").alias("item_response_options"),
-    ).distinct()
+    ])
     return items.select(
         "activity_flow_id", "activity_flow_name", "activity_id", "activity_name",
         "item_id", "item_name", "item_prompt",

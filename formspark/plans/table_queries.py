@@ -21,7 +21,7 @@ from ..functions.scalars import interval_ms, iso_duration, strip_all
 from ..operators import grids, joins, reshape, wide as wide_op
 from ..operators.normalize import nest_users, normalize, parse_times, unpivot_subscales
 from ..operators.structs import unnest
-from ..session import configure, scratch_path
+from ..session import configure, scratch_path, spread
 from ..sinks.writers import NamedOutput, csv_encode, drop_null_columns, write_csv, write_parquet
 from ..sources import tables
 from ..sources.exports import list_export_files, read_csv_strings, read_export_frame
@@ -127,8 +127,8 @@ def form_answer(k: Column) -> Column:
 
 
 def parse_form_types(spark, sf_dir):
-    o = _t(spark, sf_dir, "orders").select("o_orderkey")
     configure(spark)
+    o = spread(_t(spark, sf_dir, "orders").select("o_orderkey"))
     staged = o.select("o_orderkey", form_answer(F.col("o_orderkey")).alias("_a")).withColumn(
         "_k", answers.classify_full(F.col("_a")))
     v = staged.select("o_orderkey", answers.build_value(F.col("_k"), F.col("_a")).alias("v"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every entry point relies on: UTC wall clock for epoch-ms answers and
 # attendance dates; AQE for partition coalescing and skew splitting.
@@ -64,3 +64,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder (never a machine-local temp dir)."""
     return f"{checkpoint_dir(spark)}/formspark-scratch/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin repartition when an input has fewer partitions than the cluster has cores.
+
+    A small source that fans out (one row per submission -> one row per item)
+    or one large unsplittable multi-line CSV would otherwise leave all the
+    parsing to a handful of tasks.  Inputs that already have enough splits
+    (the normal case at scale) are left alone: no shuffle is added.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..operators.normalize import normalize
+from ..session import spread
 
 # Fixed value: file-name pattern of response exports inside an export folder.
 RESPONSES_PATTERN = "*responses*.csv"
@@ -91,8 +92,10 @@ def read_export_frame(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
         groups.setdefault(_header(spark, f), []).append(f)
     if not groups:
         raise NoExportFilesError("No export files given.")
-    frames = [read_csv_strings(spark, fs, h) for h, fs in groups.items()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    frames = [read_csv_strings(spark, fs, h) for h, fs in groups.items() if h]
+    if not frames:
+        raise NoExportFilesError("Export files have no header row.")
+    return spread(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames))
 
 
 def read_export(spark: SparkSession, path: str, *, on_error: str = "null") -> DataFrame:

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import configure
+from ..session import configure, spread
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,23 +81,32 @@ def _epoch_ms_of_day(odate: Column) -> Column:
 
 
 def orders_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Export rows (all STRING) for every order x questionnaire item."""
+    """Export rows (all STRING) for every order x questionnaire item.
+
+    The questionnaire is a literal array exploded per order; each exploded
+    row computes only its own answer (a CASE on the item position).
+    """
     configure(spark)
-    o = _table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    o = spread(_table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"))
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     status, prio, odate = F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("o_orderdate")
+    spec = order_answers(k, c, status, prio, odate)
     items = F.array(*[
-        F.struct(F.lit(n).alias("name"), F.lit(t).alias("type"),
-                 F.lit(opts).cast("string").alias("options"), ans.alias("answer"))
-        for n, t, opts, ans in order_answers(k, c, status, prio, odate)
+        F.struct(F.lit(i).alias("pos"), F.lit(n).alias("name"), F.lit(t).alias("type"),
+                 F.lit(opts).cast("string").alias("options"))
+        for i, (n, t, opts, _) in enumerate(spec)
     ])
+    pos = F.col("_item.pos")
+    answer = None
+    for i, (_, _, _, ans) in enumerate(spec):
+        answer = F.when(pos == i, ans) if answer is None else answer.when(pos == i, ans)
     start = _epoch_ms_of_day(odate) + (k % 86_400) * 1000 + k % 1000
     end = start + (k % 3600 + 60) * 1000
     prio_code = F.substring(prio, 1, 1)
     offset = F.when(k % 4 == 0, -240).when(k % 4 == 1, 0).when(k % 4 == 2, 330).otherwise(-300)
-    first = F.col("_pos") == 0
-    return o.select("*", F.posexplode(items).alias("_pos", "_item")).select(
+    first = pos == 0
+    return o.select("*", F.explode(items).alias("_item")).select(
         _cat("cust-", c).alias("target_id"),
         _cat("S", F.lpad(_s(c), 6, "0")).alias("target_secret_id"),
         _cat("Customer ", c).alias("target_nickname"),
@@ -131,7 +140,7 @@ def orders_export(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("_item.name").alias("item_name"),
         _cat("How about ", F.col("_item.name"), "?").alias("item_prompt"),
         F.col("_item.options").alias("item_response_options"),
-        F.col("_item.answer").alias("item_response"),
+        answer.alias("item_response"),
         F.lit("completed").alias("item_response_status"),
         F.col("_item.type").alias("item_type"),
         _s(k % 40).alias("rawScore"),
@@ -162,7 +171,7 @@ def event_activity(event_type: Column) -> Column:
 def events_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Export rows (all STRING), one per event."""
     configure(spark)
-    e = _table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    e = spread(_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"))
     eid, uid = F.col("event_id"), F.col("user_id")
     start = F.unix_millis(F.col("ts").cast("timestamp"))
     name = event_activity(F.col("event_type"))

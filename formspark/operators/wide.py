@@ -238,9 +238,15 @@ def pivot_wide(report: DataFrame, lay: WideLayout | None = None, *, on_duplicate
     aggs, counts = wide_columns(lay, clean_names=clean_names)
     st = _staged(report, lay)
     count_names = [f"_n{i}" for i in range(len(counts))]
-    grouped = st.groupBy(*[F.col(f"`{c}`") for c in index]).agg(
+    # The string-valued ``first`` buffers rule out a hash aggregate, so Spark
+    # sorts by the grouping key.  A hash of the index, added as the leading
+    # key, is functionally dependent on the index (grouping is unchanged) and
+    # gives the sort a near-unique 8-byte prefix instead of comparing every
+    # index column of rows that share the low-cardinality leading columns.
+    keys = [F.xxhash64(*[F.col(f"`{c}`") for c in index]).alias("_h")] + [F.col(f"`{c}`") for c in index]
+    grouped = st.groupBy(*keys).agg(
         F.lit(True).alias("_any"), *aggs, *[c.alias(nm) for c, nm in zip(counts, count_names)]
-    ) if aggs or counts else st.groupBy(*[F.col(f"`{c}`") for c in index]).agg(F.lit(True).alias("_any"))
+    ).drop("_h")
     out_cols = [F.col(f"`{c}`") for c in grouped.columns if c not in count_names and c != "_any"]
     if on_duplicate == "fail" and count_names:
         dup = F.greatest(*[F.col(c) for c in count_names], F.lit(0)) > 1

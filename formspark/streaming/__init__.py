@@ -1,0 +1,7 @@
+"""Intentionally empty.
+
+The questionnaire-export workload is batch only: exports are files read
+whole, and no operator keeps state across arrivals, uses watermarks or
+windows.  Nothing here is needed to cover the operator inventory; new export
+files are processed by running the batch job on them.
+"""

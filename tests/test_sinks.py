@@ -16,7 +16,7 @@ def _frame(spark):
 def test_csv_writer(spark, tmp_path):
     df = _frame(spark).withColumn("span", F.make_dt_interval(F.lit(0), F.lit(1), F.lit(2), F.lit(0)))
     path = write_csv(NamedOutput("nested out", df), str(tmp_path), drop_nulls=True)
-    back = spark.read.option("header", "true").csv(path)
+    back = spark.read.option("header", "true").option("escape", '"').csv(path)
     assert set(back.columns) == {"id", "data", "struct_column", "list_column", "span_ms"}
     r = back.where(F.col("id") == "1").first()
     assert r.struct_column == '{"a":1,"b":2}' and r.list_column == '{"list_column":["a","b"]}'

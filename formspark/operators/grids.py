@@ -36,11 +36,18 @@ IDENTIFIERS = ("secret_id", "nickname", "first_name", "last_name", "site")
 OPTIONAL_IDENTIFIERS = ("room",)
 
 
-def activity_facts(report: DataFrame) -> DataFrame:
+def activity_facts(report: DataFrame, tz: str | None = None) -> DataFrame:
+    """(secret_id, trimmed activity name, activity date, item id) per report row.
+
+    The date is the UTC calendar date of the activity start; with ``tz`` (an
+    IANA zone such as ``America/New_York``) it is the local date there.
+    """
+    start = F.col("activity_time.start_time")
+    day = to_utc_date(start) if tz is None else F.to_date(F.from_utc_timestamp(start, tz))
     return report.select(
         F.col("target_user.secret_id").alias("secret_id"),
         strip_all(F.col("activity.name")).alias("activity_name"),
-        to_utc_date(F.col("activity_time.start_time")).alias("activity_date"),
+        day.alias("activity_date"),
         F.col("item.id").alias("item_id"),
     )
 
@@ -66,9 +73,10 @@ def _flags(names: list[str]) -> list[Column]:
     return [(F.count(F.when(name == n, F.col("item_id"))) > 0).alias(n) for n in names]
 
 
-def attendance(report: DataFrame, participants: DataFrame, *, daily_prefix: str = DAILY_PREFIX) -> DataFrame | None:
+def attendance(report: DataFrame, participants: DataFrame, *, daily_prefix: str = DAILY_PREFIX,
+               tz: str | None = None) -> DataFrame | None:
     """Participant x date grid of daily activities (None when there are none)."""
-    facts = activity_facts(report).where(_is_daily(F.col("activity_name"), daily_prefix))
+    facts = activity_facts(report, tz).where(_is_daily(F.col("activity_name"), daily_prefix))
     names, dates = _axes(facts)
     if not names:
         return None
@@ -81,9 +89,10 @@ def attendance(report: DataFrame, participants: DataFrame, *, daily_prefix: str
         *ids, "activity_date", *[F.coalesce(F.col(f"`{n}`"), F.lit(False)).alias(n) for n in names])
 
 
-def completion(report: DataFrame, participants: DataFrame, *, daily_prefix: str = DAILY_PREFIX) -> DataFrame | None:
+def completion(report: DataFrame, participants: DataFrame, *, daily_prefix: str = DAILY_PREFIX,
+               tz: str | None = None) -> DataFrame | None:
     """One row per participant: a flag per non-daily activity and ``complete``."""
-    facts = activity_facts(report).where(~_is_daily(F.col("activity_name"), daily_prefix))
+    facts = activity_facts(report, tz).where(~_is_daily(F.col("activity_name"), daily_prefix))
     names, _ = _axes(facts)
     if not names:
         return None

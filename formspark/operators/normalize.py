@@ -197,12 +197,26 @@ def nest_response(df: DataFrame, on_error: str = "null", typed: bool = True) ->
     return staged.withColumn("response", response).drop("_answer", "_kind", *schema.RESPONSE_COLUMNS)
 
 
-def normalize(raw: DataFrame, *, on_error: str = "null", typed: bool = True) -> DataFrame:
-    """Raw export frame -> nested report (see module docstring for the steps)."""
+def dedupe_subscale_rows(df: DataFrame) -> DataFrame:
+    """Keep one copy of identical subscale rows (a subscale value repeated on
+    every answer row of a submission unpivots into identical rows).  Only the
+    subscale rows are shuffled; answer rows pass through."""
+    is_sub = F.col("item_type") == F.lit(schema.SUBSCALE)
+    return df.where(~is_sub | is_sub.isNull()).unionByName(df.where(is_sub).dropDuplicates())
+
+
+def normalize(raw: DataFrame, *, on_error: str = "null", typed: bool = True,
+              dedupe_subscales: bool = False) -> DataFrame:
+    """Raw export frame -> nested report (see module docstring for the steps).
+
+    ``dedupe_subscales=True`` drops repeated identical subscale rows (by
+    default every non-null subscale cell becomes a row, as in the export).
+    """
+    unpivoted = raw.transform(drop_legacy_user_id).transform(check_raw_score).transform(unpivot_subscales)
+    if dedupe_subscales and subscale_columns(raw.columns):
+        unpivoted = dedupe_subscale_rows(unpivoted)
     return (
-        raw.transform(drop_legacy_user_id)
-        .transform(check_raw_score)
-        .transform(unpivot_subscales)
+        unpivoted
         .transform(parse_times)
         .transform(nest_users)
         .transform(nest_item)

@@ -148,12 +148,13 @@ def _wide(report, extra, spark):
 def _attendance(report, extra, spark):
     roster = read_participants(spark, extra.get("participants"))
     prefix = extra.get("daily_prefix", grids.DAILY_PREFIX)
+    tz = extra.get("timezone") or None
     out: list[NamedOutput] = []
-    att = grids.attendance(report, roster, daily_prefix=prefix)
+    att = grids.attendance(report, roster, daily_prefix=prefix, tz=tz)
     if att is not None:
         out += [NamedOutput("attendance-all", att),
                 NamedOutput("attendance-by_site_date", att, ["site", "activity_date"])]
-    comp = grids.completion(report, roster, daily_prefix=prefix)
+    comp = grids.completion(report, roster, daily_prefix=prefix, tz=tz)
     if comp is not None:
         summary = grids.completion_summary(comp)
         out += [NamedOutput("completion-all", comp), NamedOutput("completion_summary-all", summary),

@@ -103,3 +103,11 @@ def test_on_error(spark):
 def test_raw_score_required(spark):
     with pytest.raises(ValueError):
         N.normalize(spark.createDataFrame([("x",)], "item_response string"))
+
+
+def test_dedupe_subscales(spark):
+    cols = ["activity_submission_id", "item_name", "item_type", "item_response", "rawScore", "activity_score"]
+    df = spark.createDataFrame([("s1", "a", "text", "x", None, "7"), ("s1", "b", "text", "y", None, "7")],
+                               ", ".join(f"{c} string" for c in cols))
+    assert N.normalize(df).where(F.col("item.type") == "subscale").count() == 2
+    assert N.normalize(df, dedupe_subscales=True).where(F.col("item.type") == "subscale").count() == 1

@@ -105,3 +105,15 @@ def test_job_run(spark, export_dir, tmp_path):
     with pytest.raises(ValueError, match="Unknown output"):
         job.run(spark, str(export_dir), str(tmp_path / "x"), outputs=["nope"])
     assert set(outputs.default_outputs()) == {"wide", "long", "dictionary", "options"}
+
+
+def test_grid_timezone(spark):
+    from formspark.operators.normalize import normalize
+
+    raw = spark.createDataFrame([("p1", "Student Check-In", "1749175200000", "i")],  # 2025-06-06 02:00 UTC
+                                "target_secret_id string, activity_name string, activity_start_time string,"
+                                " item_id string")
+    rep = normalize(raw.withColumn("rawScore", F.lit(None).cast("string")))
+    utc = grids.activity_facts(rep).first().activity_date
+    ny = grids.activity_facts(rep, "America/New_York").first().activity_date
+    assert (str(utc), str(ny)) == ("2025-06-06", "2025-06-05")

@@ -1,7 +1,8 @@
 """Benchmark: headline queries on $BENCH_SF_DIR (default sf0.1) on local[$BENCH_CPUS].
 
 Each query is forced through the ``noop`` sink (every output column computed,
-nothing collected).  Prints one JSON line.
+nothing collected) and timed as the best of $BENCH_REPS runs (default 2).
+Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -27,11 +28,15 @@ def main() -> None:
     spark = local_session(cores=cpus, shuffle_partitions=max(cpus, 8), app="formspark-bench")
     # Warm-up: JVM, file listing, codegen caches.
     QUERIES["parse_form_types"](spark, sf_dir).write.format("noop").mode("overwrite").save()
+    reps = int(os.environ.get("BENCH_REPS", "2"))
     times: dict[str, float] = {}
     for name in names:
-        t0 = time.perf_counter()
-        QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-        times[name] = round(time.perf_counter() - t0, 3)
+        best = float("inf")
+        for _ in range(reps):  # best of N: the host is shared and noisy
+            t0 = time.perf_counter()
+            QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+            best = min(best, time.perf_counter() - t0)
+        times[name] = round(best, 3)
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
     print(json.dumps({
         "metric": "total_query_seconds",

@@ -229,9 +229,10 @@ def build_value(kind: Column, s: Column) -> Column:
         optional_text.alias("optional_text"),
         F.when(k == "subscale", s.try_cast("double")).alias("subscale"),
     )
-    return F.when(k.isNull() | (k == "unknown_type"), _lit_null(schema.RESPONSE_VALUE)).otherwise(
-        value.cast(schema.RESPONSE_VALUE)
-    )
+    # No struct-level cast: every field already has its schema type, and a
+    # Cast around the struct would stop Catalyst from pruning unread fields
+    # (a query reading ``value.text`` would still run every field's regex).
+    return F.when(k.isNotNull() & (k != "unknown_type"), value)
 
 
 def parse_error(kind: Column, s: Column) -> Column:

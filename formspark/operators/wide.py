@@ -46,10 +46,6 @@ _OWN_RULE = (schema.MULTI_SELECT, schema.SINGLE_SELECT, schema.SUBSCALE)
 DEFAULT_MAX_COLUMNS = 20_000
 
 
-class DuplicateAnswerError(ValueError):
-    """More than one answer for the same item in one submission."""
-
-
 @dataclass
 class WideLayout:
     """Driver-side column plan (bounded by questionnaire size, not by rows).
@@ -69,6 +65,8 @@ class WideLayout:
     option_scores: list[int | None] = field(default_factory=list)
     multi_texts: list[str] = field(default_factory=list)         # options text of multi-select items
     multi_values: list[list[int]] = field(default_factory=list)
+    codes: dict[tuple[str, str], int] = field(default_factory=dict)  # (rule, item) -> xxhash64
+    codes_unique: bool = True
 
     def n_columns(self) -> int:
         return (sum(len(v) for v in self.multi.values()) + 3 * len(self.single)
@@ -106,6 +104,7 @@ def _staged(report: DataFrame, lay: WideLayout) -> DataFrame:
         "*",
         _rule(t).alias("_rule"),
         F.col("item.name").alias("_name"),
+        F.xxhash64(_rule(t), F.col("item.name")).alias("_code"),
         F.when(single, F.try_element_at(names, key)).alias("_opt_name"),
         F.when(single, F.try_element_at(scores, key)).alias("_opt_score"),
         F.when(t == schema.MULTI_SELECT, F.try_element_at(multi, text)).alias("_opt_values"),
@@ -121,7 +120,8 @@ def layout(report: DataFrame, *, max_columns: int = DEFAULT_MAX_COLUMNS) -> Wide
         .where(F.col("name").isNotNull())
         .distinct()
     )
-    parsed = meta.select("rule", "name", "text", parse_options(F.col("text")).alias("opts"))
+    parsed = meta.select("rule", "name", "text", parse_options(F.col("text")).alias("opts"),
+                         F.xxhash64("rule", "name").alias("code"))
     rows = parsed.limit(max_columns * 64 + 1).collect()
     if len(rows) > max_columns * 64:
         raise ValueError("too many distinct items for a wide table; split by activity")
@@ -132,8 +132,10 @@ def layout(report: DataFrame, *, max_columns: int = DEFAULT_MAX_COLUMNS) -> Wide
     texts: set[str] = set()
     lookup: dict[str, tuple] = {}
     multi_text: dict[str, list[int]] = {}
+    codes: dict[tuple[str, str], int] = {}
     for r in rows:
         rule, name, text, opts = r["rule"], r["name"], r["text"], r["opts"] or []
+        codes[(rule, name)] = r["code"]
         if rule == schema.MULTI_SELECT:
             vals = [o["value"] for o in opts if o["value"] is not None]
             multi.setdefault(name, set()).update(vals)
@@ -165,6 +167,8 @@ def layout(report: DataFrame, *, max_columns: int = DEFAULT_MAX_COLUMNS) -> Wide
     lay.option_scores = [lookup[k][1] for k in lay.option_keys]
     lay.multi_texts = list(multi_text)
     lay.multi_values = [multi_text[k] for k in lay.multi_texts]
+    lay.codes = codes
+    lay.codes_unique = len(set(codes.values())) == len(codes)
     if lay.n_columns() > max_columns:
         raise ValueError(f"wide table would exceed {max_columns} columns; split by activity")
     return lay
@@ -178,13 +182,24 @@ def _text_names(n: str, clean: bool) -> tuple[str, str]:
     return (n, f"{n}__response") if clean else (f"response_value__{n}", f"response_response__{n}")
 
 
-def wide_columns(lay: WideLayout, *, clean_names: bool = False) -> tuple[list[Column], list[Column]]:
-    """(aggregate expressions, per-item answer counts) for the layout."""
-    rule, name = F.col("_rule"), F.col("_name")
+def wide_columns(lay: WideLayout, *, clean_names: bool = False
+                 ) -> tuple[list[Column], list[Column], dict[str, str]]:
+    """(aggregate expressions, per-item answer counts, copies) for the layout.
+
+    Each row belongs to one item; the item test is one comparison of the
+    row's 64-bit item code (hash of rule and name, checked collision-free on
+    the driver, else the names are compared).  Columns that always equal
+    another one (the two text columns, an unscored item's label) are
+    aggregated once and copied: ``copies`` maps output name -> source name.
+    """
+    rule, name, code = F.col("_rule"), F.col("_name"), F.col("_code")
     aggs: list[Column] = []
     counts: list[Column] = []
+    copies: dict[str, str] = {}
 
     def is_item(r: str, n: str) -> Column:
+        if lay.codes_unique and (r, n) in lay.codes:
+            return code == F.lit(lay.codes[(r, n)])
         return (rule == r) & (name == n)
 
     for n, vals in lay.multi.items():
@@ -196,23 +211,25 @@ def wide_columns(lay: WideLayout, *, clean_names: bool = False) -> tuple[list[Co
     for n, scored in lay.single.items():
         c = is_item(schema.SINGLE_SELECT, n)
         counts.append(F.count(F.when(c, 1)))
-        bare = F.col("_opt_score") if scored else F.col("_opt_name")
-        aggs.append(_first(c, bare).alias(n))
         aggs.append(_first(c, F.col("response.value.single_value")).alias(f"{n}__index"))
         aggs.append(_first(c, F.col("_opt_name")).alias(f"{n}__response"))
+        if scored:
+            aggs.append(_first(c, F.col("_opt_score")).alias(n))
+        else:
+            copies[n] = f"{n}__response"
     for n in lay.subscale:
         c = is_item(schema.SUBSCALE, n)
         counts.append(F.count(F.when(c, 1)))
         v, r = _text_names(n, clean_names)
         aggs.append(_first(c, F.col("response.value.subscale")).alias(v))
-        aggs.append(_first(c, F.col("response.value.subscale")).alias(r))
+        copies[r] = v
     for n in lay.text:
         c = is_item(schema.TEXT, n)
         counts.append(F.count(F.when(c, 1)))
         v, r = _text_names(n, clean_names)
         aggs.append(_first(c, F.col("response.value.text")).alias(v))
-        aggs.append(_first(c, F.col("response.value.text")).alias(r))
-    return aggs, counts
+        copies[r] = v
+    return aggs, counts, copies
 
 
 def index_columns(report: DataFrame) -> list[str]:
@@ -235,7 +252,7 @@ def pivot_wide(report: DataFrame, lay: WideLayout | None = None, *, on_duplicate
         raise ValueError("on_duplicate must be 'fail' or 'first'")
     lay = lay if lay is not None else layout(report, max_columns=max_columns)
     index = index_columns(report)
-    aggs, counts = wide_columns(lay, clean_names=clean_names)
+    aggs, counts, copies = wide_columns(lay, clean_names=clean_names)
     st = _staged(report, lay)
     count_names = [f"_n{i}" for i in range(len(counts))]
     # The string-valued ``first`` buffers rule out a hash aggregate, so Spark
@@ -248,6 +265,7 @@ def pivot_wide(report: DataFrame, lay: WideLayout | None = None, *, on_duplicate
         F.lit(True).alias("_any"), *aggs, *[c.alias(nm) for c, nm in zip(counts, count_names)]
     ).drop("_h")
     out_cols = [F.col(f"`{c}`") for c in grouped.columns if c not in count_names and c != "_any"]
+    out_cols += [F.col(f"`{src}`").alias(dst) for dst, src in copies.items()]
     if on_duplicate == "fail" and count_names:
         dup = F.greatest(*[F.col(c) for c in count_names], F.lit(0)) > 1
         first = out_cols[0]
@@ -256,7 +274,6 @@ def pivot_wide(report: DataFrame, lay: WideLayout | None = None, *, on_duplicate
     flat = grouped.select(*out_cols)
     structs = [c for c in schema.INDEX_STRUCTS if c in flat.columns]
     flat_cols: list[Column] = []
-    fixed: list[str] = []
     for c in flat.columns:
         if c in structs:
             cols = unnest(flat, c)

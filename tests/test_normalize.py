@@ -81,8 +81,8 @@ def test_normalize_contract(spark):
     raw = _raw(spark, [("u", "s", "a", "A", "sub", "i", "q", "singleSelect", " a: 0 (score: 2)\n", "value: 0 ",
                         "completed", "7")])
     rep = N.normalize(raw)
-    assert rep.schema["response"].dataType == schema.RESPONSE
-    assert rep.schema["item"].dataType == schema.ITEM
+    assert rep.schema["response"].dataType.simpleString() == schema.RESPONSE.simpleString()
+    assert rep.schema["item"].dataType.simpleString() == schema.ITEM.simpleString()
     r = rep.first()
     assert r.response.raw_score == 7 and r.response.value.single_value == 0
     assert r.item.response_options[0].asDict() == {"name": "a", "value": 0, "score": 2}

@@ -34,7 +34,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pyspark import StorageLevel
+
 from .. import schema
+from ..session import ensure_checkpoint_dir
 from ..functions.options import parse_options
 from ..functions.scalars import iso_duration, strip_all
 from .structs import order_columns, unnest
@@ -67,6 +70,7 @@ class WideLayout:
     multi_values: list[list[int]] = field(default_factory=list)
     codes: dict[tuple[str, str], int] = field(default_factory=dict)  # (rule, item) -> xxhash64
     codes_unique: bool = True
+    bare_single: bool = True  # False: scores kept as ``n__score`` (split picks per activity)
 
     def n_columns(self) -> int:
         return (sum(len(v) for v in self.multi.values()) + 3 * len(self.single)
@@ -111,20 +115,21 @@ def _staged(report: DataFrame, lay: WideLayout) -> DataFrame:
     )
 
 
-def layout(report: DataFrame, *, max_columns: int = DEFAULT_MAX_COLUMNS) -> WideLayout:
-    """Collect the column plan: one distinct over (rule, item name, options text),
-    options parsed on the distinct rows only."""
-    meta = (
-        report.select(_rule(F.col("item.type")).alias("rule"), F.col("item.name").alias("name"),
-                      _options_text().alias("text"))
-        .where(F.col("name").isNotNull())
-        .distinct()
-    )
-    parsed = meta.select("rule", "name", "text", parse_options(F.col("text")).alias("opts"),
-                         F.xxhash64("rule", "name").alias("code"))
-    rows = parsed.limit(max_columns * 64 + 1).collect()
-    if len(rows) > max_columns * 64:
+def _layout_rows(report: DataFrame, *, by_activity: bool, limit: int) -> list:
+    """Distinct (rule, item name, options text[, activity]) with parsed options."""
+    cols = [_rule(F.col("item.type")).alias("rule"), F.col("item.name").alias("name"),
+            _options_text().alias("text")]
+    if by_activity:
+        cols += [F.col("activity.id").alias("act_id"), F.col("activity.name").alias("act_name")]
+    meta = report.select(*cols).where(F.col("name").isNotNull()).distinct()
+    parsed = meta.select("*", parse_options(F.col("text")).alias("opts"), F.xxhash64("rule", "name").alias("code"))
+    rows = parsed.limit(limit + 1).collect()
+    if len(rows) > limit:
         raise ValueError("too many distinct items for a wide table; split by activity")
+    return rows
+
+
+def _build_layout(rows: list, max_columns: int) -> WideLayout:
     lay = WideLayout()
     multi: dict[str, set[int]] = {}
     single: dict[str, bool] = {}
@@ -174,6 +179,21 @@ def layout(report: DataFrame, *, max_columns: int = DEFAULT_MAX_COLUMNS) -> Wide
     return lay
 
 
+def layout(report: DataFrame, *, max_columns: int = DEFAULT_MAX_COLUMNS) -> WideLayout:
+    """Collect the column plan: one distinct over (rule, item name, options text),
+    options parsed on the distinct rows only."""
+    return _build_layout(_layout_rows(report, by_activity=False, limit=max_columns * 64), max_columns)
+
+
+def answer_columns(lay: WideLayout, *, clean_names: bool = False) -> list[str]:
+    out = [f"{n}_{v}" for n, vals in lay.multi.items() for v in vals]
+    for n in lay.single:
+        out += [n, f"{n}__index", f"{n}__response"]
+    for n in lay.subscale + lay.text:
+        out += list(_text_names(n, clean_names))
+    return out
+
+
 def _first(cond: Column, value: Column) -> Column:
     return F.first(F.when(cond, value), ignorenulls=True)
 
@@ -214,8 +234,8 @@ def wide_columns(lay: WideLayout, *, clean_names: bool = False
         aggs.append(_first(c, F.col("response.value.single_value")).alias(f"{n}__index"))
         aggs.append(_first(c, F.col("_opt_name")).alias(f"{n}__response"))
         if scored:
-            aggs.append(_first(c, F.col("_opt_score")).alias(n))
-        else:
+            aggs.append(_first(c, F.col("_opt_score")).alias(n if lay.bare_single else f"{n}__score"))
+        elif lay.bare_single:
             copies[n] = f"{n}__response"
     for n in lay.subscale:
         c = is_item(schema.SUBSCALE, n)
@@ -301,16 +321,47 @@ def output_name(activity_name: str | None, activity_id: str | None) -> str:
     return f"{base}-{_SAFE.sub('_', activity_id or 'none')}"
 
 
-def split_wide(report: DataFrame, **kw) -> list[tuple[str, DataFrame]]:
-    """One wide table per activity (id, name); headers and the scored/label
-    decision are per activity.  The activity list is bounded (one row per
-    activity) and collected once; each part is a filter on the report."""
+def split_wide(report: DataFrame, *, reuse: str = "checkpoint", **kw) -> list[tuple[str, DataFrame]]:
+    """One wide table per activity (id, name).
+
+    Headers and the scored/label decision are per activity.  Plan: one
+    metadata job (distinct items per activity, bounded), **one** aggregation
+    over the whole report (the index contains the activity, so groups never
+    mix activities), reused through ``checkpoint`` in the shared
+    ``spark.checkpoint.dir`` (or ``persist``), then a filter + column
+    selection per activity -- not one scan and shuffle of the input per
+    activity.
+    """
+    max_columns = kw.get("max_columns", DEFAULT_MAX_COLUMNS)
+    clean = kw.get("clean_names", False)
     r = with_iso_offset(report)
-    acts = (r.select(F.col("activity.id").alias("id"), F.col("activity.name").alias("name"))
-            .distinct().orderBy("name", "id").collect())
+    rows = _layout_rows(r, by_activity=True, limit=max_columns * 64)
+    acts: dict[tuple, list] = {}
+    for row in rows:
+        acts.setdefault((row["act_id"], row["act_name"]), []).append(row)
+    combined = _build_layout(rows, max_columns * max(1, len(acts)))
+    combined.bare_single = False
+    big = pivot_wide(r, combined, on_duplicate=kw.get("on_duplicate", "fail"), clean_names=clean,
+                     max_columns=max_columns * max(1, len(acts)))
+    if reuse == "checkpoint":
+        ensure_checkpoint_dir(big.sparkSession)
+        big = big.checkpoint(eager=True)
+    elif reuse == "persist":
+        big = big.persist(StorageLevel.MEMORY_AND_DISK)
+    answers = set(answer_columns(combined, clean_names=clean)) | {f"{n}__score" for n in combined.single}
+    index = [c for c in big.columns if c not in answers]
+    structs = tuple(c for c in schema.INDEX_STRUCTS if c in report.columns)
+    fixed = ["applet_version"] + [f"{st}_{f}" for st in structs for f in report.schema[st].dataType.fieldNames()]
     out = []
-    for a in acts:
-        part = r.where(F.col("activity.id").eqNullSafe(F.lit(a["id"]))
-                       & F.col("activity.name").eqNullSafe(F.lit(a["name"])))
-        out.append((output_name(a["name"], a["id"]), pivot_wide(part, **kw)))
+    for (aid, aname), arows in sorted(acts.items(), key=lambda kv: (str(kv[0][1]), str(kv[0][0]))):
+        lay = _build_layout(arows, max_columns)
+        cols = [F.col(f"`{c}`") for c in index]
+        cols += [F.col(f"`{n}_{v}`") for n, vals in lay.multi.items() for v in vals]
+        for n, scored in lay.single.items():
+            bare = f"{n}__score" if scored else f"{n}__response"
+            cols += [F.col(f"`{bare}`").alias(n), F.col(f"`{n}__index`"), F.col(f"`{n}__response`")]
+        for n in lay.subscale + lay.text:
+            cols += [F.col(f"`{c}`") for c in _text_names(n, clean)]
+        part = big.where(F.col("activity_id").eqNullSafe(F.lit(aid)) & F.col("activity_name").eqNullSafe(F.lit(aname)))
+        out.append((output_name(aname, aid), order_columns(part.select(*cols), ("applet_version",) + structs, fixed)))
     return out

@@ -95,24 +95,45 @@ def _lookup_map(keys: list, values: list, value_type: str) -> Column:
                              F.array(*[F.lit(v).cast(value_type) for v in values]))
 
 
+# Literal maps are searched linearly by Spark; above this many entries the
+# option lookups use a broadcast hash join on the (collected, exactly sized)
+# lookup table instead.
+MAP_LOOKUP_MAX = 64
+# Upper bound for broadcasting the collected lookup tables; they are built on
+# the driver from metadata whose row count is known before broadcasting.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
 def _staged(report: DataFrame, lay: WideLayout) -> DataFrame:
-    """Per-row helper columns: pivot rule, item name, chosen option, multi-select option values."""
+    """Per-row helper columns: pivot rule, item name and code, chosen option,
+    multi-select option values."""
     t = F.col("item.type")
     text = _options_text()
     key = F.concat(text, F.lit(_SEP), F.col("response.value.single_value").cast("string"))
-    names = _lookup_map(lay.option_keys, lay.option_names, "string")
-    scores = _lookup_map(lay.option_keys, lay.option_scores, "bigint")
-    multi = _lookup_map(lay.multi_texts, lay.multi_values, "array<bigint>")
     single = t == schema.SINGLE_SELECT
-    return report.select(
-        "*",
-        _rule(t).alias("_rule"),
-        F.col("item.name").alias("_name"),
-        F.xxhash64(_rule(t), F.col("item.name")).alias("_code"),
-        F.when(single, F.try_element_at(names, key)).alias("_opt_name"),
-        F.when(single, F.try_element_at(scores, key)).alias("_opt_score"),
-        F.when(t == schema.MULTI_SELECT, F.try_element_at(multi, text)).alias("_opt_values"),
-    )
+    base = report.select("*", _rule(t).alias("_rule"), F.col("item.name").alias("_name"),
+                         F.xxhash64(_rule(t), F.col("item.name")).alias("_code"))
+    small = len(lay.option_keys) <= MAP_LOOKUP_MAX and len(lay.multi_texts) <= MAP_LOOKUP_MAX
+    if small or len(lay.option_keys) + len(lay.multi_texts) > BROADCAST_MAX_ROWS:
+        names = _lookup_map(lay.option_keys, lay.option_names, "string")
+        scores = _lookup_map(lay.option_keys, lay.option_scores, "bigint")
+        multi = _lookup_map(lay.multi_texts, lay.multi_values, "array<bigint>")
+        return base.select(
+            "*",
+            F.when(single, F.try_element_at(names, key)).alias("_opt_name"),
+            F.when(single, F.try_element_at(scores, key)).alias("_opt_score"),
+            F.when(t == schema.MULTI_SELECT, F.try_element_at(multi, text)).alias("_opt_values"),
+        )
+    spark = report.sparkSession
+    singles = spark.createDataFrame(
+        list(zip(lay.option_keys, lay.option_names, lay.option_scores)) or [("", None, None)],
+        "_skey string, _opt_name string, _opt_score bigint")
+    multis = spark.createDataFrame(
+        list(zip(lay.multi_texts, lay.multi_values)) or [("", None)], "_mkey string, _opt_values array<bigint>")
+    staged = base.withColumn("_skey", F.when(single, key)).withColumn(
+        "_mkey", F.when(t == schema.MULTI_SELECT, text))
+    return (staged.join(F.broadcast(singles), "_skey", "left").join(F.broadcast(multis), "_mkey", "left")
+            .drop("_skey", "_mkey"))
 
 
 def _layout_rows(report: DataFrame, *, by_activity: bool, limit: int) -> list:

@@ -117,3 +117,13 @@ def test_grid_timezone(spark):
     utc = grids.activity_facts(rep).first().activity_date
     ny = grids.activity_facts(rep, "America/New_York").first().activity_date
     assert (str(utc), str(ny)) == ("2025-06-06", "2025-06-05")
+
+
+def test_wide_broadcast_lookup_path(spark, export_dir, monkeypatch):
+    rep = read_export(spark, str(export_dir))
+    key = lambda r: tuple((x is None, str(x)) for x in r)
+    a = W.wide(rep)
+    monkeypatch.setattr(W, "MAP_LOOKUP_MAX", 0)
+    b = W.wide(rep)
+    assert "BroadcastHashJoin" in b._jdf.queryExecution().executedPlan().toString()
+    assert sorted(a.collect(), key=key) == sorted(b.select(*a.columns).collect(), key=key)

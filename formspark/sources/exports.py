@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import csv
 import fnmatch
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
@@ -85,11 +86,23 @@ def read_csv_strings(spark: SparkSession, paths: Sequence[str], header: Sequence
     return spark.read.options(**CSV_OPTIONS).schema(schema).csv(list(paths))
 
 
+HEADER_READ_THREADS = 32
+
+
 def read_export_frame(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
-    """Raw (un-normalised) export rows from CSV files, merged by column name."""
+    """Raw (un-normalised) export rows from CSV files, merged by column name.
+
+    Only the first line of each file is read on the driver (to group files by
+    header); those reads are I/O bound and run on a bounded thread pool so
+    that a folder of many thousands of exports on object storage does not
+    serialise on round trips.  The rows themselves are read by the executors.
+    """
+    files = list(paths)
+    with ThreadPoolExecutor(max_workers=min(HEADER_READ_THREADS, max(1, len(files)))) as pool:
+        headers = list(pool.map(lambda f: _header(spark, f), files))
     groups: dict[tuple[str, ...], list[str]] = {}
-    for f in paths:
-        groups.setdefault(_header(spark, f), []).append(f)
+    for f, h in zip(files, headers):
+        groups.setdefault(h, []).append(f)
     if not groups:
         raise NoExportFilesError("No export files given.")
     frames = [read_csv_strings(spark, fs, h) for h, fs in groups.items() if h]

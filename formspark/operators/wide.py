@@ -114,7 +114,7 @@ def _staged(report: DataFrame, lay: WideLayout) -> DataFrame:
     base = report.select("*", _rule(t).alias("_rule"), F.col("item.name").alias("_name"),
                          F.xxhash64(_rule(t), F.col("item.name")).alias("_code"))
     small = len(lay.option_keys) <= MAP_LOOKUP_MAX and len(lay.multi_texts) <= MAP_LOOKUP_MAX
-    if small or len(lay.option_keys) + len(lay.multi_texts) > BROADCAST_MAX_ROWS:
+    if small:
         names = _lookup_map(lay.option_keys, lay.option_names, "string")
         scores = _lookup_map(lay.option_keys, lay.option_scores, "bigint")
         multi = _lookup_map(lay.multi_texts, lay.multi_values, "array<bigint>")
@@ -132,8 +132,11 @@ def _staged(report: DataFrame, lay: WideLayout) -> DataFrame:
         list(zip(lay.multi_texts, lay.multi_values)) or [("", None)], "_mkey string, _opt_values array<bigint>")
     staged = base.withColumn("_skey", F.when(single, key)).withColumn(
         "_mkey", F.when(t == schema.MULTI_SELECT, text))
-    return (staged.join(F.broadcast(singles), "_skey", "left").join(F.broadcast(multis), "_mkey", "left")
-            .drop("_skey", "_mkey"))
+    # Broadcast only below a row bound checked here; beyond it, a plain join
+    # (shuffle, or AQE's runtime choice) keeps the lookup exact.
+    if len(lay.option_keys) + len(lay.multi_texts) <= BROADCAST_MAX_ROWS:
+        singles, multis = F.broadcast(singles), F.broadcast(multis)
+    return staged.join(singles, "_skey", "left").join(multis, "_mkey", "left").drop("_skey", "_mkey")
 
 
 def _layout_rows(report: DataFrame, *, by_activity: bool, limit: int) -> list:

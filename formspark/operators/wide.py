@@ -290,8 +290,13 @@ def with_iso_offset(report: DataFrame) -> DataFrame:
 
 
 def pivot_wide(report: DataFrame, lay: WideLayout | None = None, *, on_duplicate: str = "fail",
-               clean_names: bool = False, max_columns: int = DEFAULT_MAX_COLUMNS) -> DataFrame:
-    """Wide table of a report (offset left as is); see module docstring."""
+               clean_names: bool = False, max_columns: int = DEFAULT_MAX_COLUMNS,
+               sort: bool = False) -> DataFrame:
+    """Wide table of a report (offset left as is); see module docstring.
+
+    Rows are unordered unless ``sort=True`` (a global sort on the index
+    columns: a range-partitioned shuffle, so only when order matters).
+    """
     if on_duplicate not in ("fail", "first"):
         raise ValueError("on_duplicate must be 'fail' or 'first'")
     lay = lay if lay is not None else layout(report, max_columns=max_columns)
@@ -328,7 +333,8 @@ def pivot_wide(report: DataFrame, lay: WideLayout | None = None, *, on_duplicate
     fixed = ["applet_version"] + [
         f"{s}_{f}" for s in structs for f in [x.name for x in report.schema[s].dataType.fields]
     ]
-    return order_columns(flat, ("applet_version",) + tuple(structs), fixed)
+    out = order_columns(flat, ("applet_version",) + tuple(structs), fixed)
+    return out.orderBy(*[F.col(f"`{c}`") for c in fixed if c in out.columns]) if sort else out
 
 
 def wide(report: DataFrame, **kw) -> DataFrame:

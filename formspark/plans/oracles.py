@@ -473,6 +473,9 @@ UNION ALL SELECT DISTINCT 'input_user', 'in-' || {V('c % 7')}, 'I' || {V('c % 7'
 UNION ALL SELECT DISTINCT 'account_user', 'acct-' || {V('c % 11')}, 'A' || {V('c % 11')}, NULL, NULL, NULL FROM o""",
     "csv_merge_by_name": """SELECT CAST(c_custkey AS VARCHAR) AS target_id, c_name AS target_nickname,
   c_mktsegment AS activity_name, CAST(NULL AS VARCHAR) AS source_id FROM customer
+UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_name, NULL, CAST(s_nationkey AS VARCHAR) FROM supplier""",
+    "union_by_name": """SELECT CAST(c_custkey AS VARCHAR) AS target_id, c_name AS target_nickname,
+  c_mktsegment AS activity_name, CAST(NULL AS VARCHAR) AS source_id FROM customer
 UNION ALL SELECT CAST(s_suppkey AS VARCHAR), s_name, NULL, CAST(s_nationkey AS VARCHAR) FROM supplier""",
     "subscale_unpivot": """SELECT l_orderkey, l_linenumber, 'item-' || l_returnflag AS item_id, l_returnflag AS item_name,
   'text' AS item_type, 'completed' AS item_response_status, CAST(NULL AS DOUBLE) AS subscale_value,
@@ -494,6 +497,7 @@ UNION ALL SELECT l_orderkey, l_linenumber, 'activity_score', 'activity_score', '
 FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""",
     "wide_all": wide_sql(MOOD_COLS + ENERGY_COLS + COLOR_COLS + SUBSCALE_COLS + TEXT_COLS),
     "wide_single_select": wide_sql(MOOD_COLS + ENERGY_COLS),
+    "wide_single_select_unscored": wide_sql(ENERGY_COLS),
     "wide_multi_select": wide_sql(COLOR_COLS),
     "wide_subscale": wide_sql(SUBSCALE_COLS),
     "wide_text": wide_text_sql(),

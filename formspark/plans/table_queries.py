@@ -24,7 +24,7 @@ from ..operators.structs import unnest
 from ..session import configure, scratch_path, spread
 from ..sinks.writers import NamedOutput, csv_encode, drop_null_columns, write_csv, write_parquet
 from ..sources import tables
-from ..sources.exports import list_export_files, read_csv_strings, read_export_frame
+from ..sources.exports import list_export_files, merge_by_name, read_csv_strings, read_export_frame
 from . import outputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -239,6 +239,16 @@ def csv_merge_by_name(spark, sf_dir):
     return read_export_frame(spark, files)
 
 
+def union_by_name(spark, sf_dir):
+    cu = _t(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("target_id"), F.col("c_name").alias("target_nickname"),
+        F.col("c_mktsegment").alias("activity_name"))
+    su = _t(spark, sf_dir, "supplier").select(
+        F.col("s_name").alias("target_nickname"), F.col("s_nationkey").cast("string").alias("source_id"),
+        F.col("s_suppkey").cast("string").alias("target_id"))
+    return merge_by_name([cu, su])
+
+
 def subscale_unpivot(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem")
     raw = li.select(
@@ -337,6 +347,11 @@ def wide_single_select(spark, sf_dir):
     return _wide_of(r.where(F.col("item.type") == "singleSelect"))
 
 
+def wide_single_select_unscored(spark, sf_dir):
+    r = orders_report(spark, sf_dir)
+    return _wide_of(r.where(F.col("item.name") == "energy"))
+
+
 def wide_multi_select(spark, sf_dir):
     r = orders_report(spark, sf_dir)
     return _wide_of(r.where(F.col("item.type") == "multiSelect"))
@@ -447,6 +462,7 @@ QUERIES: dict[str, Query] = {
     "nest_unnest_users": nest_unnest_users,
     "users_distinct": users_distinct,
     "csv_merge_by_name": csv_merge_by_name,
+    "union_by_name": union_by_name,
     "subscale_unpivot": subscale_unpivot,
     "expand_options": expand_options,
     "long_responses": long_responses,
@@ -458,6 +474,7 @@ QUERIES: dict[str, Query] = {
     "score_join_m1": score_join_m1,
     "wide_all": wide_all,
     "wide_single_select": wide_single_select,
+    "wide_single_select_unscored": wide_single_select_unscored,
     "wide_multi_select": wide_multi_select,
     "wide_subscale": wide_subscale,
     "wide_text": wide_text,

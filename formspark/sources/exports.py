@@ -89,6 +89,17 @@ def read_csv_strings(spark: SparkSession, paths: Sequence[str], header: Sequence
 HEADER_READ_THREADS = 32
 
 
+def merge_by_name(frames: Sequence[DataFrame]) -> DataFrame:
+    """Union frames by column name; a column missing from a frame is null there.
+
+    Meant for all-STRING export frames: an int/string mix would be coerced
+    towards the numeric type (and fail under ANSI), so cast to string first.
+    """
+    if not frames:
+        raise NoExportFilesError("nothing to merge")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
 def read_export_frame(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
     """Raw (un-normalised) export rows from CSV files, merged by column name.
 
@@ -108,7 +119,7 @@ def read_export_frame(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
     frames = [read_csv_strings(spark, fs, h) for h, fs in groups.items() if h]
     if not frames:
         raise NoExportFilesError("Export files have no header row.")
-    return spread(reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames))
+    return spread(merge_by_name(frames))
 
 
 def read_export(spark: SparkSession, path: str, *, on_error: str = "null") -> DataFrame:

@@ -71,14 +71,34 @@ class WideLayout:
     codes: dict[tuple[str, str], int] = field(default_factory=dict)  # (rule, item) -> xxhash64
     codes_unique: bool = True
     bare_single: bool = True  # False: scores kept as ``n__score`` (split picks per activity)
+    typed: dict[str, list[str]] = field(default_factory=dict)  # all_types: item -> answer forms
+
+    def typed_columns(self) -> list[tuple[str, str, str]]:
+        """(item, column name, value field path) of the all_types columns."""
+        return [(n, f"{n}__{col}", path) for n, forms in self.typed.items() for form in forms
+                for col, path in TYPED_FIELDS[form]]
 
     def n_columns(self) -> int:
         return (sum(len(v) for v in self.multi.values()) + 3 * len(self.single)
-                + 2 * len(self.subscale) + 2 * len(self.text))
+                + 2 * len(self.subscale) + 2 * len(self.text) + len(self.typed_columns()))
 
 
 _SEP = "\u0001"
 
+# all_types=True: extra wide columns per answer form seen for a text-rule item
+# (form -> [(column suffix, field of response.value)]).
+TYPED_FIELDS: dict[str, list[tuple[str, str]]] = {
+    "value": [("value", "value")],
+    "date": [("date", "date")],
+    "time": [("time", "time")],
+    "time_range": [("time_range", "time_range")],
+    "geo": [("latitude", "geo.latitude"), ("longitude", "geo.longitude")],
+    "matrix": [("matrix", "matrix")],
+    "file": [("file", "file")],
+    "raw_value": [("raw_value", "raw_value")],
+    "optional_text": [("optional_text", "optional_text")],
+}
+
 
 def _rule(t: Column) -> Column:
     return F.when(t.isin(*_OWN_RULE), t).otherwise(F.lit(schema.TEXT))
@@ -139,13 +159,26 @@ def _staged(report: DataFrame, lay: WideLayout) -> DataFrame:
     return staged.join(singles, "_skey", "left").join(multis, "_mkey", "left").drop("_skey", "_mkey")
 
 
-def _layout_rows(report: DataFrame, *, by_activity: bool, limit: int) -> list:
-    """Distinct (rule, item name, options text[, activity]) with parsed options."""
+def _layout_rows(report: DataFrame, *, by_activity: bool, limit: int, all_types: bool = False) -> list:
+    """Distinct (rule, item name, options text[, activity]) with parsed options.
+
+    With ``all_types`` the answer forms seen per text-rule item are collected
+    too (this parses the answers in the metadata pass)."""
     cols = [_rule(F.col("item.type")).alias("rule"), F.col("item.name").alias("name"),
             _options_text().alias("text")]
     if by_activity:
         cols += [F.col("activity.id").alias("act_id"), F.col("activity.name").alias("act_name")]
-    meta = report.select(*cols).where(F.col("name").isNotNull()).distinct()
+    if all_types:
+        forms = F.when(F.col("item.type") != schema.TEXT, F.concat_ws(
+            ",", F.col("response.value.type"),
+            F.when(F.col("response.value.optional_text").isNotNull(), F.lit("optional_text"))))
+        meta = (report.select(*cols, forms.alias("_forms")).where(F.col("name").isNotNull())
+                .groupBy(*[c for c in ["rule", "name", "text", "act_id", "act_name"] if by_activity or
+                           c not in ("act_id", "act_name")])
+                .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.split("_forms", ",")))))
+                     .alias("forms")))
+    else:
+        meta = report.select(*cols).where(F.col("name").isNotNull()).distinct()
     parsed = meta.select("*", parse_options(F.col("text")).alias("opts"), F.xxhash64("rule", "name").alias("code"))
     rows = parsed.limit(limit + 1).collect()
     if len(rows) > limit:
@@ -162,6 +195,7 @@ def _build_layout(rows: list, max_columns: int) -> WideLayout:
     lookup: dict[str, tuple] = {}
     multi_text: dict[str, list[int]] = {}
     codes: dict[tuple[str, str], int] = {}
+    typed: dict[str, set[str]] = {}
     for r in rows:
         rule, name, text, opts = r["rule"], r["name"], r["text"], r["opts"] or []
         codes[(rule, name)] = r["code"]
@@ -187,6 +221,9 @@ def _build_layout(rows: list, max_columns: int) -> WideLayout:
             subs.add(name)
         else:
             texts.add(name)
+            if "forms" in r.asDict():
+                typed.setdefault(name, set()).update(f for f in (r["forms"] or []) if f in TYPED_FIELDS)
+    lay.typed = {n: [f for f in TYPED_FIELDS if f in fs] for n, fs in sorted(typed.items()) if fs}
     lay.multi = {n: sorted(v) for n, v in sorted(multi.items()) if v}
     lay.single = dict(sorted(single.items()))
     lay.subscale = sorted(subs)
@@ -203,10 +240,11 @@ def _build_layout(rows: list, max_columns: int) -> WideLayout:
     return lay
 
 
-def layout(report: DataFrame, *, max_columns: int = DEFAULT_MAX_COLUMNS) -> WideLayout:
+def layout(report: DataFrame, *, max_columns: int = DEFAULT_MAX_COLUMNS, all_types: bool = False) -> WideLayout:
     """Collect the column plan: one distinct over (rule, item name, options text),
     options parsed on the distinct rows only."""
-    return _build_layout(_layout_rows(report, by_activity=False, limit=max_columns * 64), max_columns)
+    rows = _layout_rows(report, by_activity=False, limit=max_columns * 64, all_types=all_types)
+    return _build_layout(rows, max_columns)
 
 
 def answer_columns(lay: WideLayout, *, clean_names: bool = False) -> list[str]:
@@ -273,6 +311,8 @@ def wide_columns(lay: WideLayout, *, clean_names: bool = False
         v, r = _text_names(n, clean_names)
         aggs.append(_first(c, F.col("response.value.text")).alias(v))
         copies[r] = v
+    for n, col, path in lay.typed_columns():
+        aggs.append(_first(is_item(schema.TEXT, n), F.col(f"response.value.{path}")).alias(col))
     return aggs, counts, copies
 
 
@@ -291,7 +331,7 @@ def with_iso_offset(report: DataFrame) -> DataFrame:
 
 def pivot_wide(report: DataFrame, lay: WideLayout | None = None, *, on_duplicate: str = "fail",
                clean_names: bool = False, max_columns: int = DEFAULT_MAX_COLUMNS,
-               sort: bool = False) -> DataFrame:
+               sort: bool = False, all_types: bool = False) -> DataFrame:
     """Wide table of a report (offset left as is); see module docstring.
 
     Rows are unordered unless ``sort=True`` (a global sort on the index
@@ -299,7 +339,7 @@ def pivot_wide(report: DataFrame, lay: WideLayout | None = None, *, on_duplicate
     """
     if on_duplicate not in ("fail", "first"):
         raise ValueError("on_duplicate must be 'fail' or 'first'")
-    lay = lay if lay is not None else layout(report, max_columns=max_columns)
+    lay = lay if lay is not None else layout(report, max_columns=max_columns, all_types=all_types)
     index = index_columns(report)
     aggs, counts, copies = wide_columns(lay, clean_names=clean_names)
     st = _staged(report, lay)
@@ -365,7 +405,7 @@ def split_wide(report: DataFrame, *, reuse: str = "checkpoint", **kw) -> list[tu
     max_columns = kw.get("max_columns", DEFAULT_MAX_COLUMNS)
     clean = kw.get("clean_names", False)
     r = with_iso_offset(report)
-    rows = _layout_rows(r, by_activity=True, limit=max_columns * 64)
+    rows = _layout_rows(r, by_activity=True, limit=max_columns * 64, all_types=kw.get("all_types", False))
     acts: dict[tuple, list] = {}
     for row in rows:
         acts.setdefault((row["act_id"], row["act_name"]), []).append(row)
@@ -378,7 +418,8 @@ def split_wide(report: DataFrame, *, reuse: str = "checkpoint", **kw) -> list[tu
         big = big.checkpoint(eager=True)
     elif reuse == "persist":
         big = big.persist(StorageLevel.MEMORY_AND_DISK)
-    answers = set(answer_columns(combined, clean_names=clean)) | {f"{n}__score" for n in combined.single}
+    answers = (set(answer_columns(combined, clean_names=clean)) | {f"{n}__score" for n in combined.single}
+               | {c for _, c, _ in combined.typed_columns()})
     index = [c for c in big.columns if c not in answers]
     structs = tuple(c for c in schema.INDEX_STRUCTS if c in report.columns)
     fixed = ["applet_version"] + [f"{st}_{f}" for st in structs for f in report.schema[st].dataType.fieldNames()]
@@ -392,6 +433,7 @@ def split_wide(report: DataFrame, *, reuse: str = "checkpoint", **kw) -> list[tu
             cols += [F.col(f"`{bare}`").alias(n), F.col(f"`{n}__index`"), F.col(f"`{n}__response`")]
         for n in lay.subscale + lay.text:
             cols += [F.col(f"`{c}`") for c in _text_names(n, clean)]
+        cols += [F.col(f"`{c}`") for _, c, _ in lay.typed_columns()]
         part = big.where(F.col("activity_id").eqNullSafe(F.lit(aid)) & F.col("activity_name").eqNullSafe(F.lit(aname)))
         out.append((output_name(aname, aid), order_columns(part.select(*cols), ("applet_version",) + structs, fixed)))
     return out

@@ -127,3 +127,18 @@ def test_wide_broadcast_lookup_path(spark, export_dir, monkeypatch):
     b = W.wide(rep)
     assert "BroadcastHashJoin" in b._jdf.queryExecution().executedPlan().toString()
     assert sorted(a.collect(), key=key) == sorted(b.select(*a.columns).collect(), key=key)
+
+
+def test_wide_all_types(spark, tmp_path):
+    rows = [_row("s1", 1, 1, "d", "day", "date", "", "date: 3/4/2021"),
+            _row("s1", 1, 1, "g", "spot", "geolocation", "", "geo: lat 1.5 long -2.25 | text: home"),
+            _row("s1", 1, 1, "n", "note", "text", "", "hello"),
+            _row("s2", 2, 1, "d", "day", "date", "", "date: 5/6/2022")]
+    write_export(tmp_path / "x_responses.csv", rows)
+    rep = read_export(spark, str(tmp_path))
+    plain = W.wide(rep)
+    assert "day__date" not in plain.columns
+    w = {r.activity_submission_id: r for r in W.wide(rep, all_types=True).collect()}
+    assert str(w["s1"].day__date) == "2021-04-03" and str(w["s2"].day__date) == "2022-06-05"
+    assert (w["s1"].spot__latitude, w["s1"].spot__longitude, w["s1"].spot__optional_text) == (1.5, -2.25, "home")
+    assert w["s1"].response_value__note == "hello" and "note__text" not in W.wide(rep, all_types=True).columns

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import HEADER, OPTS, _row, write_export
+from conftest import OPTS, _row, write_export
 from formspark.operators import grids, wide as W
 from formspark.plans import job, outputs
 from formspark.sources.exports import read_export

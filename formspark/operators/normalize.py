@@ -127,17 +127,20 @@ def nest_users(df: DataFrame) -> DataFrame:
 
 
 def nest_item(df: DataFrame) -> DataFrame:
+    """``item`` struct; the options text is classified once in its own
+    projection (like the answers), then the option list is built from it."""
     raw = _col_or_null(df, "item_response_options")
-    trimmed = strip_all(raw)
+    staged = df.withColumn("_opts_text", strip_all(raw)).withColumn(
+        "_opts_kind", options.classify_options(F.col("_opts_text")))
     item = F.struct(
         _col_or_null(df, "item_id").alias("id"),
         _col_or_null(df, "item_name").alias("name"),
         _col_or_null(df, "item_prompt").alias("prompt"),
         _col_or_null(df, "item_type").alias("type"),
         raw.alias("raw_options"),
-        options.parse_options(trimmed).alias("response_options"),
+        options.build_options(F.col("_opts_kind"), F.col("_opts_text")).alias("response_options"),
     )
-    return df.withColumn("item", item).drop(*schema.ITEM_COLUMNS)
+    return staged.withColumn("item", item).drop("_opts_text", "_opts_kind", *schema.ITEM_COLUMNS)
 
 
 def _nest(df: DataFrame, name: str, fields: dict[str, str], dtypes: dict[str, str] | None = None) -> DataFrame:

@@ -188,8 +188,8 @@ def _int_list(tokens: Column) -> Column:
     return F.transform(F.split(tokens, _LIST_SEP), lambda x: x.try_cast("bigint"))
 
 
-def build_value(kind: Column, s: Column) -> Column:
-    """The ``response.value`` struct for an answer whose kind is known."""
+def value_fields(kind: Column, s: Column) -> list[tuple[str, Column]]:
+    """(field name, expression) of the ``response.value`` struct for an answer of known kind."""
     k = kind
 
     def on(*kinds: str) -> Column:
@@ -210,29 +210,38 @@ def build_value(kind: Column, s: Column) -> Column:
         .when(k == "time_range", _ot(s, P_TIME_RANGE, 5))
         .when(k == "geo", _ot(s, P_GEO, 3))
     )
-    value = F.struct(
-        type_.alias("type"),
-        F.when(k == "raw_value", s).alias("raw_value"),
-        F.when(on("null_value", "ss_null"), F.lit(True)).alias("null_value"),
-        F.when(k == "ss_value", F.regexp_extract(s, P_SINGLE, 1).try_cast("bigint")).alias("single_value"),
-        F.when(k == "value", _int_list(F.regexp_extract(s, P_VALUES, 1)))
-        .when(k == "ms_value", _int_list(F.regexp_extract(s, P_MULTI, 1)))
-        .alias("value"),
-        F.when(k == "text", F.regexp_extract(s, P_TEXT, 1)).when(k == "text_plain", s).alias("text"),
-        F.when(k == "file", s).alias("file"),
-        F.when(k == "date", _date_value(s, P_DATE)).alias("date"),
-        F.when(k == "time", _time_text(F.regexp_extract(s, P_TIME, 1).cast("int"),
-                                       F.regexp_extract(s, P_TIME, 2).cast("int"))).alias("time"),
-        F.when(k == "time_range", _time_range_value(s)).alias("time_range"),
-        F.when(k == "geo", _geo_value(s, P_GEO)).alias("geo"),
-        F.when(k == "matrix", _matrix_value(s)).alias("matrix"),
-        optional_text.alias("optional_text"),
-        F.when(k == "subscale", s.try_cast("double")).alias("subscale"),
-    )
+    return [
+        ("type", type_),
+        ("raw_value", F.when(k == "raw_value", s)),
+        ("null_value", F.when(on("null_value", "ss_null"), F.lit(True))),
+        ("single_value", F.when(k == "ss_value", F.regexp_extract(s, P_SINGLE, 1).try_cast("bigint"))),
+        ("value", F.when(k == "value", _int_list(F.regexp_extract(s, P_VALUES, 1)))
+         .when(k == "ms_value", _int_list(F.regexp_extract(s, P_MULTI, 1)))),
+        ("text", F.when(k == "text", F.regexp_extract(s, P_TEXT, 1)).when(k == "text_plain", s)),
+        ("file", F.when(k == "file", s)),
+        ("date", F.when(k == "date", _date_value(s, P_DATE))),
+        ("time", F.when(k == "time", _time_text(F.regexp_extract(s, P_TIME, 1).cast("int"),
+                                                F.regexp_extract(s, P_TIME, 2).cast("int")))),
+        ("time_range", F.when(k == "time_range", _time_range_value(s))),
+        ("geo", F.when(k == "geo", _geo_value(s, P_GEO))),
+        ("matrix", F.when(k == "matrix", _matrix_value(s))),
+        ("optional_text", optional_text),
+        ("subscale", F.when(k == "subscale", s.try_cast("double"))),
+    ]
+
+
+def is_parsed(kind: Column) -> Column:
+    """The value struct is null for unparsable answers and unknown item types."""
+    return kind.isNotNull() & (kind != "unknown_type")
+
+
+def build_value(kind: Column, s: Column) -> Column:
+    """The ``response.value`` struct for an answer whose kind is known."""
+    value = F.struct(*[e.alias(n) for n, e in value_fields(kind, s)])
     # No struct-level cast: every field already has its schema type, and a
     # Cast around the struct would stop Catalyst from pruning unread fields
     # (a query reading ``value.text`` would still run every field's regex).
-    return F.when(k.isNotNull() & (k != "unknown_type"), value)
+    return F.when(is_parsed(kind), value)
 
 
 def parse_error(kind: Column, s: Column) -> Column:

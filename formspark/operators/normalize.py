@@ -13,6 +13,10 @@ Steps, in order (each a ``DataFrame -> DataFrame`` usable with ``transform``):
 9. ``nest_activity_schedule``
 10. ``nest_response``               response struct, answer parsed by item type
 
+(``normalize`` runs step 10 right after step 4, from the raw ``item_type``
+column, and assembles the structs last; the output columns are in the order
+above.)
+
 Everything is a narrow transformation (projections and one Generate for
 the subscale unpivot): no shuffle, no Python worker, one scan of the input.  Columns the steps do not
 consume pass through untouched.
@@ -127,20 +131,27 @@ def nest_users(df: DataFrame) -> DataFrame:
 
 
 def nest_item(df: DataFrame) -> DataFrame:
-    """``item`` struct; the options text is classified once in its own
-    projection (like the answers), then the option list is built from it."""
+    """``item`` struct with the parsed option list.
+
+    The options text is classified once in its own projection (like the
+    answers) and the option list is computed as a top-level column before the
+    struct is assembled from plain column references.  Assembly is then cheap
+    enough for Catalyst to inline into consumers, so a query that reads only
+    ``item.name`` never parses options.
+    """
     raw = _col_or_null(df, "item_response_options")
-    staged = df.withColumn("_opts_text", strip_all(raw)).withColumn(
-        "_opts_kind", options.classify_options(F.col("_opts_text")))
+    staged = (df.withColumn("_opts_text", strip_all(raw))
+              .withColumn("_opts_kind", options.classify_options(F.col("_opts_text")))
+              .withColumn("_opts", options.build_options(F.col("_opts_kind"), F.col("_opts_text"))))
     item = F.struct(
         _col_or_null(df, "item_id").alias("id"),
         _col_or_null(df, "item_name").alias("name"),
         _col_or_null(df, "item_prompt").alias("prompt"),
         _col_or_null(df, "item_type").alias("type"),
         raw.alias("raw_options"),
-        options.build_options(F.col("_opts_kind"), F.col("_opts_text")).alias("response_options"),
+        F.col("_opts").alias("response_options"),
     )
-    return staged.withColumn("item", item).drop("_opts_text", "_opts_kind", *schema.ITEM_COLUMNS)
+    return staged.withColumn("item", item).drop("_opts_text", "_opts_kind", "_opts", *schema.ITEM_COLUMNS)
 
 
 def _nest(df: DataFrame, name: str, fields: dict[str, str], dtypes: dict[str, str] | None = None) -> DataFrame:
@@ -181,10 +192,16 @@ def nest_response(df: DataFrame, on_error: str = "null", typed: bool = True) ->
     if on_error not in ON_ERROR:
         raise ValueError(f"on_error must be one of {ON_ERROR}")
     text = strip_all(_col_or_null(df, "item_response"))
-    item_type = F.col("item.type")
+    # Before ``nest_item`` the type is the raw column; classifying from it keeps
+    # the (cheap) item struct assembly above this projection.
+    item_type = F.col("item_type") if "item_type" in df.columns else F.col("item.type")
     kind = answers.classify_typed(item_type, F.col("_answer")) if typed else answers.classify_full(F.col("_answer"))
     staged = df.withColumn("_answer", text).withColumn("_kind", kind)
-    value = answers.build_value(F.col("_kind"), F.col("_answer"))
+    # Each value field is its own top-level column; the struct below is just
+    # column references, so consumers reading a few fields prune the rest.
+    fields = answers.value_fields(F.col("_kind"), F.col("_answer"))
+    staged = staged.select("*", *[e.alias(f"_v_{n}") for n, e in fields])
+    value = F.when(answers.is_parsed(F.col("_kind")), F.struct(*[F.col(f"_v_{n}").alias(n) for n, _ in fields]))
     raw_score = _col_or_null(df, "rawScore")
     if on_error == "fail":
         value = answers.fail_on_error(F.col("_kind"), F.col("_answer"), item_type, value)
@@ -197,7 +214,8 @@ def nest_response(df: DataFrame, on_error: str = "null", typed: bool = True) ->
         _col_or_null(df, "item_response").alias("raw_response"),
         value.alias("value"),
     )
-    return staged.withColumn("response", response).drop("_answer", "_kind", *schema.RESPONSE_COLUMNS)
+    return staged.withColumn("response", response).drop(
+        "_answer", "_kind", *[f"_v_{n}" for n, _ in fields], *schema.RESPONSE_COLUMNS)
 
 
 def dedupe_subscale_rows(df: DataFrame) -> DataFrame:
@@ -218,13 +236,21 @@ def normalize(raw: DataFrame, *, on_error: str = "null", typed: bool = True,
     unpivoted = raw.transform(drop_legacy_user_id).transform(check_raw_score).transform(unpivot_subscales)
     if dedupe_subscales and subscale_columns(raw.columns):
         unpivoted = dedupe_subscale_rows(unpivoted)
-    return (
+    # Answers are parsed first (their per-field columns computed in their own
+    # projections); the structs are assembled last from plain column
+    # references, so Catalyst can inline them into consumers and prune every
+    # field a query does not read.
+    out = (
         unpivoted
         .transform(parse_times)
+        .transform(nest_response, on_error=on_error, typed=typed)
         .transform(nest_users)
         .transform(nest_item)
         .transform(nest_activity_flow)
         .transform(nest_activity)
         .transform(nest_activity_schedule)
-        .transform(nest_response, on_error=on_error, typed=typed)
     )
+    structs = list(schema.USER_ROLES) + ["item", "activity_flow", "activity", "activity_submission",
+                                         "activity_time", "activity_schedule", "response"]
+    rest = [c for c in out.columns if c not in structs]
+    return out.select(*[F.col(f"`{c}`") for c in rest + structs])

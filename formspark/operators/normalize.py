@@ -194,7 +194,8 @@ def nest_response(df: DataFrame, on_error: str = "null", typed: bool = True) ->
     text = strip_all(_col_or_null(df, "item_response"))
     # Before ``nest_item`` the type is the raw column; classifying from it keeps
     # the (cheap) item struct assembly above this projection.
-    item_type = F.col("item_type") if "item_type" in df.columns else F.col("item.type")
+    item_type = (F.col("item_type") if "item_type" in df.columns
+                 else F.col("item.type") if "item" in df.columns else F.lit(None).cast("string"))
     kind = answers.classify_typed(item_type, F.col("_answer")) if typed else answers.classify_full(F.col("_answer"))
     staged = df.withColumn("_answer", text).withColumn("_kind", kind)
     # Each value field is its own top-level column; the struct below is just

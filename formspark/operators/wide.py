@@ -8,7 +8,7 @@ Column rules by item type:
   option);
 * ``singleSelect`` item ``n``: ``n__index`` (chosen value), ``n__response``
   (chosen option's name), ``n`` (chosen option's score; the option name
-  instead when no answer of ``n`` in the table matched a scored option);
+  instead when the item's options in the table carry no scores);
 * ``subscale`` item ``n``: ``response_value__n`` and ``response_response__n``
   (DOUBLE, both the subscale value);
 * every other type: ``response_value__n`` and ``response_response__n`` with
@@ -18,11 +18,14 @@ Row grain: every distinct combination of the non-answer columns (applet
 version, offset, users, flow, activity, submission, times, schedule and any
 pass-through column), null-safe.
 
-Physical plan: one bounded metadata aggregate (items x option values, the
-W3 scored/label decision) collected to the driver to name the columns, then
-**one** hash aggregate over the index with conditional ``first`` expressions
-(partial aggregation map-side, one Exchange).  This replaces the
-per-type pivots and the multi-way full outer join that would align them.
+Physical plan: one bounded metadata query (distinct item x options text,
+options parsed on those rows only) collected to the driver to name the
+columns, then **one** aggregation over the index with conditional
+``first`` expressions keyed by a per-row 64-bit item code (partial
+aggregation map-side, one Exchange; sort-based because of the string
+buffers, with a hash of the index as the leading sort key).  This replaces
+the per-type pivots and the multi-way full outer join that would align them.
+With ``all_types=True`` non-text items also get typed columns.
 """
 
 from __future__ import annotations
@@ -30,12 +33,11 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pyspark import StorageLevel
-
 from .. import schema
 from ..session import ensure_checkpoint_dir
 from ..functions.options import parse_options

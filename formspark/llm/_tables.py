@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -39,18 +41,18 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterato
     size = 0
     for batch in batches:
         at = batch.schema.get_field_index(column)
-        lengths = pa.compute.fill_null(pa.compute.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False)
-        lo, start = 0, size
-        for i, n in enumerate(lengths.tolist()):
-            if size and size + n > most and (held or i > lo):
-                if i > lo:
-                    held.append(batch.slice(lo, i - lo))
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+        lo = before = 0
+        while lo < len(batch):
+            hi = int(np.searchsorted(ends, before + most - size, side="right"))
+            if hi <= lo and held:
                 yield _joined(held)
-                held, lo, size = [], i, 0
-            size += n
-        if lo < len(batch):
-            held.append(batch.slice(lo))
-        del start
+                held, size = [], 0
+                continue
+            hi = max(hi, lo + 1)
+            held.append(batch.slice(lo, hi - lo))
+            size += int(ends[hi - 1]) - before
+            lo, before = hi, int(ends[hi - 1])
     if held:
         yield _joined(held)
 

@@ -98,7 +98,7 @@ def fit(counts: dict[int, int], budget: int, dp_tokens: int = DP_TOKENS) -> dict
     return take
 
 
-def _fit_source(rows: pd.DataFrame) -> pd.DataFrame:
+def _fit_source(rows):
     size, target = int(rows["source_size"].iloc[0]), float(rows["target"].iloc[0])
     whole = int(target // size) if size else 0
     rest = round(target - whole * size)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, sharding, topk, url_filters
+from . import chat, katz, mixing, sharding, topk, url_filters
 from ._tables import ready
 
 #: The rules of the URL query.
@@ -54,10 +54,21 @@ def op9_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
+def remainder(key: str, n: int):
+    """crc32 of a key as text, modulo n; a null key counts as the empty text."""
+    return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % n
+
+
+def op10_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probabilities of all documents under a model of those not held out."""
+    return katz.score(table(spark, sf_dir, "documents"), remainder("doc_id", 7) == 2)
+
+
 QUERIES = {
     "op1_topk": op1_topk,
     "op5_chat": op5_chat,
     "op7_mix": op7_mix,
     "op8_url_filters": op8_url_filters,
     "op9_shards": op9_shards,
+    "op10_katz": op10_katz,
 }

@@ -121,7 +121,7 @@ def _best(q: np.ndarray, x: np.ndarray, pq: np.ndarray, px: np.ndarray, qid: np.
 def _cell(k: int):
     out = ["query_id", "query_no", "vec_id", "score"]
 
-    def run(key, queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
+    def run(key, queries, rows):
         if not len(queries) or not len(rows):
             return pd.DataFrame({c: pd.Series(dtype="int64") for c in out})
         q, x, pq, px = (np.array(v.tolist(), dtype=np.float64).reshape(len(v), -1)

@@ -14,6 +14,7 @@ from ..session import configure, ensure_checkpoint_dir, scratch_path
 
 #: Rows and bytes of an Arrow batch between Spark and a Python worker.
 BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
+BLOCK_ROWS = 1 << 18
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -35,21 +36,24 @@ def written(df: DataFrame, name: str) -> DataFrame:
 def blocks(batches: Iterator[pa.RecordBatch], column: str, most: int) -> Iterator[pa.RecordBatch]:
     """The rows of a task regrouped into blocks of about ``most`` bytes of ``column``.
 
-    Rows are never split: a text longer than ``most`` is a block of its own.
+    Rows are never split: a text longer than ``most`` is a block of its own. A block has at
+    most ``BLOCK_ROWS`` rows, however short they are.
     """
     held: list[pa.RecordBatch] = []
-    size = 0
+    size = rows = 0
     for batch in batches:
         at = batch.schema.get_field_index(column)
         ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
         lo = before = 0
         while lo < len(batch):
             hi = int(np.searchsorted(ends, before + most - size, side="right"))
+            hi = min(hi, lo + BLOCK_ROWS - rows)
             if hi <= lo and held:
                 yield _joined(held)
-                held, size = [], 0
+                held, size, rows = [], 0, 0
                 continue
             hi = max(hi, lo + 1)
+            rows += hi - lo
             held.append(batch.slice(lo, hi - lo))
             size += int(ends[hi - 1]) - before
             lo, before = hi, int(ends[hi - 1])

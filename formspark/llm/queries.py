@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, katz, mixing, sharding, topk, url_filters
+from . import chat, katz, mixing, setjoin, sharding, topk, url_filters
 from ._tables import ready
 
 #: The rules of the URL query.
@@ -29,6 +29,11 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
+def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Set size and component of every document: 4-word shingles, similarity 0.85."""
+    return setjoin.join(table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
 def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Maximal conversations of the log, rendered."""
     return chat.format_chats(table(spark, sf_dir, "conversations"))
@@ -66,6 +71,7 @@ def op10_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_topk": op1_topk,
+    "op4_jaccard_join": op4_jaccard_join,
     "op5_chat": op5_chat,
     "op7_mix": op7_mix,
     "op8_url_filters": op8_url_filters,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, katz, mixing, setjoin, sharding, topk, url_filters
+from . import chat, katz, mixing, setjoin, sharding, substring, topk, url_filters
 from ._tables import ready
 
 #: The rules of the URL query.
@@ -39,6 +39,12 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chats(table(spark, sf_dir, "conversations"))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without words of 50-word windows that start in an earlier document."""
+    return substring.dedup(table(spark, sf_dir, "documents"), window=50).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to the weights 5, 2, 1."""
     return mixing.mix(table(spark, sf_dir, "documents")).select(
@@ -73,6 +79,7 @@ QUERIES = {
     "op1_topk": op1_topk,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_chat": op5_chat,
+    "op6_substring_dedup": op6_substring_dedup,
     "op7_mix": op7_mix,
     "op8_url_filters": op8_url_filters,
     "op9_shards": op9_shards,

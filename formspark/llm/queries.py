@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, katz, mixing, setjoin, sharding, substring, topk, url_filters
+from . import chat, katz, langid, mixing, setjoin, sharding, substring, topk, url_filters
 from ._tables import ready
 
 #: The rules of the URL query.
@@ -29,6 +29,14 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from four fifths of the labelled ones."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = remainder("doc_id", 5) == 0
+    net = langid.fit(docs, ~held_out)
+    return langid.predict(docs.select("doc_id", held_out.alias("held_out"), "text"), net).drop("text")
+
+
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Set size and component of every document: 4-word shingles, similarity 0.85."""
     return setjoin.join(table(spark, sf_dir, "documents"), k=4, percent=85)
@@ -77,6 +85,7 @@ def op10_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_topk": op1_topk,
+    "op3_language_id": op3_language_id,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_chat": op5_chat,
     "op6_substring_dedup": op6_substring_dedup,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, katz, langid, mixing, setjoin, sharding, substring, topk, url_filters
+from . import chat, decontaminate, katz, langid, mixing, setjoin, sharding, substring, topk, url_filters
 from ._tables import ready
 
 #: The rules of the URL query.
@@ -29,6 +29,11 @@ def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
         "query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
+def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stretch of a document that is within the edit budget of a benchmark item."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from four fifths of the labelled ones."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -85,6 +90,7 @@ def op10_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_topk": op1_topk,
+    "op2_decontaminate": op2_decontaminate,
     "op3_language_id": op3_language_id,
     "op4_jaccard_join": op4_jaccard_join,
     "op5_chat": op5_chat,

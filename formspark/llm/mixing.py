@@ -53,12 +53,14 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
     w = F.element_at(F.array(*[F.lit(float(x)) for x in weights]), (rank % len(weights) + 1).cast("int"))
     s = sizes.withColumn("w", w).withColumn("cap", F.col("source_size") * F.lit(float(cap)))
     everything = Window.partitionBy()
-    before = Window.orderBy(F.col("cap") / F.col("w"), F.asc_nulls_last("source")).rowsBetween(Window.unboundedPreceding, -1)
+    order = Window.orderBy(F.col("cap") / F.col("w"), F.asc_nulls_last("source"))
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
     s = s.withColumn("total", F.sum("source_size").over(everything) * F.lit(float(share)))
     s = s.withColumn("level", (F.col("total") - F.coalesce(F.sum("cap").over(before), F.lit(0.0)))
                      / (F.sum("w").over(everything) - F.coalesce(F.sum("w").over(before), F.lit(0.0))))
-    open_level = F.min(F.when(F.col("cap") / F.col("w") >= F.col("level"), F.col("level"))).over(everything)
-    s = s.withColumn("level", open_level)
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    first_open = F.first(F.when(F.col("cap") / F.col("w") >= F.col("level"), F.col("level")), ignorenulls=True)
+    s = s.withColumn("level", first_open.over(whole))
     target = F.when(F.col("level").isNull(), F.col("cap")).otherwise(F.least(F.col("cap"), F.col("level") * F.col("w")))
     return s.select("source", "source_size", target.alias("target"))
 

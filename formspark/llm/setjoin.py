@@ -162,7 +162,7 @@ def keys_of(grams: np.ndarray, size: np.ndarray, percent: int):
 def _publish(n_buckets: int, k: int, percent: int, block_bytes: int):
     """Documents to rows for the buckets of their keys, and one row with what is known of the block's documents."""
     schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("doc", pa.list_(pa.int64())), ("n", pa.list_(pa.int32())),
-                        ("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64())), ("slack", pa.list_(pa.int32())),
+                        ("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64())), ("slack", pa.list_(pa.int32())), ("tk", pa.list_(pa.int64())),
                         ("key", pa.list_(pa.int32())), ("who", pa.list_(pa.int32()))])
 
     def lists(v, offsets, kind):
@@ -209,6 +209,7 @@ def _publish(n_buckets: int, k: int, percent: int, block_bytes: int):
                 pa.array(np.concatenate([[-1 - (base + i) % n_buckets], have.astype(np.int64)]).astype(np.int32)),
                 pa.ListArray.from_arrays(pa.array(np.concatenate([[0], none + len(docs)]).astype(np.int32)), docs),
                 meta(size, np.int32), meta(a.view(np.int64), np.int64), meta(c.view(np.int64), np.int64), meta(slack, np.int32),
+                meta(b.column(b.schema.get_field_index("tk")).to_numpy(), np.int64),
                 lists((keys & _U(0xFFFFFFFF)).astype(np.uint32).view(np.int32), ends, np.int32),
                 lists(who, ends, np.int32)], schema=schema)
 
@@ -216,17 +217,17 @@ def _publish(n_buckets: int, k: int, percent: int, block_bytes: int):
 
 
 META, GROUP, STAR, HOTS = 0, 1, 2, 3
-FOUND = "kind int, x long, y long, n int, a long, b long, slack int"
+FOUND = "kind int, x long, y long, n int, a long, b long, slack int, tk long"
 
 
 def _meet(hot: int):
     """One bucket: documents that share a key."""
-    names = ["kind", "x", "y", "n", "a", "b", "slack"]
-    types = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32()]
+    names = ["kind", "x", "y", "n", "a", "b", "slack", "tk"]
+    types = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
 
-    def frame(kind, x, y=None, n=None, a=None, b=None, slack=None):
+    def frame(kind, x, y=None, n=None, a=None, b=None, slack=None, tk=None):
         size = len(x)
-        cols = [np.full(size, kind), x, y, n, a, b, slack]
+        cols = [np.full(size, kind), x, y, n, a, b, slack, tk]
         return pa.table([c if isinstance(c, pa.Array) else pa.nulls(size, t) if c is None else pa.array(c).cast(t)
                          for c, t in zip(cols, types, strict=True)], names=names)
 
@@ -240,7 +241,7 @@ def _meet(hot: int):
         if key[0].as_py() < 0:
             docs, length = flat(t, "doc")
             ref = np.repeat(block << 24, length) + np.concatenate([np.arange(x) for x in length])
-            return frame(META, ref, docs, *[flat(t, c)[0] for c in ("n", "a", "b", "slack")])
+            return frame(META, ref, docs, *[flat(t, c)[0] for c in ("n", "a", "b", "slack", "tk")])
         keys, length = flat(t, "key")
         who = flat(t, "who")[0].to_numpy()
         keys, ref, own = keys.to_numpy(), np.repeat(block << 24, length) + (who >> 1), (who & 1).astype(bool)
@@ -256,7 +257,7 @@ def _meet(hot: int):
         keep = once & live[group]
         group, ref = group[keep], ref[keep]
         if not len(group):
-            return frame(META, np.zeros(0, np.int64), np.zeros(0, np.int64), *[np.zeros(0, np.int64)] * 4)
+            return frame(META, np.zeros(0, np.int64), np.zeros(0, np.int64), *[np.zeros(0, np.int64)] * 5)
         start = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
         count = np.diff(np.append(start, len(group)))
         many = np.repeat(count > hot, count)
@@ -293,22 +294,22 @@ def _sets(k: int):
 
 def classes(docs: DataFrame, k: int = K, percent: int = PERCENT, key: str = "doc_id", text: str = "text",
             block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
-    """(documents, links): (ref, doc, n, node) of every row, and (a, b) links between the nodes of different sets.
+    """(documents, links): (ref, doc, n, node, tk) of every row, and (a, b) links between the nodes of different sets.
 
     The links hold every component together; pairs that an earlier link already joins are left out.
     """
     total = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
     n_buckets = max(1, -(-int(total) // bucket_bytes))
-    rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
+    rows = docs.select(F.col(key).cast("long").alias("doc"), F.xxhash64(text).alias("tk"), F.col(text).alias("text"))
     published = rows.mapInArrow(
         _publish(n_buckets, k, percent, block_bytes), "block long, bucket int, doc array<long>, n array<int>, a array<long>, "
-        "b array<long>, slack array<int>, key array<int>, who array<int>")
+        "b array<long>, slack array<int>, tk array<long>, key array<int>, who array<int>")
     found = written(published.groupBy("bucket").applyInArrow(_meet(hot), FOUND), "join-found")
 
-    meta = found.where(F.col("kind") == META).select(F.col("x").alias("ref"), F.col("y").alias("doc"), "n", "a", "b", "slack")
+    meta = found.where(F.col("kind") == META).select(F.col("x").alias("ref"), F.col("y").alias("doc"), "n", "a", "b", "slack", "tk")
     class_ = meta.where("n > 0").groupBy("n", "a", "b").agg(F.min("ref").alias("node"), F.min_by("doc", "ref").alias("rep"))
     known = written(meta.join(class_, ["n", "a", "b"], "left")
-                    .select("ref", "doc", "n", "a", F.coalesce("node", "ref").alias("node"), "rep", "slack"), "join-classes")
+                    .select("ref", "doc", "n", "a", F.coalesce("node", "ref").alias("node"), "rep", "slack", "tk"), "join-classes")
 
     hots = found.where(F.col("kind") == HOTS).groupBy(F.col("x").alias("ref")).agg(F.sum("n").alias("hots"))
     of_ref = known.select(F.col("ref").alias("y"), "node", F.col("n").alias("size"), "slack")
@@ -358,7 +359,7 @@ def classes(docs: DataFrame, k: int = K, percent: int = PERCENT, key: str = "doc
         labelled = written(labelled.join(open_, "g", "left_semi").withColumn("rank", rank), "join-open")
         hubs = (hubs[1], hubs[1] + 4 * (hubs[1] - hubs[0]))
         if labelled.where(F.col("rank") > hubs[0] + 1).isEmpty():
-            return known.select("ref", "doc", "n", "node"), links
+            return known.select("ref", "doc", "n", "node", "tk"), links
         h = labelled.where((F.col("rank") > hubs[0]) & (F.col("rank") <= hubs[1])).select(
             "g", F.col("node").alias("a"), F.col("size").alias("na"), F.col("rank").alias("ra"), F.col("component").alias("ca"))
         o = labelled.select("g", F.col("node").alias("b"), F.col("size").alias("nb"), F.col("rank").alias("rb"), F.col("component").alias("cb"))
@@ -366,11 +367,27 @@ def classes(docs: DataFrame, k: int = K, percent: int = PERCENT, key: str = "doc
         pairs = written(likely(again).join(done, ["a", "b"], "left_anti"), "join-pairs")
 
 
+def grouped(docs: DataFrame, k: int = K, percent: int = PERCENT, key: str = "doc_id", text: str = "text", **sizes) -> DataFrame:
+    """(doc, tk, n, component) of every document: key, hash of its text, set size and the component's node."""
+    known, links = classes(docs, k, percent, key, text, **sizes)
+    return known.join(components(links), "node", "left").select("doc", "tk", "n", F.coalesce("component", "node").alias("component"))
+
+
 def join(docs: DataFrame, k: int = K, percent: int = PERCENT, key: str = "doc_id", text: str = "text", **sizes) -> DataFrame:
     """(key, n_shingles, component_id) of every document."""
-    known, links = classes(docs, k, percent, key, text, **sizes)
-    joined = components(links)
-    at = known.join(joined, "node", "left").select("doc", "n", F.coalesce("component", "node").alias("component"))
+    at = grouped(docs, k, percent, key, text, **sizes)
     least = at.groupBy("component").agg(F.min("doc").alias("least"))
     return at.join(least, "component").select(F.col("doc").alias(key), F.col("n").cast("long").alias("n_shingles"),
                                               F.col("least").alias("component_id"))
+
+
+def representatives(docs: DataFrame, k: int = K, percent: int = PERCENT, key: str = "doc_id", text: str = "text", **sizes) -> DataFrame:
+    """``docs`` with one document of each component: the one with the smallest key (nulls last, then by a hash of the text)."""
+    at = written(grouped(docs, k, percent, key, text, **sizes), "join-grouped")
+    best = at.groupBy("component").agg(F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "tk")).alias("m"))
+    keep = best.select(F.col("m.doc").alias("_doc"), F.col("m.tk").alias("_tk")).distinct().hint("shuffle_hash")
+    kept = docs.withColumn("_text", F.xxhash64(text)).join(
+        keep, F.col(key).eqNullSafe(F.col("_doc")) & (F.col("_text") == F.col("_tk")), "left_semi")
+    if not at.groupBy("doc", "tk").agg(F.count(F.lit(1)).alias("c")).where("c > 1").isEmpty():
+        kept = kept.dropDuplicates([key, "_text"])  # repeated rows are copies, too
+    return kept.drop("_text")

@@ -1,40 +1,13 @@
 """Jaccard join against all pairs."""
 
 import random
-import re
 
 import pytest
 from formspark.llm import setjoin
 
-SF = "/root/testdata/sf0.001/documents.parquet"
-
-
-def shingles(text, k=4):
-    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
-    w = re.findall(r"[^\x20\x09-\x0D]+", low)
-    return {tuple(w[i:i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else {tuple(w)} if w else set()
-
-
-def brute(rows, percent=85):
-    sets = [shingles(t) for _, t in rows]
-    comp = list(range(len(rows)))
+from .plain import groups as brute
 
-    def find(i):
-        while comp[i] != i:
-            i = comp[i]
-        return i
-
-    for i in range(len(rows)):
-        for j in range(i):
-            a, b = sets[i], sets[j]
-            if a and b and 100 * len(a & b) >= percent * len(a | b):
-                comp[find(i)] = find(j)
-    least = {}
-    for i, (k, _) in enumerate(rows):
-        r = find(i)
-        if k is not None and (least.get(r) is None or k < least[r]):
-            least[r] = k
-    return sorted(((k, len(s), least.get(find(i))) for i, ((k, _), s) in enumerate(zip(rows, sets))), key=str)
+SF = "/root/testdata/sf0.001/documents.parquet"
 
 
 def got(df):
@@ -70,7 +43,7 @@ def test_families(docs, seed, hot, block):
 
 def test_lower_threshold(docs):
     rows = corpus(5, families=8)
-    assert got(setjoin.join(docs(rows), percent=70, hot=3)) == brute(rows, 70)
+    assert got(setjoin.join(docs(rows), percent=70, hot=3)) == brute(rows, percent=70)
 
 
 def test_table(llm):
@@ -91,3 +64,14 @@ def test_extra_columns(docs):
 
     df = docs([(1, "a b c d e"), (2, "a b c d e")]).withColumns({c: F.lit(0) for c in ("doc", "node", "component", "n", "a", "ref")})
     assert got(setjoin.join(df)) == [(1, 2, 1), (2, 2, 1)]
+
+
+def test_representatives(docs):
+    rows = corpus(7, families=6) + [(900, "lone words that nobody else has"), (900, "lone words that nobody else has"), (901, "")]
+    rows += [(0, "a second text under a key that is taken already")]
+    df = docs(rows)
+    parts = {r[0]: r[2] for r in brute(rows[:-1])}
+    want = sorted({k for k, c in parts.items() if k == c} | {0}, key=str)
+    got_rows = setjoin.representatives(df).select("doc_id", "text").collect()
+    assert sorted({r.doc_id for r in got_rows}, key=str) == want
+    assert len(got_rows) == len(want) + 1 and df.columns == setjoin.representatives(df).columns

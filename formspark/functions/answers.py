@@ -26,9 +26,11 @@ from .scalars import null_if_empty
 # Building blocks: W = inline whitespace, V = value token, TM = "hr H min M"
 # with optional parentheses and comma, FL = signed float that needs a decimal
 # point or an exponent, OT = optional " | text: ..." suffix (multi-line).
+# Repeated groups are possessive (``*+``, ``++``): the engine loops over them instead of
+# recursing, so lists and matrices of any length parse.
 _W = r"[ \t]+"
 _V = r"[.\w]+"
-_VL = _V + r"(?:,[ \t]+" + _V + r")*"
+_VL = _V + r"(?:,[ \t]+" + _V + r")*+"
 _TM = r"\(?hr[ \t]+([0-9]{1,2}),?[ \t]+min[ \t]+([0-9]{1,2})\)?"
 _FL = r"([+-]?(?:[0-9]+\.[0-9]*|\.[0-9]+|[0-9]+(?=[eE]))(?:[eE][+-]?[0-9]+)?)"
 _OT = r"(?:[ \t]+\| text:[ \t]+((?s:.+)))?$"
@@ -40,11 +42,11 @@ P_DATE = r"^date:" + _W + r"([0-9]{1,2})/([0-9]{1,2})/([0-9]{4}|[0-9]{2})" + _OT
 P_TIME = r"^time:" + _W + _TM + _OT
 P_TIME_RANGE = r"^time_range:" + _W + "from" + _W + _TM + _W + "/" + _W + "to" + _W + _TM + _OT
 P_GEO = r"^geo:" + _W + "lat" + _W + r"\(?" + _FL + r"\)?" + r"[ \t]+/?[ \t]*long" + _W + r"\(?" + _FL + r"\)?" + _OT
-P_MATRIX = r"(?U)^(?:" + _V + r":[ \t]*" + _VL + r"(?:(?:\r?\n)+|$))+$"
-P_FILE = r"(?U)^[^\n]+[-/][^\n]+\.\w{3,4}$"
+P_MATRIX = r"(?U)^(?:" + _V + r":[ \t]*" + _VL + r"(?:(?:\r?\n)++|$))++$"
+P_EXTENSION = r"(?U)\.\w{3,4}$"
 # Typed forms: single select takes one integer, multi select integers only.
 P_SINGLE = r"^value:" + _W + r"([0-9]+)" + _OT
-P_MULTI = r"^value:" + _W + r"([0-9]+(?:,[ \t]+[0-9]+)*)" + _OT
+P_MULTI = r"^value:" + _W + r"([0-9]+(?:,[ \t]+[0-9]+)*+)" + _OT
 P_NUMBER = r"^[ \t]*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?[ \t]*$"
 # Two-digit years below the pivot get 2000 added, the others up to 99 get 1900.
 PIVOT_YEAR = 69
@@ -61,6 +63,14 @@ def _lit_null(dtype) -> Column:
     return F.lit(None).cast(dtype)
 
 
+def is_file(s: Column) -> Column:
+    """One line with a ``-`` or ``/`` inside and an extension of 3 or 4 word characters; linear in its length."""
+    extension = F.regexp_extract(s, P_EXTENSION, 0)
+    n = F.length(s) - F.length(extension)
+    inside = F.substring(s, F.lit(2), n - 2)
+    return (extension != "") & (n > 2) & ~F.contains(F.substring(s, F.lit(1), n), F.lit("\n")) & inside.rlike("[-/]")
+
+
 def classify_full(s: Column) -> Column:
     """Kind of an answer under the untyped grammar (forms in priority order)."""
     return (
@@ -73,7 +83,7 @@ def classify_full(s: Column) -> Column:
         .when(s.rlike(P_TIME_RANGE), F.lit("time_range"))
         .when(s.rlike(P_GEO), F.lit("geo"))
         .when(s.rlike(P_MATRIX), F.lit("matrix"))
-        .when(s.rlike(P_FILE), F.lit("file"))
+        .when(is_file(s), F.lit("file"))
         .otherwise(F.lit("raw_value"))
     )
 

@@ -20,8 +20,10 @@ from .. import schema
 P_RANGE = r"^(Max|Min):[ \t]+([0-9]+),[ \t]+(Max|Min):[ \t]+([0-9]+)$"
 _SCORED_ONE = r"([^:]+?)[ \t]*:[ \t]*([0-9]+)[ \t]+\(score:[ \t]*([+-]?[0-9]+)[ \t]*\)(?:,[ \t]*|$)"
 _PLAIN_ONE = r"([^:]+?)[ \t]*:[ \t]*([0-9]+)(?:,[ \t]*|$)"
-P_SCORED = "^(?:" + _SCORED_ONE + ")+$"
-P_PLAIN = "^(?:" + _PLAIN_ONE + ")+$"
+# Possessive repetition: the engine loops over elements instead of recursing, so lists of any
+# length parse. An element never needs to give characters back to the next one.
+P_SCORED = "^(?:" + _SCORED_ONE + ")++$"
+P_PLAIN = "^(?:" + _PLAIN_ONE + ")++$"
 # ---------------------------------------------------------------------------
 
 

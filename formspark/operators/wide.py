@@ -8,7 +8,7 @@ Column rules by item type:
   option);
 * ``singleSelect`` item ``n``: ``n__index`` (chosen value), ``n__response``
   (chosen option's name), ``n`` (chosen option's score; the option name
-  instead when the item's options in the table carry no scores);
+  instead when none of the options chosen for the item in the table has a score);
 * ``subscale`` item ``n``: ``response_value__n`` and ``response_response__n``
   (DOUBLE, both the subscale value);
 * every other type: ``response_value__n`` and ``response_response__n`` with
@@ -18,13 +18,18 @@ Row grain: every distinct combination of the non-answer columns (applet
 version, offset, users, flow, activity, submission, times, schedule and any
 pass-through column), null-safe.
 
-Physical plan: one bounded metadata query (distinct item x options text,
-options parsed on those rows only) collected to the driver to name the
-columns, then **one** aggregation over the index with conditional
-``first`` expressions keyed by a per-row 64-bit item code (partial
-aggregation map-side, one Exchange; sort-based because of the string
-buffers, with a hash of the index as the leading sort key).  This replaces
-the per-type pivots and the multi-way full outer join that would align them.
+Column names that differ only in case, which Spark cannot tell apart, get the
+suffix ``__2``, ``__3`` ... in the order of the names.
+
+Physical plan: one metadata query finds the items (distinct item x options
+text x chosen value; options are parsed on those rows only) and returns one
+row for each item, the list of columns.  Then **one** aggregation collects
+the answers of a submission in a single narrow buffer, a map from item code
+to answer, and the columns are read from that map.  Work per answer row does
+not depend on the number of columns, and there is no limit on it; the buffer
+of a submission is bounded by its questionnaire, as duplicate answers fail
+there (a filter, so no projection can remove the check).  ``split_wide``
+writes that buffer once and reads each activity's own columns from it.
 With ``all_types=True`` non-text items also get typed columns.
 """
 
@@ -42,50 +47,10 @@ from .. import schema
 from ..session import ensure_checkpoint_dir
 from ..functions.options import parse_options
 from ..functions.scalars import iso_duration, strip_all
-from .structs import order_columns, unnest
+from .structs import column, column_order, distinct_names, field_names
 
 # Types pivoted by their own rule; every other type uses the text rule.
 _OWN_RULE = (schema.MULTI_SELECT, schema.SINGLE_SELECT, schema.SUBSCALE)
-# Output columns above this count are refused (a wide table is a report for
-# people and spreadsheets; split by activity instead).
-DEFAULT_MAX_COLUMNS = 20_000
-
-
-@dataclass
-class WideLayout:
-    """Driver-side column plan (bounded by questionnaire size, not by rows).
-
-    Option lists are parsed once per distinct options text; single-select
-    answers look their option up by (options text, value) and multi-select
-    headers check membership by options text, so the wide pass runs no option
-    regex per row.
-    """
-
-    multi: dict[str, list[int]] = field(default_factory=dict)   # item -> option values
-    single: dict[str, bool] = field(default_factory=dict)        # item -> scored?
-    subscale: list[str] = field(default_factory=list)
-    text: list[str] = field(default_factory=list)
-    option_keys: list[str] = field(default_factory=list)         # options text + SEP + value
-    option_names: list[str | None] = field(default_factory=list)
-    option_scores: list[int | None] = field(default_factory=list)
-    multi_texts: list[str] = field(default_factory=list)         # options text of multi-select items
-    multi_values: list[list[int]] = field(default_factory=list)
-    codes: dict[tuple[str, str], int] = field(default_factory=dict)  # (rule, item) -> xxhash64
-    codes_unique: bool = True
-    bare_single: bool = True  # False: scores kept as ``n__score`` (split picks per activity)
-    typed: dict[str, list[str]] = field(default_factory=dict)  # all_types: item -> answer forms
-
-    def typed_columns(self) -> list[tuple[str, str, str]]:
-        """(item, column name, value field path) of the all_types columns."""
-        return [(n, f"{n}__{col}", path) for n, forms in self.typed.items() for form in forms
-                for col, path in TYPED_FIELDS[form]]
-
-    def n_columns(self) -> int:
-        return (sum(len(v) for v in self.multi.values()) + 3 * len(self.single)
-                + 2 * len(self.subscale) + 2 * len(self.text) + len(self.typed_columns()))
-
-
-_SEP = "\u0001"
 
 # all_types=True: extra wide columns per answer form seen for a text-rule item
 # (form -> [(column suffix, field of response.value)]).
@@ -100,222 +65,117 @@ TYPED_FIELDS: dict[str, list[tuple[str, str]]] = {
     "raw_value": [("raw_value", "raw_value")],
     "optional_text": [("optional_text", "optional_text")],
 }
+_ACTIVITY = ("act_id", "act_name")
+
+
+@dataclass
+class WideLayout:
+    """The items of a wide table (one entry for each item, never for answers)."""
+
+    multi: dict[str, list[int]] = field(default_factory=dict)   # item -> option values
+    single: dict[str, bool] = field(default_factory=dict)        # item -> a chosen option has a score?
+    subscale: list[str] = field(default_factory=list)
+    text: list[str] = field(default_factory=list)
+    typed: dict[str, list[str]] = field(default_factory=dict)  # all_types: item -> answer forms
+    codes: dict[tuple[str, str], int] = field(default_factory=dict)  # (rule, item) -> map key
 
 
 def _rule(t: Column) -> Column:
     return F.when(t.isin(*_OWN_RULE), t).otherwise(F.lit(schema.TEXT))
 
 
-def _options_text() -> Column:
-    return strip_all(F.col("item.raw_options"))
-
-
-def _lookup_map(keys: list, values: list, value_type: str) -> Column:
-    if not keys:
-        return F.create_map().cast(f"map<string,{value_type}>")
-    return F.map_from_arrays(F.array(*[F.lit(k) for k in keys]),
-                             F.array(*[F.lit(v).cast(value_type) for v in values]))
-
-
-# Literal maps are searched linearly by Spark; above this many entries the
-# option lookups use a broadcast hash join on the (collected, exactly sized)
-# lookup table instead.
-MAP_LOOKUP_MAX = 64
-# Upper bound for broadcasting the collected lookup tables; they are built on
-# the driver from metadata whose row count is known before broadcasting.
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def _staged(report: DataFrame, lay: WideLayout) -> DataFrame:
-    """Per-row helper columns: pivot rule, item name and code, chosen option,
-    multi-select option values."""
-    t = F.col("item.type")
-    text = _options_text()
-    key = F.concat(text, F.lit(_SEP), F.col("response.value.single_value").cast("string"))
-    single = t == schema.SINGLE_SELECT
-    base = report.select("*", _rule(t).alias("_rule"), F.col("item.name").alias("_name"),
-                         F.xxhash64(_rule(t), F.col("item.name")).alias("_code"))
-    small = len(lay.option_keys) <= MAP_LOOKUP_MAX and len(lay.multi_texts) <= MAP_LOOKUP_MAX
-    if small:
-        names = _lookup_map(lay.option_keys, lay.option_names, "string")
-        scores = _lookup_map(lay.option_keys, lay.option_scores, "bigint")
-        multi = _lookup_map(lay.multi_texts, lay.multi_values, "array<bigint>")
-        return base.select(
-            "*",
-            F.when(single, F.try_element_at(names, key)).alias("_opt_name"),
-            F.when(single, F.try_element_at(scores, key)).alias("_opt_score"),
-            F.when(t == schema.MULTI_SELECT, F.try_element_at(multi, text)).alias("_opt_values"),
-        )
-    spark = report.sparkSession
-    singles = spark.createDataFrame(
-        list(zip(lay.option_keys, lay.option_names, lay.option_scores)) or [("", None, None)],
-        "_skey string, _opt_name string, _opt_score bigint")
-    multis = spark.createDataFrame(
-        list(zip(lay.multi_texts, lay.multi_values)) or [("", None)], "_mkey string, _opt_values array<bigint>")
-    staged = base.withColumn("_skey", F.when(single, key)).withColumn(
-        "_mkey", F.when(t == schema.MULTI_SELECT, text))
-    # Broadcast only below a row bound checked here; beyond it, a plain join
-    # (shuffle, or AQE's runtime choice) keeps the lookup exact.
-    if len(lay.option_keys) + len(lay.multi_texts) <= BROADCAST_MAX_ROWS:
-        singles, multis = F.broadcast(singles), F.broadcast(multis)
-    return staged.join(singles, "_skey", "left").join(multis, "_mkey", "left").drop("_skey", "_mkey")
-
-
-def _layout_rows(report: DataFrame, *, by_activity: bool, limit: int, all_types: bool = False) -> list:
-    """Distinct (rule, item name, options text[, activity]) with parsed options.
-
-    With ``all_types`` the answer forms seen per text-rule item are collected
-    too (this parses the answers in the metadata pass)."""
-    cols = [_rule(F.col("item.type")).alias("rule"), F.col("item.name").alias("name"),
-            _options_text().alias("text")]
+def _code(rule: Column, name: Column) -> Column:
+    return F.xxhash64(rule, name)
+
+
+def _layout_rows(report: DataFrame, *, by_activity: bool, all_types: bool = False) -> list:
+    """One row for each item [and activity]: its option values, whether a chosen option has a score, answer forms."""
+    rule, act = _rule(F.col("item.type")), list(_ACTIVITY) if by_activity else []
+    select = rule.isin(schema.MULTI_SELECT, schema.SINGLE_SELECT)
+    cols = [rule.alias("rule"), F.col("item.name").alias("name"),
+            F.when(select, strip_all(F.col("item.raw_options"))).alias("text"),
+            F.when(rule == schema.SINGLE_SELECT, F.col("response.value.single_value")).alias("chosen")]
     if by_activity:
         cols += [F.col("activity.id").alias("act_id"), F.col("activity.name").alias("act_name")]
     if all_types:
-        forms = F.when(F.col("item.type") != schema.TEXT, F.concat_ws(
-            ",", F.col("response.value.type"),
-            F.when(F.col("response.value.optional_text").isNotNull(), F.lit("optional_text"))))
-        meta = (report.select(*cols, forms.alias("_forms")).where(F.col("name").isNotNull())
-                .groupBy(*[c for c in ["rule", "name", "text", "act_id", "act_name"] if by_activity or
-                           c not in ("act_id", "act_name")])
-                .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.split("_forms", ",")))))
-                     .alias("forms")))
-    else:
-        meta = report.select(*cols).where(F.col("name").isNotNull()).distinct()
-    parsed = meta.select("*", parse_options(F.col("text")).alias("opts"), F.xxhash64("rule", "name").alias("code"))
-    rows = parsed.limit(limit + 1).collect()
-    if len(rows) > limit:
-        raise ValueError("too many distinct items for a wide table; split by activity")
-    return rows
+        other = F.coalesce(F.col("item.type") != schema.TEXT, F.lit(False))
+        cols += [F.when(other, F.col("response.value.type")).alias("form"),
+                 (other & F.col("response.value.optional_text").isNotNull()).alias("with_text")]
+    seen = report.select(*cols).where(F.col("name").isNotNull()).distinct()
+    opts = F.filter(parse_options(F.col("text")), lambda o: o["value"].isNotNull())
+    entries = F.array_distinct(F.transform(opts, lambda o: F.struct(o["value"], o["name"], o["score"])))
+    values = F.array_distinct(F.transform(opts, lambda o: o["value"]))
+    single = F.col("rule") == schema.SINGLE_SELECT
+    found = F.exists(opts, lambda o: (o["value"] == F.col("chosen")) & o["score"].isNotNull())
+    parsed = seen.select("*", F.when(F.col("rule") == schema.MULTI_SELECT, values).alias("values"),
+                         F.coalesce(single & found, F.lit(False)).alias("found"),
+                         F.coalesce(single & (F.size(entries) > F.size(values)), F.lit(False)).alias("bad"))
+    aggs = [F.array_sort(F.array_distinct(F.flatten(F.collect_list("values")))).alias("values"),
+            F.max("found").alias("scored"), F.max("bad").alias("bad")]
+    if all_types:
+        aggs += [F.collect_set("form").alias("forms"), F.max("with_text").alias("with_text")]
+    return parsed.groupBy("rule", "name", *act).agg(*aggs).withColumn("code", _code(F.col("rule"), F.col("name"))).collect()
 
 
-def _build_layout(rows: list, max_columns: int) -> WideLayout:
+def _build_layout(rows: list) -> WideLayout:
     lay = WideLayout()
-    multi: dict[str, set[int]] = {}
-    single: dict[str, bool] = {}
-    subs: set[str] = set()
-    texts: set[str] = set()
-    lookup: dict[str, tuple] = {}
-    multi_text: dict[str, list[int]] = {}
-    codes: dict[tuple[str, str], int] = {}
-    typed: dict[str, set[str]] = {}
-    for r in rows:
-        rule, name, text, opts = r["rule"], r["name"], r["text"], r["opts"] or []
-        codes[(rule, name)] = r["code"]
+    for r in sorted(rows, key=lambda r: (r["name"], r["rule"])):
+        rule, name = r["rule"], r["name"]
+        lay.codes[rule, name] = r["code"]
+        if r["bad"]:
+            raise ValueError(f"an option value of item {name} stands for several options")
         if rule == schema.MULTI_SELECT:
-            vals = [o["value"] for o in opts if o["value"] is not None]
-            multi.setdefault(name, set()).update(vals)
-            if text is not None:
-                multi_text[text] = sorted(set(vals))
+            if r["values"]:
+                lay.multi[name] = list(r["values"])
         elif rule == schema.SINGLE_SELECT:
-            single[name] = single.get(name, False) or any(o["score"] is not None for o in opts)
-            seen: dict[int, tuple] = {}
-            for o in opts:
-                if o["value"] is None:
-                    continue
-                entry = (o["name"], o["score"])
-                if seen.get(o["value"], entry) != entry:
-                    raise ValueError(f"option value {o['value']} is not unique in item {name}")
-                seen[o["value"]] = entry
-            if text is not None:
-                for v, entry in seen.items():
-                    lookup[f"{text}{_SEP}{v}"] = entry
+            lay.single[name] = bool(r["scored"])
         elif rule == schema.SUBSCALE:
-            subs.add(name)
+            lay.subscale.append(name)
         else:
-            texts.add(name)
+            lay.text.append(name)
             if "forms" in r.asDict():
-                typed.setdefault(name, set()).update(f for f in (r["forms"] or []) if f in TYPED_FIELDS)
-    lay.typed = {n: [f for f in TYPED_FIELDS if f in fs] for n, fs in sorted(typed.items()) if fs}
-    lay.multi = {n: sorted(v) for n, v in sorted(multi.items()) if v}
-    lay.single = dict(sorted(single.items()))
-    lay.subscale = sorted(subs)
-    lay.text = sorted(texts)
-    lay.option_keys = list(lookup)
-    lay.option_names = [lookup[k][0] for k in lay.option_keys]
-    lay.option_scores = [lookup[k][1] for k in lay.option_keys]
-    lay.multi_texts = list(multi_text)
-    lay.multi_values = [multi_text[k] for k in lay.multi_texts]
-    lay.codes = codes
-    lay.codes_unique = len(set(codes.values())) == len(codes)
-    if lay.n_columns() > max_columns:
-        raise ValueError(f"wide table would exceed {max_columns} columns; split by activity")
+                forms = set(r["forms"] or []) | ({"optional_text"} if r["with_text"] else set())
+                if have := [f for f in TYPED_FIELDS if f in forms]:
+                    lay.typed[name] = have
+    if len(set(lay.codes.values())) < len(lay.codes):
+        raise ValueError("two items have the same 64-bit hash")
     return lay
 
 
-def layout(report: DataFrame, *, max_columns: int = DEFAULT_MAX_COLUMNS, all_types: bool = False) -> WideLayout:
-    """Collect the column plan: one distinct over (rule, item name, options text),
-    options parsed on the distinct rows only."""
-    rows = _layout_rows(report, by_activity=False, limit=max_columns * 64, all_types=all_types)
-    return _build_layout(rows, max_columns)
-
-
-def answer_columns(lay: WideLayout, *, clean_names: bool = False) -> list[str]:
-    out = [f"{n}_{v}" for n, vals in lay.multi.items() for v in vals]
-    for n in lay.single:
-        out += [n, f"{n}__index", f"{n}__response"]
-    for n in lay.subscale + lay.text:
-        out += list(_text_names(n, clean_names))
-    return out
-
-
-def _first(cond: Column, value: Column) -> Column:
-    return F.first(F.when(cond, value), ignorenulls=True)
+def layout(report: DataFrame, *, all_types: bool = False) -> WideLayout:
+    """The items and their columns: one distinct over (rule, item, options text, chosen value)."""
+    return _build_layout(_layout_rows(report, by_activity=False, all_types=all_types))
 
 
 def _text_names(n: str, clean: bool) -> tuple[str, str]:
     return (n, f"{n}__response") if clean else (f"response_value__{n}", f"response_response__{n}")
 
 
-def wide_columns(lay: WideLayout, *, clean_names: bool = False
-                 ) -> tuple[list[Column], list[Column], dict[str, str]]:
-    """(aggregate expressions, per-item answer counts, copies) for the layout.
+def _path(path: str) -> str:
+    return "t_" + path.replace(".", "_")
 
-    Each row belongs to one item; the item test is one comparison of the
-    row's 64-bit item code (hash of rule and name, checked collision-free on
-    the driver, else the names are compared).  Columns that always equal
-    another one (the two text columns, an unscored item's label) are
-    aggregated once and copied: ``copies`` maps output name -> source name.
-    """
-    rule, name, code = F.col("_rule"), F.col("_name"), F.col("_code")
-    aggs: list[Column] = []
-    counts: list[Column] = []
-    copies: dict[str, str] = {}
 
-    def is_item(r: str, n: str) -> Column:
-        if lay.codes_unique and (r, n) in lay.codes:
-            return code == F.lit(lay.codes[(r, n)])
-        return (rule == r) & (name == n)
+def answer_columns(lay: WideLayout, *, clean_names: bool = False) -> list[tuple[str, Column]]:
+    """(name, expression over the map ``_m``) of every answer column."""
+    out: list[tuple[str, Column]] = []
+
+    def answer(rule: str, n: str) -> Column:
+        return F.try_element_at(F.col("_m"), F.lit(lay.codes[rule, n]).cast("bigint"))
 
     for n, vals in lay.multi.items():
-        c = is_item(schema.MULTI_SELECT, n)
-        counts.append(F.count(F.when(c, 1)))
-        for v in vals:
-            has = F.array_contains(F.col("_opt_values"), F.lit(v))
-            aggs.append(_first(c & has, F.array_contains("response.value.value", F.lit(v))).alias(f"{n}_{v}"))
+        e = answer(schema.MULTI_SELECT, n)
+        out += [(f"{n}_{v}", F.when(F.array_contains(e["options"], F.lit(v).cast("bigint")),
+                                    F.array_contains(e["values"], F.lit(v).cast("bigint")))) for v in vals]
     for n, scored in lay.single.items():
-        c = is_item(schema.SINGLE_SELECT, n)
-        counts.append(F.count(F.when(c, 1)))
-        aggs.append(_first(c, F.col("response.value.single_value")).alias(f"{n}__index"))
-        aggs.append(_first(c, F.col("_opt_name")).alias(f"{n}__response"))
-        if scored:
-            aggs.append(_first(c, F.col("_opt_score")).alias(n if lay.bare_single else f"{n}__score"))
-        elif lay.bare_single:
-            copies[n] = f"{n}__response"
+        e = answer(schema.SINGLE_SELECT, n)
+        out += [(n, e["score"] if scored else e["label"]), (f"{n}__index", e["chosen"]), (f"{n}__response", e["label"])]
     for n in lay.subscale:
-        c = is_item(schema.SUBSCALE, n)
-        counts.append(F.count(F.when(c, 1)))
-        v, r = _text_names(n, clean_names)
-        aggs.append(_first(c, F.col("response.value.subscale")).alias(v))
-        copies[r] = v
+        out += [(c, answer(schema.SUBSCALE, n)["subscale"]) for c in _text_names(n, clean_names)]
     for n in lay.text:
-        c = is_item(schema.TEXT, n)
-        counts.append(F.count(F.when(c, 1)))
-        v, r = _text_names(n, clean_names)
-        aggs.append(_first(c, F.col("response.value.text")).alias(v))
-        copies[r] = v
-    for n, col, path in lay.typed_columns():
-        aggs.append(_first(is_item(schema.TEXT, n), F.col(f"response.value.{path}")).alias(col))
-    return aggs, counts, copies
+        out += [(c, answer(schema.TEXT, n)["text"]) for c in _text_names(n, clean_names)]
+    for n, forms in lay.typed.items():
+        out += [(f"{n}__{col}", answer(schema.TEXT, n)[_path(path)]) for form in forms for col, path in TYPED_FIELDS[form]]
+    return out
 
 
 def index_columns(report: DataFrame) -> list[str]:
@@ -331,52 +191,84 @@ def with_iso_offset(report: DataFrame) -> DataFrame:
     return report
 
 
-def pivot_wide(report: DataFrame, lay: WideLayout | None = None, *, on_duplicate: str = "fail",
-               clean_names: bool = False, max_columns: int = DEFAULT_MAX_COLUMNS,
-               sort: bool = False, all_types: bool = False) -> DataFrame:
-    """Wide table of a report (offset left as is); see module docstring.
+def collected(report: DataFrame, *, on_duplicate: str = "fail", all_types: bool = False) -> DataFrame:
+    """One row per submission: the index columns and ``_m``, a map from item code to answer.
 
-    Rows are unordered unless ``sort=True`` (a global sort on the index
-    columns: a range-partitioned shuffle, so only when order matters).
+    A second answer to an item fails the job, or with ``on_duplicate='first'`` the
+    answer stays that comes first in the order of the answer fields.
     """
     if on_duplicate not in ("fail", "first"):
         raise ValueError("on_duplicate must be 'fail' or 'first'")
-    lay = lay if lay is not None else layout(report, max_columns=max_columns, all_types=all_types)
     index = index_columns(report)
-    aggs, counts, copies = wide_columns(lay, clean_names=clean_names)
-    st = _staged(report, lay)
-    count_names = [f"_n{i}" for i in range(len(counts))]
-    # The string-valued ``first`` buffers rule out a hash aggregate, so Spark
-    # sorts by the grouping key.  A hash of the index, added as the leading
-    # key, is functionally dependent on the index (grouping is unchanged) and
-    # gives the sort a near-unique 8-byte prefix instead of comparing every
-    # index column of rows that share the low-cardinality leading columns.
-    keys = [F.xxhash64(*[F.col(f"`{c}`") for c in index]).alias("_h")] + [F.col(f"`{c}`") for c in index]
-    grouped = st.groupBy(*keys).agg(
-        F.lit(True).alias("_any"), *aggs, *[c.alias(nm) for c, nm in zip(counts, count_names)]
-    ).drop("_h")
-    out_cols = [F.col(f"`{c}`") for c in grouped.columns if c not in count_names and c != "_any"]
-    out_cols += [F.col(f"`{src}`").alias(dst) for dst, src in copies.items()]
-    if on_duplicate == "fail" and count_names:
-        dup = F.greatest(*[F.col(c) for c in count_names], F.lit(0)) > 1
-        first = out_cols[0]
-        out_cols[0] = F.when(dup, F.raise_error(F.lit("duplicate answers for one item in one submission"))
-                             ).otherwise(first).alias(grouped.columns[0])
-    flat = grouped.select(*out_cols)
-    structs = [c for c in schema.INDEX_STRUCTS if c in flat.columns]
-    flat_cols: list[Column] = []
-    for c in flat.columns:
-        if c in structs:
-            cols = unnest(flat, c)
-            flat_cols.extend(cols)
-        else:
-            flat_cols.append(F.col(f"`{c}`"))
-    flat = flat.select(*flat_cols)
-    fixed = ["applet_version"] + [
-        f"{s}_{f}" for s in structs for f in [x.name for x in report.schema[s].dataType.fields]
+    is_ = lambda r: F.col("_rule") == r
+    rule = _rule(F.col("item.type"))
+    answer = {"_chosen": "single_value", "_values": "value", "_subscale": "subscale", "_text": "text"}
+    if all_types:
+        paths = dict.fromkeys(path for cols in TYPED_FIELDS.values() for _, path in cols)
+        answer |= {_path(p): p for p in paths}
+    # Only select items need their options; a slider's range may be of any length.
+    options = F.when(rule.isin(schema.MULTI_SELECT, schema.SINGLE_SELECT), strip_all(F.col("item.raw_options")))
+    rows = report.select(*[column(c) for c in index], rule.alias("_rule"), F.col("item.name").alias("_name"), options.alias("_raw"),
+                         *[F.col(f"response.value.{p}").alias(c) for c, p in answer.items()])
+    rows = rows.withColumn("_options", parse_options(F.col("_raw")))
+    chosen = F.filter("_options", lambda o: o["value"] == F.col("_chosen"))
+    option = F.when(is_(schema.SINGLE_SELECT) & F.col("_chosen").isNotNull(), F.get(chosen, F.lit(0)))
+    multi = is_(schema.MULTI_SELECT)
+    fields = [
+        _code(F.col("_rule"), F.col("_name")).alias("code"),
+        F.when(is_(schema.SINGLE_SELECT), F.col("_chosen")).alias("chosen"),
+        option["name"].alias("label"), option["score"].alias("score"),
+        F.when(multi, F.transform("_options", lambda o: o["value"])).alias("options"),
+        F.when(multi, F.col("_values")).alias("values"),
+        F.when(is_(schema.SUBSCALE), F.col("_subscale")).alias("subscale"),
+        F.when(is_(schema.TEXT), F.col("_text")).alias("text"),
     ]
-    out = order_columns(flat, ("applet_version",) + tuple(structs), fixed)
-    return out.orderBy(*[F.col(f"`{c}`") for c in fixed if c in out.columns]) if sort else out
+    if all_types:
+        fields += [F.when(is_(schema.TEXT), F.col(_path(p))).alias(_path(p)) for p in paths]
+    rows = rows.select(*[column(c) for c in index], F.when(F.col("_name").isNotNull(), F.struct(*fields)).alias("_entry"))
+    # A hash of the index, which the index determines, leads the grouping key: it sorts on 8 bytes.
+    key = F.xxhash64(*[column(c) for c in index]).alias("_h")
+    grouped = rows.groupBy(key, *[column(c) for c in index]).agg(F.collect_list("_entry").alias("_l")).drop("_h")
+    if on_duplicate == "fail":
+        codes = F.transform("_l", lambda x: x["code"])
+        grouped = grouped.where(F.when(
+            F.size(F.array_distinct(codes)) < F.size(codes),
+            F.raise_error(F.lit("duplicate answers for one item in one submission")).cast("boolean")).otherwise(F.lit(True)))
+    else:
+        grouped = grouped.withColumn("_l", F.sort_array("_l"))
+        first = F.filter("_l", lambda x, i: (i == 0) | (x["code"] != F.get(F.col("_l"), i - 1)["code"]))
+        grouped = grouped.withColumn("_l", first)
+    entries = F.transform("_l", lambda x: F.struct(x["code"], x))
+    return grouped.select(*[column(c) for c in index], F.map_from_entries(entries).alias("_m"))
+
+
+def _columns(frame: DataFrame, lay: WideLayout, clean_names: bool) -> DataFrame:
+    """The wide table of collected submissions."""
+    structs = [c for c in schema.INDEX_STRUCTS if c in frame.columns]
+    out: list[tuple[str, Column]] = []
+    for c in frame.columns:
+        if c in structs:
+            out += [(f"{c}_{f}", column(c, f)) for f in field_names(frame, c)]
+        elif c != "_m":
+            out.append((c, column(c)))
+    fixed = ["applet_version"] + [f"{s}_{f}" for s in structs for f in field_names(frame, s)]
+    out += answer_columns(lay, clean_names=clean_names)
+    order = column_order([n for n, _ in out], ("applet_version", *structs), fixed)
+    names = distinct_names([out[i][0] for i in order])
+    return frame.select(*[out[i][1].alias(n) for i, n in zip(order, names, strict=True)])
+
+
+def pivot_wide(report: DataFrame, lay: WideLayout | None = None, *, on_duplicate: str = "fail",
+               clean_names: bool = False, sort: bool = False, all_types: bool = False) -> DataFrame:
+    """Wide table of a report (offset left as is); see module docstring.
+
+    Rows are unordered unless ``sort=True`` (a global sort on the index
+    columns: a range-partitioned shuffle, so only when order matters).
+    """
+    lay = lay if lay is not None else layout(report, all_types=all_types)
+    out = _columns(collected(report, on_duplicate=on_duplicate, all_types=all_types), lay, clean_names)
+    index = ["applet_version"] + [f"{s}_{f}" for s in schema.INDEX_STRUCTS if s in report.columns for f in field_names(report, s)]
+    return out.orderBy(*[column(c) for c in index if c in out.columns]) if sort else out
 
 
 def wide(report: DataFrame, **kw) -> DataFrame:
@@ -393,49 +285,27 @@ def output_name(activity_name: str | None, activity_id: str | None) -> str:
     return f"{base}-{_SAFE.sub('_', activity_id or 'none')}"
 
 
-def split_wide(report: DataFrame, *, reuse: str = "checkpoint", **kw) -> list[tuple[str, DataFrame]]:
-    """One wide table per activity (id, name).
+def split_wide(report: DataFrame, *, reuse: str = "checkpoint", on_duplicate: str = "fail", clean_names: bool = False,
+               all_types: bool = False) -> list[tuple[str, DataFrame]]:
+    """One wide table per activity (id, name), with that activity's columns only.
 
-    Headers and the scored/label decision are per activity.  Plan: one
-    metadata job (distinct items per activity, bounded), **one** aggregation
-    over the whole report (the index contains the activity, so groups never
-    mix activities), reused through ``checkpoint`` in the shared
-    ``spark.checkpoint.dir`` (or ``persist``), then a filter + column
-    selection per activity -- not one scan and shuffle of the input per
-    activity.
+    Plan: one metadata job, **one** aggregation over the whole report (the index
+    contains the activity, so submissions never mix activities), written once through
+    ``checkpoint`` in the shared ``spark.checkpoint.dir`` (or kept with
+    ``persist``), then a filter and a projection per activity.
     """
-    max_columns = kw.get("max_columns", DEFAULT_MAX_COLUMNS)
-    clean = kw.get("clean_names", False)
     r = with_iso_offset(report)
-    rows = _layout_rows(r, by_activity=True, limit=max_columns * 64, all_types=kw.get("all_types", False))
     acts: dict[tuple, list] = {}
-    for row in rows:
+    for row in _layout_rows(r, by_activity=True, all_types=all_types):
         acts.setdefault((row["act_id"], row["act_name"]), []).append(row)
-    combined = _build_layout(rows, max_columns * max(1, len(acts)))
-    combined.bare_single = False
-    big = pivot_wide(r, combined, on_duplicate=kw.get("on_duplicate", "fail"), clean_names=clean,
-                     max_columns=max_columns * max(1, len(acts)))
+    big = collected(r, on_duplicate=on_duplicate, all_types=all_types)
     if reuse == "checkpoint":
         ensure_checkpoint_dir(big.sparkSession)
         big = big.checkpoint(eager=True)
     elif reuse == "persist":
         big = big.persist(StorageLevel.MEMORY_AND_DISK)
-    answers = (set(answer_columns(combined, clean_names=clean)) | {f"{n}__score" for n in combined.single}
-               | {c for _, c, _ in combined.typed_columns()})
-    index = [c for c in big.columns if c not in answers]
-    structs = tuple(c for c in schema.INDEX_STRUCTS if c in report.columns)
-    fixed = ["applet_version"] + [f"{st}_{f}" for st in structs for f in report.schema[st].dataType.fieldNames()]
     out = []
-    for (aid, aname), arows in sorted(acts.items(), key=lambda kv: (str(kv[0][1]), str(kv[0][0]))):
-        lay = _build_layout(arows, max_columns)
-        cols = [F.col(f"`{c}`") for c in index]
-        cols += [F.col(f"`{n}_{v}`") for n, vals in lay.multi.items() for v in vals]
-        for n, scored in lay.single.items():
-            bare = f"{n}__score" if scored else f"{n}__response"
-            cols += [F.col(f"`{bare}`").alias(n), F.col(f"`{n}__index`"), F.col(f"`{n}__response`")]
-        for n in lay.subscale + lay.text:
-            cols += [F.col(f"`{c}`") for c in _text_names(n, clean)]
-        cols += [F.col(f"`{c}`") for _, c, _ in lay.typed_columns()]
-        part = big.where(F.col("activity_id").eqNullSafe(F.lit(aid)) & F.col("activity_name").eqNullSafe(F.lit(aname)))
-        out.append((output_name(aname, aid), order_columns(part.select(*cols), ("applet_version",) + structs, fixed)))
+    for (aid, aname), rows in sorted(acts.items(), key=lambda kv: (str(kv[0][1]), str(kv[0][0]))):
+        part = big.where(F.col("activity.id").eqNullSafe(F.lit(aid)) & F.col("activity.name").eqNullSafe(F.lit(aname)))
+        out.append((output_name(aname, aid), _columns(part, _build_layout(rows), clean_names)))
     return out

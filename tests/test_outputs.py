@@ -119,14 +119,44 @@ def test_grid_timezone(spark):
     assert (str(utc), str(ny)) == ("2025-06-06", "2025-06-05")
 
 
-def test_wide_broadcast_lookup_path(spark, export_dir, monkeypatch):
-    rep = read_export(spark, str(export_dir))
-    key = lambda r: tuple((x is None, str(x)) for x in r)
-    a = W.wide(rep)
-    monkeypatch.setattr(W, "MAP_LOOKUP_MAX", 0)
-    b = W.wide(rep)
-    assert "BroadcastHashJoin" in b._jdf.queryExecution().executedPlan().toString()
-    assert sorted(a.collect(), key=key) == sorted(b.select(*a.columns).collect(), key=key)
+def _wide(spark, tmp_path, rows, **kw):
+    write_export(tmp_path / "x_responses.csv", rows)
+    return W.wide(read_export(spark, str(tmp_path)), **kw)
+
+
+def test_label_unless_a_chosen_option_has_a_score(spark, tmp_path):
+    w = _wide(spark, tmp_path, [
+        _row("s1", 1, 1, "i", "q", "singleSelect", "Low: 0, High: 1", "value: 1"),
+        _row("s2", 2, 1, "i", "q", "singleSelect", "Low: 0 (score: 5), High: 1 (score: 6)", "value: null")])
+    assert {r.activity_submission_id: r.q for r in w.collect()} == {"s1": "High", "s2": None}
+
+
+@pytest.mark.parametrize("use", [lambda w: w.select("q"), lambda w: w.groupBy().count(), lambda w: w.select("activity_id")])
+def test_no_projection_removes_the_duplicate_check(spark, tmp_path, use):
+    rows = [_row("s1", 1, 1, "i", "q", "singleSelect", OPTS, "value: 2"), _row("s1", 1, 1, "i", "q", "singleSelect", OPTS, "value: 1")]
+    with pytest.raises(Exception, match="duplicate answers"):
+        use(_wide(spark, tmp_path, rows)).collect()
+
+
+def test_first_duplicate_does_not_depend_on_the_order_of_rows(spark, tmp_path):
+    rows = [_row("s1", 1, 1, "i", "q", "singleSelect", OPTS, f"value: {v}") for v in (2, 0, 1)]
+    got = [_wide(spark, tmp_path, r, on_duplicate="first").first().q__index for r in (rows, rows[::-1])]
+    assert got == [0, 0]
+
+
+def test_names_that_differ_in_case_or_hold_a_backtick(spark, tmp_path):
+    rows = [_row("s1", 1, 1, str(i), n, "text", "", f"answer {i}") for i, n in enumerate(["Mood", "mood", "a`b", "c.d"])]
+    w = _wide(spark, tmp_path, rows, clean_names=True)
+    r = w.first()
+    assert (r["Mood"], r["mood__2"], r["a`b"], r["c.d"]) == ("answer 0", "answer 1", "answer 2", "answer 3")
+    assert w.select("`a``b`").first()[0] == "answer 2"
+    (_, part), = W.split_wide(read_export(spark, str(tmp_path)), clean_names=True)
+    assert part.columns == w.columns and part.count() == 1
+
+
+def test_long_slider_range_costs_nothing(spark, tmp_path):
+    w = _wide(spark, tmp_path, [_row("s1", 1, 1, "i", "pain", "slider", "Min: 0, Max: 100000000", "value: 7")], all_types=True)
+    assert w.select("pain__value").first()[0] == [7]
 
 
 def test_wide_all_types(spark, tmp_path):

@@ -35,11 +35,6 @@ def interval_ms(c: Column) -> Column:
     return F.unix_millis(F.timestamp_millis(F.lit(0)) + c)
 
 
-def interval_seconds(c: Column) -> Column:
-    """Day-time interval to total whole seconds (BIGINT, truncated toward zero)."""
-    return F.unix_seconds(F.timestamp_seconds(F.lit(0)) + c)
-
-
 def iso_duration(c: Column) -> Column:
     """Day-time interval to ISO-8601 duration text, e.g. ``-PT4H``, ``PT5H30M``, ``PT0S``.
 

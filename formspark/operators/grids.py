@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import all_true, strip_all, to_utc_date
+from .structs import column
 
 # Fixed value: name prefix of the daily check-in/check-out activities.
 DAILY_PREFIX = "Student Check"
@@ -56,12 +57,14 @@ def _is_daily(name: Column, prefix: str) -> Column:
     return name.startswith(prefix)
 
 
-def _axes(facts: DataFrame) -> tuple[list[str], list]:
-    """Activity names and non-null activity dates: one global aggregate whose
-    result is bounded by the questionnaire and the calendar, not by rows."""
-    r = facts.agg(F.array_sort(F.collect_set("activity_name")).alias("names"),
-                  F.array_sort(F.collect_set("activity_date")).alias("dates")).first()
-    return list(r["names"] or []), list(r["dates"] or [])
+def _names(facts: DataFrame) -> list[str]:
+    """Activity names (columns of the grid): bounded by the questionnaire, not by rows."""
+    return sorted(r[0] for r in facts.select("activity_name").where("activity_name is not null").distinct().collect())
+
+
+def _dates(facts: DataFrame) -> list:
+    """Activity dates: bounded by the calendar."""
+    return sorted(r[0] for r in facts.select("activity_date").where("activity_date is not null").distinct().collect())
 
 
 def identifier_columns(participants: DataFrame) -> list[str]:
@@ -77,29 +80,30 @@ def attendance(report: DataFrame, participants: DataFrame, *, daily_prefix: str
                tz: str | None = None) -> DataFrame | None:
     """Participant x date grid of daily activities (None when there are none)."""
     facts = activity_facts(report, tz).where(_is_daily(F.col("activity_name"), daily_prefix))
-    names, dates = _axes(facts)
+    names = _names(facts)
     if not names:
         return None
+    dates = _dates(facts)
     per_day = facts.groupBy("secret_id", "activity_date").agg(*_flags(names))
     ids = identifier_columns(participants)
     grid = participants.select(*ids).withColumn(
         "activity_date", F.explode(F.array(*[F.lit(d) for d in dates]).cast("array<date>")))
     joined = grid.join(per_day, ["secret_id", "activity_date"], "left")
     return joined.select(
-        *ids, "activity_date", *[F.coalesce(F.col(f"`{n}`"), F.lit(False)).alias(n) for n in names])
+        *ids, "activity_date", *[F.coalesce(column(n), F.lit(False)).alias(n) for n in names])
 
 
 def completion(report: DataFrame, participants: DataFrame, *, daily_prefix: str = DAILY_PREFIX,
                tz: str | None = None) -> DataFrame | None:
     """One row per participant: a flag per non-daily activity and ``complete``."""
     facts = activity_facts(report, tz).where(~_is_daily(F.col("activity_name"), daily_prefix))
-    names, _ = _axes(facts)
+    names = _names(facts)
     if not names:
         return None
     per_person = facts.groupBy("secret_id").agg(*_flags(names))
     ids = identifier_columns(participants)
     joined = participants.select(*ids).join(per_person, "secret_id", "left")
-    flags = [F.coalesce(F.col(f"`{n}`"), F.lit(False)) for n in names]
+    flags = [F.coalesce(column(n), F.lit(False)) for n in names]
     return joined.select(*ids, *[f.alias(n) for f, n in zip(flags, names)], all_true(flags).alias("complete"))
 
 

@@ -392,6 +392,12 @@ def split_wide_sql() -> str:
 
 # --- everything ----------------------------------------------------------------------------
 
+RESPONSE_SQL = f"""SELECT {V('l_orderkey')} || '/' || {V('l_linenumber')} AS submission_id, l_linestatus AS status,
+  CASE WHEN l_linenumber % 3 <> 0 THEN l_partkey END AS raw_score,
+  'value: ' || {V('l_linenumber')} || ', ' || {V('l_suppkey')} || ' | text: ' || l_returnflag AS raw_response,
+  'value' AS value_type, CAST(l_linenumber AS BIGINT) AS first_value, l_suppkey AS second_value, l_returnflag AS optional_text
+FROM lineitem"""
+
 ORACLES: dict[str, str] = {
     "parse_single_select": f"""WITH {ORDERS_CTE}
 SELECT {SUB},
@@ -493,8 +499,19 @@ UNION ALL SELECT l_orderkey, l_linenumber, 'activity_score', 'activity_score', '
     "options": options_sql(),
     "item_response_options": item_response_options_sql(),
     "scored_responses": scored_sql(),
-    "score_join_m1": """SELECT n.n_regionkey, n.n_nationkey, n.n_name, r.r_name
-FROM nation n LEFT JOIN region r ON n.n_regionkey = r.r_regionkey""",
+    "score_join_m1": """SELECT o_custkey, o_orderkey, c_name, c_mktsegment
+FROM orders LEFT JOIN customer ON o_custkey = c_custkey""",
+    "response_fields": RESPONSE_SQL,
+    "response_untyped": RESPONSE_SQL,
+    "parse_long_lists": """SELECT l_suppkey, count(*) AS n_options, sum(l_orderkey)::BIGINT AS sum_value,
+  sum(l_linenumber)::BIGINT AS sum_score FROM lineitem GROUP BY l_suppkey""",
+    "wide_mixed_scores": """WITH a AS (SELECT 'sub-' || CAST(o_orderkey AS VARCHAR) AS activity_submission_id,
+  CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey % 2 END AS v FROM orders)
+SELECT activity_submission_id, CASE v WHEN 0 THEN 'Low' WHEN 1 THEN 'High' END AS rating, v AS rating__index,
+  CASE v WHEN 0 THEN 'Low' WHEN 1 THEN 'High' END AS rating__response FROM a""",
+    "partitioned_roundtrip": "SELECT o_orderkey, o_orderstatus, o_custkey, o_orderstatus AS by_o_orderstatus FROM orders",
+    "roster_from_csv": """SELECT c_name AS secret_id, CAST(c_custkey AS VARCHAR) AS nickname, CAST(NULL AS VARCHAR) AS first_name,
+  CAST(NULL AS VARCHAR) AS last_name, c_mktsegment AS site, CAST(c_nationkey AS VARCHAR) AS room FROM customer""",
     "wide_all": wide_sql(MOOD_COLS + ENERGY_COLS + COLOR_COLS + SUBSCALE_COLS + TEXT_COLS),
     "wide_single_select": wide_sql(MOOD_COLS + ENERGY_COLS),
     "wide_single_select_unscored": wide_sql(ENERGY_COLS),

@@ -25,6 +25,7 @@ from ..session import configure, scratch_path, spread
 from ..sinks.writers import NamedOutput, csv_encode, drop_null_columns, write_csv, write_parquet
 from ..sources import tables
 from ..sources.exports import list_export_files, merge_by_name, read_csv_strings, read_export_frame
+from ..sources.participants import read_participants
 from . import outputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -327,9 +328,52 @@ def scored_responses(spark, sf_dir):
 
 
 def score_join_m1(spark, sf_dir):
-    n = _t(spark, sf_dir, "nation")
-    r = _t(spark, sf_dir, "region").withColumnRenamed("r_regionkey", "n_regionkey")
-    return joins.left_join_m1(n, r, ["n_regionkey"])
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    c = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_name", "c_mktsegment")
+    return joins.left_join_m1(o, c, ["o_custkey"])
+
+
+def _line_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export rows from lineitem: one numeric answer for each line."""
+    configure(spark)
+    li = _t(spark, sf_dir, "lineitem")
+    s = lambda c: F.col(c).cast("string")
+    return li.select(
+        F.concat(s("l_orderkey"), F.lit("/"), s("l_linenumber")).alias("activity_submission_id"),
+        F.lit("line").alias("item_name"), F.lit("slider").alias("item_type"), F.col("l_linestatus").alias("item_response_status"),
+        F.concat(F.lit("value: "), s("l_linenumber"), F.lit(", "), F.col("l_suppkey").cast("string"), F.lit(" | text: "),
+                 F.col("l_returnflag")).alias("item_response"),
+        F.when(F.col("l_linenumber") % 3 == 0, F.lit("none")).otherwise(F.col("l_partkey").cast("string")).alias("rawScore"))
+
+
+def _response_fields(report: DataFrame) -> DataFrame:
+    r = "response"
+    return report.select(_sub(), F.col(f"{r}.status").alias("status"), F.col(f"{r}.raw_score").alias("raw_score"),
+                         F.col(f"{r}.raw_response").alias("raw_response"), F.col(f"{r}.value.type").alias("value_type"),
+                         F.get(F.col(f"{r}.value.value"), 0).alias("first_value"), F.get(F.col(f"{r}.value.value"), 1).alias("second_value"),
+                         F.col(f"{r}.value.optional_text").alias("optional_text"))
+
+
+def response_fields(spark, sf_dir):
+    """Every field of the response struct, parsed by item type."""
+    return _response_fields(normalize(_line_answers(spark, sf_dir)))
+
+
+def response_untyped(spark, sf_dir):
+    """The same answers through the untyped grammar, whatever the item type says."""
+    return _response_fields(normalize(_line_answers(spark, sf_dir).withColumn("item_type", F.lit("text")), typed=False))
+
+
+def parse_long_lists(spark, sf_dir):
+    """Option lists as long as a supplier has lines, from one text for each supplier."""
+    configure(spark)
+    li = _t(spark, sf_dir, "lineitem")
+    one = F.concat(F.lit("line "), F.col("l_orderkey").cast("string"), F.lit(" no "), F.col("l_linenumber").cast("string"), F.lit(": "),
+                   F.col("l_orderkey").cast("string"), F.lit(" (score: "), F.col("l_linenumber").cast("string"), F.lit(")"))
+    texts = li.groupBy("l_suppkey").agg(F.array_join(F.collect_list(one), ", ").alias("text"))
+    opts = texts.select("l_suppkey", opt_parser.parse_options(F.col("text")).alias("o"))
+    total = lambda f: F.aggregate("o", F.lit(0).cast("bigint"), lambda t, x: t + x[f])
+    return opts.select("l_suppkey", F.size("o").cast("bigint").alias("n_options"), total("value").alias("sum_value"), total("score").alias("sum_score"))
 
 
 # --- wide ------------------------------------------------------------------------------
@@ -352,6 +396,20 @@ def wide_single_select_unscored(spark, sf_dir):
     return _wide_of(r.where(F.col("item.name") == "energy"))
 
 
+def wide_mixed_scores(spark, sf_dir):
+    """An item whose newer version has scores: its column holds labels while no chosen option has a score."""
+    configure(spark)
+    o = _t(spark, sf_dir, "orders").select("o_orderkey")
+    k = F.col("o_orderkey")
+    newer = k % 3 == 0
+    raw = o.select(
+        F.concat(F.lit("sub-"), k.cast("string")).alias("activity_submission_id"), F.lit("rating").alias("item_name"),
+        F.lit("singleSelect").alias("item_type"), F.lit(None).cast("string").alias("rawScore"),
+        F.when(newer, F.lit("Low: 0 (score: 5), High: 1 (score: 6)")).otherwise(F.lit("Low: 0, High: 1")).alias("item_response_options"),
+        F.when(newer, F.lit("value: null")).otherwise(F.concat(F.lit("value: "), (k % 2).cast("string"))).alias("item_response"))
+    return _wide_of(normalize(raw)).select("activity_submission_id", "rating", "rating__index", "rating__response")
+
+
 def wide_multi_select(spark, sf_dir):
     r = orders_report(spark, sf_dir)
     return _wide_of(r.where(F.col("item.type") == "multiSelect"))
@@ -447,6 +505,24 @@ def parquet_roundtrip(spark, sf_dir):
     return flat(spark.read.parquet(path))
 
 
+def partitioned_roundtrip(spark, sf_dir):
+    """Orders written to a folder for each status and read back, with the key in the files and in the folder."""
+    configure(spark)
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_custkey")
+    path = write_parquet(NamedOutput("orders by status", o, ["o_orderstatus"]), scratch_path(spark, "parts"))
+    return spark.read.parquet(path)
+
+
+def roster_from_csv(spark, sf_dir):
+    """The participants file: customers written as a roster with more columns than are read."""
+    configure(spark)
+    cu = _t(spark, sf_dir, "customer")
+    path = write_csv(NamedOutput("roster", cu.select(
+        F.col("c_mktsegment").alias("site"), F.col("c_name").alias("secretUserId"), F.col("c_custkey").cast("string").alias("nickname"),
+        F.lit("x").alias("unread"), F.col("c_nationkey").cast("string").alias("room"))), scratch_path(spark, "roster"))
+    return read_participants(spark, path)
+
+
 QUERIES: dict[str, Query] = {
     "parse_single_select": parse_single_select,
     "parse_multi_select": parse_multi_select,
@@ -472,6 +548,12 @@ QUERIES: dict[str, Query] = {
     "item_response_options": item_response_options,
     "scored_responses": scored_responses,
     "score_join_m1": score_join_m1,
+    "response_fields": response_fields,
+    "response_untyped": response_untyped,
+    "parse_long_lists": parse_long_lists,
+    "wide_mixed_scores": wide_mixed_scores,
+    "partitioned_roundtrip": partitioned_roundtrip,
+    "roster_from_csv": roster_from_csv,
     "wide_all": wide_all,
     "wide_single_select": wide_single_select,
     "wide_single_select_unscored": wide_single_select_unscored,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,8 +46,8 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8, app: str = "forms
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Set by the cluster; only when it is unset (tests, a laptop) is a local
-    default installed.
+    Set by the cluster. Only a ``local`` master, where driver and tasks share their folders
+    (tests, a laptop), gets a default when it is unset; any other master fails.
     """
     return ensure_checkpoint_dir(spark)
 
@@ -54,6 +55,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir is not set: master {master} needs a folder that all executors share")
         d = DEFAULT_CHECKPOINT_DIR
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -61,9 +65,30 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+#: This process's part of the scratch folder.
+_RUN = uuid.uuid4().hex
+_cleaned: set[str] = set()
+
+
+def _clean(spark: SparkSession, path: str) -> None:
+    try:
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    except Exception:  # noqa: BLE001  the session is gone; nothing is left to clean with
+        pass
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder (never a machine-local temp dir)."""
-    return f"{checkpoint_dir(spark)}/formspark-scratch/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared checkpoint folder (never a machine-local temp dir).
+
+    What a process puts there is deleted when it ends.
+    """
+    base = f"{checkpoint_dir(spark)}/formspark-scratch/{_RUN}"
+    if base not in _cleaned:
+        _cleaned.add(base)
+        atexit.register(_clean, spark, base)
+    return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
 def spread(df: DataFrame) -> DataFrame:

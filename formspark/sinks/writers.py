@@ -3,12 +3,13 @@
 * CSV cannot hold nested values, so columns are encoded first: day-time
   intervals -> ``<name>_ms`` BIGINT milliseconds (the interval column is
   dropped); arrays -> JSON of a one-field struct ``{"<name>": [...]}``;
-  structs -> JSON with null fields kept; map columns -> JSON.
+  structs -> JSON with null fields kept; map columns -> JSON. Intervals inside
+  them become milliseconds, too (a field ``x`` is then called ``x_ms``).
 * Parquet keeps nested types; whitespace runs in the output name become ``_``.
 * ``drop_null_columns`` drops columns with no non-null value, found with one
   aggregate pass (on an empty frame every column counts as all-null).
-* Partitioned outputs use ``write.partitionBy`` (one folder per key value)
-  instead of one driver-side loop per key.
+* Partitioned outputs use ``write.partitionBy`` (one folder ``by_<key>=value`` per key
+  value, with the key column kept in the files) instead of one driver-side loop per key.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import interval_ms
+from ..operators.structs import column
 
 _JSON_OPTS = {"ignoreNullFields": "false"}
 
@@ -39,18 +41,39 @@ def safe_name(name: str) -> str:
     return re.sub(r"[/\\]", "_", re.sub(r"\s+", "_", name.strip()))
 
 
+def _has_interval(dt: T.DataType) -> bool:
+    if isinstance(dt, T.StructType):
+        return any(_has_interval(f.dataType) for f in dt.fields)
+    if isinstance(dt, T.ArrayType):
+        return _has_interval(dt.elementType)
+    return isinstance(dt, T.DayTimeIntervalType)
+
+
+def _plain(c: Column, dt: T.DataType) -> Column:
+    """``c`` with every interval inside it as milliseconds; a field ``x`` becomes ``x_ms``."""
+    if not _has_interval(dt):
+        return c
+    if isinstance(dt, T.StructType):
+        fields = [_plain(c.getField(f.name), f.dataType).alias(
+            f"{f.name}_ms" if isinstance(f.dataType, T.DayTimeIntervalType) else f.name) for f in dt.fields]
+        return F.when(c.isNotNull(), F.struct(*fields))
+    if isinstance(dt, T.ArrayType):
+        return F.transform(c, lambda x: _plain(x, dt.elementType))
+    return interval_ms(c)
+
+
 def csv_encode(df: DataFrame) -> DataFrame:
     """Flatten a frame to CSV-writable columns (see module docstring)."""
     cols: list[Column] = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+        c = column(f.name)
         dt = f.dataType
         if isinstance(dt, T.DayTimeIntervalType):
             cols.append(interval_ms(c).alias(f"{f.name}_ms"))
         elif isinstance(dt, T.ArrayType):
-            cols.append(F.to_json(F.struct(c.alias(f.name)), _JSON_OPTS).alias(f.name))
+            cols.append(F.to_json(F.struct(_plain(c, dt).alias(f.name)), _JSON_OPTS).alias(f.name))
         elif isinstance(dt, (T.StructType, T.MapType)):
-            cols.append(F.to_json(c, _JSON_OPTS).alias(f.name))
+            cols.append(F.to_json(_plain(c, dt), _JSON_OPTS).alias(f.name))
         elif isinstance(dt, (T.BinaryType, T.VariantType)):
             continue
         else:
@@ -62,36 +85,46 @@ def non_null_columns(df: DataFrame) -> list[str]:
     """Columns holding at least one non-null value (one aggregate pass)."""
     if not df.columns:
         return []
-    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(df.columns)]).first()
+    counts = df.agg(*[F.count(column(c)).alias(f"c{i}") for i, c in enumerate(df.columns)]).first()
     return [c for i, c in enumerate(df.columns) if counts[f"c{i}"] > 0]
 
 
 def drop_null_columns(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(f"`{c}`") for c in non_null_columns(df)])
+    return df.select(*[column(c) for c in non_null_columns(df)])
 
 
-def write_csv(out: NamedOutput, output_dir: str, *, drop_nulls: bool = False, mode: str = "overwrite") -> str:
-    df = csv_encode(out.frame)
+def _prepared(out: NamedOutput, df: DataFrame, drop_nulls: bool) -> tuple[DataFrame, list[str]]:
+    """The frame to write and its folder columns.
+
+    Key columns are never dropped and stay in the files; the folders are named after copies of
+    them, ``by_<key>``. A frame without any value keeps its columns, as a file needs a header.
+    Rows of a key are brought together first (AQE splits a large key and joins small ones),
+    so that not every task writes a file for every key.
+    """
     if drop_nulls:
-        df = drop_null_columns(df)
+        keep = set(non_null_columns(df))
+        if keep:
+            df = df.select(*[column(c) for c in df.columns if c in keep or c in out.partition_by])
+    if not out.partition_by:
+        return df, []
+    df = df.hint("rebalance", *[column(c) for c in out.partition_by])
+    return df.withColumns({f"by_{c}": column(c) for c in out.partition_by}), [f"by_{c}" for c in out.partition_by]
+
+
+def write_csv(out: NamedOutput, output_dir: str, *, drop_nulls: bool = False, mode: str = "overwrite") -> str:
+    df, folders = _prepared(out, csv_encode(out.frame), drop_nulls)
     path = f"{output_dir.rstrip('/')}/{safe_name(out.name)}.csv"
     w = (df.write.mode(mode).option("header", "true").option("escape", '"')
          .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false"))
-    if out.partition_by:
-        w = w.partitionBy(*out.partition_by)
-    w.csv(path)
+    (w.partitionBy(*folders) if folders else w).csv(path)
     return path
 
 
 def write_parquet(out: NamedOutput, output_dir: str, *, drop_nulls: bool = False, mode: str = "overwrite") -> str:
-    df = out.frame
-    if drop_nulls:
-        df = drop_null_columns(df)
+    df, folders = _prepared(out, out.frame, drop_nulls)
     path = f"{output_dir.rstrip('/')}/{safe_name(out.name)}.parquet"
     w = df.write.mode(mode)
-    if out.partition_by:
-        w = w.partitionBy(*out.partition_by)
-    w.parquet(path)
+    (w.partitionBy(*folders) if folders else w).parquet(path)
     return path
 
 

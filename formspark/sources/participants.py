@@ -29,8 +29,8 @@ def select_roster(raw: DataFrame) -> DataFrame:
     """Validate and rename roster columns; an optional ``room`` column is kept."""
     for c in REQUIRED:
         if c not in raw.columns:
-            raise RosterColumnError(f"'{c}' column not found in participants file")
-    cols = [F.col(f"`{src}`").alias(dst) if src in raw.columns else F.lit(None).cast("string").alias(dst)
+            raise RosterColumnError(f"the roster has no column {c}")
+    cols = [F.col(src).alias(dst) if src in raw.columns else F.lit(None).cast("string").alias(dst)
             for src, dst in ROSTER_COLUMNS.items()]
     if "room" in raw.columns:
         cols.append(F.col("room"))
@@ -43,8 +43,8 @@ def read_participants(spark: SparkSession, path: str | None) -> DataFrame:
     from .exports import ExportNotFoundError, _hadoop_fs
 
     p, fs = _hadoop_fs(spark, path)
-    if not fs.exists(p) or not fs.getFileStatus(p).isFile():
-        raise ExportNotFoundError("Participants file not found.")
+    if not fs.exists(p):
+        raise ExportNotFoundError(f"no roster at {path}")
     raw = (spark.read.option("header", "true").option("escape", '"').option("multiLine", "true")
            .option("inferSchema", "false").csv(path))
     return select_roster(raw)

@@ -102,11 +102,33 @@ def test_job_run(spark, export_dir, tmp_path):
     assert wide.count() == 3 and "activity_flow_id" not in wide.columns
     pq = job.run(spark, str(export_dir), str(tmp_path / "pq"), outputs=["long", "scored"], fmt="parquet")
     assert spark.read.parquet(pq[0]).count() == 8
-    with pytest.raises(ValueError, match="Unknown output"):
+    with pytest.raises(ValueError, match="no output"):
         job.run(spark, str(export_dir), str(tmp_path / "x"), outputs=["nope"])
     assert set(outputs.default_outputs()) == {"wide", "long", "dictionary", "options"}
 
 
+def _file_scans(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("Relation [")
+
+
+def test_users_reads_its_input_once(spark, export_dir, tmp_path):
+    path = str(tmp_path / "report")
+    read_export(spark, str(export_dir)).write.parquet(path)
+    u = outputs.users(spark.read.parquet(path))
+    assert _file_scans(u) == 1
+    assert {(r.user_type, r.id) for r in u.collect()} >= {("target_user", "t-3"), ("source_user", "s-2"), ("account_user", "acct-1")}
+
+
+def test_checkpoint_folder_must_be_named_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    from formspark.session import ensure_checkpoint_dir
+
+    conf = SimpleNamespace(get=lambda *a: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(getConf=lambda: conf, master="yarn")))
+
+
 def test_grid_timezone(spark):
     from formspark.operators.normalize import normalize
 

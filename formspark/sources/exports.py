@@ -52,7 +52,7 @@ def list_export_files(spark: SparkSession, path: str, pattern: str = RESPONSES_P
     """Export files at ``path`` (a file, or a folder scanned non-recursively)."""
     p, fs = _hadoop_fs(spark, path)
     if not fs.exists(p):
-        raise ExportNotFoundError(f"Export path {path} not found.")
+        raise ExportNotFoundError(f"there is no export at {path}")
     if fs.getFileStatus(p).isFile():
         return [p.toString()]
     files = sorted(

@@ -15,6 +15,7 @@ def spark():
     yield s
 
 
+# The header of an export file.
 HEADER = ["target_id", "target_secret_id", "target_nickname", "target_tag", "source_id", "source_secret_id",
           "source_nickname", "source_tag", "source_relation", "input_id", "input_secret_id", "input_nickname",
           "userId", "secret_user_id", "legacy_user_id", "applet_version", "activity_flow_id", "activity_flow_name",

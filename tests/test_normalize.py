@@ -1,4 +1,4 @@
-"""Normalisation steps (reference processor cases re-typed) and report contract."""
+"""Normalisation steps and the report contract."""
 
 import datetime as dt
 
@@ -10,41 +10,32 @@ from formspark.operators import normalize as N
 
 
 def test_epoch_ms_times(spark):
-    df = spark.createDataFrame([("1733927671657", "0"), ("not scheduled", "-240")],
-                               "activity_scheduled_time string, utc_timezone_offset string")
-    rows = N.parse_times(df).select(F.col("activity_scheduled_time").cast("timestamp_ntz").alias("t"),
-                                    "utc_timezone_offset").collect()
-    assert rows[0].t == dt.datetime(2024, 12, 11, 14, 34, 31, 657000)
-    assert rows[1].t is None
-    assert rows[1].utc_timezone_offset == dt.timedelta(minutes=-240)
-
-
-def _subscale_frame(spark):
-    cols = ["activity_submission_id", "item_name", "item_id", "item_type", "item_response", "item_prompt",
-            "item_response_options", "item_response_status", "rawScore", "version", "activity_score",
-            "activity_score_lookup_text", "subscale_avg", "subscale_text_avg"]
-    rows = [
-        ("s1", "item_1", "item_id_1", "it_1", "r_1", "p_1", "o_1", "completed", "3", "v1", "1", "t_1", "2", "t_3"),
-        ("s2", "item_2", "item_id_2", "it_2", "r_2", "p_2", "o_2", "completed", "5", "v2", "5", "t_2", "6", "t_4"),
-    ]
-    return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in cols))
+    df = spark.createDataFrame([("951782400123", "330"), ("", "-90"), ("soon", None)], "activity_start_time string, utc_timezone_offset string")
+    rows = N.parse_times(df).select(F.col("activity_start_time").cast("timestamp_ntz").alias("t"), "utc_timezone_offset").collect()
+    assert [r.t for r in rows] == [dt.datetime(2000, 2, 29, 0, 0, 0, 123000), None, None]
+    assert [r.utc_timezone_offset for r in rows] == [dt.timedelta(minutes=330), dt.timedelta(minutes=-90), None]
+
+
+# One submission for each visit; the four score columns become rows of their own.
+SCORES = {"activity_score": ("41", None), "activity_score_lookup_text": ("fair", "n/a"), "subscale_sleep": ("8.5", "0"),
+          "subscale_text_sleep": ("rested", None)}
+VISITS = {"activity_submission_id": ("visit-1", "visit-2"), "item_name": ("hours", "hours"), "item_id": ("h", "h"),
+          "item_type": ("slider", "slider"), "item_response": ("value: 7", "value: 3"), "item_prompt": ("How long?",) * 2,
+          "item_response_options": ("Min: 0, Max: 12",) * 2, "item_response_status": ("completed", "skipped"), "rawScore": ("7", "3"),
+          "site": ("east", "west")}
 
 
 def test_subscale_unpivot(spark):
-    df = _subscale_frame(spark)
+    table = VISITS | SCORES
+    df = spark.createDataFrame(list(zip(*table.values())), ", ".join(f"{c} string" for c in table))
     out = N.unpivot_subscales(df)
-    assert len(out.columns) == len(df.columns) - 4
-    assert out.count() == 2 + 8
-    got = sorted(tuple(r) for r in out.select("activity_submission_id", "item_name", "item_response").collect())
-    want = sorted([
-        ("s1", "item_1", "r_1"), ("s1", "subscale_avg", "2"), ("s1", "activity_score", "1"),
-        ("s1", "subscale_text_avg", "t_3"), ("s1", "activity_score_lookup_text", "t_1"),
-        ("s2", "item_2", "r_2"), ("s2", "subscale_avg", "6"), ("s2", "activity_score", "5"),
-        ("s2", "subscale_text_avg", "t_4"), ("s2", "activity_score_lookup_text", "t_2"),
-    ])
-    assert got == want
-    sub = out.where(F.col("item_type") == "subscale").select("item_response_status", "rawScore", "version").distinct()
-    assert sorted(tuple(r) for r in sub.collect()) == [("completed", None, "v1"), ("completed", None, "v2")]
+    assert set(out.columns) == set(VISITS)
+    new = {(f"visit-{i + 1}", name, v) for name, values in SCORES.items() for i, v in enumerate(values) if v is not None}
+    rows = out.select("activity_submission_id", "item_name", "item_response", "item_type", "rawScore", "site").collect()
+    assert {tuple(r)[:3] for r in rows if r.item_type == "subscale"} == new
+    assert {tuple(r)[:3] for r in rows if r.item_type == "slider"} == {("visit-1", "hours", "value: 7"), ("visit-2", "hours", "value: 3")}
+    assert len(rows) == 2 + len(new)
+    assert {(r.rawScore, r.site) for r in rows if r.item_type == "subscale"} == {(None, "east"), (None, "west")}
 
 
 def test_subscale_name_prefix_removed_once(spark):

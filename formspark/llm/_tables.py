@@ -26,10 +26,15 @@ def ready(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Written tables hold rows of very different sizes: small row groups, checked after few rows,
+#: bound what a writer or a reader holds in memory at a time.
+PARQUET = {"compression": "zstd", "parquet.block.size": str(8 << 20), "parquet.page.size.row.check.min": "8"}
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: cuts lineage and survives lost executors."""
     path = scratch_path(df.sparkSession, f"llm-{name}")
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(**PARQUET).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -42,14 +42,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import _words as W
-from ._tables import blocks, written
+from ._pack import column, flat, unpack
+from ._tables import PARQUET, blocks, written
 
 K = 5
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 6 << 20
 #: Bytes of text for each partition of words or bigrams; training counts of a context part.
-BUCKET_BYTES, SPLIT = 16 << 20, 1 << 20
+BUCKET_BYTES, SPLIT = 8 << 20, 1 << 19
 END = np.uint64(1)
-ANSWER = "block long, kind int, bucket int, a array<long>, b array<long>, x array<double>"
+ANSWER = "block long, kind int, bucket int, a binary, b binary, x binary"
 
 
 def discounts(n: list[int]) -> list[float]:
@@ -67,24 +68,14 @@ def discounts(n: list[int]) -> list[float]:
     return d
 
 
-def _lists(values: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.ListArray:
-    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.astype(kind.to_pandas_dtype())))
-
-
-def _flat(col: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
-    """(values, length of each row) of a list column."""
-    col = col.combine_chunks() if isinstance(col, pa.ChunkedArray) else col
-    if isinstance(col, pa.ChunkedArray):
-        col = pa.concat_arrays(col.chunks) if col.num_chunks else pa.array([], col.type)
-    return col.flatten().to_numpy(zero_copy_only=False), np.diff(col.offsets.to_numpy())
+NONE_I, NONE_F = np.zeros(0, np.int64), np.zeros(0)
 
 
 def _encode(n_buckets: int, block_bytes: int):
     """Documents to block rows (bucket -1) and word requests (bucket 0 ..)."""
     edges = np.array([(i << 64) // n_buckets for i in range(1, n_buckets)], dtype=np.uint64)
-    schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("doc", pa.list_(pa.int64())),
-                        ("held", pa.list_(pa.bool_())), ("n", pa.list_(pa.int32())), ("tok", pa.list_(pa.int32())),
-                        ("word", pa.list_(pa.int64())), ("cnt", pa.list_(pa.int32()))])
+    schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("doc", pa.list_(pa.int64())), ("held", pa.binary()),
+                        ("n", pa.binary()), ("tok", pa.binary()), ("word", pa.binary()), ("cnt", pa.binary())])
 
     def run(batches):
         from pyspark import TaskContext
@@ -107,40 +98,33 @@ def _encode(n_buckets: int, block_bytes: int):
             cnt = np.bincount(at[np.repeat(~held, n)], minlength=len(words))
             cut = np.concatenate([[0], np.searchsorted(words, edges, side="left"), [len(words)]])
             keep = np.flatnonzero(np.diff(cut))
-            rows = len(keep) + 1
-            one = np.zeros(rows, dtype=np.int64)
-            one[0] = 1
-            lists = lambda v, k: _lists(v, np.concatenate([[0], np.cumsum(one * len(v))]), k)
-            ends = np.concatenate([[0, 0], cut[keep + 1]])
             docs = b.column(b.schema.get_field_index("doc"))
-            docs = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(one * len(docs))]).astype(np.int32)), docs)
+            none, rest = [NONE_I] * len(keep), [slice(cut[j], cut[j + 1]) for j in keep]
             yield pa.record_batch([
-                pa.array(np.full(rows, base + i, dtype=np.int64)), pa.array(np.concatenate([[-1], keep]).astype(np.int32)),
-                docs, lists(held, pa.bool_()), lists(n, pa.int32()), lists(at, pa.int32()),
-                _lists(words.view(np.int64), ends, pa.int64()), _lists(cnt, ends, pa.int32())], schema=schema)
+                pa.array(np.full(len(keep) + 1, base + i, dtype=np.int64)),
+                pa.array(np.concatenate([[-1], keep]).astype(np.int32)),
+                pa.ListArray.from_arrays(pa.array([0] + [len(docs)] * (len(keep) + 1), pa.int32()), docs),
+                column([held, *none]), column([n, *none]), column([at, *none]),
+                column([NONE_I, *(words[x] for x in rest)]), column([NONE_I, *(cnt[x] for x in rest)])], schema=schema)
 
     return run
 
 
-def _answers(rows: list[tuple], n_lists: int = 3) -> pa.Table:
-    cols = list(zip(*rows, strict=True))
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.float64())]
-    names = ["block", "kind", "bucket", "a", "b", "x"]
-    return pa.table([pa.array(c, type=k) for c, k in zip(cols, kinds, strict=True)], names=names)
-
-
-NONE_I, NONE_F = np.zeros(0, np.int64), np.zeros(0)
+def _answers(rows: list[tuple]) -> pa.Table:
+    block, kind, bucket, a, b, x = zip(*rows, strict=True)
+    return pa.table([pa.array(block, pa.int64()), pa.array(kind, pa.int32()), pa.array(bucket, pa.int32()), column(a), column(b),
+                     column(x)], names=["block", "kind", "bucket", "a", "b", "x"])
 
 
 def _count_words(key, t):
     """Adds up one partition of words; answers (number in the partition, count) in each block's order."""
-    words, length = _flat(t.column("word"))
-    cnt, _ = _flat(t.column("cnt"))
-    _, at = np.unique(words.view(np.uint64), return_inverse=True)
+    words, length = flat(t.column("word"), np.uint64)
+    cnt, _ = flat(t.column("cnt"))
+    _, at = np.unique(words, return_inverse=True)
     c = np.bincount(at, weights=cnt).astype(np.int64)
     bucket = key[0].as_py()
     stats = [len(c), int((c > 0).sum()), int(c.sum())] + [int((c == r).sum()) for r in range(1, K + 2)]
-    rows = [(-1, 0, bucket, stats, NONE_I, NONE_F)]
+    rows = [(-1, 0, bucket, np.array(stats), NONE_I, NONE_F)]
     ends = np.cumsum(length)
     for block, lo, hi in zip(t.column("block").to_pylist(), ends - length, ends, strict=True):
         rows.append((block, 0, bucket, at[lo:hi].astype(np.int64), c[at[lo:hi]], NONE_F))
@@ -184,14 +168,14 @@ def _pairs(m: _Model, t: pa.Table, words: pa.Table):
     and number for each context part.
     """
     rows = {b: i for i, b in enumerate(words.column("bucket").to_pylist())}
-    order = [rows[b] for b in sorted(rows)]
-    a, length = _flat(words.column("a").take(pa.array(order)))
-    c, _ = _flat(words.column("b").take(pa.array(order)))
+    words = words.take(pa.array([rows[b] for b in sorted(rows)]))
+    a, length = flat(words.column("a"))
+    c, _ = flat(words.column("b"))
     ids = a + np.repeat(m.offset[sorted(rows)], length)
     ids, c = np.append(ids, m.begin), np.append(c, m.docs)
-    n, _ = _flat(t.column("n"))
-    tok, _ = _flat(t.column("tok"))
-    held, _ = _flat(t.column("held"))
+    n, _ = flat(t.column("n"))
+    tok, _ = flat(t.column("tok"))
+    held, _ = flat(t.column("held"))
     tok = tok.astype(np.int64)
     prev = np.empty_like(tok)
     prev[1:] = tok[:-1]
@@ -229,9 +213,8 @@ def _pairs(m: _Model, t: pa.Table, words: pa.Table):
 
 
 def _ask_pairs(m: _Model):
-    schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("ctx", pa.list_(pa.int64())),
-                        ("len", pa.list_(pa.int32())), ("w", pa.list_(pa.int64() if m.begin >= 1 << 31 else pa.int32())),
-                        ("n", pa.list_(pa.int32())), ("c", pa.list_(pa.int64()))])
+    names = ["block", "bucket", "ctx", "len", "w", "n", "c"]
+    schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), *((x, pa.binary()) for x in names[2:])])
 
     def run(key, t, words):
         if not len(t):
@@ -240,10 +223,9 @@ def _ask_pairs(m: _Model):
         keep, start = np.unique(bucket, return_index=True)
         at = np.append(start, len(bucket))
         ends = np.concatenate([[0], np.cumsum(length)])[at]
-        return pa.table([
-            pa.array(np.full(len(keep), key[0].as_py(), dtype=np.int64)), pa.array(keep.astype(np.int32)),
-            _lists(ctx, at, pa.int64()), _lists(length, at, pa.int32()), _lists(ids[w], ends, schema.field("w").type.value_type),
-            _lists(n, ends, pa.int32()), _lists(np.where(n > 0, c[w], 0), ends, pa.int64())], schema=schema)
+        cut = lambda v, x: column([v[lo:hi] for lo, hi in zip(x[:-1], x[1:], strict=True)])
+        return pa.table([pa.array(np.full(len(keep), key[0].as_py(), dtype=np.int64)), pa.array(keep.astype(np.int32)), cut(ctx, at),
+                         cut(length, at), cut(ids[w], ends), cut(n, ends), cut(np.where(n > 0, c[w], 0), ends)], names=names)
 
     return run
 
@@ -251,11 +233,11 @@ def _ask_pairs(m: _Model):
 def _count_pairs(m: _Model):
     def run(key, t):
         """Adds up one partition of pairs; answers each pair's count and each context's sums."""
-        ctx, ctxs = _flat(t.column("ctx"))
-        length, _ = _flat(t.column("len"))
-        w, pairs = _flat(t.column("w"))
-        n, _ = _flat(t.column("n"))
-        c, _ = _flat(t.column("c"))
+        ctx, ctxs = flat(t.column("ctx"))
+        length, _ = flat(t.column("len"))
+        w, pairs = flat(t.column("w"))
+        n, _ = flat(t.column("n"))
+        c, _ = flat(t.column("c"))
         _, local = np.unique(ctx, return_inverse=True)
         n_ctx = int(local.max()) + 1 if len(local) else 0
         pair, at = np.unique(np.repeat(local, length) * np.int64(m.begin + 1) + w, return_inverse=True)
@@ -266,7 +248,7 @@ def _count_pairs(m: _Model):
         low = np.stack([np.bincount(of[count == r], minlength=n_ctx) for r in range(1, K + 1)], axis=1)
         mass = np.bincount(of[seen], weights=m.kept(cw[seen]), minlength=n_ctx)
         bucket = key[0].as_py()
-        rows = [(-1, 1, bucket, [int((count == r).sum()) for r in range(1, K + 2)], NONE_I, NONE_F)]
+        rows = [(-1, 1, bucket, np.array([(count == r).sum() for r in range(1, K + 2)]), NONE_I, NONE_F)]
         pe, ce = np.cumsum(pairs), np.cumsum(ctxs)
         for block, plo, phi, clo, chi in zip(t.column("block").to_pylist(), pe - pairs, pe, ce - ctxs, ce, strict=True):
             mine = local[clo:chi]
@@ -288,9 +270,9 @@ def _score(m: _Model, keep2: np.ndarray):
         tok, prev, c, _, ctx, ctx_of, bucket, pair_of, w, _, _ = _pairs(m, t, words)
         got = answers.filter(pa.array(kind == 1))
         got = got.take(pa.array(np.argsort(got.column("bucket").to_numpy(), kind="stable")))
-        count, _ = _flat(got.column("a"))
-        low, _ = _flat(got.column("b"))
-        mass, _ = _flat(got.column("x"))
+        count, _ = flat(got.column("a"))
+        low, _ = flat(got.column("b"))
+        mass, _ = flat(got.column("x"), np.float64)
         low = low.reshape(-1, K)
         if len(count) != len(w) or len(mass) != len(ctx):
             raise RuntimeError("answers do not fit the block")
@@ -310,8 +292,8 @@ def _score(m: _Model, keep2: np.ndarray):
         kept = np.where(cc <= K, keep2[np.minimum(cc, K)], 1.0) * cc
         lp[seen] = np.log10(kept[seen] / total[prev[seen]])
         base = np.log10((c[tok] + 1) / (m.tokens + m.vocabulary + 1))
-        n, _ = _flat(t.column("n"))
-        held, _ = _flat(t.column("held"))
+        n, _ = flat(t.column("n"))
+        held, _ = flat(t.column("held"))
         at = np.repeat(np.arange(len(n)), n)
         add = lambda x: np.bincount(at, weights=x, minlength=len(n))
         docs = t.column("doc").combine_chunks()
@@ -333,25 +315,23 @@ def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "t
     n_buckets = max(1, -(-int(total) // bucket_bytes))
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.coalesce(held_out, F.lit(False)).alias("held"), F.col(text).alias("text"))
     encoded = rows.mapInArrow(
-        _encode(n_buckets, block_bytes), "block long, bucket int, doc array<long>, held array<boolean>, n array<int>, tok array<int>, "
-        "word array<long>, cnt array<int>")
+        _encode(n_buckets, block_bytes), "block long, bucket int, doc array<long>, held binary, n binary, tok binary, word binary, cnt binary")
     name = f"formspark_blocks_{uuid.uuid4().hex}"
-    encoded.write.format("parquet").option("compression", "zstd").bucketBy(n_buckets, "block").saveAsTable(name)
+    encoded.write.format("parquet").options(**PARQUET).bucketBy(n_buckets, "block").saveAsTable(name)
     try:
         table = spark.table(name)
         asked = table.where("bucket >= 0").select("block", "bucket", "word", "cnt")
         words = written(asked.groupBy("bucket").applyInArrow(_count_words, ANSWER), "katz-words")
         mine = table.where("bucket < 0").select("block", "doc", "held", "n", "tok")
-        train = mine.select(F.explode("held").alias("h")).where("not h").count()
-        stats = [(r["bucket"], r["a"]) for r in words.where("block = -1").select("bucket", "a").collect()]
+        train = rows.where("not held").count()
+        stats = [(r["bucket"], unpack(bytes(r["a"]))) for r in words.where("block = -1").select("bucket", "a").collect()]
         m = _Model(stats, train, n_buckets, split)
         words = words.where("block >= 0")
-        wide = "long" if m.begin >= 1 << 31 else "int"
         asked = mine.groupBy("block").cogroup(words.groupBy("block")).applyInArrow(
-            _ask_pairs(m), f"block long, bucket int, ctx array<long>, len array<int>, w array<{wide}>, n array<int>, c array<long>")
+            _ask_pairs(m), "block long, bucket int, ctx binary, len binary, w binary, n binary, c binary")
         pairs = written(asked.groupBy("bucket").applyInArrow(_count_pairs(m), ANSWER), "katz-pairs")
-        n = pairs.where("block = -1").select(*[F.sum(F.col("a")[r]).alias(f"n{r + 1}") for r in range(K + 1)]).first()
-        keep2 = np.array(discounts([0, *(int(x or 0) for x in n)]))
+        n = sum((unpack(bytes(r["a"])) for r in pairs.where("block = -1").select("a").collect()), np.zeros(K + 1, np.int64))
+        keep2 = np.array(discounts([0, *(int(x) for x in n)]))
         answers = words.unionByName(pairs.where("block >= 0"))
         scored = mine.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(
             _score(m, keep2), "doc long, held_out boolean, n_tokens long, n_known long, base_score double, score double")

@@ -80,8 +80,7 @@ def judge(pages: DataFrame, rules: list[tuple[str, str]], default: str = "allow"
             .withColumn("_token", F.explode(url_tokens(F.col("_host"), F.col("_path")))))
     # How many urls have each token of a rule; a token that no url has counts 0.
     literal = table.select("rule", F.explode("tokens").alias("token"))
-    seen = (urls.join(literal.select(F.col("token").alias("_token")).distinct(), "_token", "left_semi")
-            .groupBy("_token").agg(F.count(F.lit(1)).alias("_urls")))
+    seen = urls.groupBy("_token").agg(F.count(F.lit(1)).alias("_urls"))  # added up in each task before tokens meet
     rarest = (literal.join(seen, literal.token == seen["_token"], "left")
               .groupBy("rule").agg(F.min(F.struct(F.coalesce("_urls", F.lit(0)).alias("n"), F.col("token"))).alias("m"))
               .select("rule", F.col("m.token").alias("_rarest")))

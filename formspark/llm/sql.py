@@ -85,4 +85,33 @@ SELECT doc_id, size, text_crc32, 'key' AS law, shard,
 FROM s
 """
 
-ORACLES = {"op1_topk": TOPK, "op5_chat": CHAT, "op8_url_filters": URL, "op9_shards": SHARD}
+_SPACE = r"[\x20\x09-\x0D]+"
+
+JACCARD = rf"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_SPACE}'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, md5(array_to_string(ws[i:i + 3], ' ')) AS h
+      FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 2, 2))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.h = b.h AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM c JOIN n p ON p.doc_id = x JOIN n q ON q.doc_id = y WHERE 100 * c >= 85 * (p.n + q.n - c)),
+r(doc_id, near) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.y FROM r JOIN l ON l.x = r.near)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, d.component_id
+FROM (SELECT doc_id, min(near) AS component_id FROM r GROUP BY doc_id) d LEFT JOIN n USING (doc_id)
+"""
+
+SUBSTRING = rf"""
+WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '{_SPACE}'), lambda x: x <> '') AS ws FROM documents),
+s AS (SELECT doc_id, i, md5(array_to_string(ws[i:i + 49], ' ')) AS h
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w WHERE len(ws) >= 50)),
+m AS (SELECT h, min(doc_id) AS least FROM s GROUP BY h),
+g AS (SELECT DISTINCT s.doc_id, s.i + k.k AS i FROM s JOIN m ON s.h = m.h AND s.doc_id > m.least, range(50) k(k)),
+t AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS i, unnest(ws) AS word FROM w),
+k AS (SELECT t.doc_id, string_agg(t.word, ' ' ORDER BY t.i) AS kept, count(*) AS n FROM t ANTI JOIN g ON t.doc_id = g.doc_id AND t.i = g.i
+      GROUP BY t.doc_id)
+SELECT w.doc_id, len(ws) AS n_words, len(ws) - coalesce(k.n, 0) AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)
+"""
+
+ORACLES = {"op1_topk": TOPK, "op4_jaccard_join": JACCARD, "op6_substring_dedup": SUBSTRING, "op5_chat": CHAT, "op8_url_filters": URL, "op9_shards": SHARD}

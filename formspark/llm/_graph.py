@@ -15,19 +15,19 @@ def components(links: DataFrame) -> DataFrame:
     label next to it and follows that step twice, so long chains shrink by powers; rounds end
     when no link joins two labels. Labels are written tables; nothing comes to the driver.
     """
-    links = written(links.select("a", "b").distinct(), "links")
-    nodes = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
-    labels = written(nodes.withColumn("component", F.col("node")), "labels")
-    while True:
-        of = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"_{c}"))
-        open_ = written(links.join(of("a"), "a").join(of("b"), "b").where("_a <> _b")
-                        .select(F.least("_a", "_b").alias("lo"), F.greatest("_a", "_b").alias("hi")).distinct(), "open-links")
-        if open_.isEmpty():
-            return labels
+    open_ = written(links.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).where("lo < hi").distinct(), "links")
+    nodes = open_.select(F.col("lo").alias("node")).union(open_.select("hi")).distinct()
+    labels = nodes.withColumn("component", F.col("node"))
+    while not open_.isEmpty():
         hook = open_.groupBy("hi").agg(F.min("lo").alias("lo"))
-        hook = written(hook, "hooks")
         for _ in range(2):
             nxt = hook.select(F.col("hi").alias("lo"), F.col("lo").alias("next"))
-            hook = written(hook.join(nxt, "lo", "left").select("hi", F.coalesce("next", "lo").alias("lo")), "hooks")
+            hook = hook.join(nxt, "lo", "left").select("hi", F.coalesce("next", "lo").alias("lo"))
+        hook = written(hook, "hooks")
         labels = written(labels.join(hook, labels["component"] == hook["hi"], "left")
                          .select("node", F.coalesce("lo", "component").alias("component")), "labels")
+        # The links between the new labels.
+        to = lambda c: hook.select(F.col("hi").alias(c), F.col("lo").alias(f"_{c}"))
+        ends = open_.join(to("lo"), "lo", "left").join(to("hi"), "hi").select(F.coalesce("_lo", "lo").alias("x"), F.col("_hi").alias("y"))
+        open_ = written(ends.where("x <> y").select(F.least("x", "y").alias("lo"), F.greatest("x", "y").alias("hi")).distinct(), "links")
+    return labels

@@ -13,16 +13,21 @@ each band by cost: index rows against segments that hold too little to be select
 publishes keys for its own band and, as the larger side, for the bands below that it can link to.
 
 The e spare units make frequent keys harmless. A key that more than ``HOT`` blocks' documents have
-is hot: all its documents are compared with one of them (copies and near copies of one
-text meet that way), and beyond that it is only used between sets whose hot and (nearly)
-empty segments weigh more than e. All other linked sets meet in a key that is not hot.
+is hot, and is only used between sets whose hot and (nearly) empty segments weigh more than e. All
+other linked sets meet in a key that is not hot.
 
 Verification. Documents with equal sets are one class. In each group of classes that share a key
-the smallest is compared with the others, exactly, on 64-bit shingle hashes; groups that still hold
-more than one component go on with further hubs (4 times as many each round) until all pairs
-between components are compared. Pairs inside a component need no comparison. Hubs and
-components are tables; no group is gathered in one task and no key emits all its pairs unless none of
-them links.
+the smallest is compared with the others, exactly, on 64-bit shingle hashes. Pairs inside a
+component need no comparison, so copies and near copies of one text are settled there. What is left:
+
+* Hot groups. Of each set it is known what it adds to the hub and how much it lacks. Two sets
+  without a common addition differ at least by all additions and by the difference of what they
+  lack; where that is within reach they are compared, else they can only link through a common
+  addition, and the additions, which are rare, become the keys of small groups.
+* Small groups go on with further hubs, eight times as many each round, until no group
+  holds two components with members that were not compared.
+
+Hubs, groups and components are tables; no group is gathered in one task.
 
 Defined cases: null, empty or wordless text: empty set, linked with nothing, own component; a
 null key is no candidate for the smallest key of a component (a component of null keys only
@@ -46,7 +51,7 @@ from ._tables import blocks, written
 
 K, PERCENT = 4, 85
 BLOCK_BYTES, BUCKET_BYTES = 8 << 20, 16 << 20
-HOT, SPARE = 32, 6
+HOT, SPARE = 32, 10
 #: Cost of a segment with less than two shingles, in index rows.
 THIN_COST = 50.0
 _U = np.uint64
@@ -110,11 +115,15 @@ def _sums(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
 
 
 def keys_of(grams: np.ndarray, size: np.ndarray, percent: int):
-    """(key, row, own) of all published keys, and each row's slack: e less the weight of thin segments."""
+    """(key, row * 4 + own * 2 + heavy) of all published keys, and the slack of each row.
+
+    ``own``: published for the set's own band; ``heavy``: of a segment with deletions, which weighs 2. The
+    slack is e less the weight of thin segments, (in the own band, the least in lower bands).
+    """
     n = len(size)
-    slack = np.full(n, SPARE, dtype=np.int64)
+    slack = np.full((2, n), SPARE, dtype=np.int64)
     if not len(grams):
-        return np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, bool), slack
+        return np.zeros(0, _U), np.zeros(0, np.int64), slack
     edges = band_edges(int(size.max()), percent)
     own = np.searchsorted(edges, size, side="right") - 1
     least = -(-size * percent // 100)  # the smallest size that can link
@@ -123,7 +132,7 @@ def keys_of(grams: np.ndarray, size: np.ndarray, percent: int):
     value = W.mix(grams ^ _U(_SEED))
     plan = np.array([(*allocate(int(lo), int(hi) - 1, percent),) for lo, hi in zip(edges[:-1], edges[1:], strict=True)],
                     dtype=np.int64)
-    out_key, out_row, out_own = [], [], []
+    out_key, out_who = [], []
     for below in range(int((own - down)[size > 0].max()) + 1):
         rows = np.flatnonzero((size > 0) & (own - below >= down) & (plan[own - below, 0] > 0))
         if not len(rows):
@@ -146,23 +155,23 @@ def keys_of(grams: np.ndarray, size: np.ndarray, percent: int):
         thin = (count == 0) | (near & (count == 1))
         weak = np.bincount(owner[thin], weights=(1 + near[thin]), minlength=len(rows)).astype(np.int64)
         all_keys = weak > e  # such a set publishes the keys of its empty segments, too
-        slack[rows] = np.minimum(slack[rows], e - weak)
+        low = int(below > 0)
+        slack[low, rows] = np.minimum(slack[low, rows], e - weak)
         keep = (count > 0) | all_keys[owner]
         out_key.append(W.mix(sums[keep] + salt[keep]))
-        out_row.append(rows[owner[keep]])
+        out_who.append(rows[owner[keep]] * 4 + (1 - low) * 2 + near[keep])
         gone = near[slot] & ((count[slot] > 1) | all_keys[mine])
         out_key.append(W.mix(sums[slot[gone]] - value[at[gone]] + salt[slot[gone]]))
-        out_row.append(rows[mine[gone]])
-        out_own += [np.full(int(keep.sum()), below == 0), np.full(int(gone.sum()), below == 0)]
+        out_who.append(rows[mine[gone]] * 4 + (1 - low) * 2 + 1)
     if not out_key:
-        return np.zeros(0, _U), np.zeros(0, np.int64), np.zeros(0, bool), slack
-    return np.concatenate(out_key), np.concatenate(out_row), np.concatenate(out_own), slack
+        return np.zeros(0, _U), np.zeros(0, np.int64), slack
+    return np.concatenate(out_key), np.concatenate(out_who), slack
 
 
 def _publish(n_buckets: int, k: int, percent: int, block_bytes: int):
     """Documents to rows for the buckets of their keys, and one row with what is known of the block's documents."""
     schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("doc", pa.list_(pa.int64())), ("n", pa.list_(pa.int32())),
-                        ("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64())), ("slack", pa.list_(pa.int32())), ("tk", pa.list_(pa.int64())),
+                        ("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64())), ("slack", pa.list_(pa.int32())), ("low", pa.list_(pa.int32())), ("tk", pa.list_(pa.int64())),
                         ("key", pa.list_(pa.int32())), ("who", pa.list_(pa.int32()))])
 
     def lists(v, offsets, kind):
@@ -180,20 +189,21 @@ def _publish(n_buckets: int, k: int, percent: int, block_bytes: int):
                 at = np.repeat(np.arange(len(n)), n)
                 set_a = _sums(at, W.mix(grams + _U(11)), len(n))
                 set_b = _sums(at, W.mix(grams ^ _U(0x5555555555555555)), len(n))
-                key, row, own, free = keys_of(grams, n, percent)
+                key, code, free = keys_of(grams, n, percent)
                 size.append(n)
                 a.append(set_a)
                 c.append(set_b)
                 slack.append(free)
                 keys.append(key)
-                who.append((row + done) * 2 + own)
+                who.append(code + done * 4)
                 done += len(n)
-            size, a, c, slack = map(np.concatenate, (size, a, c, slack))
+            size, a, c = map(np.concatenate, (size, a, c))
+            slack, low = np.concatenate(slack, axis=1)
             keys, who = np.concatenate(keys), np.concatenate(who)
             # Copies inside the block publish once; they have the same class.
             _, first, inv = np.unique(np.stack([a, c], axis=1), axis=0, return_index=True, return_inverse=True)
             lead = first[inv.ravel()] == np.arange(len(a))
-            keep = lead[who >> 1]
+            keep = lead[who >> 2]
             keys, who = keys[keep], who[keep]
             bucket = (keys >> _U(32)) * _U(n_buckets) >> _U(32)
             order = np.argsort(bucket, kind="stable")
@@ -209,25 +219,25 @@ def _publish(n_buckets: int, k: int, percent: int, block_bytes: int):
                 pa.array(np.concatenate([[-1 - (base + i) % n_buckets], have.astype(np.int64)]).astype(np.int32)),
                 pa.ListArray.from_arrays(pa.array(np.concatenate([[0], none + len(docs)]).astype(np.int32)), docs),
                 meta(size, np.int32), meta(a.view(np.int64), np.int64), meta(c.view(np.int64), np.int64), meta(slack, np.int32),
-                meta(b.column(b.schema.get_field_index("tk")).to_numpy(), np.int64),
+                meta(low, np.int32), meta(b.column(b.schema.get_field_index("tk")).to_numpy(), np.int64),
                 lists((keys & _U(0xFFFFFFFF)).astype(np.uint32).view(np.int32), ends, np.int32),
                 lists(who, ends, np.int32)], schema=schema)
 
     return run
 
 
-META, GROUP, STAR, HOTS = 0, 1, 2, 3
-FOUND = "kind int, x long, y long, n int, a long, b long, slack int, tk long"
+META, GROUP, HOTS = 0, 1, 2
+FOUND = "kind int, x long, y long, n int, a long, b long, slack int, low int, tk long"
 
 
 def _meet(hot: int):
     """One bucket: documents that share a key."""
-    names = ["kind", "x", "y", "n", "a", "b", "slack", "tk"]
-    types = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+    names = ["kind", "x", "y", "n", "a", "b", "slack", "low", "tk"]
+    types = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
 
-    def frame(kind, x, y=None, n=None, a=None, b=None, slack=None, tk=None):
+    def frame(kind, x, y=None, n=None, a=None, b=None, slack=None, low=None, tk=None):
         size = len(x)
-        cols = [np.full(size, kind), x, y, n, a, b, slack, tk]
+        cols = [np.full(size, kind), x, y, n, a, b, slack, low, tk]
         return pa.table([c if isinstance(c, pa.Array) else pa.nulls(size, t) if c is None else pa.array(c).cast(t)
                          for c, t in zip(cols, types, strict=True)], names=names)
 
@@ -241,12 +251,12 @@ def _meet(hot: int):
         if key[0].as_py() < 0:
             docs, length = flat(t, "doc")
             ref = np.repeat(block << 24, length) + np.concatenate([np.arange(x) for x in length])
-            return frame(META, ref, docs, *[flat(t, c)[0] for c in ("n", "a", "b", "slack", "tk")])
+            return frame(META, ref, docs, *[flat(t, c)[0] for c in ("n", "a", "b", "slack", "low", "tk")])
         keys, length = flat(t, "key")
         who = flat(t, "who")[0].to_numpy()
-        keys, ref, own = keys.to_numpy(), np.repeat(block << 24, length) + (who >> 1), (who & 1).astype(bool)
+        keys, ref = keys.to_numpy(), np.repeat(block << 24, length) + (who >> 2)
         order = np.lexsort((ref, keys))
-        keys, ref, own = keys[order], ref[order], own[order]
+        keys, ref, own, weight = keys[order], ref[order], (who[order] >> 1 & 1).astype(bool), 1 + (who[order] & 1)
         new = np.ones(len(keys), dtype=bool)
         new[1:] = keys[1:] != keys[:-1]
         group = np.cumsum(new) - 1
@@ -255,24 +265,22 @@ def _meet(hot: int):
         size = np.bincount(group[once])
         live = (size > 1) & (np.bincount(group, weights=own) > 0)  # two larger sides alone need not meet here
         keep = once & live[group]
-        group, ref = group[keep], ref[keep]
+        group, ref, own, weight = group[keep], ref[keep], own[keep], weight[keep]
         if not len(group):
-            return frame(META, np.zeros(0, np.int64), np.zeros(0, np.int64), *[np.zeros(0, np.int64)] * 5)
+            return frame(META, np.zeros(0, np.int64), np.zeros(0, np.int64), *[np.zeros(0, np.int64)] * 6)
         start = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
         count = np.diff(np.append(start, len(group)))
         many = np.repeat(count > hot, count)
-        hub = np.repeat(ref[start], count)
         # Keys with the same documents are one group, here and in other buckets.
         name = np.repeat(np.add.reduceat(W.mix(ref.view(_U) + _U(3)), start).view(np.int64), count)
         _, first = np.unique(np.add.reduceat(W.mix(ref.view(_U) + _U(3)), start), return_index=True)
         lead = np.zeros(len(start), dtype=bool)
         lead[first] = True
         lead = np.repeat(lead, count)
-        stars = many & (ref != hub)
-        pair = np.unique(np.stack([hub[stars], ref[stars]], axis=1), axis=0) if stars.any() else np.zeros((0, 2), np.int64)
-        who_hot, n_hot = np.unique(ref[many], return_counts=True)
-        return pa.concat_tables([frame(GROUP, name[lead], ref[lead], many[lead].astype(np.int32)),
-                                 frame(STAR, pair[:, 0], pair[:, 1]), frame(HOTS, who_hot, None, n_hot)])
+        # What the hot keys of each document weigh, in its own band and in lower ones.
+        who_hot, at = np.unique(ref[many], return_inverse=True)
+        hots = np.bincount(at * 2 + own[many], weights=weight[many], minlength=2 * len(who_hot)).astype(np.int64)
+        return pa.concat_tables([frame(GROUP, name[lead], ref[lead], many[lead].astype(np.int32)), frame(HOTS, who_hot, hots[0::2], hots[1::2])])
 
     return run
 
@@ -293,8 +301,9 @@ def _sets(k: int):
 
 
 def classes(docs: DataFrame, k: int = K, percent: int = PERCENT, key: str = "doc_id", text: str = "text",
-            block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES, hot: int = HOT) -> tuple[DataFrame, DataFrame]:
-    """(documents, links): (ref, doc, n, node, tk) of every row, and (a, b) links between the nodes of different sets.
+            block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES, hot: int = HOT) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents, links, labels): (ref, doc, n, node, tk) of every row, (a, b) links between the nodes of different
+    sets, and (node, component) of every node that has links.
 
     The links hold every component together; pairs that an earlier link already joins are left out.
     """
@@ -303,25 +312,22 @@ def classes(docs: DataFrame, k: int = K, percent: int = PERCENT, key: str = "doc
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.xxhash64(text).alias("tk"), F.col(text).alias("text"))
     published = rows.mapInArrow(
         _publish(n_buckets, k, percent, block_bytes), "block long, bucket int, doc array<long>, n array<int>, a array<long>, "
-        "b array<long>, slack array<int>, tk array<long>, key array<int>, who array<int>")
+        "b array<long>, slack array<int>, low array<int>, tk array<long>, key array<int>, who array<int>")
     found = written(published.groupBy("bucket").applyInArrow(_meet(hot), FOUND), "join-found")
 
-    meta = found.where(F.col("kind") == META).select(F.col("x").alias("ref"), F.col("y").alias("doc"), "n", "a", "b", "slack", "tk")
+    meta = found.where(F.col("kind") == META).select(F.col("x").alias("ref"), F.col("y").alias("doc"), "n", "a", "b", "slack", "low", "tk")
     class_ = meta.where("n > 0").groupBy("n", "a", "b").agg(F.min("ref").alias("node"), F.min_by("doc", "ref").alias("rep"))
     known = written(meta.join(class_, ["n", "a", "b"], "left")
-                    .select("ref", "doc", "n", "a", F.coalesce("node", "ref").alias("node"), "rep", "slack", "tk"), "join-classes")
+                    .select("ref", "doc", "n", "a", F.coalesce("node", "ref").alias("node"), "rep", "slack", "low", "tk"), "join-classes")
 
-    hots = found.where(F.col("kind") == HOTS).groupBy(F.col("x").alias("ref")).agg(F.sum("n").alias("hots"))
-    of_ref = known.select(F.col("ref").alias("y"), "node", F.col("n").alias("size"), "slack")
+    hots = found.where(F.col("kind") == HOTS).groupBy("x").agg(F.sum("n").alias("hot_own"), F.sum("y").alias("hot_low"))
+    of_ref = known.select(F.col("ref").alias("y"), "node", F.col("n").alias("size"), "slack", "low")
     member = (found.where(F.col("kind") == GROUP).select(F.col("x").alias("g"), "y", F.col("n").alias("many")).distinct()
-              .join(of_ref, "y").join(hots.withColumnRenamed("ref", "y"), "y", "left")
-              .where((F.col("many") == 0) | (2 * F.coalesce("hots", F.lit(0)) > F.col("slack")))
-              .select("g", "node", "size").distinct())
+              .join(of_ref, "y").join(hots.withColumnRenamed("x", "y"), "y", "left")
+              .where((F.col("many") == 0) | (F.coalesce("hot_own", F.lit(0)) > F.col("slack")) | (F.coalesce("hot_low", F.lit(0)) > F.col("low")))
+              .select("g", "node", "size", "many").distinct())
     member = written(member.join(member.groupBy("g").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("g"), "g", "left_semi"),
                      "join-groups")
-    star = (found.where(F.col("kind") == STAR).select("x", "y").distinct()
-            .join(of_ref.select("y", F.col("node").alias("b"), F.col("size").alias("nb")), "y")
-            .join(of_ref.select(F.col("y").alias("x"), F.col("node").alias("a"), F.col("size").alias("na")), "x"))
 
     def likely(pairs: DataFrame) -> DataFrame:
         """Distinct pairs whose sizes allow a link."""
@@ -329,48 +335,94 @@ def classes(docs: DataFrame, k: int = K, percent: int = PERCENT, key: str = "doc
         return (pairs.where((F.col("a") != F.col("b")) & (100 * small >= percent * large))
                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
-    # First round: the smallest of every group against the others, and the hubs of hot keys.
-    hub = member.groupBy("g").agg(F.min(F.struct("node", "size")).alias("h")).select(
-        "g", F.col("h.node").alias("a"), F.col("h.size").alias("na"))
-    first = member.join(hub, "g").select("a", "na", F.col("node").alias("b"), F.col("size").alias("nb"))
-    pairs = written(likely(first.unionByName(star.select("a", "na", "b", "nb"))), "join-pairs")
-    needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(member.select("node")).distinct()
+    needed = member.select("node").distinct()
     reps = known.where("ref = node").join(needed, "node", "left_semi").select("node", F.col("doc").alias("rep"), "a")
     texts = rows.join(reps.hint("shuffle_hash"), rows["doc"].eqNullSafe(reps["rep"])).select("node", "a", "text")
     sets = written(texts.mapInArrow(_sets(k), "node long, grams array<long>"), "join-sets")
+    left = sets.select(F.col("node").alias("a"), F.col("grams").alias("ga"))
+    right = sets.select(F.col("node").alias("b"), F.col("grams").alias("gb"))
 
     def verified(pairs: DataFrame) -> DataFrame:
-        left = sets.select(F.col("node").alias("a"), F.col("grams").alias("ga"))
-        right = sets.select(F.col("node").alias("b"), F.col("grams").alias("gb"))
         both = F.size(F.array_intersect("ga", "gb"))
-        return (pairs.join(left, "a").join(right, "b")
-                .where(100 * both >= percent * (F.size("ga") + F.size("gb") - both)).select("a", "b"))
+        return written(pairs.join(left, "a").join(right, "b")
+                       .where(100 * both >= percent * (F.size("ga") + F.size("gb") - both)).select("a", "b"), "join-links")
+
+    def labelled(table: DataFrame, labels: DataFrame) -> DataFrame:
+        return table.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+    def unfinished(table: DataFrame) -> DataFrame:
+        """The rows of ``table`` in groups that still hold several components."""
+        more = table.groupBy("g").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
+        return table.join(more.select("g"), "g", "left_semi")
 
-    links = done = None
-    hubs = (0, 1)
+    # First round: the smallest of every group against the others.
+    hub = member.groupBy("g").agg(F.min(F.struct("node", "size")).alias("h")).select(
+        "g", F.col("h.node").alias("a"), F.col("h.size").alias("na"))
+    hub = written(hub, "join-hubs")
+    first = member.join(hub, "g").select("a", "na", F.col("node").alias("b"), F.col("size").alias("nb"))
+    done = pairs = written(likely(first), "join-pairs")
+    links = verified(pairs)
+    labels = components(links)
+
+    # Hot groups: what each set adds to its hub tells whether two of them can link.
+    hot_rows = unfinished(labelled(member.where("many = 1"), labels)).join(hub, "g").where("node <> a")
+    pair = hot_rows.select("a", F.col("node").alias("b")).distinct()
+    more = F.array_except("gb", "ga")
+    diff = written(labelled(pair.join(left, "a").join(right, "b").select(
+        F.col("a").alias("hub"), F.col("b").alias("node"), F.size("gb").alias("size"), more.alias("more"),
+        (F.size("ga") - F.size("gb") + F.size(more)).alias("less")), labels), "join-differences")
+    # Linked sets differ by no more than `reach`, so they share all but as many of their additions, and one of
+    # the first additions when those that the fewest sets of the hub have come first (prefix filter).
+    reach = F.floor(F.col("size") * (100 - percent) / percent).cast("int") + 1
+    token = diff.select("hub", "node", "size", reach.alias("reach"), F.explode("more").alias("t"))
+    same = (token.groupBy("hub", "t").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("node")).alias("x"),
+                                          F.sum(F.hash("node").cast("long")).alias("y"))
+            .select("hub", "t", "c", F.xxhash64("hub", "c", "x", "y").alias("g")))
+    place = F.row_number().over(SparkWindow.partitionBy("hub", "node").orderBy("c", "t"))
+    by_token = (token.join(same, ["hub", "t"]).withColumn("place", place).where("place <= reach and c > 1")
+                .select("g", "node", "size").distinct())
+    kind = diff.select("hub", "node", "component", "size", F.size("more").alias("m"), "less")
+    classes_ = kind.groupBy("hub", "size", "m", "less").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    one, two = classes_.alias("one"), classes_.alias("two")
+    least_apart = F.col("one.m") + F.col("two.m") + F.abs(F.col("one.less") - F.col("two.less"))
+    # Without a common addition two sets differ at least by this; classes of one component need no look.
+    close = one.join(two, (F.col("one.hub") == F.col("two.hub"))
+                     & ((100 + percent) * least_apart <= (100 - percent) * (F.col("one.size") + F.col("two.size")))
+                     & (F.struct("one.size", "one.m", "one.less") <= F.struct("two.size", "two.m", "two.less"))
+                     & ~((F.col("one.lo") == F.col("one.hi")) & (F.col("two.lo") == F.col("two.hi")) & (F.col("one.lo") == F.col("two.lo"))))
+    close = close.select(F.col("one.hub").alias("hub"), *[F.col(f"{x}.{c}").alias(f"{x}_{c}") for x in ("one", "two") for c in ("size", "m", "less")])
+    side = lambda x, n: kind.select("hub", F.col("node").alias(n), F.col("component").alias(f"c{n}"), F.col("size").alias(f"{x}_size"),
+                                    F.col("m").alias(f"{x}_m"), F.col("less").alias(f"{x}_less"))
+    numeric = (close.join(side("one", "a"), ["hub", "one_size", "one_m", "one_less"]).join(side("two", "b"), ["hub", "two_size", "two_m", "two_less"])
+               .where("ca <> cb").select("a", F.col("one_size").alias("na"), "b", F.col("two_size").alias("nb")))
+
+    # All other groups: pairs between components, with more hubs each round.
+    groups = written(member.where("many = 0").select("g", "node", "size").union(by_token), "join-small-groups")
+    pairs = written(likely(numeric).join(done, ["a", "b"], "left_anti"), "join-pairs")
+    hubs = (0, 4)
     while True:
-        new = written(verified(pairs), "join-links")
-        links = new if links is None else links.unionByName(new)
-        done = pairs if done is None else done.unionByName(pairs)
-        joined = components(links)
-        labelled = member.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        open_ = labelled.groupBy("g").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("g")
+        if not pairs.isEmpty():
+            new = verified(pairs)
+            done = done.unionByName(pairs)
+            if not new.isEmpty():
+                links = links.unionByName(new)
+                labels = components(links)
         rank = F.row_number().over(SparkWindow.partitionBy("g").orderBy("node"))
-        labelled = written(labelled.join(open_, "g", "left_semi").withColumn("rank", rank), "join-open")
-        hubs = (hubs[1], hubs[1] + 4 * (hubs[1] - hubs[0]))
-        if labelled.where(F.col("rank") > hubs[0] + 1).isEmpty():
-            return known.select("ref", "doc", "n", "node", "tk"), links
-        h = labelled.where((F.col("rank") > hubs[0]) & (F.col("rank") <= hubs[1])).select(
+        groups = written(unfinished(labelled(groups.select("g", "node", "size"), labels)).withColumn("rank", rank), "join-open")
+        h = groups.where((F.col("rank") > hubs[0]) & (F.col("rank") <= hubs[1])).select(
             "g", F.col("node").alias("a"), F.col("size").alias("na"), F.col("rank").alias("ra"), F.col("component").alias("ca"))
-        o = labelled.select("g", F.col("node").alias("b"), F.col("size").alias("nb"), F.col("rank").alias("rb"), F.col("component").alias("cb"))
+        if h.isEmpty():
+            return known.select("ref", "doc", "n", "node", "tk"), links, labels
+        o = groups.select("g", F.col("node").alias("b"), F.col("size").alias("nb"), F.col("rank").alias("rb"), F.col("component").alias("cb"))
         again = h.join(o, "g").where("rb > ra and ca <> cb").select("a", "na", "b", "nb")
         pairs = written(likely(again).join(done, ["a", "b"], "left_anti"), "join-pairs")
+        hubs = (hubs[1], 8 * hubs[1])
 
 
 def grouped(docs: DataFrame, k: int = K, percent: int = PERCENT, key: str = "doc_id", text: str = "text", **sizes) -> DataFrame:
     """(doc, tk, n, component) of every document: key, hash of its text, set size and the component's node."""
-    known, links = classes(docs, k, percent, key, text, **sizes)
-    return known.join(components(links), "node", "left").select("doc", "tk", "n", F.coalesce("component", "node").alias("component"))
+    known, _, labels = classes(docs, k, percent, key, text, **sizes)
+    return known.join(labels, "node", "left").select("doc", "tk", "n", F.coalesce("component", "node").alias("component"))
 
 
 def join(docs: DataFrame, k: int = K, percent: int = PERCENT, key: str = "doc_id", text: str = "text", **sizes) -> DataFrame:

@@ -16,16 +16,19 @@ from formspark.llm import decontaminate, langid, mixing, setjoin, sharding
 from formspark.llm._tables import ready, written
 from formspark.llm.queries import SHARDS, remainder
 
-#: A document whose language the network gives less mean probability than this is rejected.
-LEAST_SCORE = 0.5
-
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID: documents without letters, or in none of the learned languages, go."""
+    """Language ID: documents of undetermined language go, those without letters.
+
+    No score is asked for: the network spreads all probability over the languages it learned, so a
+    text in two or more of them, or a short one, scores as low as one in none. Where no row is
+    labelled there is nothing to tell languages by, and documents with letters stay.
+    """
     ready(spark)
     net = langid.fit(docs, remainder("doc_id", 5) != 0)
-    seen = langid.predict(docs, net)
-    return seen.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE)).select(*docs.columns)
+    if net is None:
+        return docs.where(langid.lettered("text"))
+    return langid.predict(docs, net).where(F.col("lang_pred") != langid.UNDETERMINED).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -170,6 +170,11 @@ class Network:
         return total / np.maximum(n, 1)[:, None]
 
 
+def lettered(text: str) -> Column:
+    """Whether the column holds a letter; false where it is null."""
+    return F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
+
+
 def training_rows(docs: DataFrame, learn: Column, key: str, text: str, label: str, per_language: int = PER_LANGUAGE,
                   stretch: int = STRETCH, languages: int = LANGUAGES, seed: int = SEED) -> list:
     """At most ``languages * per_language`` (label, stretch of text), by seeded hashes."""
@@ -202,7 +207,7 @@ def predict(docs: DataFrame, net: Network | None, text: str = "text") -> DataFra
     docs = docs.drop(*own)
     if net is None:
         return docs.withColumns({"lang_pred": F.lit(UNDETERMINED), "score": F.lit(0.0)})
-    letters = docs.withColumn("_letters", F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
+    letters = docs.withColumn("_letters", lettered(text))
     names = [*docs.columns, *own]
 
     def run(batches):

@@ -84,3 +84,23 @@ def test_run_gives_the_same(llm, kept):
     got = corpus_pipeline.run(llm, SF)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, kept[-1][1].collect()))
     assert zlib.crc32(b"") == 0
+
+
+def test_every_clean_document_stays(llm, docs):
+    whole = [tuple(r) for r in llm.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang").collect()]
+    by = {lang: [t for _, t, x in whole if x == lang and len(t) > 400] for lang in sorted({x for _, _, x in whole})}
+    short = [" ".join(t.split()[:n]) for texts in by.values() for t in texts[:8] for n in (1, 2, 3)]
+    short = [t for t in short if any(c.isalpha() for c in t)]
+    mixed = ["\n".join(texts[i][:300] for texts in list(by.values())[k:k + n])
+             for n in (2, 3, 4) for k in range(len(by) - n + 1) for i in range(min(map(len, by.values())))]
+    digits = [f"{t[:40]} " + "0123456789 " * 60 for texts in by.values() for t in texts[:4]]
+    clean = whole + [(10**6 + i, t, next(iter(by))) for i, t in enumerate(short + mixed + digits)]
+    none = [(-1, None, "en"), (-2, "", "en"), (-3, "12 -- 3 !", "en")]
+    got = corpus_pipeline.language(llm, docs(clean + none), SF)
+    assert len(by) == 4 and len(mixed) >= 6 and sorted(pairs(got)) == sorted(x[:2] for x in clean)
+    assert langid.predict(docs(clean), langid.fit(docs(whole), F.lit(True))).where("score < 0.5").count() > 0
+
+
+def test_nothing_is_rejected_for_want_of_labels(llm, docs):
+    got = corpus_pipeline.language(llm, docs([(1, "some words", None), (2, "12", None), (3, None, None)]), SF)
+    assert pairs(got) == [(1, "some words")]

@@ -3,13 +3,15 @@
 The network reads UTF-8 bytes in both directions with one small GRU each, gives every position
 a distribution over the languages from both states, and a document the mean over its
 positions. It is written in numpy and trained by backpropagation through time on a bounded
-sample of labelled rows (``PER_LANGUAGE`` stretches of ``STRETCH`` characters for each language,
-chosen by seeded hashes; the ``LANGUAGES`` most frequent languages are learned).
+sample of labelled rows, stretches of ``STRETCH`` characters chosen by seeded hashes. Every label that
+occurs is learned: from ``PER_LANGUAGE`` stretches, or fewer where the labels are so many that all
+together would pass ``ALL_LANGUAGES``, but from one at least.
 
 Prediction covers every byte of every text. Texts are cut into segments of ``SEGMENT`` bytes, which the
 network reads from a zero state, all at the same length together, so memory is bounded by
-a batch of segments and not by the longest text. The model (a few thousand numbers) is what tasks
-get; training rows are the only ones that reach the driver.
+a batch of segments and not by the longest text; batches are smaller where labels are many. The model
+(a few thousand numbers, and some for each label) is what tasks get; training rows are the only ones
+that reach the driver.
 
 Defined cases: null or letterless text: ``und`` with score 0 (a letter is a character of the
 Unicode class L); no labelled rows: ``und`` with score 0 everywhere; repeated rows get equal
@@ -28,11 +30,14 @@ from . import _words as W
 from ._tables import blocks
 
 HIDDEN, SEGMENT = 8, 256
-PER_LANGUAGE, STRETCH, LANGUAGES = 600, 160, 64
-STEPS, BATCH, RATE = 260, 64, 0.03
+PER_LANGUAGE, STRETCH, ALL_LANGUAGES = 600, 160, 38_400
+#: Steps of training for each ``STEPS_LABELS`` labels, begun ones included.
+STEPS, STEPS_LABELS, BATCH, RATE = 260, 64, 64, 0.03
 SEED = 5
 UNDETERMINED = "und"
 BLOCK_BYTES, LANES = 4 << 20, 1024
+#: Segments times labels, and rows times labels, that are held at once.
+LANE_CELLS, ROW_CELLS = 1 << 16, 1 << 24
 
 
 class Network:
@@ -143,6 +148,7 @@ class Network:
     def pooled(self, data: np.ndarray, off: np.ndarray, segment: int = SEGMENT, lanes: int = LANES) -> np.ndarray:
         """Mean distribution over all positions of every row; rows of zeros where a row is empty."""
         n = np.diff(off)
+        lanes = max(1, min(lanes, LANE_CELLS // len(self.labels)))
         parts = -(-n // segment)
         row = np.repeat(np.arange(len(n)), parts)
         index = np.arange(len(row)) - np.repeat(np.concatenate([[0], np.cumsum(parts)[:-1]]), parts)
@@ -169,6 +175,17 @@ class Network:
             np.add.at(total, row[mine], probs.sum(axis=0))
         return total / np.maximum(n, 1)[:, None]
 
+    def best(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(label, its mean probability) of every row."""
+        step, label, score = max(1, ROW_CELLS // len(self.labels)), [], []
+        for first, last in W.pieces(off):
+            for lo in range(first, last, step):
+                hi = min(lo + step, last)
+                probs = self.pooled(data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo])
+                label.append(probs.argmax(axis=1))
+                score.append(probs[np.arange(hi - lo), label[-1]])
+        return np.concatenate(label), np.concatenate(score)
+
 
 def lettered(text: str) -> Column:
     """Whether the column holds a letter; false where it is null."""
@@ -176,15 +193,16 @@ def lettered(text: str) -> Column:
 
 
 def training_rows(docs: DataFrame, learn: Column, key: str, text: str, label: str, per_language: int = PER_LANGUAGE,
-                  stretch: int = STRETCH, languages: int = LANGUAGES, seed: int = SEED) -> list:
-    """At most ``languages * per_language`` (label, stretch of text), by seeded hashes."""
+                  stretch: int = STRETCH, all_languages: int = ALL_LANGUAGES, seed: int = SEED) -> list:
+    """(label, stretch of text) of every label, by seeded hashes: ``per_language`` each at most, and
+    ``all_languages`` together unless there are more labels than that."""
     may = docs.where(learn & F.col(label).isNotNull()).where(F.col(text).rlike(r"\p{L}"))
-    common = may.groupBy(F.col(label).alias("l")).count().orderBy(F.desc("count"), "l").limit(languages).select("l")
+    each = max(1, min(per_language, all_languages // max(1, may.select(label).distinct().count())))
     u = F.xxhash64(F.lit(seed), F.col(key), F.length(text))
     at = F.pmod(u, F.greatest(F.length(text) - stretch, F.lit(1))).cast("int") + 1
-    some = may.select(F.col(label).alias("l"), u.alias("u"), F.substring(text, at, F.lit(stretch)).alias("t")).join(F.broadcast(common), "l")
+    some = may.select(F.col(label).alias("l"), u.alias("u"), F.substring(text, at, F.lit(stretch)).alias("t"))
     w = Window.partitionBy("l").orderBy("u", "t")
-    return some.withColumn("r", F.row_number().over(w)).where(F.col("r") <= per_language).select("l", "t").orderBy("l", "t").collect()
+    return some.withColumn("r", F.row_number().over(w)).where(F.col("r") <= each).select("l", "t").orderBy("l", "t").collect()
 
 
 def fit(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text", label: str = "lang", steps: int = STEPS,
@@ -197,7 +215,8 @@ def fit(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text",
         return None
     net = Network(labels, hidden, seed)
     if len(labels) > 1:
-        net.train([t for _, t in rows], np.array([labels.index(name) for name, _ in rows]), steps, seed=seed)
+        index = {name: k for k, name in enumerate(labels)}
+        net.train([t for _, t in rows], np.array([index[name] for name, _ in rows]), steps * -(-len(labels) // STEPS_LABELS), seed=seed)
     return net
 
 
@@ -214,9 +233,8 @@ def predict(docs: DataFrame, net: Network | None, text: str = "text") -> DataFra
         for b in blocks(batches, text, BLOCK_BYTES):
             data, off = W.buffers(b.column(b.schema.get_field_index(text)))
             known = b.column(b.schema.get_field_index("_letters")).to_numpy(zero_copy_only=False).astype(bool)
-            probs = np.concatenate([net.pooled(data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo]) for lo, hi in W.pieces(off)])
-            best = probs.argmax(axis=1)
-            score = np.where(known, np.clip(probs[np.arange(len(best)), best], 0, 1), 0.0)
+            best, score = net.best(data, off)
+            score = np.where(known, np.clip(score, 0, 1), 0.0)
             lang = [net.labels[k] if ok else UNDETERMINED for k, ok in zip(best.tolist(), known.tolist(), strict=True)]
             yield pa.record_batch([*[b.column(i) for i in range(len(b.schema)) if b.schema.names[i] != "_letters"],
                                    pa.array(lang), pa.array(score)], names=names)

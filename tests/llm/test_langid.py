@@ -72,3 +72,28 @@ def test_defined_cases(docs):
     none = langid.fit(docs([(1, english, None)]), F.lit(True))
     assert none is None and langid.predict(docs(rows), none).first().lang_pred == "und"
     assert langid.predict(docs([]), net).count() == 0
+
+
+def test_every_label_is_learned(docs):
+    names = [f"l{i:02d}" for i in range(70)]
+    letters = [chr(97 + i % 26) + chr(97 + (i % 26 + 1 + i // 26) % 26) for i in range(70)]
+    rows = [(i, letters[i % 70] * 40, names[i % 70]) for i in range(70 * 4) if i % 70 < 60 or i < 70]
+    df = docs(rows)
+    drawn = [r["l"] for r in langid.training_rows(df, F.lit(True), "doc_id", "text", "lang", all_languages=140)]
+    assert sorted(set(drawn)) == names and max(drawn.count(x) for x in names) == 2
+    net = langid.fit(df, F.lit(True))
+    assert net.labels == names
+    got = langid.predict(df, net).select("lang", "lang_pred", "doc_id").collect()
+    assert np.mean([r.lang == r.lang_pred for r in got]) > 0.9
+    assert np.mean([r.lang == r.lang_pred for r in got if r.lang >= "l60"]) >= 0.8
+
+
+def test_many_labels_in_small_batches(monkeypatch):
+    net = langid.Network(["a", "b", "c"], seed=2)
+    text = "".join(chr(97 + i * i % 26) for i in range(900)).encode()
+    data, off = np.frombuffer(text, np.uint8), np.array([0, 0, 5, 300, 301, 900])
+    want = net.best(data, off)
+    monkeypatch.setattr(langid, "LANE_CELLS", 4)
+    monkeypatch.setattr(langid, "ROW_CELLS", 6)
+    got = net.best(data, off)
+    assert want[0].tolist() == got[0].tolist() and want[1] == pytest.approx(got[1], abs=1e-6)

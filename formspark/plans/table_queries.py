@@ -364,16 +364,32 @@ def response_untyped(spark, sf_dir):
     return _response_fields(normalize(_line_answers(spark, sf_dir).withColumn("item_type", F.lit("text")), typed=False))
 
 
-def parse_long_lists(spark, sf_dir):
-    """Option lists as long as a supplier has lines, from one text for each supplier."""
-    configure(spark)
-    li = _t(spark, sf_dir, "lineitem")
+#: A list of ``parse_long_lists`` has about half as many options as this, and hardly ever more.
+LIST_OPTIONS = 1 << 16
+
+
+def _option_lists(lines: DataFrame, most: int = LIST_OPTIONS) -> DataFrame:
+    """(l_suppkey, text): the lines of a supplier as one option list, or as several where they are more than ``most``.
+
+    The suppliers with several lists are broadcast, at most one for every ``most`` lines.
+    """
     one = F.concat(F.lit("line "), F.col("l_orderkey").cast("string"), F.lit(" no "), F.col("l_linenumber").cast("string"), F.lit(": "),
                    F.col("l_orderkey").cast("string"), F.lit(" (score: "), F.col("l_linenumber").cast("string"), F.lit(")"))
-    texts = li.groupBy("l_suppkey").agg(F.array_join(F.collect_list(one), ", ").alias("text"))
-    opts = texts.select("l_suppkey", opt_parser.parse_options(F.col("text")).alias("o"))
+    many = (lines.groupBy(F.col("l_suppkey").alias("_many")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most)
+            .select("_many", F.ceil(F.col("_n") * 2 / most).alias("_lists")))
+    part = F.coalesce(F.pmod(F.xxhash64("l_orderkey", "l_linenumber"), F.col("_lists")), F.lit(0).cast("bigint"))
+    dealt = lines.join(F.broadcast(many), F.col("l_suppkey").eqNullSafe(F.col("_many")), "left")
+    return (dealt.select("l_suppkey", part.alias("_part"), one.alias("_one")).groupBy("l_suppkey", "_part")
+            .agg(F.array_join(F.collect_list("_one"), ", ").alias("text")).select("l_suppkey", "text"))
+
+
+def parse_long_lists(spark, sf_dir):
+    """Option lists as long as a supplier has lines, up to ``LIST_OPTIONS``, from one text for each; sums for each supplier."""
+    configure(spark)
+    opts = _option_lists(_t(spark, sf_dir, "lineitem")).select("l_suppkey", opt_parser.parse_options(F.col("text")).alias("o"))
     total = lambda f: F.aggregate("o", F.lit(0).cast("bigint"), lambda t, x: t + x[f])
-    return opts.select("l_suppkey", F.size("o").cast("bigint").alias("n_options"), total("value").alias("sum_value"), total("score").alias("sum_score"))
+    each = opts.select("l_suppkey", F.size("o").cast("bigint").alias("n"), total("value").alias("value"), total("score").alias("score"))
+    return each.groupBy("l_suppkey").agg(F.sum("n").alias("n_options"), F.sum("value").alias("sum_value"), F.sum("score").alias("sum_score"))
 
 
 # --- wide ------------------------------------------------------------------------------

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from conftest import OPTS, _row, write_export
 from formspark.operators import grids, wide as W
-from formspark.plans import job, outputs
+from formspark.plans import job, outputs, table_queries
 from formspark.sources.exports import read_export
 from formspark.sources.participants import RosterColumnError, select_roster
 
@@ -194,3 +194,17 @@ def test_wide_all_types(spark, tmp_path):
     assert str(w["s1"].day__date) == "2021-04-03" and str(w["s2"].day__date) == "2022-06-05"
     assert (w["s1"].spot__latitude, w["s1"].spot__longitude, w["s1"].spot__optional_text) == (1.5, -2.25, "home")
     assert w["s1"].response_value__note == "hello" and "note__text" not in W.wide(rep, all_types=True).columns
+
+
+def test_long_lists_are_bounded(spark, tmp_path):
+    n, most = 150_000, table_queries.LIST_OPTIONS
+    lines = spark.range(n + 3000).select(
+        F.when(F.col("id") < n / 2, F.lit(7)).when(F.col("id") >= n, F.col("id") % 3).cast("bigint").alias("l_suppkey"),
+        F.col("id").alias("l_orderkey"), (F.col("id") % 7 + 1).cast("int").alias("l_linenumber"))
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    sizes = (table_queries._option_lists(lines).groupBy("l_suppkey", F.size(F.split("text", ", ")).alias("n")).count().collect())
+    assert max(r["n"] for r in sizes) <= most and min(r["n"] for r in sizes if r["l_suppkey"] in (None, 7)) > most / 4
+    assert {r["l_suppkey"]: r["n"] for r in sizes if r["l_suppkey"] in (0, 1, 2)} == {0: 1000, 1: 1000, 2: 1000}
+    got = {r["l_suppkey"]: tuple(r)[1:] for r in table_queries.parse_long_lists(spark, str(tmp_path)).collect()}
+    want = lines.groupBy("l_suppkey").agg(F.count("*"), F.sum("l_orderkey"), F.sum(F.col("l_linenumber").cast("bigint"))).collect()
+    assert got == {r[0]: tuple(r)[1:] for r in want}

@@ -42,3 +42,23 @@ def test_defined_cases(llm):
     df = llm.createDataFrame(rows, TURNS).withColumns({c: F.lit("z") for c in ("pos", "n", "chat", "_a", "hash_a")})
     assert sorted(map(tuple, chat.format_chats(df).collect()), key=str) == brute(rows)
     assert chat.format_chats(llm.createDataFrame([], TURNS)).count() == 0
+
+
+def test_long_conversations_are_dealt_out(llm):
+    r = random.Random(4)
+    body = [(r.choice([None, 0, 1, *range(40)]), r.choice([None, "u", "b"]), r.choice([None, "", "x", "y", "w" * 70, "w" * 70 + "z"])) for _ in range(400)]
+    body += [(7, "u", "again")] * 200
+    rows = [(c, *x) for c in (None, 3, 5) for x in body] + [(9, i, "u", str(i % 7)) for i in range(300)]
+    rows += [(8, i, "u", str(i % 7)) for i in range(290)] + [(2, i, "u", str(i % 7)) for i in range(12)]
+    rows += [(100 + i, t, "u", str(r.randrange(3))) for i in range(30) for t in range(r.randrange(1, 5))]
+    df = llm.createDataFrame(rows, TURNS).repartition(4)
+    assert sorted(map(tuple, chat.format_chats(df, most=16).collect()), key=str) == brute(rows)
+    assert sorted(map(tuple, chat.format_chats(df, most_bytes=2000).collect()), key=str) == brute(rows)
+    ordinary, ranged = chat.split(df, most=16)
+    assert ordinary.groupBy("conv_id").count().agg(F.max("count")).first()[0] <= 16
+    assert ranged.groupBy("conv_id", "_range").count().agg(F.max("count")).first()[0] < 100
+    cut = {}
+    for x in sorted(chat.parts(df, most=16).collect(), key=lambda x: x.part):
+        cut.setdefault((x.conv_id, x.n_turns, x.n_snapshots), []).append(x.chat)
+    assert sorted(((*k, "".join(v)) for k, v in cut.items()), key=str) == brute(rows)
+    assert max(map(len, cut.values())) > 20

@@ -5,16 +5,16 @@
    count for each run of windows with the same key. Partitions build count-min sketches (``ROWS``
    rows of ``2 ** width`` cells) as sparse stripes, and stripes are merged. A window's estimate, the
    least count of its key's cells, is never below the number of places where the window starts. All
-   that is needed of the merged sketch is which cells reach 2: ``ROWS * 2 ** width / 8`` bytes,
-   16 MB by default whatever the corpus holds, which is what may be broadcast.
+   that is needed of the merged sketch is which cells reach 2: ``ROWS * 2 ** width / 8`` bytes, which
+   are broadcast. ``width`` follows the bytes of the corpus, from 26 (16 MB) to 29 (128 MB).
 2. *Exact pass*. Windows with an estimate of 2 or more go by their 64-bit hash to partitions, where
    the smallest document id of every window is found exactly; the starts in other documents
    are sent back. A block of documents sends each distinct window once, for its smallest
    document, so that a passage that a third of the corpus shares is one entry for each block.
 3. *Removal*. Starts become runs, are joined to their documents and the covered words go.
 
-A wider corpus fills the sketch and lets more windows through to the exact pass; the result does
-not change. ``width`` may then be raised (32 MB at 27).
+A corpus too large for the widest sketch fills it and lets more windows through to the exact
+pass; the result does not change.
 
 Defined cases: null, empty or wordless text: no words, nothing removed, kept text empty; a null
 id comes after all ids and is no earlier document for another null; rows with equal ids
@@ -33,12 +33,23 @@ from . import _words as W
 from ._tables import blocks, written
 
 WINDOW, GRAM = 50, 8
-ROWS, WIDTH, STRIPE = 2, 26, 20
+ROWS, STRIPE = 2, 20
+#: Bounds of the sketch's width, its cells for each expected run, and bytes of words: 6 with their space.
+LEAST_WIDTH, MOST_WIDTH, CELLS_PER_RUN, WORD_BYTES = 26, 29, 4, 6
 BLOCK_BYTES, BUCKET_BYTES = 12 << 20, 16 << 20
 _U = np.uint64
 LAST = np.iinfo(np.int64).max
 
 
+def fitting_width(total: int, window: int = WINDOW) -> int:
+    """Width of the sketch for a corpus of ``total`` bytes.
+
+    A run of windows with the same smallest shingle is about (shingles of a window + 1) / 2 words long.
+    """
+    runs = total / WORD_BYTES * 2 / (window - min(GRAM, window) + 2)
+    return min(MOST_WIDTH, max(LEAST_WIDTH, int(np.ceil(np.log2(max(1, CELLS_PER_RUN * runs))))))
+
+
 def sliding_min(x: np.ndarray, n: int) -> np.ndarray:
     """Minimum of every n consecutive entries."""
     have, out = 1, x
@@ -263,12 +274,13 @@ def _kept(batches):
         yield pa.record_batch([_column(b, "doc"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())], schema=schema)
 
 
-def removed_runs(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text", width: int = WIDTH,
+def removed_runs(docs: DataFrame, window: int = WINDOW, key: str = "doc_id", text: str = "text", width: int | None = None,
                  stripe: int = STRIPE, block_bytes: int = BLOCK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """(doc, tk, lo, hi): runs of removed words of every document that loses any; tk is the hash of its text."""
     total = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
     n_buckets = max(1, -(-int(total) // bucket_bytes))
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.xxhash64(text).alias("tk"), F.col(text).alias("text"))
+    width = fitting_width(int(total), window) if width is None else width
     stripe = min(stripe, width)
     bits = docs.sparkSession.sparkContext.broadcast(
         repeated_cells(rows.select("text"), window, width, stripe, n_buckets // 64 + 1, block_bytes))

@@ -72,3 +72,21 @@ def test_extra_columns(docs):
 
     df = docs([(1, "a b"), (2, "a b")]).withColumns({c: F.lit(0) for c in ("doc", "tk", "lo", "hi", "kept")})
     assert got(substring.dedup(df, 2)) == [(1, 2, 0, "a b"), (2, 2, 2, "")]
+
+
+def test_sketch_follows_the_corpus(docs, monkeypatch):
+    r, made, of = random.Random(8), [], substring.repeated_cells
+    rows = [(i, " ".join("".join(r.choices("abcdefgh", k=5)) for _ in range(400))) for i in range(60)]
+    rows.append((99, rows[3][1]))
+
+    def watched(text, window, width, *a):
+        made.append((width, of(text, window, width, *a)))
+        return made[-1][1]
+
+    monkeypatch.setattr(substring, "repeated_cells", watched)
+    monkeypatch.setattr(substring, "LEAST_WIDTH", 8)
+    assert got(substring.dedup(docs(rows), 50)) == brute(rows, 50)
+    (width, bits), = made
+    full = [np.unpackbits(x).mean() for x in bits]
+    assert width == 13 and max(full) < 0.1
+    assert [substring.fitting_width(int(x)) for x in (1e8, 1e10, 1e13)] == [22, 29, 29]

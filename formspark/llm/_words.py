@@ -76,13 +76,16 @@ def pieces(offsets: np.ndarray, most: int = PIECE_BYTES) -> Iterator[tuple[int,
         lo = hi
 
 
-def spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts, ends, first): byte spans of the words and, per row, its first word's index."""
+def spans(data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, first): byte spans of the words and, per row, its first word's index.
+
+    ``gaps``: a table of the bytes that are in no word; only ASCII bytes may be in it.
+    """
     n = len(data)
     if not n:
         none = np.zeros(0, np.int64)
         return none, none, np.zeros(len(offsets), np.int64)
-    word = ~_SPACE[data]
+    word = ~gaps[data]
     edge = np.empty(n + 1, dtype=bool)
     edge[0], edge[n] = word[0], word[-1]
     np.not_equal(word[1:], word[:-1], out=edge[1:n])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, katz, langid, mixing, setjoin, sharding, substring, topk, url_filters
+from . import chat, decontaminate, html, katz, langid, mixing, ranked, setjoin, sharding, substring, topk, url_filters, whiten
 from ._tables import ready
 
 #: The rules of the URL query.
@@ -88,6 +88,28 @@ def op10_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.score(table(spark, sf_dir, "documents"), remainder("doc_id", 7) == 2)
 
 
+def op11_whiten(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The embeddings on their first four principal components, whitened."""
+    vectors = table(spark, sf_dir, "embeddings")
+    w = whiten.fit(vectors, components=4)
+    out = whiten.whiten(vectors, w).select("vec_id", F.posexplode("whitened").alias("at", "whitened"), F.col("deviation").cast("long").alias("deviation"))
+    n, error, shares = (w.n, w.error, [float(v) / w.trace for v in w.values]) if w else (0, 0.0, [])
+    explained = F.get(F.array(*[F.lit(s) for s in shares]).cast("array<double>"), F.col("at"))
+    return out.select("vec_id", (F.col("at") + 1).cast("int").alias("component"), F.lit(n).cast("long").alias("n"), "deviation", "whitened",
+                      explained.alias("explained"), F.lit(error).cast("double").alias("identity_error"))
+
+
+def op12_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html")).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten documents that score highest for every benchmark item."""
+    return ranked.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+
+
 QUERIES = {
     "op1_topk": op1_topk,
     "op2_decontaminate": op2_decontaminate,
@@ -99,4 +121,7 @@ QUERIES = {
     "op8_url_filters": op8_url_filters,
     "op9_shards": op9_shards,
     "op10_katz": op10_katz,
+    "op11_whiten": op11_whiten,
+    "op12_html_text": op12_html_text,
+    "op13_search": op13_search,
 }

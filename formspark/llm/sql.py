@@ -114,4 +114,21 @@ SELECT w.doc_id, len(ws) AS n_words, len(ws) - coalesce(k.n, 0) AS n_removed, sh
 FROM w LEFT JOIN k USING (doc_id)
 """
 
-ORACLES = {"op1_topk": TOPK, "op4_jaccard_join": JACCARD, "op6_substring_dedup": SUBSTRING, "op5_chat": CHAT, "op8_url_filters": URL, "op9_shards": SHARD}
+_TERMS = "list_filter(regexp_extract_all({t}, '[0-9A-Za-z\\x{{80}}-\\x{{10FFFF}}]+'), lambda x: x <> '')"
+_FOLDED = "translate(coalesce({t}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+SEARCH = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS.format(t=_FOLDED.format(t="text"))} AS ts FROM documents),
+b AS (SELECT row_number() OVER () AS q, item_id, {_TERMS.format(t=_FOLDED.format(t="text"))} AS ts FROM benchmark),
+s AS (SELECT count(*) AS nd, sum(len(ts))::BIGINT AS l FROM d WHERE len(ts) > 0),
+p AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(ts) AS term FROM d) GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * nd + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM p, s GROUP BY term, nd),
+x AS (SELECT r, doc_id, 100 - 75 + (75 * len(ts) * nd) // l AS m FROM d, s),
+q AS (SELECT q, item_id, term, count(*) AS times FROM (SELECT q, item_id, unnest(ts) AS term FROM b) GROUP BY ALL),
+c AS (SELECT q.q, q.item_id, x.r, x.doc_id, sum(q.times * w.w * ((1000000000 * p.tf) // (1000 * p.tf + 8 * x.m)))::BIGINT AS score
+      FROM q JOIN p USING (term) JOIN w USING (term) JOIN x ON x.r = p.r GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+FROM c WHERE score > 0 QUALIFY rank <= 10
+"""
+
+ORACLES = {"op13_search": SEARCH, "op1_topk": TOPK, "op4_jaccard_join": JACCARD, "op6_substring_dedup": SUBSTRING, "op5_chat": CHAT, "op8_url_filters": URL, "op9_shards": SHARD}

@@ -1,7 +1,8 @@
 """Long reshapes of the report: options and answers exploded to rows.
 
-All are narrow (Generate/Project): no shuffle.  Explodes are ``*_outer`` so
-that a null or empty list keeps one row with nulls.
+Answers are exploded by narrow steps (Generate/Project). Options come from the option
+dictionary, a join on the text's key, so each distinct text is parsed once and no row parses its
+own. Explodes are ``*_outer`` so that a null or empty list keeps one row with nulls.
 """
 
 from __future__ import annotations
@@ -11,12 +12,13 @@ from pyspark.sql import functions as F
 
 from ..functions.options import parse_options
 from ..functions.scalars import strip_all
+from .dictionary import OptionDictionary, option_dictionary, with_options
 from .structs import unnest
 
 
-def expand_options(df: DataFrame) -> DataFrame:
+def expand_options(df: DataFrame, dictionary: OptionDictionary | None = None) -> DataFrame:
     """One row per answer option of the row's item (``item_response_options`` struct)."""
-    return df.withColumn("item_response_options", F.explode_outer("item.response_options"))
+    return with_options(df, dictionary).withColumn("item_response_options", F.explode_outer("item.response_options"))
 
 
 def expand_responses(report: DataFrame) -> DataFrame:
@@ -56,7 +58,8 @@ def long_response_report(report: DataFrame) -> DataFrame:
 
 
 def long_report(report: DataFrame) -> DataFrame:
-    return expand_options(expand_responses(report))
+    """Every atomic answer value times every option of its item."""
+    return expand_options(expand_responses(report), option_dictionary(report))
 
 
 def item_response_options(report: DataFrame) -> DataFrame:

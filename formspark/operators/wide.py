@@ -21,15 +21,21 @@ pass-through column), null-safe.
 Column names that differ only in case, which Spark cannot tell apart, get the
 suffix ``__2``, ``__3`` ... in the order of the names.
 
-Physical plan: one metadata query finds the items (distinct item x options
-text x chosen value; options are parsed on those rows only) and returns one
-row for each item, the list of columns.  Then **one** aggregation collects
-the answers of a submission in a single narrow buffer, a map from item code
-to answer, and the columns are read from that map.  Work per answer row does
-not depend on the number of columns, and there is no limit on it; the buffer
-of a submission is bounded by its questionnaire, as duplicate answers fail
-there (a filter, so no projection can remove the check).  ``split_wide``
-writes that buffer once and reads each activity's own columns from it.
+Physical plan:
+
+1. One scan finds the items: distinct (item, options text, chosen value), written as a small table. The
+   option dictionary parses each distinct text of it once; one row for each item comes to the driver.
+2. Answer rows get their options from the dictionary by a join (no row parses a text) and are
+   aggregated in two levels: by (submission, item) into the smallest answer and the number of answers, then by
+   submission into a map from item code to answer. A submission is known by a 128-bit hash of its index
+   columns, so keys are two integers. With ``on_duplicate='first'`` the first level combines in the
+   map tasks, so an item answered any number of times costs one row of each task; with ``'fail'``, where every (submission,
+   item) has one answer or the job fails, rows are dealt by submission once and both levels need no
+   shuffle of their own. The second level holds at most one answer of each item.
+3. The columns are read from the map: work per answer row does not depend on the number of columns, and
+   there is no limit on it. The duplicate check is a filter, so no projection removes it.
+
+``split_wide`` writes the maps once, partitioned by activity; each activity's table reads its own folder.
 With ``all_types=True`` non-text items also get typed columns.
 """
 
@@ -37,6 +43,7 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
@@ -44,9 +51,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema
-from ..session import ensure_checkpoint_dir
-from ..functions.options import parse_options
-from ..functions.scalars import iso_duration, strip_all
+from ..functions.scalars import iso_duration
+from ..session import ensure_checkpoint_dir, scratch_path
+from .dictionary import OptionDictionary, option_dictionary
 from .structs import column, column_order, distinct_names, field_names
 
 # Types pivoted by their own rule; every other type uses the text rule.
@@ -65,7 +72,6 @@ TYPED_FIELDS: dict[str, list[tuple[str, str]]] = {
     "raw_value": [("raw_value", "raw_value")],
     "optional_text": [("optional_text", "optional_text")],
 }
-_ACTIVITY = ("act_id", "act_name")
 
 
 @dataclass
@@ -78,6 +84,7 @@ class WideLayout:
     text: list[str] = field(default_factory=list)
     typed: dict[str, list[str]] = field(default_factory=dict)  # all_types: item -> answer forms
     codes: dict[tuple[str, str], int] = field(default_factory=dict)  # (rule, item) -> map key
+    dictionary: OptionDictionary | None = None                   # options of the select items
 
 
 def _rule(t: Column) -> Column:
@@ -88,33 +95,64 @@ def _code(rule: Column, name: Column) -> Column:
     return F.xxhash64(rule, name)
 
 
-def _layout_rows(report: DataFrame, *, by_activity: bool, all_types: bool = False) -> list:
-    """One row for each item [and activity]: its option values, whether a chosen option has a score, answer forms."""
-    rule, act = _rule(F.col("item.type")), list(_ACTIVITY) if by_activity else []
+def _null_mask(cols: list[Column]) -> list[Column]:
+    """Integers that tell which of ``cols`` are null (hashes skip nulls)."""
+    masks = []
+    for i in range(0, len(cols), 60):
+        bits = [F.when(c.isNull(), F.lit(1 << j)).otherwise(F.lit(0)) for j, c in enumerate(cols[i:i + 60])]
+        masks.append(reduce(lambda a, b: a + b, bits).cast("bigint"))
+    return masks
+
+
+def _activity_code() -> Column:
+    parts = [F.col("activity.id"), F.col("activity.name")]
+    return F.concat(F.lit("a"), F.hex(F.xxhash64(*parts, *_null_mask(parts))))
+
+
+def _submission_key(report: DataFrame, index: list[str]) -> list[Column]:
+    """128 bits that stand for one combination of the index columns, nulls included."""
+    leaves: list[Column] = []
+    for c in index:
+        leaves += [column(c, f) for f in field_names(report, c)] if isinstance(report.schema[c].dataType, T.StructType) else [column(c)]
+    structs = [column(c) for c in index if isinstance(report.schema[c].dataType, T.StructType)]
+    parts = leaves + _null_mask(leaves + structs)
+    return [F.xxhash64(*parts).alias("_h1"), F.xxhash64(F.lit(1), *parts).alias("_h2")]
+
+
+def _layout_rows(report: DataFrame, *, by_activity: bool, all_types: bool = False) -> tuple[list, OptionDictionary]:
+    """One row for each item [and activity]: its option values, whether a chosen option has a score, answer
+    forms; and the dictionary of the select items' options. One scan of the report."""
+    rule, act = _rule(F.col("item.type")), ["act_id", "act_name", "act_code"] if by_activity else []
     select = rule.isin(schema.MULTI_SELECT, schema.SINGLE_SELECT)
-    cols = [rule.alias("rule"), F.col("item.name").alias("name"),
-            F.when(select, strip_all(F.col("item.raw_options"))).alias("text"),
+    cols = [rule.alias("rule"), F.col("item.name").alias("name"), F.when(select, F.col("item.raw_options")).alias("text"),
             F.when(rule == schema.SINGLE_SELECT, F.col("response.value.single_value")).alias("chosen")]
     if by_activity:
-        cols += [F.col("activity.id").alias("act_id"), F.col("activity.name").alias("act_name")]
+        cols += [F.col("activity.id").alias("act_id"), F.col("activity.name").alias("act_name"), _activity_code().alias("act_code")]
     if all_types:
         other = F.coalesce(F.col("item.type") != schema.TEXT, F.lit(False))
         cols += [F.when(other, F.col("response.value.type")).alias("form"),
                  (other & F.col("response.value.optional_text").isNotNull()).alias("with_text")]
-    seen = report.select(*cols).where(F.col("name").isNotNull()).distinct()
-    opts = F.filter(parse_options(F.col("text")), lambda o: o["value"].isNotNull())
+    found_items = report.select(*cols).where(F.col("name").isNotNull()).distinct()
+    ensure_checkpoint_dir(report.sparkSession)
+    path = scratch_path(report.sparkSession, "items")
+    found_items.write.parquet(path)
+    seen = report.sparkSession.read.schema(found_items.schema).parquet(path)
+    dictionary = option_dictionary(seen, F.col("text"))
+    opts = F.filter("opts", lambda o: o["value"].isNotNull())
     entries = F.array_distinct(F.transform(opts, lambda o: F.struct(o["value"], o["name"], o["score"])))
     values = F.array_distinct(F.transform(opts, lambda o: o["value"]))
     single = F.col("rule") == schema.SINGLE_SELECT
     found = F.exists(opts, lambda o: (o["value"] == F.col("chosen")) & o["score"].isNotNull())
-    parsed = seen.select("*", F.when(F.col("rule") == schema.MULTI_SELECT, values).alias("values"),
-                         F.coalesce(single & found, F.lit(False)).alias("found"),
-                         F.coalesce(single & (F.size(entries) > F.size(values)), F.lit(False)).alias("bad"))
+    parsed = dictionary.join(seen, F.col("text"), "opts").select(
+        "*", F.when(F.col("rule") == schema.MULTI_SELECT, values).alias("values"),
+        F.coalesce(single & found, F.lit(False)).alias("found"),
+        F.coalesce(single & (F.size(entries) > F.size(values)), F.lit(False)).alias("bad"))
     aggs = [F.array_sort(F.array_distinct(F.flatten(F.collect_list("values")))).alias("values"),
             F.max("found").alias("scored"), F.max("bad").alias("bad")]
     if all_types:
         aggs += [F.collect_set("form").alias("forms"), F.max("with_text").alias("with_text")]
-    return parsed.groupBy("rule", "name", *act).agg(*aggs).withColumn("code", _code(F.col("rule"), F.col("name"))).collect()
+    rows = parsed.groupBy("rule", "name", *act).agg(*aggs).withColumn("code", _code(F.col("rule"), F.col("name")))
+    return rows.collect(), dictionary
 
 
 def _build_layout(rows: list) -> WideLayout:
@@ -144,7 +182,10 @@ def _build_layout(rows: list) -> WideLayout:
 
 def layout(report: DataFrame, *, all_types: bool = False) -> WideLayout:
     """The items and their columns: one distinct over (rule, item, options text, chosen value)."""
-    return _build_layout(_layout_rows(report, by_activity=False, all_types=all_types))
+    rows, dictionary = _layout_rows(report, by_activity=False, all_types=all_types)
+    lay = _build_layout(rows)
+    lay.dictionary = dictionary
+    return lay
 
 
 def _text_names(n: str, clean: bool) -> tuple[str, str]:
@@ -191,7 +232,8 @@ def with_iso_offset(report: DataFrame) -> DataFrame:
     return report
 
 
-def collected(report: DataFrame, *, on_duplicate: str = "fail", all_types: bool = False) -> DataFrame:
+def collected(report: DataFrame, dictionary: OptionDictionary | None = None, *, on_duplicate: str = "fail",
+              all_types: bool = False) -> DataFrame:
     """One row per submission: the index columns and ``_m``, a map from item code to answer.
 
     A second answer to an item fails the job, or with ``on_duplicate='first'`` the
@@ -207,15 +249,15 @@ def collected(report: DataFrame, *, on_duplicate: str = "fail", all_types: bool
         paths = dict.fromkeys(path for cols in TYPED_FIELDS.values() for _, path in cols)
         answer |= {_path(p): p for p in paths}
     # Only select items need their options; a slider's range may be of any length.
-    options = F.when(rule.isin(schema.MULTI_SELECT, schema.SINGLE_SELECT), strip_all(F.col("item.raw_options")))
-    rows = report.select(*[column(c) for c in index], rule.alias("_rule"), F.col("item.name").alias("_name"), options.alias("_raw"),
+    options = F.when(rule.isin(schema.MULTI_SELECT, schema.SINGLE_SELECT), F.col("item.raw_options"))
+    rows = report.select(*_submission_key(report, index), F.struct(*[column(c) for c in index]).alias("_index"), rule.alias("_rule"),
+                         F.col("item.name").alias("_name"), options.alias("_raw"),
                          *[F.col(f"response.value.{p}").alias(c) for c, p in answer.items()])
-    rows = rows.withColumn("_options", parse_options(F.col("_raw")))
+    rows = (dictionary or option_dictionary(rows, F.col("_raw"))).join(rows, F.col("_raw"), "_options")
     chosen = F.filter("_options", lambda o: o["value"] == F.col("_chosen"))
     option = F.when(is_(schema.SINGLE_SELECT) & F.col("_chosen").isNotNull(), F.get(chosen, F.lit(0)))
     multi = is_(schema.MULTI_SELECT)
     fields = [
-        _code(F.col("_rule"), F.col("_name")).alias("code"),
         F.when(is_(schema.SINGLE_SELECT), F.col("_chosen")).alias("chosen"),
         option["name"].alias("label"), option["score"].alias("score"),
         F.when(multi, F.transform("_options", lambda o: o["value"])).alias("options"),
@@ -225,21 +267,19 @@ def collected(report: DataFrame, *, on_duplicate: str = "fail", all_types: bool
     ]
     if all_types:
         fields += [F.when(is_(schema.TEXT), F.col(_path(p))).alias(_path(p)) for p in paths]
-    rows = rows.select(*[column(c) for c in index], F.when(F.col("_name").isNotNull(), F.struct(*fields)).alias("_entry"))
-    # A hash of the index, which the index determines, leads the grouping key: it sorts on 8 bytes.
-    key = F.xxhash64(*[column(c) for c in index]).alias("_h")
-    grouped = rows.groupBy(key, *[column(c) for c in index]).agg(F.collect_list("_entry").alias("_l")).drop("_h")
+    code = F.when(F.col("_name").isNotNull(), _code(F.col("_rule"), F.col("_name")))
+    answers = rows.select("_h1", "_h2", "_index", code.alias("_code"), F.struct(*fields).alias("_answer"))
+    if on_duplicate == "fail":
+        answers = answers.repartition("_h1", "_h2")
+    items = answers.groupBy("_h1", "_h2", "_code").agg(
+        F.min("_answer").alias("_answer"), F.count("_code").alias("_n"), F.first("_index").alias("_index"))
+    entry = F.when(F.col("_code").isNotNull(), F.struct("_code", "_answer"))
+    grouped = items.groupBy("_h1", "_h2").agg(
+        F.collect_list(entry).alias("_l"), F.max("_n").alias("_n"), F.first("_index").alias("_index"))
     if on_duplicate == "fail":
-        codes = F.transform("_l", lambda x: x["code"])
         grouped = grouped.where(F.when(
-            F.size(F.array_distinct(codes)) < F.size(codes),
-            F.raise_error(F.lit("duplicate answers for one item in one submission")).cast("boolean")).otherwise(F.lit(True)))
-    else:
-        grouped = grouped.withColumn("_l", F.sort_array("_l"))
-        first = F.filter("_l", lambda x, i: (i == 0) | (x["code"] != F.get(F.col("_l"), i - 1)["code"]))
-        grouped = grouped.withColumn("_l", first)
-    entries = F.transform("_l", lambda x: F.struct(x["code"], x))
-    return grouped.select(*[column(c) for c in index], F.map_from_entries(entries).alias("_m"))
+            F.col("_n") > 1, F.raise_error(F.lit("duplicate answers for one item in one submission")).cast("boolean")).otherwise(F.lit(True)))
+    return grouped.select(*[column("_index", c).alias(c) for c in index], F.map_from_entries("_l").alias("_m"))
 
 
 def _columns(frame: DataFrame, lay: WideLayout, clean_names: bool) -> DataFrame:
@@ -266,7 +306,7 @@ def pivot_wide(report: DataFrame, lay: WideLayout | None = None, *, on_duplicate
     columns: a range-partitioned shuffle, so only when order matters).
     """
     lay = lay if lay is not None else layout(report, all_types=all_types)
-    out = _columns(collected(report, on_duplicate=on_duplicate, all_types=all_types), lay, clean_names)
+    out = _columns(collected(report, lay.dictionary, on_duplicate=on_duplicate, all_types=all_types), lay, clean_names)
     index = ["applet_version"] + [f"{s}_{f}" for s in schema.INDEX_STRUCTS if s in report.columns for f in field_names(report, s)]
     return out.orderBy(*[column(c) for c in index if c in out.columns]) if sort else out
 
@@ -285,27 +325,36 @@ def output_name(activity_name: str | None, activity_id: str | None) -> str:
     return f"{base}-{_SAFE.sub('_', activity_id or 'none')}"
 
 
-def split_wide(report: DataFrame, *, reuse: str = "checkpoint", on_duplicate: str = "fail", clean_names: bool = False,
+def split_wide(report: DataFrame, *, reuse: str = "table", on_duplicate: str = "fail", clean_names: bool = False,
                all_types: bool = False) -> list[tuple[str, DataFrame]]:
     """One wide table per activity (id, name), with that activity's columns only.
 
-    Plan: one metadata job, **one** aggregation over the whole report (the index
-    contains the activity, so submissions never mix activities), written once through
-    ``checkpoint`` in the shared ``spark.checkpoint.dir`` (or kept with
-    ``persist``), then a filter and a projection per activity.
+    Plan: one scan for the items, **one** aggregation over the whole report (the index
+    contains the activity, so submissions never mix activities), written once in the shared
+    ``spark.checkpoint.dir`` as a table with a folder for each activity, of which each output
+    reads its own (partition pruning). ``reuse='persist'`` keeps the aggregation in executor storage
+    instead, and each output filters it.
     """
+    if reuse not in ("table", "persist"):
+        raise ValueError("reuse must be 'table' or 'persist'")
     r = with_iso_offset(report)
     acts: dict[tuple, list] = {}
-    for row in _layout_rows(r, by_activity=True, all_types=all_types):
-        acts.setdefault((row["act_id"], row["act_name"]), []).append(row)
-    big = collected(r, on_duplicate=on_duplicate, all_types=all_types)
-    if reuse == "checkpoint":
+    found, dictionary = _layout_rows(r, by_activity=True, all_types=all_types)
+    for row in found:
+        acts.setdefault((row["act_id"], row["act_name"], row["act_code"]), []).append(row)
+    if len({code for _, _, code in acts}) < len(acts):
+        raise ValueError("two activities have the same 64-bit hash")
+    big = collected(r, dictionary, on_duplicate=on_duplicate, all_types=all_types).withColumn("_act", _activity_code())
+    if reuse == "table":
         ensure_checkpoint_dir(big.sparkSession)
-        big = big.checkpoint(eager=True)
-    elif reuse == "persist":
+        path = scratch_path(big.sparkSession, "submissions")
+        # Submissions of an activity are brought together (AQE splits large activities and joins small ones).
+        big.hint("rebalance", "_act").write.partitionBy("_act").parquet(path)
+        big = big.sparkSession.read.schema(big.schema).parquet(path)
+    else:
         big = big.persist(StorageLevel.MEMORY_AND_DISK)
     out = []
-    for (aid, aname), rows in sorted(acts.items(), key=lambda kv: (str(kv[0][1]), str(kv[0][0]))):
-        part = big.where(F.col("activity.id").eqNullSafe(F.lit(aid)) & F.col("activity.name").eqNullSafe(F.lit(aname)))
+    for (aid, aname, code), rows in sorted(acts.items(), key=lambda kv: (str(kv[0][1]), str(kv[0][0]))):
+        part = big.where(F.col("_act") == code).drop("_act")
         out.append((output_name(aname, aid), _columns(part, _build_layout(rows), clean_names)))
     return out

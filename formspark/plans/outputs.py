@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schema
-from ..operators import grids, reshape, wide as wide_op
 from ..functions.options import parse_options
 from ..functions.scalars import strip_all
+from ..operators import grids, reshape, wide as wide_op
+from ..operators.dictionary import option_dictionary, with_options
 from ..operators.structs import unnest
 from ..sinks.writers import NamedOutput
 from ..sources.participants import read_participants
@@ -84,18 +85,16 @@ def scored_responses(report: DataFrame) -> DataFrame:
     Long answer rows x the row's item options, keeping pairs whose option
     value null-safely equals the answer value (``single_value``, else the
     exploded ``value`` element).  Rows whose item has no options are kept only
-    when the answer value is null too.  The option list is filtered before
-    the explode, so unmatched pairs are never materialised.
+    when the answer value is null too.  The pairs come from one equi-join of the
+    answers with the entries of the option dictionary on (options text, value), so
+    neither a list is parsed nor searched per row.
     """
-    long = reshape.expand_responses(report)
+    d = option_dictionary(report)
+    long = reshape.expand_responses(with_options(report, d))
     v = F.coalesce(F.col("response_value_single_value"), F.col("response_value_value"))
-    opts = F.col("item.response_options")
-    none = F.when(v.isNull(), F.array(F.lit(None).cast(schema.OPTION))).otherwise(
-        F.array().cast(schema.OPTIONS))
-    chosen = F.when(opts.isNull() | (F.size(opts) == 0), none).otherwise(
-        F.filter(opts, lambda o: o["value"].eqNullSafe(v)))
     return (
-        long.withColumn("item_response_options", F.explode(chosen))
+        d.match(long, F.col("item.raw_options"), v)
+        .withColumnRenamed("_option", "item_response_options")
         .withColumn("item_option_name", F.col("item_response_options.name"))
         .withColumn("item_option_value", F.col("item_response_options.value"))
         .withColumn("item_option_score", F.col("item_response_options.score"))
@@ -116,7 +115,8 @@ def role_users(report: DataFrame, role: str) -> DataFrame:
 
 
 def long_data(report: DataFrame) -> DataFrame:
-    return reshape.expand_responses(report)
+    """One row per atomic answer value; the items' options come from the option dictionary."""
+    return reshape.expand_responses(with_options(report))
 
 
 def preview(report: DataFrame, n: int = 5) -> DataFrame:
@@ -162,7 +162,7 @@ def _attendance(report, extra, spark):
 CATALOGUE: dict[str, OutputType] = {
     t.name: t for t in [
         OutputType("report", "The normalised report itself.", False,
-                   lambda r, e, s: [NamedOutput("report", r)]),
+                   lambda r, e, s: [NamedOutput("report", with_options(r))]),
         OutputType("wide", "One row per submission, answer columns per item "
                    "(extra split_activities=true: one table per activity).", True, _wide),
         OutputType("long", "One row per atomic answer value.", True,

@@ -81,9 +81,23 @@ def option_dictionary(report: DataFrame, text: Column | None = None) -> OptionDi
     return OptionDictionary(frame, size <= BROADCAST_BYTES)
 
 
+def attached(report: DataFrame, dictionary: OptionDictionary, out: str) -> DataFrame:
+    """``report`` with its options in column ``out``, and ``item`` without them.
+
+    The item is cut down before the join: whatever filled ``item.response_options`` is not run.
+    """
+    fields = [f for f in report.schema["item"].dataType.fieldNames() if f != "response_options"]
+    lean = report.withColumn("item", F.struct(*[F.col(f"item.{f}").alias(f) for f in fields]))
+    return dictionary.join(lean, F.col("item.raw_options"), out)
+
+
+def restored(df: DataFrame, out: str) -> DataFrame:
+    """The ``item`` of :func:`attached` with its options again; column ``out`` goes."""
+    fields = df.schema["item"].dataType.fieldNames()
+    item = F.struct(*[F.col(f"item.{f}").alias(f) for f in fields], F.col(out).alias("response_options"))
+    return df.withColumn("item", item).drop(out)
+
+
 def with_options(report: DataFrame, dictionary: OptionDictionary | None = None) -> DataFrame:
     """``report`` with ``item.response_options`` from the dictionary, so that no row parses its own text."""
-    d = dictionary or option_dictionary(report)
-    joined = d.join(report, F.col("item.raw_options"), "_options")
-    item = F.when(F.col("item").isNotNull(), F.col("item").withField("response_options", F.col("_options")))
-    return joined.withColumn("item", item).select(*[F.col(f"`{c}`") for c in report.columns])
+    return restored(attached(report, dictionary or option_dictionary(report), "_options"), "_options")

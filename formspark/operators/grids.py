@@ -14,13 +14,16 @@ its submission has at least one item).
 Participants without activity are kept (false); activity of people not in
 the roster is dropped.  Null activity names fall in neither grid.
 
-Plan: the facts are reduced with one hash aggregate per grid keyed by
-(secret_id[, date]) with conditional counts (partial aggregation map-side,
-so a respondent holding a third of all rows costs one row per task before
-the shuffle).  Column names (activity names) and grid dates are bounded
-metadata collected once.  The roster x dates grid is generated with an
-explode (no join), then left-joined on its keys; AQE turns a small side
-into a broadcast from runtime sizes.
+Names: any activity name works. A name that equals an identifier column, ``activity_date``, ``complete`` or
+another name but for case gets the suffix ``__2``, ``__3`` ...; the fixed columns keep theirs.
+
+Plan: **one** scan of the report reduces its rows to flags, (secret_id, date, name, was any row with an
+item id), with partial aggregation, so a respondent holding a third of all rows costs one row for each day and
+name and task before the shuffle. The flags are written as a small table in the shared scratch folder. Names
+(the columns, bounded by the questionnaire) and dates come from it, and so does the grid: the names done
+by each person [and date] become one set of name codes, and every column is a look-up in that set, whatever
+its name. Dates are a frame of their own, multiplied with the roster under a broadcast when
+their measured number is at most ``BROADCAST_DATES``; they are never literals in a plan.
 """
 
 from __future__ import annotations
@@ -29,13 +32,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalars import all_true, strip_all, to_utc_date
-from .structs import column
+from ..session import ensure_checkpoint_dir, scratch_path
+from .structs import column, distinct_names
 
 # Fixed value: name prefix of the daily check-in/check-out activities.
 DAILY_PREFIX = "Student Check"
 IDENTIFIERS = ("secret_id", "nickname", "first_name", "last_name", "site")
 OPTIONAL_IDENTIFIERS = ("room",)
 
+#: Dates that are broadcast to the roster (16 bytes each); more are joined by a cartesian product of partitions.
+BROADCAST_DATES = 1 << 20
+
 
 def activity_facts(report: DataFrame, tz: str | None = None) -> DataFrame:
     """(secret_id, trimmed activity name, activity date, item id) per report row.
@@ -53,58 +60,76 @@ def activity_facts(report: DataFrame, tz: str | None = None) -> DataFrame:
     )
 
 
-def _is_daily(name: Column, prefix: str) -> Column:
-    return name.startswith(prefix)
+def activity_flags(report: DataFrame, tz: str | None = None) -> DataFrame:
+    """(secret_id, activity_date, activity_name, done): the report's facts reduced in one scan, as a written table."""
+    flags = (activity_facts(report, tz).where(F.col("activity_name").isNotNull())
+             .groupBy("secret_id", "activity_date", "activity_name").agg((F.count("item_id") > 0).alias("done")))
+    ensure_checkpoint_dir(report.sparkSession)
+    path = scratch_path(report.sparkSession, "flags")
+    flags.write.parquet(path)
+    return report.sparkSession.read.schema(flags.schema).parquet(path)
 
 
-def _names(facts: DataFrame) -> list[str]:
-    """Activity names (columns of the grid): bounded by the questionnaire, not by rows."""
-    return sorted(r[0] for r in facts.select("activity_name").where("activity_name is not null").distinct().collect())
+def _code(name: Column) -> Column:
+    return F.xxhash64(name)
 
 
-def _dates(facts: DataFrame) -> list:
-    """Activity dates: bounded by the calendar."""
-    return sorted(r[0] for r in facts.select("activity_date").where("activity_date is not null").distinct().collect())
+def _names(flags: DataFrame) -> list[tuple[str, int]]:
+    """(activity name, its code) of every grid column: bounded by the questionnaire, not by rows."""
+    names = sorted(tuple(r) for r in flags.select("activity_name", _code(F.col("activity_name"))).distinct().collect())
+    if len({code for _, code in names}) < len(names):
+        raise ValueError("two activity names have the same 64-bit hash")
+    return names
 
 
 def identifier_columns(participants: DataFrame) -> list[str]:
     return [c for c in IDENTIFIERS + OPTIONAL_IDENTIFIERS if c in participants.columns]
 
 
-def _flags(names: list[str]) -> list[Column]:
-    name = F.col("activity_name")
-    return [(F.count(F.when(name == n, F.col("item_id"))) > 0).alias(n) for n in names]
+def _done(flags: DataFrame, *keys: str) -> DataFrame:
+    """The codes of the names done, one set for each combination of ``keys`` (``_0``, ``_1``)."""
+    done = flags.where("done").groupBy(*keys).agg(F.collect_set(_code(F.col("activity_name"))).alias("_done"))
+    return done.select(*[F.col(k).alias(f"_{i}") for i, k in enumerate(keys)], "_done")
+
+
+def _columns(names: list[tuple[str, int]], fixed: list[str], last: list[str]) -> list[tuple[str, Column]]:
+    """(column name, flag) of every activity name, apart from the names of the fixed columns."""
+    out = distinct_names([*fixed, *last, *[n for n, _ in names]])[len(fixed) + len(last):]
+    flag = lambda code: F.coalesce(F.array_contains("_done", F.lit(code).cast("bigint")), F.lit(False))
+    return [(n, flag(code)) for n, (_, code) in zip(out, names, strict=True)]
 
 
 def attendance(report: DataFrame, participants: DataFrame, *, daily_prefix: str = DAILY_PREFIX,
-               tz: str | None = None) -> DataFrame | None:
-    """Participant x date grid of daily activities (None when there are none)."""
-    facts = activity_facts(report, tz).where(_is_daily(F.col("activity_name"), daily_prefix))
-    names = _names(facts)
+               tz: str | None = None, flags: DataFrame | None = None) -> DataFrame | None:
+    """Participant x date grid of daily activities (None when there are none).
+
+    ``flags``: the report's :func:`activity_flags`, when they are at hand.
+    """
+    flags = (activity_flags(report, tz) if flags is None else flags).where(F.col("activity_name").startswith(daily_prefix))
+    names = _names(flags)
     if not names:
         return None
-    dates = _dates(facts)
-    per_day = facts.groupBy("secret_id", "activity_date").agg(*_flags(names))
     ids = identifier_columns(participants)
-    grid = participants.select(*ids).withColumn(
-        "activity_date", F.explode(F.array(*[F.lit(d) for d in dates]).cast("array<date>")))
-    joined = grid.join(per_day, ["secret_id", "activity_date"], "left")
-    return joined.select(
-        *ids, "activity_date", *[F.coalesce(column(n), F.lit(False)).alias(n) for n in names])
+    dates = flags.select(F.col("activity_date").alias("_date")).where("_date is not null").distinct()
+    if dates.count() <= BROADCAST_DATES:
+        dates = F.broadcast(dates)
+    grid = participants.select(*ids).crossJoin(dates)
+    joined = grid.join(_done(flags, "secret_id", "activity_date"), (F.col("secret_id") == F.col("_0")) & (F.col("_date") == F.col("_1")), "left")
+    cells = _columns(names, [*ids, "activity_date"], [])
+    return joined.select(*ids, F.col("_date").alias("activity_date"), *[f.alias(n) for n, f in cells])
 
 
 def completion(report: DataFrame, participants: DataFrame, *, daily_prefix: str = DAILY_PREFIX,
-               tz: str | None = None) -> DataFrame | None:
+               tz: str | None = None, flags: DataFrame | None = None) -> DataFrame | None:
     """One row per participant: a flag per non-daily activity and ``complete``."""
-    facts = activity_facts(report, tz).where(~_is_daily(F.col("activity_name"), daily_prefix))
-    names = _names(facts)
+    flags = (activity_flags(report, tz) if flags is None else flags).where(~F.col("activity_name").startswith(daily_prefix))
+    names = _names(flags)
     if not names:
         return None
-    per_person = facts.groupBy("secret_id").agg(*_flags(names))
     ids = identifier_columns(participants)
-    joined = participants.select(*ids).join(per_person, "secret_id", "left")
-    flags = [F.coalesce(column(n), F.lit(False)) for n in names]
-    return joined.select(*ids, *[f.alias(n) for f, n in zip(flags, names)], all_true(flags).alias("complete"))
+    joined = participants.select(*ids).join(_done(flags, "secret_id"), F.col("secret_id") == F.col("_0"), "left")
+    cells = _columns(names, ids, ["complete"])
+    return joined.select(*ids, *[f.alias(n) for n, f in cells], all_true([f for _, f in cells]).alias("complete"))
 
 
 def completion_summary(completion_grid: DataFrame) -> DataFrame:

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from .. import schema
 from ..functions import answers, options
 from ..functions.scalars import epoch_ms_to_timestamp, minutes_to_interval, strip_all
+from ..session import ensure_checkpoint_dir, scratch_path
 
 # Subscale columns of the export and the prefix removed from
 # their names when they become items.
@@ -221,10 +222,21 @@ def nest_response(df: DataFrame, on_error: str = "null", typed: bool = True) ->
 
 def dedupe_subscale_rows(df: DataFrame) -> DataFrame:
     """Keep one copy of identical subscale rows (a subscale value repeated on
-    every answer row of a submission unpivots into identical rows).  Only the
-    subscale rows are shuffled; answer rows pass through."""
-    is_sub = F.col("item_type") == F.lit(schema.SUBSCALE)
-    return df.where(~is_sub | is_sub.isNull()).unionByName(df.where(is_sub).dropDuplicates())
+    every answer row of a submission unpivots into identical rows).
+
+    The input is read and unpivoted once: the rows are written to the shared scratch folder,
+    answers and subscales in a folder each, and read back from their own. Only subscale rows, a few narrow
+    columns, are shuffled, and their copies are combined in the map tasks; answer rows pass through.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = scratch_path(spark, "unpivoted")
+    is_sub = F.coalesce(F.col("item_type") == F.lit(schema.SUBSCALE), F.lit(False))
+    marked = df.withColumn("_subscale", is_sub)
+    marked.write.partitionBy("_subscale").parquet(path)
+    back = spark.read.schema(marked.schema).parquet(path)
+    part = lambda sub: back.where(F.col("_subscale") == F.lit(sub)).drop("_subscale")
+    return part(False).unionByName(part(True).distinct())
 
 
 def normalize(raw: DataFrame, *, on_error: str = "null", typed: bool = True,
@@ -232,7 +244,8 @@ def normalize(raw: DataFrame, *, on_error: str = "null", typed: bool = True,
     """Raw export frame -> nested report (see module docstring for the steps).
 
     ``dedupe_subscales=True`` drops repeated identical subscale rows (by
-    default every non-null subscale cell becomes a row, as in the export).
+    default every non-null subscale cell becomes a row, as in the export); it writes the unpivoted
+    rows once (:func:`dedupe_subscale_rows`).
     """
     unpivoted = raw.transform(drop_legacy_user_id).transform(check_raw_score).transform(unpivot_subscales)
     if dedupe_subscales and subscale_columns(raw.columns):

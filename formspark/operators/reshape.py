@@ -12,13 +12,17 @@ from pyspark.sql import functions as F
 
 from ..functions.options import parse_options
 from ..functions.scalars import strip_all
-from .dictionary import OptionDictionary, option_dictionary, with_options
+from .dictionary import OptionDictionary, attached, option_dictionary, restored
 from .structs import unnest
 
 
+def _each_option(df: DataFrame) -> DataFrame:
+    return restored(df.select("*", F.explode_outer("_list").alias("item_response_options")), "_list")
+
+
 def expand_options(df: DataFrame, dictionary: OptionDictionary | None = None) -> DataFrame:
     """One row per answer option of the row's item (``item_response_options`` struct)."""
-    return with_options(df, dictionary).withColumn("item_response_options", F.explode_outer("item.response_options"))
+    return _each_option(attached(df, dictionary or option_dictionary(df), "_list"))
 
 
 def expand_responses(report: DataFrame) -> DataFrame:
@@ -59,7 +63,7 @@ def long_response_report(report: DataFrame) -> DataFrame:
 
 def long_report(report: DataFrame) -> DataFrame:
     """Every atomic answer value times every option of its item."""
-    return expand_options(expand_responses(report), option_dictionary(report))
+    return _each_option(expand_responses(attached(report, option_dictionary(report), "_list")))
 
 
 def item_response_options(report: DataFrame) -> DataFrame:

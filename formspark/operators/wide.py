@@ -250,9 +250,12 @@ def collected(report: DataFrame, dictionary: OptionDictionary | None = None, *,
         answer |= {_path(p): p for p in paths}
     # Only select items need their options; a slider's range may be of any length.
     options = F.when(rule.isin(schema.MULTI_SELECT, schema.SINGLE_SELECT), F.col("item.raw_options"))
-    rows = report.select(*_submission_key(report, index), F.struct(*[column(c) for c in index]).alias("_index"), rule.alias("_rule"),
-                         F.col("item.name").alias("_name"), options.alias("_raw"),
+    # Every column is read once here, so that this step merges with the one that made the report and
+    # nothing else of the report is computed; keys, which read columns again, come after it.
+    rows = report.select(*[column(c) for c in index], F.struct(rule.alias("rule"), F.col("item.name").alias("name"), options.alias("raw")).alias("_i"),
                          *[F.col(f"response.value.{p}").alias(c) for c, p in answer.items()])
+    rows = rows.select(*_submission_key(report, index), F.struct(*[column(c) for c in index]).alias("_index"), F.col("_i.rule").alias("_rule"),
+                       F.col("_i.name").alias("_name"), F.col("_i.raw").alias("_raw"), *answer)
     rows = (dictionary or option_dictionary(rows, F.col("_raw"))).join(rows, F.col("_raw"), "_options")
     chosen = F.filter("_options", lambda o: o["value"] == F.col("_chosen"))
     option = F.when(is_(schema.SINGLE_SELECT) & F.col("_chosen").isNotNull(), F.get(chosen, F.lit(0)))
@@ -320,7 +323,7 @@ _SAFE = re.compile(r"[^\w.-]+")
 
 
 def output_name(activity_name: str | None, activity_id: str | None) -> str:
-    """File-safe output name for one activity; the id keeps equal names apart."""
+    """File-safe output name for one activity; the id keeps equal names apart (``split_wide`` tells the rest apart)."""
     base = _SAFE.sub("_", (activity_name or "activity").strip()) or "activity"
     return f"{base}-{_SAFE.sub('_', activity_id or 'none')}"
 
@@ -353,8 +356,8 @@ def split_wide(report: DataFrame, *, reuse: str = "table", on_duplicate: str = "
         big = big.sparkSession.read.schema(big.schema).parquet(path)
     else:
         big = big.persist(StorageLevel.MEMORY_AND_DISK)
-    out = []
-    for (aid, aname, code), rows in sorted(acts.items(), key=lambda kv: (str(kv[0][1]), str(kv[0][0]))):
-        part = big.where(F.col("_act") == code).drop("_act")
-        out.append((output_name(aname, aid), _columns(part, _build_layout(rows), clean_names)))
-    return out
+    ordered = sorted(acts.items(), key=lambda kv: (str(kv[0][1]), str(kv[0][0])))
+    # Names that only blanks or odd characters tell apart would otherwise be one file.
+    names = distinct_names([output_name(aname, aid) for (aid, aname, _), _ in ordered])
+    return [(name, _columns(big.where(F.col("_act") == code).drop("_act"), _build_layout(rows), clean_names))
+            for name, ((_, _, code), rows) in zip(names, ordered, strict=True)]

@@ -161,8 +161,58 @@ SLEEP_MS = "((((k // 7) % 24) - (k % 24)) * 60 + (((k // 3) % 60) - (k % 60))) *
 HHMM = "lpad(CAST(k % 24 AS VARCHAR), 2, '0') || ':' || lpad(CAST(k % 60 AS VARCHAR), 2, '0') || ':00'"
 
 
+#: Every item's answer text, from the order's columns.
+def _day(year: str) -> str:
+    return f"'date: ' || {V('day(odate)')} || '/' || {V('month(odate)')} || '/' || {year}"
+
+
+RAW_ANSWERS = {
+    "mood": f"CASE WHEN k % 13 = 0 THEN 'value: null' WHEN k % 7 = 0 THEN 'value: ' || {V('k % 5')} || ' | text: ' || status "
+            f"ELSE 'value: ' || {V('k % 5')} END",
+    "colors": f"CASE WHEN k % 11 = 0 THEN 'value: null' WHEN k % 3 = 0 THEN 'value: ' || {V('k % 4')} "
+              f"ELSE 'value: ' || {V('k % 4')} || ', ' || {V('(k + 1) % 4')} END",
+    "status_note": "'Status ' || status || chr(10) || prio",
+    "order_day": f"CASE WHEN k % 5 = 0 THEN {_day('lpad(' + V('year(odate) % 100') + ', 2, ' + chr(39) + '0' + chr(39) + ')')} "
+                 f"ELSE {_day(V('year(odate)'))} END",
+    "sleep": f"'time_range: from hr ' || {V('k % 24')} || ' min ' || {V('k % 60')} || ' / to hr ' || {V('(k // 7) % 24')} "
+             f"|| ' min ' || {V('(k // 3) % 60')}",
+    "place": f"'geo: lat ' || {V('c % 90')} || '.' || lpad({V('k % 10000')}, 4, '0') || ' long -' || {V('k % 180')} || '.' "
+             f"|| lpad({V('c % 1000')}, 3, '0')",
+    "grid": f"'morning: ' || {V('k % 3')} || chr(10) || 'evening: ' || {V('(k + 1) % 3')} || ', ' || {V('k % 2 + 3')}",
+    "steps": f"'value: ' || {V('k % 11')}",
+    "bedtime": f"'time: hr ' || {V('k % 24')} || ' min ' || {V('k % 60')}",
+    "photo": f"'uploads/photo-' || {V('k')} || '.jpg'",
+    "energy": f"'value: ' || {V('k % 3')}",
+    "remark": "'text: ' || prio",
+    "total": V("total"),
+    "activity_score": V("k % 100"),
+}
+OFFSET_MS = "CAST(CASE k % 4 WHEN 0 THEN -240 WHEN 1 THEN 0 WHEN 2 THEN 330 ELSE -300 END * 60000 AS BIGINT)"
+
+
+def _item_columns(item: str) -> list[tuple[str, str]]:
+    """Item and response columns of a row of ``item``."""
+    subscale = dict((n, i) for i, n in SUBSCALE_ITEMS)
+    typ = dict(ITEMS).get(item, "subscale")
+    null = "CAST(NULL AS VARCHAR)"
+    return [("item_id", q(subscale.get(item, f"item-{item}"))), ("item_name", q(item)),
+            ("item_prompt", null if item in subscale else q(f"How about {item}?")), ("item_type", q(typ)),
+            ("item_raw_options", f"CAST({q(RAW_OPTIONS_OF.get(item))} AS VARCHAR)"),
+            ("item_options_json", f"CAST({q(_json(OPTIONS_OF.get(item)))} AS VARCHAR)"), ("response_status", "'completed'"),
+            ("response_raw_score", "CAST(NULL AS BIGINT)" if item in subscale else "CAST(k % 40 AS BIGINT)"),
+            ("response_raw_response", RAW_ANSWERS[item])]
+
+
+def _json(opts) -> str | None:
+    if not opts:
+        return None
+    return json.dumps([{k: v for k, v in (("name", n), ("value", v), ("score", s)) if v is not None}
+                       for n, v, s in opts], separators=(",", ":"))
+
+
 def _long_row(item: str, where: str = "", **vals: str) -> str:
-    cols = [SUB, f"'{item}' AS item_name"]
+    index = [(n, OFFSET_MS if n == "utc_timezone_offset" else e) for n, e in WIDE_INDEX]
+    cols = [f'{e} AS "{n}"' for n, e in index + _item_columns(item)]
     for name, typ in LONG_TYPES:
         short = name[len("response_value_"):]
         e = vals.get(short)
@@ -170,6 +220,13 @@ def _long_row(item: str, where: str = "", **vals: str) -> str:
     return f"SELECT {', '.join(cols)} FROM o" + (f" WHERE {where}" if where else "")
 
 
+def long_report_sql() -> str:
+    """Long rows times the options of their items."""
+    return (f"WITH {options_values_cte()}, long AS ({long_sql()})\n"
+            "SELECT long.*, option_name AS item_option_name, CAST(option_value AS BIGINT) AS item_option_value, "
+            "CAST(option_score AS BIGINT) AS item_option_score FROM long LEFT JOIN opts USING (item_name)")
+
+
 def long_sql() -> str:
     rows = [
         _long_row("mood", single_value="CASE WHEN k % 13 = 0 THEN NULL ELSE k % 5 END",
@@ -212,13 +269,6 @@ def _items_cte() -> str:
             "AS (VALUES " + ", ".join(rows) + ")")
 
 
-def _json(opts) -> str | None:
-    if not opts:
-        return None
-    return json.dumps([{k: v for k, v in (("name", n), ("value", v), ("score", s)) if v is not None}
-                       for n, v, s in opts], separators=(",", ":"))
-
-
 def _json_keep_nulls(opts) -> str:
     return json.dumps([{"name": n, "value": v, "score": s} for n, v, s in opts], separators=(",", ":"))
 
@@ -232,7 +282,7 @@ CTX_COLS = """CASE WHEN k % 3 = 0 THEN '2.2.4' ELSE '2.3.0' END AS applet_versio
 def dictionary_sql() -> str:
     return (f"WITH {ORDERS_CTE}, ctx AS (SELECT DISTINCT {CTX_COLS} FROM o), {_items_cte()}\n"
             "SELECT applet_version, activity_flow_id, activity_flow_name, activity_id, activity_name, "
-            "item_id, item_name, item_prompt, n_options FROM ctx, items")
+            "item_id, item_name, item_prompt, item_options_json FROM ctx, items")
 
 
 def dictionary_full_sql() -> str:
@@ -260,7 +310,9 @@ def item_response_options_sql() -> str:
     return (f"WITH {ORDERS_CTE}, ctx AS (SELECT DISTINCT {CTX_COLS}, "
             f"CASE WHEN status = 'F' THEN 'fs-' || {V('k')} END AS activity_flow_submission_id FROM o), "
             f"{_items_cte()}, {options_values_cte()}\n"
-            "SELECT applet_version, activity_id, items.item_name, opts.option_name AS item_option_name, "
+            "SELECT applet_version, activity_flow_id, activity_flow_name, activity_flow_submission_id, activity_id, activity_name, "
+            "items.item_id, items.item_name, items.item_prompt, items.item_type, items.item_raw_options, items.item_options_json, "
+            "opts.option_name AS item_option_name, "
             "CAST(opts.option_value AS BIGINT) AS item_option_value, "
             "CAST(opts.option_score AS BIGINT) AS item_option_score "
             "FROM ctx CROSS JOIN items LEFT JOIN opts ON opts.item_name = items.item_name")
@@ -359,6 +411,30 @@ SELECT secret_id, nickname, first_name, last_name, site, room,
        "Error report" AND "Purchase survey" AND "Signup survey" AS complete FROM g"""
 
 
+NAMES_CTE = f"""{EVENTS_CTE},
+named AS (SELECT secret_id, activity_date, has_item, CASE name WHEN 'Student Check-In' THEN 'Student Check A'
+                 WHEN 'Student Check-Out' THEN 'Student Check a' WHEN 'Purchase survey' THEN 'site' WHEN 'Signup survey' THEN 'SITE'
+                 ELSE 'complete' END AS name FROM ev)"""
+
+# Names sorted by code point: "SITE" comes before "site", so it gets the first suffix behind the roster's own column.
+ATTENDANCE_NAMES_SQL = f"""WITH {NAMES_CTE},
+daily AS (SELECT * FROM named WHERE name LIKE 'Student Check%'),
+dates AS (SELECT DISTINCT activity_date FROM daily WHERE activity_date IS NOT NULL),
+att AS (SELECT secret_id, activity_date, bool_or(name = 'Student Check A' AND has_item) AS up,
+               bool_or(name = 'Student Check a' AND has_item) AS low
+        FROM daily GROUP BY secret_id, activity_date)
+SELECT p.*, d.activity_date, coalesce(att.up, FALSE) AS "Student Check A", coalesce(att.low, FALSE) AS "Student Check a__2"
+FROM p CROSS JOIN dates d LEFT JOIN att ON att.secret_id = p.secret_id AND att.activity_date = d.activity_date"""
+
+COMPLETION_NAMES_SQL = f"""WITH {NAMES_CTE},
+comp AS (SELECT secret_id, bool_or(name = 'SITE' AND has_item) AS up, bool_or(name = 'complete' AND has_item) AS co,
+                bool_or(name = 'site' AND has_item) AS low
+         FROM named WHERE name NOT LIKE 'Student Check%' GROUP BY secret_id),
+g AS (SELECT p.*, coalesce(up, FALSE) AS "SITE__2", coalesce(co, FALSE) AS "complete__2", coalesce(low, FALSE) AS "site__3"
+      FROM p LEFT JOIN comp ON comp.secret_id = p.secret_id)
+SELECT *, "SITE__2" AND "complete__2" AND "site__3" AS complete FROM g"""
+
+
 # --- conversations wide ------------------------------------------------------------------
 
 WS_CHARS = "chr(32) || chr(9) || chr(10) || chr(13) || chr(12) || chr(11)"
@@ -398,7 +474,49 @@ RESPONSE_SQL = f"""SELECT {V('l_orderkey')} || '/' || {V('l_linenumber')} AS sub
   'value' AS value_type, CAST(l_linenumber AS BIGINT) AS first_value, l_suppkey AS second_value, l_returnflag AS optional_text
 FROM lineitem"""
 
+WIDE_FIRST_SQL = f"""WITH a AS (SELECT l_orderkey, min((l_partkey + l_linenumber) % 3) AS v,
+  min(l_returnflag || '/' || l_linestatus || '/' || {V('l_linenumber')}) AS remark FROM lineitem GROUP BY l_orderkey)
+SELECT l_orderkey AS order_key, [9, 5, 7][v + 1]::BIGINT AS carrier, v AS carrier__index, ['air', 'rail', 'sea'][v + 1] AS carrier__response,
+  remark AS response_value__remark, remark AS response_response__remark FROM a"""
+
+DEDUPED_SQL = f"""SELECT l_orderkey AS order_key, 'carrier' AS item_name, 'singleSelect' AS item_type, CAST(NULL AS VARCHAR) AS text,
+  (l_partkey + l_linenumber) % 3 AS single_value, CAST(NULL AS DOUBLE) AS subscale FROM lineitem
+UNION ALL SELECT l_orderkey, 'remark', 'text', l_returnflag || '/' || l_linestatus || '/' || {V('l_linenumber')}, NULL, NULL FROM lineitem
+UNION ALL SELECT DISTINCT l_orderkey, 'order', 'subscale', NULL, NULL, CAST(l_orderkey % 10 AS DOUBLE) FROM lineitem
+UNION ALL SELECT DISTINCT l_orderkey, 'activity_score', 'subscale', NULL, NULL, CAST(l_linenumber AS DOUBLE) FROM lineitem
+  WHERE l_linenumber % 2 = 0"""
+
+EXPORT_SQL = f"WITH {ORDERS_CTE}\n" + "\nUNION ALL ".join(
+    f"SELECT {SUB}, CASE WHEN k % 3 = 0 THEN '2.2.4' ELSE '2.3.0' END AS applet_version, '{n}' AS item_name, '{t}' AS item_type, "
+    f"CAST({q(RAW_OPTIONS_OF.get(n))} AS VARCHAR) AS raw_options, make_timestamp(start_ms * 1000) AS start_time, "
+    f"CAST({ {'status_note': STATUS_TEXT, 'remark': 'prio'}.get(n, 'NULL') } AS VARCHAR) AS text, "
+    f"CAST({ {'mood': 'CASE WHEN k % 13 = 0 THEN NULL ELSE k % 5 END', 'energy': 'k % 3'}.get(n, 'NULL') } AS BIGINT) AS single_value, "
+    f"CAST({'odate' if n == 'order_day' else 'NULL'} AS DATE) AS answer_date, "
+    f"CAST({ {'total': 'total', 'activity_score': 'k % 100'}.get(n, 'NULL') } AS DOUBLE) AS subscale FROM o"
+    for n, t in [*ITEMS, *[(n, "subscale") for _, n in SUBSCALE_ITEMS]])
+
+#: Rows of the job's outputs. Every tenth event has its activity name in blanks, an activity of its own whose output name comes first.
+JOB_SQL = f"""WITH {EVENTS_CTE}, e AS (SELECT event_type, event_id % 10 = 0 AS padded, value >= 5 AS has_item,
+  CASE event_type WHEN 'click' THEN 'Student_Check-In' WHEN 'view' THEN 'Student_Check-Out' WHEN 'purchase' THEN 'Purchase_survey'
+  WHEN 'signup' THEN 'Signup_survey' WHEN 'error' THEN 'Error_report' END || '-act-' || event_type AS file FROM events),
+i AS (SELECT count(*) AS n FROM (SELECT DISTINCT event_type, padded, has_item FROM e)), n AS (SELECT count(*) AS n FROM e),
+r AS (SELECT count(*) AS n FROM p), d AS (SELECT count(DISTINCT activity_date) AS n FROM ev WHERE name LIKE 'Student Check%')
+SELECT x || '.parquet' AS output, n AS n_rows FROM n, (VALUES ('report'), ('long_data')) v(x)
+UNION ALL SELECT file || CASE WHEN padded THEN '' ELSE '__2' END || '.parquet', count(*) FROM e GROUP BY file, padded
+UNION ALL SELECT x || '.parquet', n FROM i, (VALUES ('data_dictionary'), ('options')) v(x)
+UNION ALL SELECT 'scored_responses.parquet', 0
+UNION ALL SELECT x || '.parquet', d.n * r.n FROM d, r, (VALUES ('attendance-all'), ('attendance-by_site_date')) v(x)
+UNION ALL SELECT x || '.parquet', r.n FROM r, (VALUES ('completion-all'), ('completion-by_site'), ('completion_summary-all'),
+  ('completion_summary-by_site')) v(x)"""
+
 ORACLES: dict[str, str] = {
+    "long_report": long_report_sql(),
+    "wide_first": WIDE_FIRST_SQL,
+    "subscales_deduped": DEDUPED_SQL,
+    "attendance_names": ATTENDANCE_NAMES_SQL,
+    "completion_names": COMPLETION_NAMES_SQL,
+    "export_report": EXPORT_SQL,
+    "job_outputs": JOB_SQL,
     "parse_single_select": f"""WITH {ORDERS_CTE}
 SELECT {SUB},
   CASE WHEN k % 13 = 0 THEN NULL ELSE k % 5 END AS single_value,

@@ -146,11 +146,12 @@ def _attendance(report, extra, spark):
     prefix = extra.get("daily_prefix", grids.DAILY_PREFIX)
     tz = extra.get("timezone") or None
     out: list[NamedOutput] = []
-    att = grids.attendance(report, roster, daily_prefix=prefix, tz=tz)
+    flags = grids.activity_flags(report, tz)
+    att = grids.attendance(report, roster, daily_prefix=prefix, tz=tz, flags=flags)
     if att is not None:
         out += [NamedOutput("attendance-all", att),
                 NamedOutput("attendance-by_site_date", att, ["site", "activity_date"])]
-    comp = grids.completion(report, roster, daily_prefix=prefix, tz=tz)
+    comp = grids.completion(report, roster, daily_prefix=prefix, tz=tz, flags=flags)
     if comp is not None:
         summary = grids.completion_summary(comp)
         out += [NamedOutput("completion-all", comp), NamedOutput("completion_summary-all", summary),

@@ -16,17 +16,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .. import schema
 from ..functions import answers, options as opt_parser
 from ..functions.scalars import interval_ms, iso_duration, strip_all
 from ..operators import grids, joins, reshape, wide as wide_op
 from ..operators.normalize import nest_users, normalize, parse_times, unpivot_subscales
-from ..operators.structs import unnest
+from ..operators.structs import column, unnest
 from ..session import configure, scratch_path, spread
 from ..sinks.writers import NamedOutput, csv_encode, drop_null_columns, write_csv, write_parquet
 from ..sources import tables
-from ..sources.exports import list_export_files, merge_by_name, read_csv_strings, read_export_frame
+from ..sources.exports import list_export_files, merge_by_name, read_csv_strings, read_export, read_export_frame
 from ..sources.participants import read_participants
-from . import outputs
+from . import job, outputs
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -291,16 +292,33 @@ LONG_COLUMNS = [
 ]
 
 
+def _whole(report: DataFrame, *more: str) -> DataFrame:
+    """Every column of a report-like frame: its structs unnested, the options as JSON, then ``more``."""
+    item = [c for c in unnest(report, "item") if "response_options" not in str(c)]
+    rest = [column(c) for c in report.columns if c not in (*schema.INDEX_STRUCTS, "item", "response", "response_value", *more)
+            and not c.startswith("response_")]
+    index = [c for s in schema.INDEX_STRUCTS for c in unnest(report, s)]
+    return flat(report.select(*rest, *index, *item, F.to_json("item.response_options").alias("item_options_json"),
+                              F.col("response.status").alias("response_status"), F.col("response.raw_score").alias("response_raw_score"),
+                              F.col("response.raw_response").alias("response_raw_response"), *more))
+
+
 def long_responses(spark, sf_dir):
-    long = outputs.long_data(orders_report(spark, sf_dir))
-    return flat(long.select(_sub(), F.col("item.name").alias("item_name"), *LONG_COLUMNS))
+    """The whole long table."""
+    return _whole(outputs.long_data(orders_report(spark, sf_dir)), *LONG_COLUMNS)
+
+
+def long_report(spark, sf_dir):
+    """Answer values times options, every column."""
+    full = reshape.long_report(orders_report(spark, sf_dir))
+    option = [F.col(f"item_response_options.{f}").alias(f"item_option_{f}") for f in ("name", "value", "score")]
+    wanted = ["item_option_name", "item_option_value", "item_option_score"]
+    return _whole(full.select("*", *option).drop("item_response_options"), *LONG_COLUMNS, *wanted)
 
 
 def data_dictionary(spark, sf_dir):
     d = outputs.data_dictionary(orders_report(spark, sf_dir))
-    return d.select(*[c for c in d.columns if c != "item_response_options"],
-                    F.when(F.col("item_response_options").isNotNull(),
-                           F.size("item_response_options")).alias("n_options"))
+    return d.withColumn("item_options_json", F.to_json("item_response_options")).drop("item_response_options")
 
 
 def data_dictionary_full(spark, sf_dir):
@@ -315,9 +333,10 @@ def options(spark, sf_dir):
 
 def item_response_options(spark, sf_dir):
     t = reshape.item_response_options(orders_report(spark, sf_dir))
-    return t.select("applet_version", F.col("activity.id").alias("activity_id"),
-                    F.col("item.name").alias("item_name"), "item_option_name", "item_option_value",
-                    "item_option_score")
+    item = [c for c in unnest(t, "item") if "response_options" not in str(c)]
+    return t.select("applet_version", *unnest(t, "activity_flow"), *unnest(t, "activity"), *item,
+                    F.to_json("item.response_options").alias("item_options_json"),
+                    "item_option_name", "item_option_value", "item_option_score")
 
 
 def scored_responses(spark, sf_dir):
@@ -436,6 +455,42 @@ def wide_subscale(spark, sf_dir):
     return _wide_of(r.where(F.col("item.type") == "subscale"))
 
 
+def lines_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export rows from lineitem: submission = order, two items answered once for each line, subscale
+    cells that repeat on every line of an order."""
+    configure(spark)
+    li = _t(spark, sf_dir, "lineitem")
+    s = lambda c: F.col(c).cast("string")
+    items = F.array(
+        F.struct(F.lit("carrier").alias("name"), F.lit("singleSelect").alias("type"),
+                 F.lit("air: 0 (score: 9), rail: 1 (score: 5), sea: 2 (score: 7)").alias("options"),
+                 F.concat(F.lit("value: "), ((F.col("l_partkey") + F.col("l_linenumber")) % 3).cast("string")).alias("answer")),
+        F.struct(F.lit("remark").alias("name"), F.lit("text").alias("type"), F.lit(None).cast("string").alias("options"),
+                 F.concat(F.col("l_returnflag"), F.lit("/"), F.col("l_linestatus"), F.lit("/"), s("l_linenumber")).alias("answer")))
+    return li.select("*", F.explode(items).alias("_i")).select(
+        s("l_orderkey").alias("activity_submission_id"), F.col("_i.name").alias("item_name"), F.col("_i.type").alias("item_type"),
+        F.col("_i.options").alias("item_response_options"), F.col("_i.answer").alias("item_response"),
+        F.lit("completed").alias("item_response_status"), F.lit(None).cast("string").alias("rawScore"),
+        (F.col("l_orderkey") % 10).cast("string").alias("subscale_name_order"),
+        F.when(F.col("l_linenumber") % 2 == 0, s("l_linenumber")).alias("activity_score"))
+
+
+def wide_first(spark, sf_dir):
+    """Items answered once for each line of an order: the first answer in the order of the answer fields stays."""
+    raw = lines_export(spark, sf_dir).drop("subscale_name_order", "activity_score")
+    w = wide_op.wide(normalize(raw), on_duplicate="first")
+    return w.select(F.col("activity_submission_id").cast("bigint").alias("order_key"), "carrier", "carrier__index", "carrier__response",
+                    "response_value__remark", "response_response__remark")
+
+
+def subscales_deduped(spark, sf_dir):
+    """Answer rows as they are, each subscale value of a submission once."""
+    r = normalize(lines_export(spark, sf_dir), dedupe_subscales=True)
+    return r.select(F.col("activity_submission.id").cast("bigint").alias("order_key"), F.col("item.name").alias("item_name"),
+                    F.col("item.type").alias("item_type"), F.col("response.value.text").alias("text"),
+                    F.col("response.value.single_value").alias("single_value"), F.col("response.value.subscale").alias("subscale"))
+
+
 def conversations_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Export rows from conversations: submission = conversation, item = turn (text)."""
     configure(spark)
@@ -483,6 +538,22 @@ def completion_grid(spark, sf_dir):
     return grids.completion(events_report(spark, sf_dir), tables.participants(spark, sf_dir))
 
 
+def renamed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events report under activity names that are hard to tell apart or equal to the grids' own columns."""
+    name = F.trim(F.col("activity.name"))
+    new = (F.when(name == "Student Check-In", "Student Check A").when(name == "Student Check-Out", "Student Check a")
+           .when(name == "Purchase survey", "site").when(name == "Signup survey", "SITE").otherwise("complete"))
+    return events_report(spark, sf_dir).withColumn("activity", F.col("activity").withField("name", new))
+
+
+def attendance_names(spark, sf_dir):
+    return grids.attendance(renamed_events(spark, sf_dir), tables.participants(spark, sf_dir))
+
+
+def completion_names(spark, sf_dir):
+    return grids.completion(renamed_events(spark, sf_dir), tables.participants(spark, sf_dir))
+
+
 def completion_summary(spark, sf_dir):
     return grids.completion_summary(completion_grid(spark, sf_dir))
 
@@ -521,6 +592,42 @@ def parquet_roundtrip(spark, sf_dir):
     return flat(spark.read.parquet(path))
 
 
+def _export_files(spark: SparkSession, frame: DataFrame, name: str) -> str:
+    """``frame`` as an export folder: CSV files named as response exports."""
+    base = scratch_path(spark, "export")
+    write_csv(NamedOutput(name, frame), f"{base}/parts")
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{base}/parts/{name}.csv")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for i, st in enumerate(f for f in fs.listStatus(path) if f.getPath().getName().startswith("part-")):
+        fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(f"{base}/{name}_responses {i}.csv"))
+    return base
+
+
+def export_report(spark, sf_dir):
+    """The orders report written as CSV export files, read back and normalised."""
+    configure(spark)
+    folder = _export_files(spark, tables.orders_export(spark, sf_dir), "orders")
+    r = read_export(spark, folder)
+    return flat(r.select(_sub(), "applet_version", F.col("item.name").alias("item_name"), F.col("item.type").alias("item_type"),
+                         F.col("item.raw_options").alias("raw_options"), F.col("activity_time.start_time").alias("start_time"),
+                         F.col("response.value.text").alias("text"), F.col("response.value.single_value").alias("single_value"),
+                         F.col("response.value.date").alias("answer_date"), F.col("response.value.subscale").alias("subscale")))
+
+
+def job_outputs(spark, sf_dir):
+    """The batch job over CSV export files of events: rows of everything that it wrote, read back by name."""
+    configure(spark)
+    folder = _export_files(spark, tables.events_export(spark, sf_dir), "events")
+    roster = write_csv(NamedOutput("roster", tables.participants(spark, sf_dir).withColumnRenamed("secret_id", "secretUserId")),
+                       scratch_path(spark, "roster"))
+    written = job.run(spark, folder, scratch_path(spark, "job"), outputs=["report", "wide", "long", "dictionary", "options", "scored", "attendance"],
+                      fmt="parquet", extra={"split_activities": "true", "participants": roster})
+    counts = [spark.read.parquet(p).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(p.rsplit("/", 1)[1]).alias("output"), "n_rows")
+              for p in written]
+    return reduce(DataFrame.unionAll, counts)
+
+
 def partitioned_roundtrip(spark, sf_dir):
     """Orders written to a folder for each status and read back, with the key in the files and in the folder."""
     configure(spark)
@@ -569,6 +676,13 @@ QUERIES: dict[str, Query] = {
     "parse_long_lists": parse_long_lists,
     "wide_mixed_scores": wide_mixed_scores,
     "partitioned_roundtrip": partitioned_roundtrip,
+    "long_report": long_report,
+    "wide_first": wide_first,
+    "subscales_deduped": subscales_deduped,
+    "attendance_names": attendance_names,
+    "completion_names": completion_names,
+    "export_report": export_report,
+    "job_outputs": job_outputs,
     "roster_from_csv": roster_from_csv,
     "wide_all": wide_all,
     "wide_single_select": wide_single_select,

@@ -6,8 +6,10 @@
   structs -> JSON with null fields kept; map columns -> JSON. Intervals inside
   them become milliseconds, too (a field ``x`` is then called ``x_ms``).
 * Parquet keeps nested types; whitespace runs in the output name become ``_``.
-* ``drop_null_columns`` drops columns with no non-null value, found with one
-  aggregate pass (on an empty frame every column counts as all-null).
+* ``drop_null_columns`` drops columns with no non-null value (on an empty frame every column
+  counts as all-null). The frame is computed once: it is written to the shared scratch folder while
+  its non-null values are counted (observed metrics of that write), and the columns that have any
+  are read from there.
 * Partitioned outputs use ``write.partitionBy`` (one folder ``by_<key>=value`` per key
   value, with the key column kept in the files) instead of one driver-side loop per key.
 """
@@ -17,12 +19,13 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import interval_ms
 from ..operators.structs import column
+from ..session import ensure_checkpoint_dir, scratch_path
 
 _JSON_OPTS = {"ignoreNullFields": "false"}
 
@@ -81,16 +84,27 @@ def csv_encode(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def non_null_columns(df: DataFrame) -> list[str]:
-    """Columns holding at least one non-null value (one aggregate pass)."""
-    if not df.columns:
-        return []
-    counts = df.agg(*[F.count(column(c)).alias(f"c{i}") for i, c in enumerate(df.columns)]).first()
-    return [c for i, c in enumerate(df.columns) if counts[f"c{i}"] > 0]
+def staged(df: DataFrame) -> tuple[DataFrame, list[str]]:
+    """``df`` as a written table and its columns with a non-null value, counted by the same write."""
+    spark = df.sparkSession
+    typed = [f.name for f in df.schema.fields if not isinstance(f.dataType, T.NullType)]  # an untyped column holds nulls only
+    if not typed:
+        return df, []
+    ensure_checkpoint_dir(spark)
+    path = scratch_path(spark, "staged")
+    seen = Observation()
+    # Columns get generated names, so that any name and any letter case can be staged.
+    plain = df.select(*[column(c).alias(f"c{i}") for i, c in enumerate(typed)])
+    plain.observe(seen, *[F.count(F.col(c)).alias(c) for c in plain.columns]).write.parquet(path)
+    counts = seen.get
+    back = spark.read.schema(plain.schema).parquet(path)
+    back = back.select(*[F.col(f"c{typed.index(c)}").alias(c) if c in typed else F.lit(None).alias(c) for c in df.columns])
+    return back, [c for i, c in enumerate(typed) if counts.get(f"c{i}", 0) > 0]
 
 
 def drop_null_columns(df: DataFrame) -> DataFrame:
-    return df.select(*[column(c) for c in non_null_columns(df)])
+    back, keep = staged(df)
+    return back.select(*[column(c) for c in keep])
 
 
 def _prepared(out: NamedOutput, df: DataFrame, drop_nulls: bool) -> tuple[DataFrame, list[str]]:
@@ -102,9 +116,10 @@ def _prepared(out: NamedOutput, df: DataFrame, drop_nulls: bool) -> tuple[DataFr
     so that not every task writes a file for every key.
     """
     if drop_nulls:
-        keep = set(non_null_columns(df))
+        back, kept = staged(df)
+        keep = set(kept)
         if keep:
-            df = df.select(*[column(c) for c in df.columns if c in keep or c in out.partition_by])
+            df = back.select(*[column(c) for c in df.columns if c in keep or c in out.partition_by])
     if not out.partition_by:
         return df, []
     df = df.hint("rebalance", *[column(c) for c in out.partition_by])

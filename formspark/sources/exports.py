@@ -12,11 +12,14 @@ from __future__ import annotations
 
 import csv
 import fnmatch
-from concurrent.futures import ThreadPoolExecutor
-from collections.abc import Iterable, Sequence
+import io
+from collections.abc import Iterable, Iterator, Sequence
 from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.normalize import normalize
@@ -65,19 +68,44 @@ def list_export_files(spark: SparkSession, path: str, pattern: str = RESPONSES_P
     return files
 
 
-def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    """First record of a CSV file, read through the Hadoop file system (driver, one line)."""
-    p, fs = _hadoop_fs(spark, path)
-    stream = fs.open(p)
+def _fields(record: str) -> list[str]:
+    return next(csv.reader(io.StringIO(record.lstrip("\ufeff"), newline="")), [])
+
+
+def headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(header array<string>, paths array<string>): the files grouped by their first record.
+
+    One job: every file is a partition of its own, whose task reads its first record, quoted line
+    breaks included, and stops. Files without a record are in no group.
+    """
+    # A one-column schema makes every longer record "corrupt", and a corrupt record is handed over as its raw text.
+    # Paths of files come back as URIs, with percent signs for spaces and the like.
+    options = CSV_OPTIONS | {"header": "false", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_record"}
+    rows = spark.read.options(**options).schema("_first string, _record string").csv(list(paths))
+    rows = rows.select(F.col("_metadata.file_path").alias("path"), "_first", "_record")
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                path, only, record = (batch.column(i)[0].as_py() for i in range(3))
+                fields = _fields(record) if record is not None else [(only or "").lstrip("\ufeff")]
+                yield pa.RecordBatch.from_arrays([pa.array([unquote(path)]), pa.array([fields], pa.list_(pa.string()))], names=["path", "header"])
+                return
+
+    found = rows.mapInArrow(first, "path string, header array<string>")
+    return found.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+
+
+def _header_groups(spark: SparkSession, paths: Sequence[str]) -> list[tuple[tuple[str, ...], list[str]]]:
+    held = {k: spark.conf.get(k) for k in ONE_FILE_A_TASK}
     try:
-        reader = spark.sparkContext._jvm.java.io.BufferedReader(
-            spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8")
-        )
-        line = reader.readLine() or ""
+        for k, v in ONE_FILE_A_TASK.items():
+            spark.conf.set(k, v)
+        groups = headers(spark, paths).collect()
     finally:
-        stream.close()
-    line = line.lstrip("﻿")
-    return tuple(next(csv.reader([line]), []))
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    return sorted((tuple(g["header"]), list(g["paths"])) for g in groups)
 
 
 def read_csv_strings(spark: SparkSession, paths: Sequence[str], header: Sequence[str]) -> DataFrame:
@@ -86,7 +114,8 @@ def read_csv_strings(spark: SparkSession, paths: Sequence[str], header: Sequence
     return spark.read.options(**CSV_OPTIONS).schema(schema).csv(list(paths))
 
 
-HEADER_READ_THREADS = 32
+#: Settings under which the header job is planned: no two files share a task, and few rows are read before the first one is seen.
+ONE_FILE_A_TASK = {"spark.sql.files.maxPartitionBytes": "1", "spark.sql.execution.arrow.maxRecordsPerBatch": "1"}
 
 
 def merge_by_name(frames: Sequence[DataFrame]) -> DataFrame:
@@ -103,20 +132,13 @@ def merge_by_name(frames: Sequence[DataFrame]) -> DataFrame:
 def read_export_frame(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
     """Raw (un-normalised) export rows from CSV files, merged by column name.
 
-    Only the first line of each file is read on the driver (to group files by
-    header); those reads are I/O bound and run on a bounded thread pool so
-    that a folder of many thousands of exports on object storage does not
-    serialise on round trips.  The rows themselves are read by the executors.
+    The first record of each file is read by a job (:func:`headers`) and the files are grouped by it there; the
+    driver gets the groups. The rows themselves are read with one scan for each group.
     """
     files = list(paths)
-    with ThreadPoolExecutor(max_workers=min(HEADER_READ_THREADS, max(1, len(files)))) as pool:
-        headers = list(pool.map(lambda f: _header(spark, f), files))
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for f, h in zip(files, headers):
-        groups.setdefault(h, []).append(f)
-    if not groups:
+    if not files:
         raise NoExportFilesError("No export files given.")
-    frames = [read_csv_strings(spark, fs, h) for h, fs in groups.items() if h]
+    frames = [read_csv_strings(spark, fs, h) for h, fs in _header_groups(spark, files) if any(h)]
     if not frames:
         raise NoExportFilesError("Export files have no header row.")
     return spread(merge_by_name(frames))

@@ -163,15 +163,15 @@ def align(item: np.ndarray, x: np.ndarray, low: int, high: int, k: int) -> tuple
     return end - int(length[fits[0]]), end, edits
 
 
-def leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = RATE, key: str = "doc_id", text: str = "text",
+def _leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = RATE, key: str = "doc_id", text: str = "text",
           item_key: str = "item_id", item_text: str = "text", item_bytes: int = ITEM_BYTES) -> DataFrame:
-    """(key, item_key, edits, start, end) of every contaminated stretch; start and end are bytes of the UTF-8 text."""
+    """The columns of :func:`leaks` and ``_hash``, the hash of the document's text."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text"))
+    rows = docs.select(F.col(key).cast("long").alias("doc"), F.xxhash64(text).alias("hash"), F.col(text).alias("text"))
     items = benchmark.where(F.col(item_text).isNotNull()).select(F.col(item_key).cast("long").alias("item"), F.col(item_text).alias("text"))
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     n_blocks = max(1, -(-int(total) // item_bytes))
-    schema = pa.schema([("doc", pa.int64()), ("item", pa.int64()), ("edits", pa.int32()), ("start", pa.int64()), ("end", pa.int64())])
+    schema = pa.schema([("doc", pa.int64()), ("hash", pa.int64()), ("item", pa.int64()), ("edits", pa.int32()), ("start", pa.int64()), ("end", pa.int64())])
 
     def search(index):
         def run(batches):
@@ -193,8 +193,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = RATE,
                             found.append((lo + row, ix.ids[item], hit[2], int(place[a + hit[0]]) - begin, last - begin))
                 if found:
                     r, i, d, s, e = zip(*found, strict=True)
-                    doc = b.column(b.schema.get_field_index("doc")).take(pa.array(r))
-                    yield pa.record_batch([doc, pa.array(i, pa.int64()), pa.array(d, pa.int32()), pa.array(s, pa.int64()),
+                    doc, text_hash = (b.column(b.schema.get_field_index(c)).take(pa.array(r)) for c in ("doc", "hash"))
+                    yield pa.record_batch([doc, text_hash, pa.array(i, pa.int64()), pa.array(d, pa.int32()), pa.array(s, pa.int64()),
                                            pa.array(e, pa.int64())], schema=schema)
 
         return run
@@ -203,12 +203,25 @@ def leaks(docs: DataFrame, benchmark: DataFrame, q: int = Q, rate: float = RATE,
     for n in range(n_blocks):
         mine = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks)) == n) if n_blocks > 1 else items
         index = Index([(r["item"], r["text"]) for r in mine.orderBy("item", "text").collect()], q, rate)
-        part = rows.mapInArrow(search(spark.sparkContext.broadcast(index)), "doc long, item long, edits int, start long, end long")
+        part = rows.mapInArrow(search(spark.sparkContext.broadcast(index)), "doc long, hash long, item long, edits int, start long, end long")
         out = part if out is None else out.unionByName(part)
-    return out.select(F.col("doc").alias(key), F.col("item").alias(item_key), "edits", "start", "end")
+    return out.select(F.col("doc").alias(key), F.col("item").alias(item_key), "edits", "start", "end", F.col("hash").alias("_hash"))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """``docs`` without the documents that hold a benchmark item. Keys must be unique, as after a deduplication."""
-    bad = leaks(docs, benchmark, key=key, **options).select(F.col(key).alias("_bad")).distinct()
-    return docs.join(bad, docs[key].eqNullSafe(bad["_bad"]), "left_anti")
+def leaks(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """(key, item_key, edits, start, end) of every contaminated stretch; start and end are bytes of the UTF-8 text.
+
+    ``options`` are those of :func:`_leaks`: q, rate, key, text, item_key, item_text, item_bytes.
+    """
+    return _leaks(docs, benchmark, **options).drop("_hash")
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """``docs`` without the documents that hold a benchmark item.
+
+    A document is known by its key and its text, so documents with a null or repeated key go
+    only if they hold an item themselves.
+    """
+    bad = _leaks(docs, benchmark, key=key, text=text, **options).select(F.col(key).alias("_bad"), "_hash").distinct()
+    same = docs[key].eqNullSafe(bad["_bad"]) & (F.xxhash64(docs[text]) == bad["_hash"])
+    return docs.join(bad, same, "left_anti")

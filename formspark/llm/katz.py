@@ -34,6 +34,7 @@ every score is 0; an empty table stays empty; other columns are not read.
 
 from __future__ import annotations
 
+import math
 import uuid
 
 import numpy as np
@@ -43,6 +44,7 @@ from pyspark.sql import functions as F
 
 from . import _words as W
 from ._pack import column, flat, unpack
+from ..session import scratch_path
 from ._tables import PARQUET, blocks, written
 
 K = 5
@@ -53,19 +55,39 @@ END = np.uint64(1)
 ANSWER = "block long, kind int, bucket int, a binary, b binary, x binary"
 
 
+def _katz(n: list[float], k: int) -> list[float] | None:
+    """Good-Turing factors of counts 1..k by Katz, if all lie between 0 and 1."""
+    if not all(n[1:k + 2]) or (k + 1) * n[k + 1] >= n[1]:
+        return None
+    q = (k + 1) * n[k + 1] / n[1]
+    d = [((r + 1) * n[r + 1] / (r * n[r]) - q) / (1 - q) for r in range(1, k + 1)]
+    return d if all(0 < x < 1 for x in d) else None
+
+
+def smoothed(n: list[int]) -> list[float]:
+    """Counts of counts on the line fitted to their logarithms (least squares)."""
+    points = [(math.log(r), math.log(n[r])) for r in range(1, len(n)) if n[r]]
+    if len(points) < 2:
+        return [0.0] * len(n)
+    mx, my = (sum(c) / len(points) for c in zip(*points, strict=True))
+    slope = sum((x - mx) * (y - my) for x, y in points) / sum((x - mx) ** 2 for x, _ in points)
+    return [0.0] + [math.exp(my + slope * (math.log(r) - mx)) for r in range(1, len(n))]
+
+
 def discounts(n: list[int]) -> list[float]:
     """d[0..K] for counts 0..K from the counts of counts n[1..K+1]: what a count keeps.
 
-    Good-Turing by Katz; where the counts of counts do not allow it, absolute discounting.
+    Good-Turing by Katz for the counts up to k, k being the largest one from K down to 2 for which all factors lie
+    between 0 and 1; larger counts are kept whole. Where the counts of counts are too rough
+    for any k, their log-linear fit takes their place. A corpus without that pattern (fewer than two
+    different counts, or more pairs than singles) has nothing Good-Turing could be read from: absolute discounting.
     """
-    d = [1.0] * (K + 1)
-    q = (K + 1) * n[K + 1] / n[1] if n[1] else 1.0
-    if q < 1 and all(n[1:K + 1]):
-        d[1:] = [((r + 1) * n[r + 1] / (r * n[r]) - q) / (1 - q) for r in range(1, K + 1)]
-    if q >= 1 or not all(0 < x < 1 for x in d[1:]):
-        off = n[1] / (n[1] + 2 * n[2]) if n[1] and n[2] else 0.5
-        d[1:] = [(r - off) / r for r in range(1, K + 1)]
-    return d
+    for counts in (n, smoothed(n)):
+        for k in range(K, 1, -1):
+            if d := _katz(counts, k):
+                return [1.0, *d, *[1.0] * (K - k)]
+    off = n[1] / (n[1] + 2 * n[2]) if n[1] and n[2] else 0.5
+    return [1.0, *[(r - off) / r for r in range(1, K + 1)]]
 
 
 NONE_I, NONE_F = np.zeros(0, np.int64), np.zeros(0)
@@ -317,7 +339,8 @@ def score(docs: DataFrame, held_out: Column, key: str = "doc_id", text: str = "t
     encoded = rows.mapInArrow(
         _encode(n_buckets, block_bytes), "block long, bucket int, doc array<long>, held binary, n binary, tok binary, word binary, cnt binary")
     name = f"formspark_blocks_{uuid.uuid4().hex}"
-    encoded.write.format("parquet").options(**PARQUET).bucketBy(n_buckets, "block").saveAsTable(name)
+    place = scratch_path(spark, "katz-blocks")  # in the shared folder, not in the warehouse
+    encoded.write.format("parquet").options(**PARQUET).option("path", place).bucketBy(n_buckets, "block").saveAsTable(name)
     try:
         table = spark.table(name)
         asked = table.where("bucket >= 0").select("block", "bucket", "word", "cnt")

@@ -26,6 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..operators.structs import column
 from ._tables import gapless, written
 
 WEIGHTS = (5, 2, 1)
@@ -112,10 +113,14 @@ def _fit_source(rows):
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, cap: int = CAP, seed: int = 7,
-        key: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """(key, source, size, source_size, target, copies, taken) of every document."""
-    sized = written(docs.select(F.col(key), F.col(source).alias("source"), n_words(F.col(text)).alias("size"),
-                                F.xxhash64(F.lit(seed), F.col(key)).alias("_u")), "mix-sizes")
+        key: str = "doc_id", text: str = "text", source: str = "source", whole: bool = False) -> DataFrame:
+    """(key, source, size, source_size, target, copies, taken) of every document.
+
+    Documents are rows: keys may be null or repeated. With ``whole``, ``_row`` holds the document's row.
+    """
+    own = [F.col(key), F.col(source).alias("source"), n_words(F.col(text)).alias("size"),
+           F.xxhash64(F.lit(seed), F.col(key), F.col(text)).alias("_u")]
+    sized = written(docs.select(*own), "mix-sizes")
     hist = sized.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n"))
     per = targets(hist.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")), weights, share, cap)
     mine = per.withColumnRenamed("source", "_s")
@@ -124,17 +129,21 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHAR
         _fit_source, "source string, size long, source_size long, target double, whole long, extra long")
     plan = written(plan, "mix-plan").select(F.col("source").alias("_s"), F.col("size").alias("_n"), "source_size", "target",
                                             "whole", "extra")
-    ranked = gapless(sized, ["source", "size"], F.pmod(F.col("_u"), F.lit(BUCKETS)), [F.col("_u"), F.col(key)], "_at", BUCKETS)
+    rows = docs.select(*own, F.struct(*[column(c) for c in docs.columns]).alias("_row")) if whole else sized
+    ranked = gapless(rows, ["source", "size"], F.pmod(F.col("_u"), F.lit(BUCKETS)), [F.col("_u"), F.col(key)], "_at", BUCKETS)
     copies = F.when(F.col("size") == 0, F.lit(0)).otherwise(F.col("whole") + (F.col("_at") < F.col("extra")).cast("long"))
     return (ranked.join(plan, ranked["source"].eqNullSafe(plan["_s"]) & (ranked["size"] == plan["_n"]))
             .withColumn("copies", copies.cast("long"))
             .select(key, "source", "size", "source_size", "target", "copies",
-                    (F.col("copies") * F.col("size")).alias("taken")))
+                    (F.col("copies") * F.col("size")).alias("taken"), *(["_row"] if whole else [])))
 
 
-def repeated(docs: DataFrame, mixed: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` as the mix takes them: a row for each copy. Keys must be unique, as after a deduplication."""
-    take = mixed.where(F.col("copies") > 0).select(F.col(key).alias("_k"), "copies")
-    return (docs.join(take, docs[key].eqNullSafe(take["_k"]))
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("_k", "copies", "_copy"))
+def repeated(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` as the mix takes them: a row for each copy. ``options`` are those of :func:`mix`.
 
+    Each row goes through the mix itself and is not looked up by its key, so null and repeated keys count as the
+    documents they are.
+    """
+    taken = mix(docs, whole=True, **options).where(F.col("copies") > 0)
+    each = taken.select("_row", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))))
+    return each.select(*[column("_row", c).alias(c) for c in docs.columns])

@@ -336,9 +336,13 @@ def classes(docs: DataFrame, k: int = K, percent: int = PERCENT, key: str = "doc
                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
 
     needed = member.select("node").distinct()
-    reps = known.where("ref = node").join(needed, "node", "left_semi").select("node", F.col("doc").alias("rep"), "a")
-    texts = rows.join(reps.hint("shuffle_hash"), rows["doc"].eqNullSafe(reps["rep"])).select("node", "a", "text")
-    sets = written(texts.mapInArrow(_sets(k), "node long, grams array<long>"), "join-sets")
+    reps = known.where("ref = node").join(needed, "node", "left_semi").select("node", F.col("doc").alias("rep"), F.col("tk").alias("rep_tk"), "a")
+    same_row = rows["doc"].eqNullSafe(reps["rep"]) & (rows["tk"] == reps["rep_tk"])  # ids alone may be null or repeated
+    texts = rows.join(reps.hint("shuffle_hash"), same_row).select("node", "a", "text")
+    sets = texts.mapInArrow(_sets(k), "node long, grams array<long>")
+    if not known.groupBy("doc", "tk").agg(F.count(F.lit(1)).alias("c")).where("c > 1").isEmpty():
+        sets = sets.dropDuplicates(["node"])  # a repeated row stands for its node once
+    sets = written(sets, "join-sets")
     left = sets.select(F.col("node").alias("a"), F.col("grams").alias("ga"))
     right = sets.select(F.col("node").alias("b"), F.col("grams").alias("gb"))
 

@@ -15,8 +15,8 @@ a ranked window keeps the k best of all. Pivots come from a sample of ``SAMPLE``
 Defined cases: vectors that are null, or hold null or non-finite components, and rows with
 a null id take no part; vectors of another length than the query's are not its candidates;
 zero vectors and ties are ordinary; a repeated candidate row counts as often as it occurs;
-equal repeated queries are answered once; components beyond ``LIMIT`` after rounding down are
-held to it, so that scores are longs; vectors without components take no part; empty tables give an empty result.
+equal repeated queries are answered once; scores are exact while the absolute products of a pair add up to less than 2 ** 63, and a score
+beyond a long is held at its end; vectors without components take no part; empty tables give an empty result.
 """
 
 from __future__ import annotations
@@ -32,17 +32,20 @@ from ._tables import written
 #: Vectors that the pivots are chosen from, and pivots.
 SAMPLE, PIVOTS = 512, 16
 QUERY_BLOCK, ROW_BLOCK = 2048, 8192
-#: Largest component: sums of 128 products of it stay below 2**63.
-LIMIT = 1 << 28
 SCALE = 64
+#: Scores are held to the range of a long.
+LONG = np.longdouble((1 << 63) - 1)
 
 
 def integers(vector: Column, scale: int = SCALE) -> Column:
     """floor(scale * x) of every component as double; null where the vector takes no part."""
     fine = vector.isNotNull() & F.coalesce(
         F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf")))), F.lit(False))
-    scaled = F.transform(vector, lambda x: F.greatest(F.lit(-float(LIMIT)), F.least(F.lit(float(LIMIT)), F.floor(
-        F.greatest(F.lit(-2.0 * LIMIT), F.least(F.lit(2.0 * LIMIT), x.cast("double") * scale))).cast("double"))))
+    def whole(x: Column) -> Column:
+        y = x.cast("double") * scale
+        return F.when(F.abs(y) < float(1 << 52), F.floor(y).cast("double")).otherwise(y)  # larger doubles are whole numbers
+
+    scaled = F.transform(vector, whole)
     return F.when(fine, scaled)
 
 
@@ -50,11 +53,12 @@ def choose_pivots(sample: np.ndarray, n: int) -> np.ndarray:
     """Farthest-first pivots: each next one is farthest from those before."""
     if not len(sample):
         return sample
+    sample = sample.astype(np.longdouble)  # squares of any double
     chosen, near = [0], ((sample - sample[0]) ** 2).sum(1)
     while len(chosen) < min(n, len(sample)):
         chosen.append(int(near.argmax()))
         near = np.minimum(near, ((sample - sample[chosen[-1]]) ** 2).sum(1))
-    return sample[chosen]
+    return sample[chosen].astype(np.float64)
 
 
 def pivot_table(vectors: DataFrame, n_pivots: int = PIVOTS, sample: int = SAMPLE) -> DataFrame:
@@ -71,7 +75,7 @@ def pivot_table(vectors: DataFrame, n_pivots: int = PIVOTS, sample: int = SAMPLE
             for x in pdf["x"]:
                 x = np.asarray(x, dtype=np.float64)
                 p = chosen.get(len(x))
-                out.append(np.sqrt(((p - x) ** 2).sum(1)) if p is not None else np.zeros(0))
+                out.append(np.sqrt(((p.astype(np.longdouble) - x) ** 2).sum(1)).astype(np.float64) if p is not None else np.zeros(0))
             yield pdf.assign(pivots=out)
 
     return vectors.mapInPandas(distances, "id long, x array<double>, pivots array<double>")
@@ -84,9 +88,10 @@ def _best(q: np.ndarray, x: np.ndarray, pq: np.ndarray, px: np.ndarray, qid: np.
     nq2, nx2 = (q * q).sum(1), (x * x).sum(1)
     for lo in range(0, len(q), 64):
         rows = slice(lo, min(lo + 64, len(q)))
-        low = np.zeros((rows.stop - lo, len(x)))
+        low = np.zeros((rows.stop - lo, len(x)), dtype=x.dtype)
         for p in range(pq.shape[1]):
-            np.maximum(low, np.abs(pq[rows, p, None] - px[None, :, p]), out=low)
+            a, b = pq[rows, p, None], px[None, :, p]
+            np.maximum(low, np.abs(a - b) - 1e-14 * (a + b), out=low)  # less than the rounding of far distances
         bound = (nq2[rows, None] + nx2[None, :] - low * low) / 2
         bound += 1e-9 * (nq2[rows, None] + nx2[None, :]) + 1e-3  # more than the rounding of the distances
         bound[qid[rows, None] == xid[None, :]] = -np.inf  # the query's own row
@@ -131,7 +136,7 @@ def _cell(k: int):
         at = np.array([h[0] for h in hits], dtype=np.int64)
         return pd.DataFrame({"query_id": qid[at], "query_no": queries["no"].to_numpy(np.int64)[at],
                              "vec_id": xid[np.array([h[1] for h in hits], dtype=np.int64)],
-                             "score": np.array([h[2] for h in hits]).astype(np.int64)}, columns=out)
+                             "score": np.clip(np.array([h[2] for h in hits], dtype=np.longdouble), -LONG, LONG).astype(np.int64)}, columns=out)
 
     return run
 

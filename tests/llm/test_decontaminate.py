@@ -81,3 +81,14 @@ def test_extra_columns(llm, docs):
     item = "one two three four five six seven"
     df = docs([(1, item), (2, "clean")]).withColumns({c: F.lit("z") for c in ("doc", "item", "item_id", "start", "_x")})
     assert [x.doc_id for x in D.clean(df, llm.createDataFrame([(1, item)], ITEMS)).collect()] == [2]
+
+
+def test_clean_knows_documents_by_id_and_text(spark):
+    item = "the quick brown fox jumps over the lazy dog and runs away"
+    rows = [(None, f"clean text number {i} of some words") for i in range(5)] + [(None, f"so {item} then"), (None, None), (1, item), (1, "other words"), (2, item), (2, item)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    from formspark.llm import decontaminate
+
+    got = sorted(map(tuple, decontaminate.clean(docs, bench).collect()), key=str)
+    assert got == sorted([r for r in rows if not r[1] or item not in r[1]], key=str)

@@ -17,6 +17,57 @@ def tokens(text):
     return re.findall(r"[^\x20\x09-\x0D]+", low) + [None]
 
 
+def good_turing(counts):
+    """What counts 0..K keep, from the adjusted count r* = (r + 1) N(r + 1) / N(r) in Katz's normalisation:
+    d = (r* / r - A) / (1 - A), A = (k + 1) N(k + 1) / N(1), for the largest k whose factors are proper.
+    None of the tables here is too rough for every k unless it is tiny."""
+    n = Counter(counts.values())
+    for k in range(katz.K, 1, -1):
+        if any(not n[r] for r in range(1, k + 2)):
+            continue
+        a = (k + 1) * n[k + 1] / n[1]
+        star = {r: (r + 1) * n[r + 1] / n[r] for r in range(1, k + 1)}
+        d = {r: (star[r] / r - a) / (1 - a) for r in star} if a < 1 else {}
+        if d and all(0 < x < 1 for x in d.values()):
+            return [1.0] + [d.get(r, 1.0) for r in range(1, katz.K + 1)]
+    return katz.discounts([0] + [n[r] for r in range(1, katz.K + 2)])
+
+
+@pytest.mark.parametrize("n", [
+    [0, 1000, 300, 150, 90, 60, 40],            # proper for every count
+    [0, 1000, 300, 150, 90, 100, 40],           # too rough at 4: the cut-off goes down
+    [0, 100, 60, 70, 20, 30, 9],                # too rough throughout: smoothed
+])
+def test_factors_are_good_turing(n):
+    d = katz.discounts(n)
+    off = n[1] / (n[1] + 2 * n[2])
+    assert d[0] == 1 and all(0 < x <= 1 for x in d) and d[1] < 1
+    assert d[1:] != [(r - off) / r for r in range(1, katz.K + 1)]
+    kept = [r for r in range(1, katz.K + 1) if d[r] < 1]
+    k = max(kept)
+    assert kept == list(range(1, k + 1))
+    counts = n if n[5] != 30 else katz.smoothed(n)
+    a = (k + 1) * counts[k + 1] / counts[1]
+    for r in kept:
+        assert d[r] == pytest.approx(((r + 1) * counts[r + 1] / (r * counts[r]) - a) / (1 - a))
+
+
+def test_tables_are_scored_by_good_turing(spark):
+    rows = [tuple(r) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()]
+    uni, bi = Counter(), Counter()
+    for k, t in rows:
+        if zlib.crc32(str(k).encode()) % 7 != 2:
+            toks = tokens(t)
+            uni.update(toks)
+            bi.update(zip(["<s>", *toks], toks))
+    for c in (uni, bi):
+        n = Counter(c.values())
+        n = [0] + [n[r] for r in range(1, katz.K + 2)]
+        d = katz.discounts(n)
+        off = n[1] / (n[1] + 2 * n[2])
+        assert d[1] < 1 and d[1:] != [(r - off) / r for r in range(1, katz.K + 1)]
+
+
 def brute(rows):
     """{row number: (held_out, n_tokens, n_known, N, base, score)}, and the probability function."""
     held = [zlib.crc32(str("" if k is None else k).encode()) % 7 == 2 for k, _ in rows]
@@ -31,7 +82,7 @@ def brute(rows):
     docs = held.count(False)
     big_n, vocab = sum(uni.values()), len(uni)
     ns = lambda c: [0] + [sum(x == r for x in c.values()) for r in range(1, katz.K + 2)]
-    d1, d2 = katz.discounts(ns(uni)), katz.discounts(ns(bi))
+    d1, d2 = good_turing(uni), good_turing(bi)
     keep = lambda d, c: (d[c] if c <= katz.K else 1.0) * c
     freed = sum(c - keep(d1, c) for c in uni.values())
     total = big_n + (0 if freed else 1)

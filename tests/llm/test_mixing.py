@@ -73,3 +73,14 @@ def test_defined_cases(docs):
     assert mixing.mix(docs([])).count() == 0
     alike = docs([(i, "a b", "en", "s") for i in range(999)])  # one length holds all rows
     assert sum(r.taken for r in mixing.mix(alike).collect()) in (2996, 2997, 2998)
+
+
+def test_rows_of_null_and_repeated_ids_are_documents(spark):
+    rows = [(None, f"word{i} b c", "x") for i in range(6)] + [(1, "a b", "x"), (1, "a b", "x"), (1, "c d e", "y"), (None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("_row", F.lit(1)).withColumn("size", F.lit(2))
+    mixed = mixing.mix(docs)
+    taken = {tuple(r): n for r, n in Counter(mixing.repeated(docs).collect()).items()}
+    assert mixed.count() == len(rows)
+    assert sum(taken.values()) == mixed.agg(F.sum("copies")).first()[0]
+    for r, n in Counter((*r, 1, 2) for r in rows).items():
+        assert taken.get(r, 0) <= 2 * n

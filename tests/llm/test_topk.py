@@ -40,3 +40,10 @@ def test_defined_cases(llm):
     got = topk.top_k(df, F.col("vec_id") % 20 == 0, k=20)
     assert sorted(map(tuple, got.collect())) == brute(rows, 20)
     assert topk.top_k(llm.createDataFrame([], VEC), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_large_components_keep_their_values(spark):
+    rows = [(0, [1.0]), (1, [5e6]), (2, [9e6]), (3, [-7e9]), (4, [1e300])]
+    got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, 4).collect()
+    top = {r["vec_id"]: (r["rank"], r["score"]) for r in got}
+    assert top == {4: (1, (1 << 63) - 1), 2: (2, 36864000000), 1: (3, 20480000000), 3: (4, -64 * 64 * 7 * 10**9)}

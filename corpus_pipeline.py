@@ -49,7 +49,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mixing sources to target weights: a row for every time that the mix takes a document."""
     ready(spark)
-    return mixing.repeated(docs, mixing.mix(docs))
+    return mixing.repeated(docs)
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -220,11 +220,32 @@ def _long_row(item: str, where: str = "", **vals: str) -> str:
     return f"SELECT {', '.join(cols)} FROM o" + (f" WHERE {where}" if where else "")
 
 
+CUSTOMER_OPTIONS = {"service": [("poor", 0, -1), ("fair", 1, 0), ("good", 2, 4)], "channels": [("web", 0, None), ("shop", 1, None)],
+                    "pain": [(str(n), n, n) for n in range(1, 5)], "segment": []}
+
+
 def long_report_sql() -> str:
-    """Long rows times the options of their items."""
-    return (f"WITH {options_values_cte()}, long AS ({long_sql()})\n"
-            "SELECT long.*, option_name AS item_option_name, CAST(option_value AS BIGINT) AS item_option_value, "
-            "CAST(option_score AS BIGINT) AS item_option_score FROM long LEFT JOIN opts USING (item_name)")
+    """Each answer value of a customer's items, times the item's options."""
+    def rows(item: str, typ: str, raw: str | None, answer: str, where: str = "", **vals: str) -> str:
+        opts = CUSTOMER_OPTIONS[item]
+        option = "(VALUES " + ", ".join(f"({q(n)}, {v}, {n_(s)})" for n, v, s in opts or [(None, "NULL", None)]) + ") p(n, v, s)"
+        cols = [f"'cust-' || {V('c_custkey')} AS submission_id", f"{V('c_nationkey')} AS target_user_id", f"{q(item)} AS item_name",
+                f"{q(typ)} AS item_type", f"CAST({q(raw)} AS VARCHAR) AS item_raw_options", f"CAST({q(_json(opts))} AS VARCHAR) AS item_options_json",
+                "'completed' AS response_status", "c_custkey % 40 AS response_raw_score", f"{answer} AS response_raw_response"]
+        for name, t in LONG_TYPES:
+            cols.append(f"CAST({vals.get(name[len('response_value_'):], 'NULL')} AS {t}) AS {name}")
+        cols += ["CAST(n AS VARCHAR) AS item_option_name", "CAST(v AS BIGINT) AS item_option_value", "CAST(s AS BIGINT) AS item_option_score"]
+        return f"SELECT {', '.join(cols)} FROM customer, {option}" + (f" WHERE {where}" if where else "")
+
+    channels = ("channels", "multiSelect", "web: 0, shop: 1")
+    return "\nUNION ALL ".join([
+        rows("service", "singleSelect", "poor: 0 (score: -1), fair: 1 (score: 0), good: 2 (score: 4)", f"'value: ' || {V('c_custkey % 3')}",
+             single_value="c_custkey % 3"),
+        rows(*channels, "'value: null'", "c_custkey % 4 = 0", type="'null_value'", null_value="TRUE"),
+        rows(*channels, "'value: 0, 1'", "c_custkey % 4 <> 0", type="'value'", value="0", value_index="0"),
+        rows(*channels, "'value: 0, 1'", "c_custkey % 4 <> 0", type="'value'", value="1", value_index="1"),
+        rows("pain", "slider", "Min: 1, Max: 4", f"'value: ' || {V('c_custkey % 4 + 1')}", type="'value'", value="c_custkey % 4 + 1", value_index="0"),
+        rows("segment", "text", None, "c_mktsegment", type="'text'", text="c_mktsegment")])
 
 
 def long_sql() -> str:

@@ -308,12 +308,32 @@ def long_responses(spark, sf_dir):
     return _whole(outputs.long_data(orders_report(spark, sf_dir)), *LONG_COLUMNS)
 
 
+def customers_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Export rows from customer: submission = customer, three items with options and one without."""
+    configure(spark)
+    cu = _t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    k, s = F.col("c_custkey"), lambda c: c.cast("string")
+    item = lambda name, typ, options, answer: F.struct(
+        F.lit(name).alias("name"), F.lit(typ).alias("type"), F.lit(options).cast("string").alias("options"), answer.alias("answer"))
+    items = F.array(
+        item("service", "singleSelect", "poor: 0 (score: -1), fair: 1 (score: 0), good: 2 (score: 4)", F.concat(F.lit("value: "), s(k % 3))),
+        item("channels", "multiSelect", "web: 0, shop: 1", F.when(k % 4 == 0, F.lit("value: null")).otherwise(F.lit("value: 0, 1"))),
+        item("pain", "slider", "Min: 1, Max: 4", F.concat(F.lit("value: "), s(k % 4 + 1))),
+        item("segment", "text", None, F.col("c_mktsegment")))
+    return cu.select("*", F.explode(items).alias("_i")).select(
+        F.concat(F.lit("cust-"), s(k)).alias("activity_submission_id"), s(F.col("c_nationkey")).alias("target_id"),
+        F.col("_i.name").alias("item_name"), F.col("_i.type").alias("item_type"), F.col("_i.options").alias("item_response_options"),
+        F.col("_i.answer").alias("item_response"), F.lit("completed").alias("item_response_status"), s(k % 40).alias("rawScore"))
+
+
 def long_report(spark, sf_dir):
-    """Answer values times options, every column."""
-    full = reshape.long_report(orders_report(spark, sf_dir))
+    """Answer values times the options of their items."""
+    full = reshape.long_report(normalize(customers_export(spark, sf_dir)))
     option = [F.col(f"item_response_options.{f}").alias(f"item_option_{f}") for f in ("name", "value", "score")]
-    wanted = ["item_option_name", "item_option_value", "item_option_score"]
-    return _whole(full.select("*", *option).drop("item_response_options"), *LONG_COLUMNS, *wanted)
+    return flat(full.select(_sub(), F.col("target_user.id").alias("target_user_id"), F.col("item.name").alias("item_name"),
+                            F.col("item.type").alias("item_type"), F.col("item.raw_options").alias("item_raw_options"),
+                            F.to_json("item.response_options").alias("item_options_json"), "response_status", "response_raw_score",
+                            "response_raw_response", *LONG_COLUMNS, *option))
 
 
 def data_dictionary(spark, sf_dir):

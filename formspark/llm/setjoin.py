@@ -12,12 +12,16 @@ the segments in which linked sets match weigh more than e. :func:`allocate` pick
 each band by cost: index rows against segments that hold too little to be selective. A set
 publishes keys for its own band and, as the larger side, for the bands below that it can link to.
 
-The e spare units make frequent keys harmless. A key that more than ``HOT`` blocks' documents have
-is hot, and is only used between sets whose hot and (nearly) empty segments weigh more than e. All
-other linked sets meet in a key that is not hot.
-
-Verification. Documents with equal sets are one class. In each group of classes that share a key
-the smallest is compared with the others, exactly, on 64-bit shingle hashes. Pairs inside a
+The e spare units make frequent keys harmless. All keys have one order, by the number of documents that
+have them; each set leaves out its most frequent keys, as long as these and its (nearly) empty segments weigh no more
+than e. The rarest key that two linked sets match in is left out by neither: all their other matches
+come before it in the order, so leaving it out would leave out more than e. A key that more
+than ``HOT`` blocks' documents have is hot.
+
+Verification. Documents with equal sets are one class. Each class has a parity sketch: ``SKETCH`` longs whose bits are flipped by
+the shingles. Two sets differ in no fewer shingles than their sketches in bits, so most candidates that do not link go
+by an exact bound; the sets of the others are built from their texts and compared, exactly, on 64-bit shingle hashes.
+In each group of classes that share a key the smallest is compared with the others. Pairs inside a
 component need no comparison, so copies and near copies of one text are settled there. What is left:
 
 * Hot groups. Of each set it is known what it adds to the hub and how much it lacks. Two sets
@@ -54,6 +58,10 @@ BLOCK_BYTES, BUCKET_BYTES = 8 << 20, 16 << 20
 HOT, SPARE = 32, 10
 #: Cost of a segment with less than two shingles, in index rows.
 THIN_COST = 50.0
+#: Longs of a parity sketch.
+SKETCH = 8
+#: Texts to fetch (four longs each) that are broadcast at most; beyond, texts are shuffled to them.
+FETCH_ROWS = 1 << 18
 _U = np.uint64
 _SEED = 0xC2B2AE3D27D4EB4F
 
@@ -114,6 +122,14 @@ def _sums(at: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
     return low.astype(_U) + (high.astype(_U) << _U(32))
 
 
+def sketches(grams: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
+    """``SKETCH`` longs for each of n rows: every shingle flips one bit."""
+    place = at * (SKETCH * 64) + (W.mix(grams ^ _U(0x6A09E667F3BCC908)) >> _U(55)).astype(np.int64) % (SKETCH * 64)
+    place, count = np.unique(place, return_counts=True)
+    odd = place[count % 2 == 1]
+    return _sums(odd >> 6, _U(1) << (odd & 63).astype(_U), n * SKETCH)
+
+
 def keys_of(grams: np.ndarray, size: np.ndarray, percent: int):
     """(key, row * 4 + own * 2 + heavy) of all published keys, and the slack of each row.
 
@@ -171,7 +187,7 @@ def keys_of(grams: np.ndarray, size: np.ndarray, percent: int):
 def _publish(n_buckets: int, k: int, percent: int, block_bytes: int):
     """Documents to rows for the buckets of their keys, and one row with what is known of the block's documents."""
     schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("doc", pa.list_(pa.int64())), ("n", pa.list_(pa.int32())),
-                        ("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64())), ("slack", pa.list_(pa.int32())), ("low", pa.list_(pa.int32())), ("tk", pa.list_(pa.int64())),
+                        ("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64())), ("slack", pa.list_(pa.int32())), ("low", pa.list_(pa.int32())), ("bits", pa.list_(pa.int64())), ("tk", pa.list_(pa.int64())),
                         ("key", pa.list_(pa.int32())), ("who", pa.list_(pa.int32()))])
 
     def lists(v, offsets, kind):
@@ -183,7 +199,7 @@ def _publish(n_buckets: int, k: int, percent: int, block_bytes: int):
         base = TaskContext.get().partitionId() << 16
         for i, b in enumerate(blocks(batches, "text", block_bytes)):
             data, off = W.buffers(b.column(b.schema.get_field_index("text")))
-            size, a, c, slack, keys, who, done = [], [], [], [], [], [], 0
+            size, a, c, bits, slack, keys, who, done = [], [], [], [], [], [], [], 0
             for lo, hi in W.pieces(off):
                 grams, n = shingle_sets(data[off[lo]:off[hi]], off[lo:hi + 1] - off[lo], k)
                 at = np.repeat(np.arange(len(n)), n)
@@ -193,11 +209,12 @@ def _publish(n_buckets: int, k: int, percent: int, block_bytes: int):
                 size.append(n)
                 a.append(set_a)
                 c.append(set_b)
+                bits.append(sketches(grams, at, len(n)))
                 slack.append(free)
                 keys.append(key)
                 who.append(code + done * 4)
                 done += len(n)
-            size, a, c = map(np.concatenate, (size, a, c))
+            size, a, c, bits = map(np.concatenate, (size, a, c, bits))
             slack, low = np.concatenate(slack, axis=1)
             keys, who = np.concatenate(keys), np.concatenate(who)
             # Copies inside the block publish once; they have the same class.
@@ -219,27 +236,31 @@ def _publish(n_buckets: int, k: int, percent: int, block_bytes: int):
                 pa.array(np.concatenate([[-1 - (base + i) % n_buckets], have.astype(np.int64)]).astype(np.int32)),
                 pa.ListArray.from_arrays(pa.array(np.concatenate([[0], none + len(docs)]).astype(np.int32)), docs),
                 meta(size, np.int32), meta(a.view(np.int64), np.int64), meta(c.view(np.int64), np.int64), meta(slack, np.int32),
-                meta(low, np.int32), meta(b.column(b.schema.get_field_index("tk")).to_numpy(), np.int64),
+                meta(low, np.int32), meta(bits.view(np.int64), np.int64), meta(b.column(b.schema.get_field_index("tk")).to_numpy(), np.int64),
                 lists((keys & _U(0xFFFFFFFF)).astype(np.uint32).view(np.int32), ends, np.int32),
                 lists(who, ends, np.int32)], schema=schema)
 
     return run
 
 
-META, GROUP, HOTS = 0, 1, 2
-FOUND = "kind int, x long, y long, n int, a long, b long, slack int, low int, tk long"
+META, GROUP = 0, 1
+FOUND = "kind int, x long, y long, n int, a long, b long, slack int, low int, tk long, bits array<long>"
 
 
-def _meet(hot: int):
-    """One bucket: documents that share a key."""
-    names = ["kind", "x", "y", "n", "a", "b", "slack", "low", "tk"]
-    types = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+def _meet():
+    """One bucket: documents that share a key.
 
-    def frame(kind, x, y=None, n=None, a=None, b=None, slack=None, low=None, tk=None):
-        size = len(x)
-        cols = [np.full(size, kind), x, y, n, a, b, slack, low, tk]
-        return pa.table([c if isinstance(c, pa.Array) else pa.nulls(size, t) if c is None else pa.array(c).cast(t)
-                         for c, t in zip(cols, types, strict=True)], names=names)
+    Rows of groups: x group, y document, n documents in the group, slack and low what the group's keys weigh in the
+    document's own band and in lower ones.
+    """
+    names = ["kind", "x", "y", "n", "a", "b", "slack", "low", "tk", "bits"]
+    types = [pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64())]
+
+    def frame(kind, x, **cols):
+        cols = {"kind": np.full(len(x), kind), "x": x, **cols}
+        have = [cols.get(c) for c in names]
+        return pa.table([pa.nulls(len(x), t) if c is None else c if isinstance(c, pa.Array) else pa.array(c).cast(t)
+                         for c, t in zip(have, types, strict=True)], names=names)
 
     def flat(t, name):
         col = t.column(name).combine_chunks()
@@ -251,7 +272,8 @@ def _meet(hot: int):
         if key[0].as_py() < 0:
             docs, length = flat(t, "doc")
             ref = np.repeat(block << 24, length) + np.concatenate([np.arange(x) for x in length])
-            return frame(META, ref, docs, *[flat(t, c)[0] for c in ("n", "a", "b", "slack", "low", "tk")])
+            bits = pa.ListArray.from_arrays(pa.array(np.arange(len(ref) + 1, dtype=np.int32) * SKETCH), flat(t, "bits")[0])
+            return frame(META, ref, y=docs, bits=bits, **{c: flat(t, c)[0] for c in ("n", "a", "b", "slack", "low", "tk")})
         keys, length = flat(t, "key")
         who = flat(t, "who")[0].to_numpy()
         keys, ref = keys.to_numpy(), np.repeat(block << 24, length) + (who >> 2)
@@ -267,20 +289,17 @@ def _meet(hot: int):
         keep = once & live[group]
         group, ref, own, weight = group[keep], ref[keep], own[keep], weight[keep]
         if not len(group):
-            return frame(META, np.zeros(0, np.int64), np.zeros(0, np.int64), *[np.zeros(0, np.int64)] * 6)
+            return frame(GROUP, np.zeros(0, np.int64))
         start = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
         count = np.diff(np.append(start, len(group)))
-        many = np.repeat(count > hot, count)
         # Keys with the same documents are one group, here and in other buckets.
         name = np.repeat(np.add.reduceat(W.mix(ref.view(_U) + _U(3)), start).view(np.int64), count)
-        _, first = np.unique(np.add.reduceat(W.mix(ref.view(_U) + _U(3)), start), return_index=True)
-        lead = np.zeros(len(start), dtype=bool)
-        lead[first] = True
-        lead = np.repeat(lead, count)
-        # What the hot keys of each document weigh, in its own band and in lower ones.
-        who_hot, at = np.unique(ref[many], return_inverse=True)
-        hots = np.bincount(at * 2 + own[many], weights=weight[many], minlength=2 * len(who_hot)).astype(np.int64)
-        return pa.concat_tables([frame(GROUP, name[lead], ref[lead], many[lead].astype(np.int32)), frame(HOTS, who_hot, hots[0::2], hots[1::2])])
+        count = np.repeat(count, count)
+        order = np.lexsort((ref, name))
+        name, ref, count, own, weight = name[order], ref[order], count[order], own[order], weight[order]
+        start = np.flatnonzero(np.concatenate([[True], (name[1:] != name[:-1]) | (ref[1:] != ref[:-1])]))
+        return frame(GROUP, name[start], y=ref[start], n=count[start], slack=np.add.reduceat(weight * own, start),
+                     low=np.add.reduceat(weight * ~own, start))
 
     return run
 
@@ -312,41 +331,64 @@ def classes(docs: DataFrame, k: int = K, percent: int = PERCENT, key: str = "doc
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.xxhash64(text).alias("tk"), F.col(text).alias("text"))
     published = rows.mapInArrow(
         _publish(n_buckets, k, percent, block_bytes), "block long, bucket int, doc array<long>, n array<int>, a array<long>, "
-        "b array<long>, slack array<int>, low array<int>, tk array<long>, key array<int>, who array<int>")
-    found = written(published.groupBy("bucket").applyInArrow(_meet(hot), FOUND), "join-found")
+        "b array<long>, slack array<int>, low array<int>, bits array<long>, tk array<long>, key array<int>, who array<int>")
+    found = written(published.groupBy("bucket").applyInArrow(_meet(), FOUND), "join-found")
 
-    meta = found.where(F.col("kind") == META).select(F.col("x").alias("ref"), F.col("y").alias("doc"), "n", "a", "b", "slack", "low", "tk")
-    class_ = meta.where("n > 0").groupBy("n", "a", "b").agg(F.min("ref").alias("node"), F.min_by("doc", "ref").alias("rep"))
-    known = written(meta.join(class_, ["n", "a", "b"], "left")
-                    .select("ref", "doc", "n", "a", F.coalesce("node", "ref").alias("node"), "rep", "slack", "low", "tk"), "join-classes")
+    meta = found.where(F.col("kind") == META).select(F.col("x").alias("ref"), F.col("y").alias("doc"), "n", "a", "b", "slack", "low", "tk", "bits")
+    class_ = meta.where("n > 0").groupBy("n", "a", "b").agg(F.min("ref").alias("node"))
+    known = written(meta.join(class_, ["n", "a", "b"], "left").withColumn("node", F.coalesce("node", "ref"))
+                    .select("ref", "doc", "n", "a", "node", "slack", "low", "tk", F.when(F.col("ref") == F.col("node"), F.col("bits")).alias("bits")),
+                    "join-classes")
 
-    hots = found.where(F.col("kind") == HOTS).groupBy("x").agg(F.sum("n").alias("hot_own"), F.sum("y").alias("hot_low"))
+    # Each document leaves out its most frequent keys, as far as its slack goes, in its own band and in the lower ones.
     of_ref = known.select(F.col("ref").alias("y"), "node", F.col("n").alias("size"), "slack", "low")
-    member = (found.where(F.col("kind") == GROUP).select(F.col("x").alias("g"), "y", F.col("n").alias("many")).distinct()
-              .join(of_ref, "y").join(hots.withColumnRenamed("x", "y"), "y", "left")
-              .where((F.col("many") == 0) | (F.coalesce("hot_own", F.lit(0)) > F.col("slack")) | (F.coalesce("hot_low", F.lit(0)) > F.col("low")))
-              .select("g", "node", "size", "many").distinct())
-    member = written(member.join(member.groupBy("g").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("g"), "g", "left_semi"),
-                     "join-groups")
+    weighed = (found.where(F.col("kind") == GROUP).select(F.col("x").alias("g"), "y", F.col("n").alias("c"), F.col("slack").alias("w_own"),
+                                                         F.col("low").alias("w_low"))
+               .repartition("y").groupBy("y", "g").agg(F.max("c").alias("c"), F.sum("w_own").alias("w_own"), F.sum("w_low").alias("w_low")))
+    upto = SparkWindow.partitionBy("y").orderBy(F.desc("c"), "g").rowsBetween(SparkWindow.unboundedPreceding, 0)
+    member = (weighed.withColumn("own", F.sum("w_own").over(upto)).withColumn("below", F.sum("w_low").over(upto)).join(of_ref, "y")
+              .where(((F.col("w_own") > 0) & (F.col("own") > F.col("slack"))) | ((F.col("w_low") > 0) & (F.col("below") > F.col("low"))))
+              .groupBy("g", "node").agg(F.max("size").alias("size"), F.max((F.col("c") > hot).cast("int")).alias("many")))
+    member = written(member.withColumn("c", F.count(F.lit(1)).over(SparkWindow.partitionBy("g"))).where("c > 1").drop("c"), "join-groups")
+    sketch = known.where("ref = node").select("node", "bits")
 
     def likely(pairs: DataFrame) -> DataFrame:
-        """Distinct pairs whose sizes allow a link."""
+        """Distinct pairs whose sizes and sketches allow a link."""
         small, large = F.least("na", "nb"), F.greatest("na", "nb")
-        return (pairs.where((F.col("a") != F.col("b")) & (100 * small >= percent * large))
-                .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-
-    needed = member.select("node").distinct()
-    reps = known.where("ref = node").join(needed, "node", "left_semi").select("node", F.col("doc").alias("rep"), F.col("tk").alias("rep_tk"), "a")
-    same_row = rows["doc"].eqNullSafe(reps["rep"]) & (rows["tk"] == reps["rep_tk"])  # ids alone may be null or repeated
-    texts = rows.join(reps.hint("shuffle_hash"), same_row).select("node", "a", "text")
-    sets = texts.mapInArrow(_sets(k), "node long, grams array<long>")
-    if not known.groupBy("doc", "tk").agg(F.count(F.lit(1)).alias("c")).where("c > 1").isEmpty():
-        sets = sets.dropDuplicates(["node"])  # a repeated row stands for its node once
-    sets = written(sets, "join-sets")
-    left = sets.select(F.col("node").alias("a"), F.col("grams").alias("ga"))
-    right = sets.select(F.col("node").alias("b"), F.col("grams").alias("gb"))
+        pairs = (pairs.where((F.col("a") != F.col("b")) & (100 * small >= percent * large))
+                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), (F.col("na") + F.col("nb")).alias("both")).distinct())
+        of = lambda c: sketch.select(F.col("node").alias(c), F.col("bits").alias(f"bits_{c}"))
+        apart = sum((F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(SKETCH)), F.lit(0))
+        return (pairs.join(of("a"), "a").join(of("b"), "b")
+                .where((100 + percent) * apart <= (100 - percent) * F.col("both")).select("a", "b"))
+
+    nodes = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    repeated = not known.groupBy("doc", "tk").agg(F.count(F.lit(1)).alias("c")).where("c > 1").isEmpty()
+    built: list[DataFrame] = []
+
+    def sets_of(pairs: DataFrame) -> DataFrame:
+        """(node, grams) of the nodes in ``pairs``; sets that no earlier pair needed are built from their texts."""
+        need = nodes(pairs)
+        fresh = need
+        for table in built:
+            fresh = fresh.join(table.select("node"), "node", "left_anti")
+        reps = written(known.where("ref = node").join(fresh, "node", "left_semi")
+                       .select("node", F.col("doc").alias("rep"), F.col("tk").alias("rep_tk"), "a"), "join-fetch")
+        count = reps.count()
+        if count:
+            same_row = rows["doc"].eqNullSafe(reps["rep"]) & (rows["tk"] == reps["rep_tk"])  # ids alone may be null or repeated
+            texts = rows.join(F.broadcast(reps) if count <= FETCH_ROWS else reps.hint("shuffle_hash"), same_row).select("node", "a", "text")
+            sets = texts.mapInArrow(_sets(k), "node long, grams array<long>")
+            built.append(written(sets.dropDuplicates(["node"]) if repeated else sets, "join-sets"))  # a repeated row stands for its node once
+        have = built[0]
+        for table in built[1:]:
+            have = have.union(table)
+        return have.join(need, "node", "left_semi")
 
     def verified(pairs: DataFrame) -> DataFrame:
+        sets = sets_of(pairs)
+        left = sets.select(F.col("node").alias("a"), F.col("grams").alias("ga"))
+        right = sets.select(F.col("node").alias("b"), F.col("grams").alias("gb"))
         both = F.size(F.array_intersect("ga", "gb"))
         return written(pairs.join(left, "a").join(right, "b")
                        .where(100 * both >= percent * (F.size("ga") + F.size("gb") - both)).select("a", "b"), "join-links")
@@ -354,6 +396,12 @@ def classes(docs: DataFrame, k: int = K, percent: int = PERCENT, key: str = "doc
     def labelled(table: DataFrame, labels: DataFrame) -> DataFrame:
         return table.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
+    def across(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+        """The pairs between different components."""
+        end = lambda c: labels.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
+        return (pairs.join(end("a"), "a", "left").join(end("b"), "b", "left")
+                .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
+
     def unfinished(table: DataFrame) -> DataFrame:
         """The rows of ``table`` in groups that still hold several components."""
         more = table.groupBy("g").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
@@ -365,12 +413,23 @@ def classes(docs: DataFrame, k: int = K, percent: int = PERCENT, key: str = "doc
     hub = written(hub, "join-hubs")
     first = member.join(hub, "g").select("a", "na", F.col("node").alias("b"), F.col("size").alias("nb"))
     done = pairs = written(likely(first), "join-pairs")
-    links = verified(pairs)
+    # One partner of each first: most others are inside a component then.
+    lead = written(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), "join-pairs")
+    links = pairs if lead.isEmpty() else verified(lead)
     labels = components(links)
+    pairs = written(across(pairs.join(lead, ["a", "b"], "left_anti"), labels), "join-pairs")
+    if not pairs.isEmpty():
+        links = links.unionByName(verified(pairs))
+        labels = components(links)
 
     # Hot groups: what each set adds to its hub tells whether two of them can link.
     hot_rows = unfinished(labelled(member.where("many = 1"), labels)).join(hub, "g").where("node <> a")
-    pair = hot_rows.select("a", F.col("node").alias("b")).distinct()
+    pair = written(hot_rows.select("a", F.col("node").alias("b")).distinct(), "join-hot-pairs")
+    if pair.isEmpty():
+        left, right = (pair.select(c, F.array().cast("array<long>").alias(f"g{c}")) for c in ("a", "b"))
+    else:
+        sets = sets_of(pair)
+        left, right = (sets.select(F.col("node").alias(c), F.col("grams").alias(f"g{c}")) for c in ("a", "b"))
     more = F.array_except("gb", "ga")
     diff = written(labelled(pair.join(left, "a").join(right, "b").select(
         F.col("a").alias("hub"), F.col("b").alias("node"), F.size("gb").alias("size"), more.alias("more"),

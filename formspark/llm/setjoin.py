@@ -352,15 +352,17 @@ def classes(docs: DataFrame, k: int = K, percent: int = PERCENT, key: str = "doc
     member = written(member.withColumn("c", F.count(F.lit(1)).over(SparkWindow.partitionBy("g"))).where("c > 1").drop("c"), "join-groups")
     sketch = known.where("ref = node").select("node", "bits")
 
+    # Sizes and sketches of a pair that may link.
+    apart = sum((F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(SKETCH)), F.lit(0))
+    near_size = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
+    near_bits = (100 + percent) * apart <= (100 - percent) * (F.col("na") + F.col("nb"))
+    ordered = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+
     def likely(pairs: DataFrame) -> DataFrame:
         """Distinct pairs whose sizes and sketches allow a link."""
-        small, large = F.least("na", "nb"), F.greatest("na", "nb")
-        pairs = (pairs.where((F.col("a") != F.col("b")) & (100 * small >= percent * large))
-                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), (F.col("na") + F.col("nb")).alias("both")).distinct())
+        pairs = pairs.where((F.col("a") != F.col("b")) & near_size).select(*ordered, F.least("na", "nb").alias("na"), F.greatest("na", "nb").alias("nb"))
         of = lambda c: sketch.select(F.col("node").alias(c), F.col("bits").alias(f"bits_{c}"))
-        apart = sum((F.bit_count(F.col("bits_a")[i].bitwiseXOR(F.col("bits_b")[i])) for i in range(SKETCH)), F.lit(0))
-        return (pairs.join(of("a"), "a").join(of("b"), "b")
-                .where((100 + percent) * apart <= (100 - percent) * F.col("both")).select("a", "b"))
+        return pairs.distinct().join(of("a"), "a").join(of("b"), "b").where(near_bits).select("a", "b")
 
     nodes = lambda pairs: pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     repeated = not known.groupBy("doc", "tk").agg(F.count(F.lit(1)).alias("c")).where("c > 1").isEmpty()
@@ -471,14 +473,17 @@ def classes(docs: DataFrame, k: int = K, percent: int = PERCENT, key: str = "doc
                 links = links.unionByName(new)
                 labels = components(links)
         rank = F.row_number().over(SparkWindow.partitionBy("g").orderBy("node"))
-        groups = written(unfinished(labelled(groups.select("g", "node", "size"), labels)).withColumn("rank", rank), "join-open")
+        groups = written(unfinished(labelled(groups.select("g", "node", "size"), labels)).withColumn("rank", rank).join(sketch, "node"), "join-open")
         h = groups.where((F.col("rank") > hubs[0]) & (F.col("rank") <= hubs[1])).select(
-            "g", F.col("node").alias("a"), F.col("size").alias("na"), F.col("rank").alias("ra"), F.col("component").alias("ca"))
+            "g", F.col("node").alias("a"), F.col("size").alias("na"), F.col("rank").alias("ra"), F.col("component").alias("ca"),
+            F.col("bits").alias("bits_a"))
         if h.isEmpty():
             return known.select("ref", "doc", "n", "node", "tk"), links, labels
-        o = groups.select("g", F.col("node").alias("b"), F.col("size").alias("nb"), F.col("rank").alias("rb"), F.col("component").alias("cb"))
-        again = h.join(o, "g").where("rb > ra and ca <> cb").select("a", "na", "b", "nb")
-        pairs = written(likely(again).join(done, ["a", "b"], "left_anti"), "join-pairs")
+        o = groups.select("g", F.col("node").alias("b"), F.col("size").alias("nb"), F.col("rank").alias("rb"),
+                          F.col("component").alias("cb"), F.col("bits").alias("bits_b"))
+        # The sketches decide inside the join: what they exclude is never a row.
+        again = h.join(o, "g").where(F.expr("rb > ra and ca <> cb") & near_size & near_bits).select(*ordered).distinct()
+        pairs = written(again.join(done, ["a", "b"], "left_anti"), "join-pairs")
         hubs = (hubs[1], 8 * hubs[1])
 
 

@@ -612,15 +612,19 @@ def parquet_roundtrip(spark, sf_dir):
     return flat(spark.read.parquet(path))
 
 
+#: Rows of an export file; a file whose records may hold line breaks is read by one task.
+ROWS_A_FILE = 500_000
+
+
 def _export_files(spark: SparkSession, frame: DataFrame, name: str) -> str:
-    """``frame`` as an export folder: CSV files named as response exports."""
+    """``frame`` as an export folder: gzip-compressed CSV files named as response exports."""
     base = scratch_path(spark, "export")
-    write_csv(NamedOutput(name, frame), f"{base}/parts")
+    write_csv(NamedOutput(name, frame), f"{base}/parts", compression="gzip", rows_a_file=ROWS_A_FILE)
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(f"{base}/parts/{name}.csv")
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     for i, st in enumerate(f for f in fs.listStatus(path) if f.getPath().getName().startswith("part-")):
-        fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(f"{base}/{name}_responses {i}.csv"))
+        fs.rename(st.getPath(), jvm.org.apache.hadoop.fs.Path(f"{base}/{name}_responses {i}.csv.gz"))
     return base
 
 

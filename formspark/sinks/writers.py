@@ -126,11 +126,13 @@ def _prepared(out: NamedOutput, df: DataFrame, drop_nulls: bool) -> tuple[DataFr
     return df.withColumns({f"by_{c}": column(c) for c in out.partition_by}), [f"by_{c}" for c in out.partition_by]
 
 
-def write_csv(out: NamedOutput, output_dir: str, *, drop_nulls: bool = False, mode: str = "overwrite") -> str:
+def write_csv(out: NamedOutput, output_dir: str, *, drop_nulls: bool = False, mode: str = "overwrite",
+              compression: str = "none", rows_a_file: int = 0) -> str:
     df, folders = _prepared(out, csv_encode(out.frame), drop_nulls)
     path = f"{output_dir.rstrip('/')}/{safe_name(out.name)}.csv"
     w = (df.write.mode(mode).option("header", "true").option("escape", '"')
-         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false"))
+         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+         .option("compression", compression).option("maxRecordsPerFile", rows_a_file))
     (w.partitionBy(*folders) if folders else w).csv(path)
     return path
 

@@ -2,7 +2,7 @@
 
 * every column is read as STRING (no type inference: ``007`` stays ``007``,
   version ``1.10`` stays text); typed casts happen in ``normalize``;
-* a directory is scanned non-recursively for ``*responses*.csv``;
+* a directory is scanned non-recursively for ``*responses*.csv``, gzip-compressed (``.csv.gz``) or not;
 * files are merged **by column name**: files are grouped by header, each group
   is read with one scan, and groups are unioned by name (missing -> null).
   A single multi-path read would match differing headers by position.
@@ -61,7 +61,7 @@ def list_export_files(spark: SparkSession, path: str, pattern: str = RESPONSES_P
     files = sorted(
         st.getPath().toString()
         for st in fs.listStatus(p)
-        if st.isFile() and fnmatch.fnmatch(st.getPath().getName(), pattern)
+        if st.isFile() and fnmatch.fnmatch(st.getPath().getName().removesuffix(".gz"), pattern)
     )
     if not files:
         raise NoExportFilesError(f"No files matching {pattern} in {path}.")

@@ -21,8 +21,11 @@ def null_if_empty(c: Column) -> Column:
 
 
 def epoch_ms_to_timestamp(c: Column) -> Column:
-    """Lenient epoch-milliseconds text/number to a UTC timestamp ('not scheduled' -> null)."""
-    return F.timestamp_millis(c.try_cast("bigint"))
+    """Lenient epoch-milliseconds text/number to a UTC timestamp ('not scheduled' -> null).
+
+    Text without a digit is not cast: a failed cast costs an exception for each row.
+    """
+    return F.timestamp_millis(F.when(c.cast("string").rlike("[0-9]"), c.try_cast("bigint")))
 
 
 def minutes_to_interval(c: Column) -> Column:

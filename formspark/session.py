@@ -8,12 +8,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every entry point relies on: UTC wall clock for epoch-ms answers and
-# attendance dates; AQE for partition coalescing and skew splitting.
+# attendance dates; AQE for partition coalescing and skew splitting; no generated method that the JVM
+# would not compile (it leaves those beyond 8,000 bytes of bytecode to its interpreter).
 SESSION_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 DEFAULT_CHECKPOINT_DIR = "/tmp/formspark-checkpoints"

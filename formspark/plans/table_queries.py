@@ -22,7 +22,7 @@ from ..functions.scalars import interval_ms, iso_duration, strip_all
 from ..operators import grids, joins, reshape, wide as wide_op
 from ..operators.normalize import nest_users, normalize, parse_times, unpivot_subscales
 from ..operators.structs import column, unnest
-from ..session import configure, scratch_path, spread
+from ..session import ROWS_A_TASK, configure, scratch_path, spread
 from ..sinks.writers import NamedOutput, csv_encode, drop_null_columns, write_csv, write_parquet
 from ..sources import tables
 from ..sources.exports import list_export_files, merge_by_name, read_csv_strings, read_export, read_export_frame
@@ -454,7 +454,7 @@ def wide_single_select_unscored(spark, sf_dir):
 def wide_mixed_scores(spark, sf_dir):
     """An item whose newer version has scores: its column holds labels while no chosen option has a score."""
     configure(spark)
-    o = _t(spark, sf_dir, "orders").select("o_orderkey")
+    o = spread(_t(spark, sf_dir, "orders").select("o_orderkey"), ROWS_A_TASK)
     k = F.col("o_orderkey")
     newer = k % 3 == 0
     raw = o.select(

@@ -93,15 +93,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
-def spread(df: DataFrame) -> DataFrame:
+#: Rows of a table, each of which becomes many, that one task reads.
+ROWS_A_TASK = 250_000
+
+
+def spread(df: DataFrame, rows_a_task: int | None = None) -> DataFrame:
     """Round-robin repartition when an input has fewer partitions than the cluster has cores.
 
+    With ``rows_a_task`` also when its partitions would hold more rows than that, by the count that the
+    footers of Parquet files give: where a row becomes many, a task has a bounded number of them at any size.
+
     A small source that fans out (one row per submission -> one row per item)
     or one large unsplittable multi-line CSV would otherwise leave all the
     parsing to a handful of tasks.  Inputs that already have enough splits
     (the normal case at scale) are left alone: no shuffle is added.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
+    least = df.sparkSession.sparkContext.defaultParallelism
+    if rows_a_task is not None:
+        least = max(least, -(-df.count() // rows_a_task))
+    if df.rdd.getNumPartitions() < least:
+        return df.repartition(least)
     return df

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import configure, spread
+from ..session import ROWS_A_TASK, configure, spread
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -88,7 +88,7 @@ def orders_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     configure(spark)
     o = spread(_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"))
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"), ROWS_A_TASK)
     k, c = F.col("o_orderkey"), F.col("o_custkey")
     status, prio, odate = F.col("o_orderstatus"), F.col("o_orderpriority"), F.col("o_orderdate")
     spec = order_answers(k, c, status, prio, odate)
@@ -171,7 +171,7 @@ def event_activity(event_type: Column) -> Column:
 def events_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Export rows (all STRING), one per event."""
     configure(spark)
-    e = spread(_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"))
+    e = spread(_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value"), ROWS_A_TASK)
     eid, uid = F.col("event_id"), F.col("user_id")
     start = F.unix_millis(F.col("ts").cast("timestamp"))
     name = event_activity(F.col("event_type"))

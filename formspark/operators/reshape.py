@@ -72,20 +72,21 @@ def item_response_options(report: DataFrame) -> DataFrame:
     Columns: applet_version, activity_flow, activity, item,
     item_option_name, item_option_value, item_option_score.  Distinct items
     are found first (partial aggregation map-side) and their options parsed
-    afterwards, so option texts are parsed once per distinct item.
+    afterwards, so option texts are parsed once per distinct item. Rows of two items
+    differ in the item, so equal options can only be in one list and are dropped there.
     """
     fields = [f for f in report.schema["item"].dataType.fieldNames() if f != "response_options"]
     lite = F.struct(*[F.col(f"item.{f}").alias(f) for f in fields]).alias("_item")
     items = report.select("applet_version", "activity_flow", "activity", lite).distinct()
     parsed = parse_options(strip_all(F.col("_item.raw_options")))
     item = F.struct(*[F.col(f"_item.{f}").alias(f) for f in fields], parsed.alias("response_options"))
+    each = F.array_distinct(F.transform("item.response_options", lambda o: F.struct(o["name"], o["value"], o["score"])))
     return (
         items.select("applet_version", "activity_flow", "activity", item.alias("item"))
         .select("applet_version", "activity_flow", "activity", "item",
-                F.explode_outer("item.response_options").alias("_o"))
+                F.explode_outer(each).alias("_o"))
         .select("applet_version", "activity_flow", "activity", "item",
                 F.col("_o.name").alias("item_option_name"),
                 F.col("_o.value").alias("item_option_value"),
                 F.col("_o.score").alias("item_option_score"))
-        .distinct()
     )

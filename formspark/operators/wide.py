@@ -29,9 +29,10 @@ Physical plan:
    aggregated in two levels: by (submission, item) into the smallest answer and the number of answers, then by
    submission into a map from item code to answer. A submission is known by a 128-bit hash of its index
    columns, so keys are two integers. With ``on_duplicate='first'`` the first level combines in the
-   map tasks, so an item answered any number of times costs one row of each task; with ``'fail'``, where every (submission,
-   item) has one answer or the job fails, rows are dealt by submission once and both levels need no
-   shuffle of their own. The second level holds at most one answer of each item.
+   map tasks, so an item answered any number of times costs one row of each task; answers are sorted and shuffled
+   without the index columns, which are made distinct in a scan of their own and joined to the maps. With ``'fail'``, where every (submission,
+   item) has one answer or the job fails, rows are dealt by submission once, ``ANSWERS_A_TASK`` of them to a task, and both
+   levels need no shuffle of their own. The second level holds at most one answer of each item.
 3. The columns are read from the map: work per answer row does not depend on the number of columns, and
    there is no limit on it. The duplicate check is a filter, so no projection removes it.
 
@@ -46,7 +47,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,6 +75,10 @@ TYPED_FIELDS: dict[str, list[tuple[str, str]]] = {
 }
 
 
+#: Answer rows that a task of the aggregation gets, about; their index columns compress too well for a size in bytes to tell.
+ANSWERS_A_TASK = 500_000
+
+
 @dataclass
 class WideLayout:
     """The items of a wide table (one entry for each item, never for answers)."""
@@ -85,6 +90,7 @@ class WideLayout:
     typed: dict[str, list[str]] = field(default_factory=dict)  # all_types: item -> answer forms
     codes: dict[tuple[str, str], int] = field(default_factory=dict)  # (rule, item) -> map key
     dictionary: OptionDictionary | None = None                   # options of the select items
+    rows: int | None = None                                      # answer rows of the report
 
 
 def _rule(t: Column) -> Column:
@@ -119,9 +125,9 @@ def _submission_key(report: DataFrame, index: list[str]) -> list[Column]:
     return [F.xxhash64(*parts).alias("_h1"), F.xxhash64(F.lit(1), *parts).alias("_h2")]
 
 
-def _layout_rows(report: DataFrame, *, by_activity: bool, all_types: bool = False) -> tuple[list, OptionDictionary]:
+def _layout_rows(report: DataFrame, *, by_activity: bool, all_types: bool = False) -> tuple[list, OptionDictionary, int]:
     """One row for each item [and activity]: its option values, whether a chosen option has a score, answer
-    forms; and the dictionary of the select items' options. One scan of the report."""
+    forms; the dictionary of the select items' options; and the number of rows. One scan of the report."""
     rule, act = _rule(F.col("item.type")), ["act_id", "act_name", "act_code"] if by_activity else []
     select = rule.isin(schema.MULTI_SELECT, schema.SINGLE_SELECT)
     cols = [rule.alias("rule"), F.col("item.name").alias("name"), F.when(select, F.col("item.raw_options")).alias("text"),
@@ -132,7 +138,8 @@ def _layout_rows(report: DataFrame, *, by_activity: bool, all_types: bool = Fals
         other = F.coalesce(F.col("item.type") != schema.TEXT, F.lit(False))
         cols += [F.when(other, F.col("response.value.type")).alias("form"),
                  (other & F.col("response.value.optional_text").isNotNull()).alias("with_text")]
-    found_items = report.select(*cols).where(F.col("name").isNotNull()).distinct()
+    answers = Observation()
+    found_items = report.select(*cols).observe(answers, F.count(F.lit(1)).alias("n")).where(F.col("name").isNotNull()).distinct()
     ensure_checkpoint_dir(report.sparkSession)
     path = scratch_path(report.sparkSession, "items")
     found_items.write.parquet(path)
@@ -152,7 +159,7 @@ def _layout_rows(report: DataFrame, *, by_activity: bool, all_types: bool = Fals
     if all_types:
         aggs += [F.collect_set("form").alias("forms"), F.max("with_text").alias("with_text")]
     rows = parsed.groupBy("rule", "name", *act).agg(*aggs).withColumn("code", _code(F.col("rule"), F.col("name")))
-    return rows.collect(), dictionary
+    return rows.collect(), dictionary, answers.get["n"]
 
 
 def _build_layout(rows: list) -> WideLayout:
@@ -182,9 +189,9 @@ def _build_layout(rows: list) -> WideLayout:
 
 def layout(report: DataFrame, *, all_types: bool = False) -> WideLayout:
     """The items and their columns: one distinct over (rule, item, options text, chosen value)."""
-    rows, dictionary = _layout_rows(report, by_activity=False, all_types=all_types)
+    rows, dictionary, n = _layout_rows(report, by_activity=False, all_types=all_types)
     lay = _build_layout(rows)
-    lay.dictionary = dictionary
+    lay.dictionary, lay.rows = dictionary, n
     return lay
 
 
@@ -233,10 +240,10 @@ def with_iso_offset(report: DataFrame) -> DataFrame:
 
 
 def collected(report: DataFrame, dictionary: OptionDictionary | None = None, *, on_duplicate: str = "fail",
-              all_types: bool = False) -> DataFrame:
+              all_types: bool = False, n_rows: int | None = None) -> DataFrame:
     """One row per submission: the index columns and ``_m``, a map from item code to answer.
 
-    A second answer to an item fails the job, or with ``on_duplicate='first'`` the
+    ``n_rows``, the number of answer rows where it is known, sets the number of tasks. A second answer to an item fails the job, or with ``on_duplicate='first'`` the
     answer stays that comes first in the order of the answer fields.
     """
     if on_duplicate not in ("fail", "first"):
@@ -271,17 +278,24 @@ def collected(report: DataFrame, dictionary: OptionDictionary | None = None, *,
     if all_types:
         fields += [F.when(is_(schema.TEXT), F.col(_path(p))).alias(_path(p)) for p in paths]
     code = F.when(F.col("_name").isNotNull(), _code(F.col("_rule"), F.col("_name")))
+    entry = F.when(F.col("_code").isNotNull(), F.struct("_code", "_answer"))
     answers = rows.select("_h1", "_h2", "_index", code.alias("_code"), F.struct(*fields).alias("_answer"))
-    if on_duplicate == "fail":
+    if on_duplicate == "first":
+        items = answers.groupBy("_h1", "_h2", "_code").agg(F.min("_answer").alias("_answer"))
+        maps = items.groupBy("_h1", "_h2").agg(F.collect_list(entry).alias("_l"))
+        leaves = report.select(*[column(c) for c in index])
+        leaves = leaves.select(*_submission_key(report, index), F.struct(*[column(c) for c in index]).alias("_index")).distinct()
+        return maps.join(leaves, ["_h1", "_h2"]).select(*[column("_index", c).alias(c) for c in index], F.map_from_entries("_l").alias("_m"))
+    if n_rows is None:
         answers = answers.repartition("_h1", "_h2")
+    else:
+        answers = answers.repartition(max(report.sparkSession.sparkContext.defaultParallelism, -(-n_rows // ANSWERS_A_TASK)), "_h1", "_h2")
     items = answers.groupBy("_h1", "_h2", "_code").agg(
         F.min("_answer").alias("_answer"), F.count("_code").alias("_n"), F.first("_index").alias("_index"))
-    entry = F.when(F.col("_code").isNotNull(), F.struct("_code", "_answer"))
     grouped = items.groupBy("_h1", "_h2").agg(
         F.collect_list(entry).alias("_l"), F.max("_n").alias("_n"), F.first("_index").alias("_index"))
-    if on_duplicate == "fail":
-        grouped = grouped.where(F.when(
-            F.col("_n") > 1, F.raise_error(F.lit("duplicate answers for one item in one submission")).cast("boolean")).otherwise(F.lit(True)))
+    grouped = grouped.where(F.when(
+        F.col("_n") > 1, F.raise_error(F.lit("duplicate answers for one item in one submission")).cast("boolean")).otherwise(F.lit(True)))
     return grouped.select(*[column("_index", c).alias(c) for c in index], F.map_from_entries("_l").alias("_m"))
 
 
@@ -309,7 +323,7 @@ def pivot_wide(report: DataFrame, lay: WideLayout | None = None, *, on_duplicate
     columns: a range-partitioned shuffle, so only when order matters).
     """
     lay = lay if lay is not None else layout(report, all_types=all_types)
-    out = _columns(collected(report, lay.dictionary, on_duplicate=on_duplicate, all_types=all_types), lay, clean_names)
+    out = _columns(collected(report, lay.dictionary, on_duplicate=on_duplicate, all_types=all_types, n_rows=lay.rows), lay, clean_names)
     index = ["applet_version"] + [f"{s}_{f}" for s in schema.INDEX_STRUCTS if s in report.columns for f in field_names(report, s)]
     return out.orderBy(*[column(c) for c in index if c in out.columns]) if sort else out
 
@@ -342,12 +356,12 @@ def split_wide(report: DataFrame, *, reuse: str = "table", on_duplicate: str = "
         raise ValueError("reuse must be 'table' or 'persist'")
     r = with_iso_offset(report)
     acts: dict[tuple, list] = {}
-    found, dictionary = _layout_rows(r, by_activity=True, all_types=all_types)
+    found, dictionary, n_rows = _layout_rows(r, by_activity=True, all_types=all_types)
     for row in found:
         acts.setdefault((row["act_id"], row["act_name"], row["act_code"]), []).append(row)
     if len({code for _, _, code in acts}) < len(acts):
         raise ValueError("two activities have the same 64-bit hash")
-    big = collected(r, dictionary, on_duplicate=on_duplicate, all_types=all_types).withColumn("_act", _activity_code())
+    big = collected(r, dictionary, on_duplicate=on_duplicate, all_types=all_types, n_rows=n_rows).withColumn("_act", _activity_code())
     if reuse == "table":
         ensure_checkpoint_dir(big.sparkSession)
         path = scratch_path(big.sparkSession, "submissions")

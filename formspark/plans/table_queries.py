@@ -479,7 +479,7 @@ def lines_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Export rows from lineitem: submission = order, two items answered once for each line, subscale
     cells that repeat on every line of an order."""
     configure(spark)
-    li = _t(spark, sf_dir, "lineitem")
+    li = spread(_t(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber", "l_returnflag", "l_linestatus"), 4 * ROWS_A_TASK)
     s = lambda c: F.col(c).cast("string")
     items = F.array(
         F.struct(F.lit("carrier").alias("name"), F.lit("singleSelect").alias("type"),

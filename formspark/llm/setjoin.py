@@ -20,15 +20,15 @@ than ``HOT`` blocks' documents have is hot.
 
 Verification. Documents with equal sets are one class. Each class has a parity sketch: ``SKETCH`` longs whose bits are flipped by
 the shingles. Two sets differ in no fewer shingles than their sketches in bits, so most candidates that do not link go
-by an exact bound; the sets of the others are built from their texts and compared, exactly, on 64-bit shingle hashes.
+by an exact bound; for the others the sets are built from their texts. A pair first gets a sketch of each set that is as wide as
+the set is large, and only where these allow a link both sets, which are compared, exactly, on 64-bit shingle hashes.
 In each group of classes that share a key the smallest is compared with the others. Pairs inside a
 component need no comparison, so copies and near copies of one text are settled there. What is left:
 
-* Hot groups. Of each set it is known what it adds to the hub and how much it lacks. Two sets
-  without a common addition differ at least by all additions and by the difference of what they
-  lack; where that is within reach they are compared, else they can only link through a common
-  addition, and the additions, which are rare, become the keys of small groups.
-* Small groups go on with further hubs, eight times as many each round, until no group
+* Hot groups. Their sets meet again, in other groups: all shingles have one order, by the number of these sets that have them
+  (counted in ``CELLS`` cells), and linked sets share one of their first shingles, so each set gives only these (prefix
+  filter), once, in however many hot groups it is. Where the first common shingle stands bounds what two sets share.
+* These and the small groups go on with further hubs, eight times as many each round, until no group
   holds two components with members that were not compared.
 
 Hubs, groups and components are tables; no group is gathered in one task.
@@ -51,6 +51,7 @@ from pyspark.sql import functions as F
 
 from . import _words as W
 from ._graph import components
+from ._pack import column, flat as unpacked, unpack
 from ._tables import blocks, written
 
 K, PERCENT = 4, 85
@@ -62,6 +63,10 @@ THIN_COST = 50.0
 SKETCH = 8
 #: Texts to fetch (four longs each) that are broadcast at most; beyond, texts are shuffled to them.
 FETCH_ROWS = 1 << 18
+#: Bits of a wide sketch for each shingle, at least.
+WIDE = 4
+#: Cells in which the shingles of open hot groups are counted; they are summed in slices.
+CELLS, SLICE = 1 << 20, 1 << 12
 _U = np.uint64
 _SEED = 0xC2B2AE3D27D4EB4F
 
@@ -130,6 +135,19 @@ def sketches(grams: np.ndarray, at: np.ndarray, n: int) -> np.ndarray:
     return _sums(odd >> 6, _U(1) << (odd & 63).astype(_U), n * SKETCH)
 
 
+def wide_sketches(grams: np.ndarray, at: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(longs of all rows, longs of each row): parity sketches of at least ``WIDE`` bits a shingle.
+
+    Their lengths are powers of two times ``SKETCH``: the longer of two folds to the length of the shorter.
+    """
+    length = SKETCH << np.ceil(np.log2(np.maximum(1, size * WIDE / (SKETCH * 64)))).astype(np.int64)
+    first = np.cumsum(length) - length
+    bit = (W.mix(grams ^ _U(0x3C6EF372FE94F82B)) & (length[at] * 64 - 1).astype(_U)).astype(np.int64)
+    place, count = np.unique(first[at] * 64 + bit, return_counts=True)
+    odd = place[count % 2 == 1]
+    return _sums(odd >> 6, _U(1) << (odd & 63).astype(_U), int(length.sum())), length
+
+
 def keys_of(grams: np.ndarray, size: np.ndarray, percent: int):
     """(key, row * 4 + own * 2 + heavy) of all published keys, and the slack of each row.
 
@@ -188,7 +206,7 @@ def _publish(n_buckets: int, k: int, percent: int, block_bytes: int):
     """Documents to rows for the buckets of their keys, and one row with what is known of the block's documents."""
     schema = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("doc", pa.list_(pa.int64())), ("n", pa.list_(pa.int32())),
                         ("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64())), ("slack", pa.list_(pa.int32())), ("low", pa.list_(pa.int32())), ("bits", pa.list_(pa.int64())), ("tk", pa.list_(pa.int64())),
-                        ("key", pa.list_(pa.int32())), ("who", pa.list_(pa.int32()))])
+                        ("key", pa.binary()), ("who", pa.binary())])
 
     def lists(v, offsets, kind):
         return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(v.astype(kind)))
@@ -223,13 +241,17 @@ def _publish(n_buckets: int, k: int, percent: int, block_bytes: int):
             keep = lead[who >> 2]
             keys, who = keys[keep], who[keep]
             bucket = (keys >> _U(32)) * _U(n_buckets) >> _U(32)
-            order = np.argsort(bucket, kind="stable")
-            keys, who, bucket = keys[order], who[order], bucket[order]
+            keys &= _U(0xFFFFFFFF)
+            order = np.argsort(bucket << _U(32) | keys, kind="stable")
+            keys, who, bucket = keys[order].astype(np.int64), who[order], bucket[order]
             have, start = np.unique(bucket, return_index=True)
+            # The keys of a bucket rise: their steps take fewer bytes than they do.
+            step = np.diff(keys, prepend=0)
+            step[start] = keys[start]
+            cut = lambda v: [v[:0], *np.split(v, start[1:])[:len(have)]]
             rows = len(have) + 1
             none = np.zeros(rows, dtype=np.int64)
             meta = lambda v, kind: lists(v, np.concatenate([[0], none + len(v)]), kind)
-            ends = np.concatenate([[0, 0], np.append(start, len(keys))[1:]])
             docs = b.column(b.schema.get_field_index("doc"))
             yield pa.record_batch([
                 pa.array(np.full(rows, base + i, dtype=np.int64)),
@@ -237,8 +259,7 @@ def _publish(n_buckets: int, k: int, percent: int, block_bytes: int):
                 pa.ListArray.from_arrays(pa.array(np.concatenate([[0], none + len(docs)]).astype(np.int32)), docs),
                 meta(size, np.int32), meta(a.view(np.int64), np.int64), meta(c.view(np.int64), np.int64), meta(slack, np.int32),
                 meta(low, np.int32), meta(bits.view(np.int64), np.int64), meta(b.column(b.schema.get_field_index("tk")).to_numpy(), np.int64),
-                lists((keys & _U(0xFFFFFFFF)).astype(np.uint32).view(np.int32), ends, np.int32),
-                lists(who, ends, np.int32)], schema=schema)
+                column(cut(step)), column(cut(who))], schema=schema)
 
     return run
 
@@ -274,9 +295,9 @@ def _meet():
             ref = np.repeat(block << 24, length) + np.concatenate([np.arange(x) for x in length])
             bits = pa.ListArray.from_arrays(pa.array(np.arange(len(ref) + 1, dtype=np.int32) * SKETCH), flat(t, "bits")[0])
             return frame(META, ref, y=docs, bits=bits, **{c: flat(t, c)[0] for c in ("n", "a", "b", "slack", "low", "tk")})
-        keys, length = flat(t, "key")
-        who = flat(t, "who")[0].to_numpy()
-        keys, ref = keys.to_numpy(), np.repeat(block << 24, length) + (who >> 2)
+        who, length = unpacked(t.column("who"))
+        keys = np.concatenate([np.cumsum(unpack(x.as_py())) for x in t.column("key")])
+        ref = np.repeat(block << 24, length) + (who >> 2)
         order = np.lexsort((ref, keys))
         keys, ref, own, weight = keys[order], ref[order], (who[order] >> 1 & 1).astype(bool), 1 + (who[order] & 1)
         new = np.ones(len(keys), dtype=bool)
@@ -310,11 +331,60 @@ def _sets(k: int):
             for b in blocks(iter([batch]), "text", W.PIECE_BYTES):
                 data, off = W.buffers(b.column(b.schema.get_field_index("text")))
                 grams, n = shingle_sets(data, off, k)
-                a = _sums(np.repeat(np.arange(len(n)), n), W.mix(grams + _U(11)), len(n)).view(np.int64)
-                sets = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)),
-                                                pa.array(grams.view(np.int64)))
+                at = np.repeat(np.arange(len(n)), n)
+                a = _sums(at, W.mix(grams + _U(11)), len(n)).view(np.int64)
+                lists = lambda v, length: pa.ListArray.from_arrays(
+                    pa.array(np.concatenate([[0], np.cumsum(length)]).astype(np.int32)), pa.array(v.view(np.int64)))
                 ok = pa.array(a == b.column(b.schema.get_field_index("a")).to_numpy())
-                yield pa.record_batch([b.column(b.schema.get_field_index("node")), sets], names=["node", "grams"]).filter(ok)
+                yield pa.record_batch([b.column(b.schema.get_field_index("node")), lists(grams, n), lists(*wide_sketches(grams, at, n))],
+                                      names=["node", "grams", "wide"]).filter(ok)
+
+    return run
+
+
+def _grams(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """(shingles of all rows, number of each row)."""
+    col = b.column(b.schema.get_field_index("grams"))
+    return col.flatten().to_numpy(), np.diff(col.offsets.to_numpy())
+
+
+def _cells(batches):
+    """One task's sets: how many of them have a shingle in each cell, in slices."""
+    count = np.zeros(CELLS, dtype=np.int64)
+    for b in batches:
+        count += np.bincount(_grams(b)[0] & (CELLS - 1), minlength=CELLS)
+    parts = count.reshape(-1, SLICE)
+    have = np.flatnonzero(parts.any(axis=1))
+    yield pa.record_batch([pa.array(have.astype(np.int32)), column(list(parts[have]))], names=["slice", "counts"])
+
+
+def _summed(key, t):
+    total = sum(unpack(x.as_py()) for x in t.column("counts"))
+    return pa.table([pa.array([key[0].as_py()], pa.int32()), column([total])], names=["slice", "counts"])
+
+
+def _prefixes(counts, percent: int):
+    """The first shingles of each set, rarest first, of which linked sets share one.
+
+    What two sets have in common begins with its first shingle in the order; at ``place`` in a set of n it leaves room for
+    n - place + 1. A linked set needs percent of n, the smaller of two (``own``) twice percent of (100 + percent). A shingle
+    that is alone in its cell is in no other set.
+    """
+
+    def run(batches):
+        count = counts.value
+        for b in batches:
+            grams, n = _grams(b)
+            row = np.repeat(np.arange(len(n)), n)
+            c = count[grams & (CELLS - 1)]
+            order = np.lexsort((grams, c, row))
+            size = n[row].astype(np.int64)
+            place = np.arange(len(row)) - (np.cumsum(n) - n)[row] + 1
+            keep = (place <= size - -(-size * percent // 100) + 1) & (c[order] > 1)
+            own = place <= size - -(-2 * percent * size // (100 + percent)) + 1
+            yield pa.record_batch([pa.array(grams[order][keep]), b.column(b.schema.get_field_index("node")).take(pa.array(row[keep])),
+                                   pa.array(size[keep].astype(np.int32)), pa.array(place[keep].astype(np.int32)), pa.array(own[keep].astype(np.int32))],
+                                  names=["t", "node", "size", "place", "own"])
 
     return run
 
@@ -331,7 +401,7 @@ def classes(docs: DataFrame, k: int = K, percent: int = PERCENT, key: str = "doc
     rows = docs.select(F.col(key).cast("long").alias("doc"), F.xxhash64(text).alias("tk"), F.col(text).alias("text"))
     published = rows.mapInArrow(
         _publish(n_buckets, k, percent, block_bytes), "block long, bucket int, doc array<long>, n array<int>, a array<long>, "
-        "b array<long>, slack array<int>, low array<int>, bits array<long>, tk array<long>, key array<int>, who array<int>")
+        "b array<long>, slack array<int>, low array<int>, bits array<long>, tk array<long>, key binary, who binary")
     found = written(published.groupBy("bucket").applyInArrow(_meet(), FOUND), "join-found")
 
     meta = found.where(F.col("kind") == META).select(F.col("x").alias("ref"), F.col("y").alias("doc"), "n", "a", "b", "slack", "low", "tk", "bits")
@@ -368,31 +438,45 @@ def classes(docs: DataFrame, k: int = K, percent: int = PERCENT, key: str = "doc
     repeated = not known.groupBy("doc", "tk").agg(F.count(F.lit(1)).alias("c")).where("c > 1").isEmpty()
     built: list[DataFrame] = []
 
-    def sets_of(pairs: DataFrame) -> DataFrame:
-        """(node, grams) of the nodes in ``pairs``; sets that no earlier pair needed are built from their texts."""
-        need = nodes(pairs)
+    def few(table: DataFrame, most: int = FETCH_ROWS) -> DataFrame:
+        """A written table, broadcast unless it has many rows."""
+        return F.broadcast(table) if table.count() <= most else table.hint("shuffle_hash")
+
+    def sets_of(need: DataFrame) -> DataFrame:
+        """(node, grams, wide) of the nodes in ``need``; sets that were not needed before are built from their texts."""
+        need = written(need, "join-need")
         fresh = need
         for table in built:
             fresh = fresh.join(table.select("node"), "node", "left_anti")
         reps = written(known.where("ref = node").join(fresh, "node", "left_semi")
                        .select("node", F.col("doc").alias("rep"), F.col("tk").alias("rep_tk"), "a"), "join-fetch")
-        count = reps.count()
-        if count:
+        if not reps.isEmpty():
             same_row = rows["doc"].eqNullSafe(reps["rep"]) & (rows["tk"] == reps["rep_tk"])  # ids alone may be null or repeated
-            texts = rows.join(F.broadcast(reps) if count <= FETCH_ROWS else reps.hint("shuffle_hash"), same_row).select("node", "a", "text")
-            sets = texts.mapInArrow(_sets(k), "node long, grams array<long>")
+            texts = rows.join(few(reps), same_row).select("node", "a", "text")
+            sets = texts.mapInArrow(_sets(k), "node long, grams array<long>, wide array<long>")
             built.append(written(sets.dropDuplicates(["node"]) if repeated else sets, "join-sets"))  # a repeated row stands for its node once
         have = built[0]
         for table in built[1:]:
             have = have.union(table)
-        return have.join(need, "node", "left_semi")
+        return have.join(few(need), "node", "left_semi")
+
+    folded = lambda c: (f"aggregate(sequence(0, int(size({c}) div w) - 1), array_repeat(0L, w), "
+                        f"(s, j) -> zip_with(s, slice({c}, j * w + 1, w), (p, q) -> p ^ q))")
+    wide_apart = f"aggregate(zip_with({folded('wa')}, {folded('wb')}, (p, q) -> bit_count(p ^ q)), 0, (s, x) -> s + x)"
 
     def verified(pairs: DataFrame) -> DataFrame:
-        sets = sets_of(pairs)
+        """The pairs that link: the wide sketches of both go to a pair first, whole sets only to those they leave."""
+        sets = sets_of(nodes(pairs))
+        wide = lambda c: sets.select(F.col("node").alias(c), F.col("wide").alias(f"w{c}"), F.size("grams").alias(f"n{c}"))
+        near = written(pairs.join(wide("a"), "a").join(wide("b"), "b").withColumn("w", F.expr("least(size(wa), size(wb))"))
+                       .where((100 + percent) * F.expr(wide_apart) <= (100 - percent) * (F.col("na") + F.col("nb"))).select("a", "b"), "join-near")
+        if near.isEmpty():
+            return near
+        sets = sets_of(nodes(near))
         left = sets.select(F.col("node").alias("a"), F.col("grams").alias("ga"))
         right = sets.select(F.col("node").alias("b"), F.col("grams").alias("gb"))
         both = F.size(F.array_intersect("ga", "gb"))
-        return written(pairs.join(left, "a").join(right, "b")
+        return written(near.join(left, "a").join(right, "b")
                        .where(100 * both >= percent * (F.size("ga") + F.size("gb") - both)).select("a", "b"), "join-links")
 
     def labelled(table: DataFrame, labels: DataFrame) -> DataFrame:
@@ -404,10 +488,10 @@ def classes(docs: DataFrame, k: int = K, percent: int = PERCENT, key: str = "doc
         return (pairs.join(end("a"), "a", "left").join(end("b"), "b", "left")
                 .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
 
-    def unfinished(table: DataFrame) -> DataFrame:
-        """The rows of ``table`` in groups that still hold several components."""
-        more = table.groupBy("g").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi")
-        return table.join(more.select("g"), "g", "left_semi")
+    def unfinished(table: DataFrame, hubs: int = 1) -> DataFrame:
+        """The rows of ``table`` in groups that still hold several components, and members that no hub was compared with."""
+        more = table.groupBy("g").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count(F.lit(1)).alias("c"))
+        return table.join(more.where((F.col("lo") < F.col("hi")) & (F.col("c") > hubs + 1)).select("g"), "g", "left_semi")
 
     # First round: the smallest of every group against the others.
     hub = member.groupBy("g").agg(F.min(F.struct("node", "size")).alias("h")).select(
@@ -424,66 +508,47 @@ def classes(docs: DataFrame, k: int = K, percent: int = PERCENT, key: str = "doc
         links = links.unionByName(verified(pairs))
         labels = components(links)
 
-    # Hot groups: what each set adds to its hub tells whether two of them can link.
-    hot_rows = unfinished(labelled(member.where("many = 1"), labels)).join(hub, "g").where("node <> a")
-    pair = written(hot_rows.select("a", F.col("node").alias("b")).distinct(), "join-hot-pairs")
-    if pair.isEmpty():
-        left, right = (pair.select(c, F.array().cast("array<long>").alias(f"g{c}")) for c in ("a", "b"))
-    else:
-        sets = sets_of(pair)
-        left, right = (sets.select(F.col("node").alias(c), F.col("grams").alias(f"g{c}")) for c in ("a", "b"))
-    more = F.array_except("gb", "ga")
-    diff = written(labelled(pair.join(left, "a").join(right, "b").select(
-        F.col("a").alias("hub"), F.col("b").alias("node"), F.size("gb").alias("size"), more.alias("more"),
-        (F.size("ga") - F.size("gb") + F.size(more)).alias("less")), labels), "join-differences")
-    # Linked sets differ by no more than `reach`, so they share all but as many of their additions, and one of
-    # the first additions when those that the fewest sets of the hub have come first (prefix filter).
-    reach = F.floor(F.col("size") * (100 - percent) / percent).cast("int") + 1
-    token = diff.select("hub", "node", "size", reach.alias("reach"), F.explode("more").alias("t"))
-    same = (token.groupBy("hub", "t").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("node")).alias("x"),
-                                          F.sum(F.hash("node").cast("long")).alias("y"))
-            .select("hub", "t", "c", F.xxhash64("hub", "c", "x", "y").alias("g")))
-    place = F.row_number().over(SparkWindow.partitionBy("hub", "node").orderBy("c", "t"))
-    by_token = (token.join(same, ["hub", "t"]).withColumn("place", place).where("place <= reach and c > 1")
-                .select("g", "node", "size").distinct())
-    kind = diff.select("hub", "node", "component", "size", F.size("more").alias("m"), "less")
-    classes_ = kind.groupBy("hub", "size", "m", "less").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    one, two = classes_.alias("one"), classes_.alias("two")
-    least_apart = F.col("one.m") + F.col("two.m") + F.abs(F.col("one.less") - F.col("two.less"))
-    # Without a common addition two sets differ at least by this; classes of one component need no look.
-    close = one.join(two, (F.col("one.hub") == F.col("two.hub"))
-                     & ((100 + percent) * least_apart <= (100 - percent) * (F.col("one.size") + F.col("two.size")))
-                     & (F.struct("one.size", "one.m", "one.less") <= F.struct("two.size", "two.m", "two.less"))
-                     & ~((F.col("one.lo") == F.col("one.hi")) & (F.col("two.lo") == F.col("two.hi")) & (F.col("one.lo") == F.col("two.lo"))))
-    close = close.select(F.col("one.hub").alias("hub"), *[F.col(f"{x}.{c}").alias(f"{x}_{c}") for x in ("one", "two") for c in ("size", "m", "less")])
-    side = lambda x, n: kind.select("hub", F.col("node").alias(n), F.col("component").alias(f"c{n}"), F.col("size").alias(f"{x}_size"),
-                                    F.col("m").alias(f"{x}_m"), F.col("less").alias(f"{x}_less"))
-    numeric = (close.join(side("one", "a"), ["hub", "one_size", "one_m", "one_less"]).join(side("two", "b"), ["hub", "two_size", "two_m", "two_less"])
-               .where("ca <> cb").select("a", F.col("one_size").alias("na"), "b", F.col("two_size").alias("nb")))
-
-    # All other groups: pairs between components, with more hubs each round.
-    groups = written(member.where("many = 0").select("g", "node", "size").union(by_token), "join-small-groups")
-    pairs = written(likely(numeric).join(done, ["a", "b"], "left_anti"), "join-pairs")
+    # Hot groups: their sets meet again, in the shingles that the fewest of them have (prefix filter).
+    groups = member.where("many = 0").select("g", "node", "size", F.lit(1).alias("place"))
+    hot_nodes = written(unfinished(labelled(member.where("many = 1"), labels)).select("node").distinct(), "join-hot")
+    if not hot_nodes.isEmpty():
+        sets = sets_of(hot_nodes).select("node", "grams")
+        counts = np.zeros(CELLS, dtype=np.int32)
+        cells = sets.mapInArrow(_cells, "slice int, counts binary").groupBy("slice").applyInArrow(_summed, "slice int, counts binary")
+        for part in cells.toLocalIterator():
+            counts[part.slice * SLICE:(part.slice + 1) * SLICE] = np.minimum(unpack(part.counts), 2 ** 31 - 1)
+        shared = docs.sparkSession.sparkContext.broadcast(counts)
+        token = written(sets.mapInArrow(_prefixes(shared, percent), "t long, node long, size int, place int, own int"), "join-prefixes")
+        # Shingles with the same sets are one group; the first of them has the least places.
+        same = (token.groupBy("t").agg(F.count(F.lit(1)).alias("c"), F.max("own").alias("own"), F.bit_xor(F.xxhash64("node")).alias("x"),
+                                       F.sum(F.hash("node").cast("long")).alias("y"))
+                .where("c > 1 and own = 1").select("t", F.xxhash64("c", "x", "y").alias("g")))
+        groups = groups.union(token.join(same, "t").groupBy("g", "node").agg(F.max("size").alias("size"), F.min("place").alias("place")))
+
+    # Open groups: pairs between components, with more hubs each round.
+    groups = written(groups, "join-small-groups")
+    near_place = (100 + percent) * (F.expr("least(na - pa, nb - pb)") + 1) >= percent * (F.col("na") + F.col("nb"))
     hubs = (0, 4)
     while True:
-        if not pairs.isEmpty():
-            new = verified(pairs)
-            done = done.unionByName(pairs)
-            if not new.isEmpty():
-                links = links.unionByName(new)
-                labels = components(links)
         rank = F.row_number().over(SparkWindow.partitionBy("g").orderBy("node"))
-        groups = written(unfinished(labelled(groups.select("g", "node", "size"), labels)).withColumn("rank", rank).join(sketch, "node"), "join-open")
+        groups = written(unfinished(labelled(groups.select("g", "node", "size", "place"), labels), hubs[0]).withColumn("rank", rank)
+                         .join(sketch, "node"), "join-open")
         h = groups.where((F.col("rank") > hubs[0]) & (F.col("rank") <= hubs[1])).select(
-            "g", F.col("node").alias("a"), F.col("size").alias("na"), F.col("rank").alias("ra"), F.col("component").alias("ca"),
-            F.col("bits").alias("bits_a"))
+            "g", F.col("node").alias("a"), F.col("size").alias("na"), F.col("place").alias("pa"), F.col("rank").alias("ra"),
+            F.col("component").alias("ca"), F.col("bits").alias("bits_a"))
         if h.isEmpty():
             return known.select("ref", "doc", "n", "node", "tk"), links, labels
-        o = groups.select("g", F.col("node").alias("b"), F.col("size").alias("nb"), F.col("rank").alias("rb"),
+        o = groups.select("g", F.col("node").alias("b"), F.col("size").alias("nb"), F.col("place").alias("pb"), F.col("rank").alias("rb"),
                           F.col("component").alias("cb"), F.col("bits").alias("bits_b"))
-        # The sketches decide inside the join: what they exclude is never a row.
-        again = h.join(o, "g").where(F.expr("rb > ra and ca <> cb") & near_size & near_bits).select(*ordered).distinct()
+        # The sketches and places decide inside the join: what they exclude is never a row.
+        again = h.join(o, "g").where(F.expr("rb > ra and ca <> cb") & near_size & near_place & near_bits).select(*ordered).distinct()
         pairs = written(again.join(done, ["a", "b"], "left_anti"), "join-pairs")
+        if not pairs.isEmpty():
+            new = verified(pairs)
+            done = done.unionByName(pairs)
+            if not new.isEmpty():
+                links = links.unionByName(new)
+                labels = components(links)
         hubs = (hubs[1], 8 * hubs[1])
 
 

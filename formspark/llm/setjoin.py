@@ -65,8 +65,8 @@ SKETCH = 8
 FETCH_ROWS = 1 << 18
 #: Bits of a wide sketch for each shingle, at least.
 WIDE = 4
-#: Cells in which the shingles of open hot groups are counted; they are summed in slices.
-CELLS, SLICE = 1 << 20, 1 << 12
+#: Cells in which the shingles of open hot groups are counted, up to ``MOST``; they are summed in slices.
+CELLS, SLICE, MOST = 1 << 24, 1 << 16, (1 << 16) - 1
 _U = np.uint64
 _SEED = 0xC2B2AE3D27D4EB4F
 
@@ -350,9 +350,10 @@ def _grams(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 def _cells(batches):
     """One task's sets: how many of them have a shingle in each cell, in slices."""
-    count = np.zeros(CELLS, dtype=np.int64)
+    count = np.zeros(CELLS, dtype=np.uint16)
     for b in batches:
-        count += np.bincount(_grams(b)[0] & (CELLS - 1), minlength=CELLS)
+        at, n = np.unique(_grams(b)[0] & (CELLS - 1), return_counts=True)
+        count[at] = np.minimum(count[at] + n, MOST)
     parts = count.reshape(-1, SLICE)
     have = np.flatnonzero(parts.any(axis=1))
     yield pa.record_batch([pa.array(have.astype(np.int32)), column(list(parts[have]))], names=["slice", "counts"])
@@ -513,10 +514,10 @@ def classes(docs: DataFrame, k: int = K, percent: int = PERCENT, key: str = "doc
     hot_nodes = written(unfinished(labelled(member.where("many = 1"), labels)).select("node").distinct(), "join-hot")
     if not hot_nodes.isEmpty():
         sets = sets_of(hot_nodes).select("node", "grams")
-        counts = np.zeros(CELLS, dtype=np.int32)
+        counts = np.zeros(CELLS, dtype=np.uint16)
         cells = sets.mapInArrow(_cells, "slice int, counts binary").groupBy("slice").applyInArrow(_summed, "slice int, counts binary")
         for part in cells.toLocalIterator():
-            counts[part.slice * SLICE:(part.slice + 1) * SLICE] = np.minimum(unpack(part.counts), 2 ** 31 - 1)
+            counts[part.slice * SLICE:(part.slice + 1) * SLICE] = np.minimum(unpack(part.counts), MOST)
         shared = docs.sparkSession.sparkContext.broadcast(counts)
         token = written(sets.mapInArrow(_prefixes(shared, percent), "t long, node long, size int, place int, own int"), "join-prefixes")
         # Shingles with the same sets are one group; the first of them has the least places.

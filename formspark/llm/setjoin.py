@@ -12,7 +12,8 @@ the segments in which linked sets match weigh more than e. :func:`allocate` pick
 each band by cost: index rows against segments that hold too little to be selective. A set
 publishes keys for its own band and, as the larger side, for the bands below that it can link to.
 
-The e spare units make frequent keys harmless. All keys have one order, by the number of documents that
+The e spare units make frequent keys harmless, and keys of (nearly) empty segments, which sets share that have nothing else in
+common: e grows with the sets, so that nearly all of them need not publish these. All keys have one order, by the number of documents that
 have them; each set leaves out its most frequent keys, as long as these and its (nearly) empty segments weigh no more
 than e. The rarest key that two linked sets match in is left out by neither: all their other matches
 come before it in the order, so leaving it out would leave out more than e. A key that more
@@ -41,7 +42,7 @@ has a null id); repeated rows are copies; an empty table stays empty; other colu
 from __future__ import annotations
 
 from functools import lru_cache
-from math import exp
+from math import ceil, exp, sqrt
 
 import numpy as np
 import pyarrow as pa
@@ -73,19 +74,35 @@ _SEED = 0xC2B2AE3D27D4EB4F
 
 @lru_cache(maxsize=None)
 def allocate(lo: int, hi: int, percent: int) -> tuple[int, int, int]:
-    """(m, d, e) for the sizes lo..hi: segments, those with deletions, spare weight."""
+    """(m, d, e) for the sizes lo..hi: segments, those with deletions, spare weight.
+
+    The spare weight covers the thin segments: a set in which they weigh more publishes the keys of its empty segments, which
+    all such sets of the band share.
+    """
     h = hi * (100 - percent) // percent
     if h == 0:
         return 0, 0, 0  # only equal sets link: they are one class already
-    e = max(0, min(SPARE, 2 * max(1, lo // 4) - h - 1))
-    best = None
-    for d in range((h + 1 + e) // 2 + 1):
-        m = h + 1 + e - d
-        load = lo / m
-        cost = m - d + d * (load + 1) + THIN_COST * m * exp(-load) * (1 + load)
-        if best is None or cost < best[0]:
-            best = (cost, m, d)
-    return best[1], best[2], e
+    most = max(0, 2 * max(1, lo // 4) - h - 1)
+    e = min(SPARE, most)
+    while True:
+        best = None
+        for d in range((h + 1 + e) // 2 + 1):
+            m = h + 1 + e - d
+            load = lo / m
+            cost = m - d + d * (load + 1) + THIN_COST * m * exp(-load) * (1 + load)
+            if best is None or cost < best[0]:
+                best = (cost, m, d)
+        _, m, d = best
+        need = ceil(thin_weight(lo / m, m, d))
+        if need <= e or e == most:
+            return m, d, e
+        e = min(need, most)
+
+
+def thin_weight(load: float, m: int, d: int) -> float:
+    """What the thin segments of nearly every set weigh: the mean and four standard deviations."""
+    mean = exp(-load) * (m - d + 2 * d * (1 + load))
+    return mean + 4 * sqrt(2 * mean)
 
 
 def band_edges(upto: int, percent: int) -> np.ndarray:

@@ -154,3 +154,23 @@ def test_wide_sketches_fold():
         assert length[0] * 64 >= setjoin.WIDE * n and len(b) % len(a) == 0
         b = np.bitwise_xor.reduce(b.reshape(-1, len(a)), axis=0)
         assert 0 < sum(int(x).bit_count() for x in a ^ b) <= m - n
+
+
+def test_long_sets_without_common_shingles_share_no_key():
+    """Their empty segments weigh no more than the spare units, so no key stands for one."""
+    import numpy as np
+
+    r = np.random.default_rng(2)
+    for percent in (80, 85):
+        for n in (2000, 3400, 6000, 10000):
+            key, who, slack = setjoin.keys_of(r.integers(0, 1 << 63, 40 * n).astype(np.uint64), np.full(40, n), percent)
+            assert len(np.unique(np.stack([key, (who >> 2).astype(np.uint64)]), axis=1)[0]) == len(np.unique(key))
+            assert slack.min() >= 0
+
+
+def test_long_texts_without_links_are_no_candidates(docs, tables):
+    """Pairs do not grow with the square of the long texts of one size, which no sketch of fixed length tells apart."""
+    r = random.Random(11)
+    rows = [(i, " ".join("w%d" % r.randrange(10 ** 6) for _ in range(3600 + i))) for i in range(60)]
+    assert got(setjoin.join(docs(rows), k=5, percent=80)) == brute(rows, k=5, percent=80)
+    assert sum(tables["join-pairs"]) <= 60

@@ -52,7 +52,7 @@ from pyspark.sql import functions as F
 
 from . import _words as W
 from ._graph import components
-from ._pack import column, flat as unpacked, unpack
+from ._pack import column, unpack
 from ._tables import blocks, written
 
 K, PERCENT = 4, 85
@@ -68,6 +68,9 @@ FETCH_ROWS = 1 << 18
 WIDE = 4
 #: Cells in which the shingles of open hot groups are counted, up to ``MOST``; they are summed in slices.
 CELLS, SLICE, MOST = 1 << 24, 1 << 16, (1 << 16) - 1
+#: Cells in which a bucket's keys of 32 bits are counted before they are sorted.
+MEET = 1 << 24
+_CELL = np.uint32((1 << 32) // MEET)
 _U = np.uint64
 _SEED = 0xC2B2AE3D27D4EB4F
 
@@ -305,6 +308,23 @@ def _meet():
         col = pa.concat_arrays(col.chunks) if isinstance(col, pa.ChunkedArray) else col
         return col.flatten(), np.diff(col.offsets.to_numpy())
 
+    def shared(t):
+        """(keys, who, number of each block) without keys that only one entry has, as far as ``MEET`` cells tell."""
+        count, parts = np.zeros(MEET, dtype=np.uint8), []
+        for steps, who in zip(t.column("key"), t.column("who"), strict=True):
+            k = np.cumsum(unpack(steps.as_py())).astype(np.uint32)  # they rise
+            cell = k // _CELL
+            start = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+            held = count[cell[start]] + np.diff(start, append=len(cell))
+            count[cell[start]] = np.minimum(held, 2)
+            parts.append((k, unpack(who.as_py()).astype(np.uint32)))
+        for i, (k, who) in enumerate(parts):
+            often = count[k // _CELL] > 1
+            parts[i] = k[often], who[often]
+        length = np.array([len(k) for k, _ in parts], dtype=np.int64)
+        keys, who = (np.concatenate(v) for v in zip(*parts, strict=True))
+        return keys.astype(np.int64), who.astype(np.int64), length
+
     def run(key, t):
         block = t.column("block").to_numpy()
         if key[0].as_py() < 0:
@@ -312,8 +332,7 @@ def _meet():
             ref = np.repeat(block << 24, length) + np.concatenate([np.arange(x) for x in length])
             bits = pa.ListArray.from_arrays(pa.array(np.arange(len(ref) + 1, dtype=np.int32) * SKETCH), flat(t, "bits")[0])
             return frame(META, ref, y=docs, bits=bits, **{c: flat(t, c)[0] for c in ("n", "a", "b", "slack", "low", "tk")})
-        who, length = unpacked(t.column("who"))
-        keys = np.concatenate([np.cumsum(unpack(x.as_py())) for x in t.column("key")])
+        keys, who, length = shared(t)
         ref = np.repeat(block << 24, length) + (who >> 2)
         order = np.lexsort((ref, keys))
         keys, ref, own, weight = keys[order], ref[order], (who[order] >> 1 & 1).astype(bool), 1 + (who[order] & 1)

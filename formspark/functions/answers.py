@@ -52,9 +52,6 @@ P_NUMBER = r"^[ \t]*[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?[ \t]*$
 PIVOT_YEAR = 69
 # ---------------------------------------------------------------------------
 
-_LIST_SEP = r",[ \t]+"
-_LINE_SEP = r"(\r?\n)+"
-
 # Kinds produced by the full parser, in priority order.
 FULL_KINDS = ("null_value", "text", "value", "date", "time", "time_range", "geo", "matrix", "file", "raw_value")
 
@@ -63,6 +60,11 @@ def _lit_null(dtype) -> Column:
     return F.lit(None).cast(dtype)
 
 
+def _form(s: Column, start: str, pattern: str) -> Column:
+    """``s`` fits ``pattern``, whose matches begin with ``start``; other answers are told apart without a regular expression."""
+    return F.startswith(s, F.lit(start)) & s.rlike(pattern)
+
+
 def is_file(s: Column) -> Column:
     """One line with a ``-`` or ``/`` inside and an extension of 3 or 4 word characters; linear in its length."""
     extension = F.regexp_extract(s, P_EXTENSION, 0)
@@ -76,14 +78,14 @@ def classify_full(s: Column) -> Column:
     return (
         F.when(s.isNull() | (s == ""), _lit_null("string"))
         .when(s == NULL_ANSWER, F.lit("null_value"))
-        .when(s.rlike(P_TEXT), F.lit("text"))
-        .when(s.rlike(P_VALUES), F.lit("value"))
-        .when(s.rlike(P_DATE), F.lit("date"))
-        .when(s.rlike(P_TIME), F.lit("time"))
-        .when(s.rlike(P_TIME_RANGE), F.lit("time_range"))
-        .when(s.rlike(P_GEO), F.lit("geo"))
-        .when(s.rlike(P_MATRIX), F.lit("matrix"))
-        .when(is_file(s), F.lit("file"))
+        .when(_form(s, "text:", P_TEXT), F.lit("text"))
+        .when(_form(s, "value:", P_VALUES), F.lit("value"))
+        .when(_form(s, "date:", P_DATE), F.lit("date"))
+        .when(_form(s, "time:", P_TIME), F.lit("time"))
+        .when(_form(s, "time_range:", P_TIME_RANGE), F.lit("time_range"))
+        .when(_form(s, "geo:", P_GEO), F.lit("geo"))
+        .when(F.contains(s, F.lit(":")) & s.rlike(P_MATRIX), F.lit("matrix"))
+        .when(F.contains(s, F.lit(".")) & is_file(s), F.lit("file"))
         .otherwise(F.lit("raw_value"))
     )
 
@@ -138,7 +140,7 @@ def classify_typed(item_type: Column, s: Column) -> Column:
 
 
 def _ot(s: Column, pattern: str, group: int) -> Column:
-    return null_if_empty(F.regexp_extract(s, pattern, group))
+    return F.when(F.contains(s, F.lit("| text:")), null_if_empty(F.regexp_extract(s, pattern, group)))
 
 
 def _valid_hm(h: Column, m: Column) -> Column:
@@ -152,10 +154,15 @@ def _time_text(h: Column, m: Column) -> Column:
     )
 
 
-def _date_value(s: Column, pattern: str) -> Column:
-    day = F.regexp_extract(s, pattern, 1)
-    month = F.regexp_extract(s, pattern, 2)
-    yr = F.regexp_extract(s, pattern, 3).cast("int")
+def numbers(kind: Column, s: Column) -> Column:
+    """The runs of digits of a date, time or time range, without those of its optional text, in their order."""
+    return F.when(kind.isin("date", "time", "time_range"), F.regexp_extract_all(F.substring_index(s, "|", 1), F.lit("[0-9]+"), F.lit(0)))
+
+
+def _date_value(n: Column) -> Column:
+    day = F.get(n, 0)
+    month = F.get(n, 1)
+    yr = F.get(n, 2).cast("int")
     year = (
         F.when(yr < PIVOT_YEAR, yr + 2000).when(yr <= 99, yr + 1900).otherwise(yr)
     )
@@ -170,11 +177,8 @@ def _geo_value(s: Column, pattern: str) -> Column:
     )
 
 
-def _time_range_value(s: Column) -> Column:
-    h1 = F.regexp_extract(s, P_TIME_RANGE, 1).cast("int")
-    m1 = F.regexp_extract(s, P_TIME_RANGE, 2).cast("int")
-    h2 = F.regexp_extract(s, P_TIME_RANGE, 3).cast("int")
-    m2 = F.regexp_extract(s, P_TIME_RANGE, 4).cast("int")
+def _time_range_value(n: Column) -> Column:
+    h1, m1, h2, m2 = (F.get(n, i).cast("int") for i in range(4))
     # No wrap at midnight: an earlier "to" gives a negative duration.
     return F.when(
         _valid_hm(h1, m1) & _valid_hm(h2, m2),
@@ -183,24 +187,30 @@ def _time_range_value(s: Column) -> Column:
 
 
 def _matrix_value(s: Column) -> Column:
-    lines = F.filter(F.split(s, _LINE_SEP), lambda x: x != "")
+    # A matrix has carriage returns only before line feeds, one colon a line, and blanks only after colons and commas;
+    # separators of one character are split without a regular expression.
+    lines = F.filter(F.split(F.translate(s, "\r", ""), "\n"), lambda x: x != "")
     return F.transform(
         lines,
         lambda x: F.struct(
-            F.regexp_extract(x, r"^([^:]+):", 1).alias("row"),
-            F.split(F.regexp_extract(x, r"^[^:]+:[ \t]*(.*)$", 1), _LIST_SEP).alias("value"),
+            F.substring_index(x, ":", 1).alias("row"),
+            F.split(F.translate(F.substring_index(x, ":", -1), " \t", ""), ",").alias("value"),
         ),
     )
 
 
 def _int_list(tokens: Column) -> Column:
-    # Tokens that are not integers become null elements (the text stays in raw_response).
-    return F.transform(F.split(tokens, _LIST_SEP), lambda x: x.try_cast("bigint"))
+    # Tokens that are not integers become null elements (the text stays in raw_response); blanks around a number are no part of it.
+    return F.split(tokens, ",").try_cast("array<bigint>")
+
 
+def value_fields(kind: Column, s: Column, digits: Column | None = None) -> list[tuple[str, Column]]:
+    """(field name, expression) of the ``response.value`` struct for an answer of known kind.
 
-def value_fields(kind: Column, s: Column) -> list[tuple[str, Column]]:
-    """(field name, expression) of the ``response.value`` struct for an answer of known kind."""
+    ``digits`` is a column of :func:`numbers`, where there is one; it is read several times.
+    """
     k = kind
+    n = numbers(k, s) if digits is None else digits
 
     def on(*kinds: str) -> Column:
         return k.isin(*kinds)
@@ -229,10 +239,9 @@ def value_fields(kind: Column, s: Column) -> list[tuple[str, Column]]:
          .when(k == "ms_value", _int_list(F.regexp_extract(s, P_MULTI, 1)))),
         ("text", F.when(k == "text", F.regexp_extract(s, P_TEXT, 1)).when(k == "text_plain", s)),
         ("file", F.when(k == "file", s)),
-        ("date", F.when(k == "date", _date_value(s, P_DATE))),
-        ("time", F.when(k == "time", _time_text(F.regexp_extract(s, P_TIME, 1).cast("int"),
-                                                F.regexp_extract(s, P_TIME, 2).cast("int")))),
-        ("time_range", F.when(k == "time_range", _time_range_value(s))),
+        ("date", F.when(k == "date", _date_value(n))),
+        ("time", F.when(k == "time", _time_text(F.get(n, 0).cast("int"), F.get(n, 1).cast("int")))),
+        ("time_range", F.when(k == "time_range", _time_range_value(n))),
         ("geo", F.when(k == "geo", _geo_value(s, P_GEO))),
         ("matrix", F.when(k == "matrix", _matrix_value(s))),
         ("optional_text", optional_text),

@@ -69,9 +69,9 @@ def unpivot_subscales(df: DataFrame) -> DataFrame:
     index is every column except subscale, item and response columns.  No-op
     when there is no subscale column.
 
-    Done as one ``Generate`` per input row (the row itself plus one entry per
-    subscale column, null entries filtered) instead of a union of two scans
-    of the input.
+    Done as one ``Generate`` per input row instead of a union of two scans of the input. It
+    makes numbers only (0 for the row itself, i for the i-th subscale column that is not null); the
+    fields are chosen by the number afterwards, so a field that nobody reads is not computed.
     """
     subs = subscale_columns(df.columns)
     if not subs:
@@ -81,28 +81,28 @@ def unpivot_subscales(df: DataFrame) -> DataFrame:
     carried = [c for c in df.columns if c in set(schema.ITEM_COLUMNS) | set(schema.RESPONSE_COLUMNS)]
     fields = list(dict.fromkeys(carried + ["item_id", "item_name", "item_type", "item_response",
                                            "item_response_status"]))
-
-    def entry(kind: int, values: dict[str, Column]) -> Column:
-        return F.struct(F.lit(kind).alias("_sub"),
-                        *[values.get(f, F.lit(None).cast("string")).alias(f) for f in fields])
-
-    own = entry(0, {f: F.col(f"`{f}`") for f in carried})
-    extra = [
-        entry(1, {
-            "item_id": F.lit(c),
-            "item_name": F.lit(re.sub("^(.*?)" + SUBSCALE_NAME_PREFIX, r"\1", c, count=1)),
-            "item_type": F.lit(schema.SUBSCALE),
-            "item_response": F.col(f"`{c}`").cast("string"),
-            "item_response_status": F.lit("completed"),
-        })
-        for c in subs
-    ]
-    e = F.col("_e")
-    return (
-        df.select(*[F.col(f"`{c}`") for c in index], F.explode(F.array(own, *extra)).alias("_e"))
-        .where((e["_sub"] == 0) | e["item_response"].isNotNull())
-        .select(*[F.col(f"`{c}`") for c in index], *[e[f].alias(f) for f in fields])
-    )
+    text = [F.col(f"`{c}`").cast("string") for c in subs]
+    which = F.col("_sub")
+
+    def each(values: list[Column]) -> Column:
+        out = F.when(which == 1, values[0])
+        for i, v in enumerate(values[1:], 2):
+            out = out.when(which == i, v)
+        return out
+
+    extra = {
+        "item_id": each([F.lit(c) for c in subs]),
+        "item_name": each([F.lit(re.sub("^(.*?)" + SUBSCALE_NAME_PREFIX, r"\1", c, count=1)) for c in subs]),
+        "item_type": F.lit(schema.SUBSCALE),
+        "item_response": each(text),
+        "item_response_status": F.lit("completed"),
+    }
+    null = F.lit(None).cast("string")
+    rows = F.array_remove(F.array(F.lit(0), *[F.when(t.isNotNull(), F.lit(i)).otherwise(F.lit(-1)) for i, t in enumerate(text, 1)]), -1)
+    # The expressions read columns of the input, so they are above the Generate, where unread ones are dropped.
+    return df.select("*", F.explode(rows).alias("_sub")).select(
+        *[F.col(f"`{c}`") for c in index],
+        *[F.when(which == 0, F.col(f"`{f}`") if f in carried else null).otherwise(extra.get(f, null)).alias(f) for f in fields])
 
 
 def parse_times(df: DataFrame) -> DataFrame:
@@ -198,10 +198,10 @@ def nest_response(df: DataFrame, on_error: str = "null", typed: bool = True) ->
     item_type = (F.col("item_type") if "item_type" in df.columns
                  else F.col("item.type") if "item" in df.columns else F.lit(None).cast("string"))
     kind = answers.classify_typed(item_type, F.col("_answer")) if typed else answers.classify_full(F.col("_answer"))
-    staged = df.withColumn("_answer", text).withColumn("_kind", kind)
+    staged = df.withColumn("_answer", text).withColumn("_kind", kind).withColumn("_digits", answers.numbers(F.col("_kind"), F.col("_answer")))
     # Each value field is its own top-level column; the struct below is just
     # column references, so consumers reading a few fields prune the rest.
-    fields = answers.value_fields(F.col("_kind"), F.col("_answer"))
+    fields = answers.value_fields(F.col("_kind"), F.col("_answer"), F.col("_digits"))
     staged = staged.select("*", *[e.alias(f"_v_{n}") for n, e in fields])
     value = F.when(answers.is_parsed(F.col("_kind")), F.struct(*[F.col(f"_v_{n}").alias(n) for n, _ in fields]))
     raw_score = _col_or_null(df, "rawScore")
@@ -217,7 +217,7 @@ def nest_response(df: DataFrame, on_error: str = "null", typed: bool = True) ->
         value.alias("value"),
     )
     return staged.withColumn("response", response).drop(
-        "_answer", "_kind", *[f"_v_{n}" for n, _ in fields], *schema.RESPONSE_COLUMNS)
+        "_answer", "_kind", "_digits", *[f"_v_{n}" for n, _ in fields], *schema.RESPONSE_COLUMNS)
 
 
 def dedupe_subscale_rows(df: DataFrame) -> DataFrame:

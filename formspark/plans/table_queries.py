@@ -619,7 +619,7 @@ ROWS_A_FILE = 500_000
 def _export_files(spark: SparkSession, frame: DataFrame, name: str) -> str:
     """``frame`` as an export folder: gzip-compressed CSV files named as response exports."""
     base = scratch_path(spark, "export")
-    write_csv(NamedOutput(name, frame), f"{base}/parts", compression="gzip", rows_a_file=ROWS_A_FILE)
+    write_csv(NamedOutput(name, frame), f"{base}/parts", compression="gzip", rows_a_file=ROWS_A_FILE, effort="BEST_SPEED")
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(f"{base}/parts/{name}.csv")
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

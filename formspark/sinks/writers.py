@@ -127,12 +127,15 @@ def _prepared(out: NamedOutput, df: DataFrame, drop_nulls: bool) -> tuple[DataFr
 
 
 def write_csv(out: NamedOutput, output_dir: str, *, drop_nulls: bool = False, mode: str = "overwrite",
-              compression: str = "none", rows_a_file: int = 0) -> str:
+              compression: str = "none", rows_a_file: int = 0, effort: str | None = None) -> str:
+    """``effort`` is a level of Hadoop's zlib (``BEST_SPEED`` ...) for ``compression='gzip'``."""
     df, folders = _prepared(out, csv_encode(out.frame), drop_nulls)
     path = f"{output_dir.rstrip('/')}/{safe_name(out.name)}.csv"
     w = (df.write.mode(mode).option("header", "true").option("escape", '"')
          .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
          .option("compression", compression).option("maxRecordsPerFile", rows_a_file))
+    if effort is not None:
+        w = w.option("zlib.compress.level", effort)
     (w.partitionBy(*folders) if folders else w).csv(path)
     return path
 

@@ -72,28 +72,39 @@ def _fields(record: str) -> list[str]:
     return next(csv.reader(io.StringIO(record.lstrip("\ufeff"), newline="")), [])
 
 
+def _first_row_of_each_partition(df: DataFrame) -> DataFrame:
+    """The first row of every partition; a task reads no further.
+
+    ``limit`` counts over all partitions, and a Python function that returns early does not do: the JVM goes on
+    sending rows as long as the worker's socket takes them, and an ended worker drains its socket.
+    """
+    spark = df.sparkSession
+    local = df.limit(1)._jdf.queryExecution().analyzed().child()  # a limit is a global one over a local one
+    return DataFrame(spark.sparkContext._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, local), spark)
+
+
 def headers(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """(header array<string>, paths array<string>): the files grouped by their first record.
 
     One job: every file is a partition of its own, whose task reads its first record, quoted line
-    breaks included, and stops. Files without a record are in no group.
+    breaks included, and stops. Files without a record are in no group. Records are parsed after equal ones are grouped.
     """
     # A one-column schema makes every longer record "corrupt", and a corrupt record is handed over as its raw text.
     # Paths of files come back as URIs, with percent signs for spaces and the like.
     options = CSV_OPTIONS | {"header": "false", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_record"}
     rows = spark.read.options(**options).schema("_first string, _record string").csv(list(paths))
-    rows = rows.select(F.col("_metadata.file_path").alias("path"), "_first", "_record")
+    rows = _first_row_of_each_partition(rows.select(F.col("_metadata.file_path").alias("path"), "_first", "_record"))
+    records = rows.groupBy("_first", "_record").agg(F.collect_list("path").alias("paths"))
 
-    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if len(batch):
-                path, only, record = (batch.column(i)[0].as_py() for i in range(3))
-                fields = _fields(record) if record is not None else [(only or "").lstrip("\ufeff")]
-                yield pa.RecordBatch.from_arrays([pa.array([unquote(path)]), pa.array([fields], pa.list_(pa.string()))], names=["path", "header"])
-                return
+            found = batch.to_pylist()
+            fields = [_fields(r["_record"]) if r["_record"] is not None else [(r["_first"] or "").lstrip("\ufeff")] for r in found]
+            of = [[unquote(p) for p in r["paths"]] for r in found]
+            yield pa.RecordBatch.from_arrays([pa.array(fields, pa.list_(pa.string())), pa.array(of, pa.list_(pa.string()))], names=["header", "of"])
 
-    found = rows.mapInArrow(first, "path string, header array<string>")
-    return found.groupBy("header").agg(F.sort_array(F.collect_list("path")).alias("paths"))
+    return (records.mapInArrow(parsed, "header array<string>, of array<string>")
+            .groupBy("header").agg(F.sort_array(F.flatten(F.collect_list("of"))).alias("paths")))
 
 
 def _header_groups(spark: SparkSession, paths: Sequence[str]) -> list[tuple[tuple[str, ...], list[str]]]:
@@ -114,8 +125,8 @@ def read_csv_strings(spark: SparkSession, paths: Sequence[str], header: Sequence
     return spark.read.options(**CSV_OPTIONS).schema(schema).csv(list(paths))
 
 
-#: Settings under which the header job is planned: no two files share a task, and few rows are read before the first one is seen.
-ONE_FILE_A_TASK = {"spark.sql.files.maxPartitionBytes": "1", "spark.sql.execution.arrow.maxRecordsPerBatch": "1"}
+#: Settings under which the header job is planned: no two files share a task.
+ONE_FILE_A_TASK = {"spark.sql.files.maxPartitionBytes": "1"}
 
 
 def merge_by_name(frames: Sequence[DataFrame]) -> DataFrame:

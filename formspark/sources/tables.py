@@ -83,8 +83,8 @@ def _epoch_ms_of_day(odate: Column) -> Column:
 def orders_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Export rows (all STRING) for every order x questionnaire item.
 
-    The questionnaire is a literal array exploded per order; each exploded
-    row computes only its own answer (a CASE on the item position).
+    The questionnaire is a literal array exploded per order; columns of the order are
+    computed once for each order, and each exploded row computes only its own answer (a CASE on the item position).
     """
     configure(spark)
     o = spread(_table(spark, sf_dir, "orders").select(
@@ -106,36 +106,47 @@ def orders_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     prio_code = F.substring(prio, 1, 1)
     offset = F.when(k % 4 == 0, -240).when(k % 4 == 1, 0).when(k % 4 == 2, 330).otherwise(-300)
     first = pos == 0
-    return o.select("*", F.explode(items).alias("_item")).select(
-        _cat("cust-", c).alias("target_id"),
-        _cat("S", F.lpad(_s(c), 6, "0")).alias("target_secret_id"),
-        _cat("Customer ", c).alias("target_nickname"),
-        F.lit("respondent").alias("target_tag"),
-        _cat("src-", c % 50).alias("source_id"),
-        _cat("R", c % 50).alias("source_secret_id"),
-        _cat("Reporter ", c % 50).alias("source_nickname"),
-        F.lit("reporter").alias("source_tag"),
-        F.when(k % 4 == 0, F.lit("admin")).alias("source_relation"),
-        _cat("in-", c % 7).alias("input_id"),
-        _cat("I", c % 7).alias("input_secret_id"),
-        _cat("Input ", c % 7).alias("input_nickname"),
-        _cat("acct-", c % 11).alias("userId"),
-        _cat("A", c % 11).alias("secret_user_id"),
-        F.lit(None).cast("string").alias("legacy_user_id"),
-        F.when(k % 3 == 0, F.lit("2.2.4")).otherwise(F.lit("2.3.0")).alias("applet_version"),
-        F.when(status == "F", F.lit("flow-F")).alias("activity_flow_id"),
-        F.when(status == "F", F.lit("Finished flow")).alias("activity_flow_name"),
-        F.when(status == "F", _cat("fs-", k)).alias("activity_flow_submission_id"),
-        _cat("act-", prio_code).alias("activity_id"),
-        prio.alias("activity_name"),
-        _cat("sub-", k).alias("activity_submission_id"),
-        _s(start).alias("activity_start_time"),
-        _s(end).alias("activity_end_time"),
-        _cat("sch-", prio_code).alias("activity_schedule_id"),
-        _cat("sch-", prio_code, "_", F.date_format(odate, "yyyyMMdd"), "-1").alias("activity_schedule_history_id"),
-        F.when(k % 4 == 0, F.lit("not scheduled")).otherwise(_s(start - 600_000)).alias("activity_schedule_start_time"),
-        _s(offset).alias("utc_timezone_offset"),
-        F.lit(None).cast("string").alias("activity_submission_review_id"),
+    # What is the same for all items of an order is computed before the order becomes rows.
+    of_order = {
+        "target_id": _cat("cust-", c),
+        "target_secret_id": _cat("S", F.lpad(_s(c), 6, "0")),
+        "target_nickname": _cat("Customer ", c),
+        "source_id": _cat("src-", c % 50),
+        "source_secret_id": _cat("R", c % 50),
+        "source_nickname": _cat("Reporter ", c % 50),
+        "source_relation": F.when(k % 4 == 0, F.lit("admin")),
+        "input_id": _cat("in-", c % 7),
+        "input_secret_id": _cat("I", c % 7),
+        "input_nickname": _cat("Input ", c % 7),
+        "userId": _cat("acct-", c % 11),
+        "secret_user_id": _cat("A", c % 11),
+        "applet_version": F.when(k % 3 == 0, F.lit("2.2.4")).otherwise(F.lit("2.3.0")),
+        "activity_flow_id": F.when(status == "F", F.lit("flow-F")),
+        "activity_flow_name": F.when(status == "F", F.lit("Finished flow")),
+        "activity_flow_submission_id": F.when(status == "F", _cat("fs-", k)),
+        "activity_id": _cat("act-", prio_code),
+        "activity_name": prio,
+        "activity_submission_id": _cat("sub-", k),
+        "activity_start_time": _s(start),
+        "activity_end_time": _s(end),
+        "activity_schedule_id": _cat("sch-", prio_code),
+        "activity_schedule_history_id": _cat("sch-", prio_code, "_", F.date_format(odate, "yyyyMMdd"), "-1"),
+        "activity_schedule_start_time": F.when(k % 4 == 0, F.lit("not scheduled")).otherwise(_s(start - 600_000)),
+        "utc_timezone_offset": _s(offset),
+        "rawScore": _s(k % 40),
+        "_total": _s(F.col("o_totalprice")),
+        "_score": _s(k % 100),
+    }
+    of = lambda *names: [F.col(n) for n in names]
+    null = F.lit(None).cast("string")
+    return o.select("*", *[e.alias(n) for n, e in of_order.items()]).select("*", F.explode(items).alias("_item")).select(
+        *of("target_id", "target_secret_id", "target_nickname"), F.lit("respondent").alias("target_tag"),
+        *of("source_id", "source_secret_id", "source_nickname"), F.lit("reporter").alias("source_tag"),
+        *of("source_relation", "input_id", "input_secret_id", "input_nickname", "userId", "secret_user_id"), null.alias("legacy_user_id"),
+        *of("applet_version", "activity_flow_id", "activity_flow_name", "activity_flow_submission_id", "activity_id", "activity_name",
+            "activity_submission_id", "activity_start_time", "activity_end_time", "activity_schedule_id", "activity_schedule_history_id",
+            "activity_schedule_start_time", "utc_timezone_offset"),
+        null.alias("activity_submission_review_id"),
         _cat("item-", F.col("_item.name")).alias("item_id"),
         F.col("_item.name").alias("item_name"),
         _cat("How about ", F.col("_item.name"), "?").alias("item_prompt"),
@@ -143,9 +154,9 @@ def orders_export(spark: SparkSession, sf_dir: str) -> DataFrame:
         answer.alias("item_response"),
         F.lit("completed").alias("item_response_status"),
         F.col("_item.type").alias("item_type"),
-        _s(k % 40).alias("rawScore"),
-        F.when(first, _s(F.col("o_totalprice"))).alias("subscale_name_total"),
-        F.when(first, _s(k % 100)).alias("activity_score"),
+        F.col("rawScore"),
+        F.when(first, F.col("_total")).alias("subscale_name_total"),
+        F.when(first, F.col("_score")).alias("activity_score"),
     )
 
 

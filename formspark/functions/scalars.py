@@ -44,7 +44,11 @@ def iso_duration(c: Column) -> Column:
     Days are written as ``nD``; zero components are omitted; a zero duration is
     ``PT0S``; negative durations carry one leading ``-``.
     """
-    ms = interval_ms(c)
+    return iso_of_ms(interval_ms(c))
+
+
+def iso_of_ms(ms: Column) -> Column:
+    """:func:`iso_duration` of milliseconds; two different numbers have different texts."""
     a = F.abs(ms)
     days = F.floor(a / F.lit(86_400_000)).cast("bigint")
     hours = F.floor((a % F.lit(86_400_000)) / F.lit(3_600_000)).cast("bigint")

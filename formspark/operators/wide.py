@@ -52,7 +52,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schema
-from ..functions.scalars import iso_duration
+from ..functions.scalars import interval_ms, iso_of_ms
 from ..session import ensure_checkpoint_dir, scratch_path
 from .dictionary import OptionDictionary, option_dictionary
 from .structs import column, column_order, distinct_names, field_names
@@ -110,9 +110,8 @@ def _null_mask(cols: list[Column]) -> list[Column]:
     return masks
 
 
-def _activity_code() -> Column:
-    parts = [F.col("activity.id"), F.col("activity.name")]
-    return F.concat(F.lit("a"), F.hex(F.xxhash64(*parts, *_null_mask(parts))))
+def _activity_code(*parts: Column) -> Column:
+    return F.concat(F.lit("a"), F.hex(F.xxhash64(*parts, *_null_mask(list(parts)))))
 
 
 def _submission_key(report: DataFrame, index: list[str]) -> list[Column]:
@@ -133,13 +132,15 @@ def _layout_rows(report: DataFrame, *, by_activity: bool, all_types: bool = Fals
     cols = [rule.alias("rule"), F.col("item.name").alias("name"), F.when(select, F.col("item.raw_options")).alias("text"),
             F.when(rule == schema.SINGLE_SELECT, F.col("response.value.single_value")).alias("chosen")]
     if by_activity:
-        cols += [F.col("activity.id").alias("act_id"), F.col("activity.name").alias("act_name"), _activity_code().alias("act_code")]
+        cols += [F.col("activity.id").alias("act_id"), F.col("activity.name").alias("act_name")]
     if all_types:
         other = F.coalesce(F.col("item.type") != schema.TEXT, F.lit(False))
         cols += [F.when(other, F.col("response.value.type")).alias("form"),
                  (other & F.col("response.value.optional_text").isNotNull()).alias("with_text")]
     answers = Observation()
     found_items = report.select(*cols).observe(answers, F.count(F.lit(1)).alias("n")).where(F.col("name").isNotNull()).distinct()
+    if by_activity:  # of distinct rows, as it is a text that only the id and the name make
+        found_items = found_items.withColumn("act_code", _activity_code(F.col("act_id"), F.col("act_name")))
     ensure_checkpoint_dir(report.sparkSession)
     path = scratch_path(report.sparkSession, "items")
     found_items.write.parquet(path)
@@ -216,7 +217,8 @@ def answer_columns(lay: WideLayout, *, clean_names: bool = False) -> list[tuple[
                                     F.array_contains(e["values"], F.lit(v).cast("bigint")))) for v in vals]
     for n, scored in lay.single.items():
         e = answer(schema.SINGLE_SELECT, n)
-        out += [(n, e["score"] if scored else e["label"]), (f"{n}__index", e["chosen"]), (f"{n}__response", e["label"])]
+        option = e["option"]
+        out += [(n, option["score" if scored else "name"]), (f"{n}__index", e["chosen"]), (f"{n}__response", option["name"])]
     for n in lay.subscale:
         out += [(c, answer(schema.SUBSCALE, n)["subscale"]) for c in _text_names(n, clean_names)]
     for n in lay.text:
@@ -230,15 +232,23 @@ def index_columns(report: DataFrame) -> list[str]:
     return [c for c in report.columns if c not in ("item", "response")]
 
 
-def with_iso_offset(report: DataFrame) -> DataFrame:
-    """The wide and split outputs carry the UTC offset as ISO-8601 text."""
-    if "utc_timezone_offset" in report.columns and isinstance(
-        report.schema["utc_timezone_offset"].dataType, T.DayTimeIntervalType
-    ):
-        return report.withColumn("utc_timezone_offset", iso_duration(F.col("utc_timezone_offset")))
+OFFSET = "utc_timezone_offset"
+
+
+def _ms_offset(report: DataFrame) -> DataFrame:
+    """The UTC offset as milliseconds, which stand for its ISO-8601 text until submissions are collected (:func:`_iso_offset`)."""
+    if OFFSET in report.columns and isinstance(report.schema[OFFSET].dataType, T.DayTimeIntervalType):
+        return report.withColumn(OFFSET, interval_ms(F.col(OFFSET)))
     return report
 
 
+def _iso_offset(frame: DataFrame, report: DataFrame) -> DataFrame:
+    """The wide and split outputs carry the UTC offset as ISO-8601 text: written once for each row of ``frame``, not for each answer of ``report``."""
+    if OFFSET in report.columns and isinstance(report.schema[OFFSET].dataType, T.DayTimeIntervalType):
+        return frame.withColumn(OFFSET, iso_of_ms(F.col(OFFSET)))
+    return frame
+
+
 def collected(report: DataFrame, dictionary: OptionDictionary | None = None, *, on_duplicate: str = "fail",
               all_types: bool = False, n_rows: int | None = None) -> DataFrame:
     """One row per submission: the index columns and ``_m``, a map from item code to answer.
@@ -264,13 +274,12 @@ def collected(report: DataFrame, dictionary: OptionDictionary | None = None, *,
     rows = rows.select(*_submission_key(report, index), F.struct(*[column(c) for c in index]).alias("_index"), F.col("_i.rule").alias("_rule"),
                        F.col("_i.name").alias("_name"), F.col("_i.raw").alias("_raw"), *answer)
     rows = (dictionary or option_dictionary(rows, F.col("_raw"))).join(rows, F.col("_raw"), "_options")
-    chosen = F.filter("_options", lambda o: o["value"] == F.col("_chosen"))
-    option = F.when(is_(schema.SINGLE_SELECT) & F.col("_chosen").isNotNull(), F.get(chosen, F.lit(0)))
+    single = is_(schema.SINGLE_SELECT)
+    option = F.get("_options", F.array_position(F.col("_options.value"), F.col("_chosen")).cast("int") - 1)
     multi = is_(schema.MULTI_SELECT)
     fields = [
-        F.when(is_(schema.SINGLE_SELECT), F.col("_chosen")).alias("chosen"),
-        option["name"].alias("label"), option["score"].alias("score"),
-        F.when(multi, F.transform("_options", lambda o: o["value"])).alias("options"),
+        F.when(single, F.col("_chosen")).alias("chosen"), F.when(single, option).alias("option"),
+        F.when(multi, F.col("_options.value")).alias("options"),
         F.when(multi, F.col("_values")).alias("values"),
         F.when(is_(schema.SUBSCALE), F.col("_subscale")).alias("subscale"),
         F.when(is_(schema.TEXT), F.col("_text")).alias("text"),
@@ -290,12 +299,10 @@ def collected(report: DataFrame, dictionary: OptionDictionary | None = None, *,
         answers = answers.repartition("_h1", "_h2")
     else:
         answers = answers.repartition(max(report.sparkSession.sparkContext.defaultParallelism, -(-n_rows // ANSWERS_A_TASK)), "_h1", "_h2")
-    items = answers.groupBy("_h1", "_h2", "_code").agg(
-        F.min("_answer").alias("_answer"), F.count("_code").alias("_n"), F.first("_index").alias("_index"))
-    grouped = items.groupBy("_h1", "_h2").agg(
-        F.collect_list(entry).alias("_l"), F.max("_n").alias("_n"), F.first("_index").alias("_index"))
+    grouped = answers.groupBy("_h1", "_h2").agg(F.collect_list(entry).alias("_l"), F.first("_index").alias("_index"))
     grouped = grouped.where(F.when(
-        F.col("_n") > 1, F.raise_error(F.lit("duplicate answers for one item in one submission")).cast("boolean")).otherwise(F.lit(True)))
+        F.size(F.array_distinct("_l._code")) < F.size("_l"),
+        F.raise_error(F.lit("duplicate answers for one item in one submission")).cast("boolean")).otherwise(F.lit(True)))
     return grouped.select(*[column("_index", c).alias(c) for c in index], F.map_from_entries("_l").alias("_m"))
 
 
@@ -316,21 +323,22 @@ def _columns(frame: DataFrame, lay: WideLayout, clean_names: bool) -> DataFrame:
 
 
 def pivot_wide(report: DataFrame, lay: WideLayout | None = None, *, on_duplicate: str = "fail",
-               clean_names: bool = False, sort: bool = False, all_types: bool = False) -> DataFrame:
-    """Wide table of a report (offset left as is); see module docstring.
+               clean_names: bool = False, sort: bool = False, all_types: bool = False, iso_offset: bool = False) -> DataFrame:
+    """Wide table of a report (offset left as is, or as ISO text); see module docstring.
 
     Rows are unordered unless ``sort=True`` (a global sort on the index
     columns: a range-partitioned shuffle, so only when order matters).
     """
     lay = lay if lay is not None else layout(report, all_types=all_types)
-    out = _columns(collected(report, lay.dictionary, on_duplicate=on_duplicate, all_types=all_types, n_rows=lay.rows), lay, clean_names)
+    frame = collected(_ms_offset(report) if iso_offset else report, lay.dictionary, on_duplicate=on_duplicate, all_types=all_types, n_rows=lay.rows)
+    out = _columns(_iso_offset(frame, report) if iso_offset else frame, lay, clean_names)
     index = ["applet_version"] + [f"{s}_{f}" for s in schema.INDEX_STRUCTS if s in report.columns for f in field_names(report, s)]
     return out.orderBy(*[column(c) for c in index if c in out.columns]) if sort else out
 
 
 def wide(report: DataFrame, **kw) -> DataFrame:
     """Wide output (T1): offset as ISO text, then :func:`pivot_wide`."""
-    return pivot_wide(with_iso_offset(report), **kw)
+    return pivot_wide(report, iso_offset=True, **kw)
 
 
 _SAFE = re.compile(r"[^\w.-]+")
@@ -354,14 +362,15 @@ def split_wide(report: DataFrame, *, reuse: str = "table", on_duplicate: str = "
     """
     if reuse not in ("table", "persist"):
         raise ValueError("reuse must be 'table' or 'persist'")
-    r = with_iso_offset(report)
+    r = _ms_offset(report)
     acts: dict[tuple, list] = {}
     found, dictionary, n_rows = _layout_rows(r, by_activity=True, all_types=all_types)
     for row in found:
         acts.setdefault((row["act_id"], row["act_name"], row["act_code"]), []).append(row)
     if len({code for _, _, code in acts}) < len(acts):
         raise ValueError("two activities have the same 64-bit hash")
-    big = collected(r, dictionary, on_duplicate=on_duplicate, all_types=all_types, n_rows=n_rows).withColumn("_act", _activity_code())
+    big = _iso_offset(collected(r, dictionary, on_duplicate=on_duplicate, all_types=all_types, n_rows=n_rows), report).withColumn(
+        "_act", _activity_code(F.col("activity.id"), F.col("activity.name")))
     if reuse == "table":
         ensure_checkpoint_dir(big.sparkSession)
         path = scratch_path(big.sparkSession, "submissions")

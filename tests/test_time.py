@@ -4,10 +4,12 @@ import gzip
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from formspark.functions import answers
 from formspark.functions.scalars import interval_ms
+from formspark.operators import wide as wide_op
 from formspark.operators.normalize import normalize
 from formspark.session import configure
 from formspark.sources import tables
@@ -59,6 +61,20 @@ def test_unread_fields_are_not_unpivoted(spark):
                                        ("b", "multiSelect", "value: 0"), ("q", "subscale", "2.5")]
 
 
+def test_wide_offset_is_written_after_submissions_are_collected(spark, monkeypatch):
+    report = normalize(_raw(spark, ROWS))
+    plan = _plan(wide_op.wide(report))
+    below = plan[plan.index("RepartitionByExpression"):]
+    assert "PT0S" in plan and "PT0S" not in below
+    assert plan.count("Aggregate [") == 1
+    got = wide_op.wide(report).select("activity_submission_id", "utc_timezone_offset", "a", "a__index", "a__response", "b_0", "b_1", "response_value__q").collect()
+    assert sorted(map(str, map(tuple, got))) == [
+        "('s1', '-PT4H', 5, 1, 'y', True, False, 2.5)", "('s2', None, None, 1, None, None, None, None)"]
+    again = normalize(_raw(spark, ROWS + ROWS[:1]))
+    with pytest.raises(Exception, match="duplicate answers"):
+        wide_op.wide(again).collect()
+
+
 def test_answer_forms_without_regular_expressions(spark):
     texts = {"date: 29/2/68 | text: 5": ("2068-02-29", None, None, "5"), "date: 31/4/2020": (None, None, None, None),
              "date: 1/1/99": ("1999-01-01", None, None, None), "time: (hr 5, min 7)": (None, "05:07:00", None, None),

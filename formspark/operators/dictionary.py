@@ -64,16 +64,22 @@ class OptionDictionary:
         return joined.where(keep).drop("_okey", "_ovalue")
 
 
+def parsed_texts(report: DataFrame, raw: Column) -> DataFrame:
+    """(_key, _options) of the distinct texts; _options is null where a text is no list.
+
+    No filter on the options here: Spark would push it below the distinct and parse the text of every row.
+    """
+    texts = report.select(raw.alias("raw")).where(F.col("raw").isNotNull()).distinct()
+    return texts.select(F.xxhash64("raw").alias("_key"), parse_options(strip_all(F.col("raw"))).alias("_options"))
+
+
 def option_dictionary(report: DataFrame, text: Column | None = None) -> OptionDictionary:
     """The options texts of ``report`` (``item.raw_options``, or ``text``), each parsed once."""
     ensure_checkpoint_dir(report.sparkSession)
-    raw = F.col("item.raw_options") if text is None else text
-    texts = report.select(raw.alias("raw")).where(F.col("raw").isNotNull()).distinct()
-    parsed = (texts.select(F.xxhash64("raw").alias("_key"), parse_options(strip_all(F.col("raw"))).alias("_options"))
-              .where(F.col("_options").isNotNull()))
+    parsed = parsed_texts(report, F.col("item.raw_options") if text is None else text)
     path = scratch_path(report.sparkSession, "options")
     parsed.write.parquet(path)
-    frame = report.sparkSession.read.schema(parsed.schema).parquet(path)
+    frame = report.sparkSession.read.schema(parsed.schema).parquet(path).where(F.col("_options").isNotNull())
     names = F.aggregate("_options", F.lit(0).cast("bigint"), lambda n, o: n + F.length(o["name"]) + OPTION_BYTES)
     n, keys, size = frame.agg(F.count(F.lit(1)), F.count_distinct("_key"), F.coalesce(F.sum(names), F.lit(0))).first()
     if keys < n:

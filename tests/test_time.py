@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from formspark.functions import answers
 from formspark.functions.scalars import interval_ms
 from formspark.operators import wide as wide_op
+from formspark.operators.dictionary import option_dictionary, parsed_texts
 from formspark.operators.normalize import normalize
 from formspark.session import configure
 from formspark.sources import tables
@@ -61,6 +62,14 @@ def test_unread_fields_are_not_unpivoted(spark):
                                        ("b", "multiSelect", "value: 0"), ("q", "subscale", "2.5")]
 
 
+def test_options_are_parsed_after_the_distinct(spark):
+    report = normalize(_raw(spark, ROWS))
+    plan = _plan(parsed_texts(report, F.col("item.raw_options")))
+    top, below = plan.split("\n+- ", 1)
+    assert plan.startswith("Aggregate [raw") and "score:" in top and "score:" not in below
+    assert option_dictionary(report).frame.count() == 2
+
+
 def test_wide_offset_is_written_after_submissions_are_collected(spark, monkeypatch):
     report = normalize(_raw(spark, ROWS))
     plan = _plan(wide_op.wide(report))

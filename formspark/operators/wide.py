@@ -26,13 +26,12 @@ Physical plan:
 1. One scan finds the items: distinct (item, options text, chosen value), written as a small table. The
    option dictionary parses each distinct text of it once; one row for each item comes to the driver.
 2. Answer rows get their options from the dictionary by a join (no row parses a text) and are
-   aggregated in two levels: by (submission, item) into the smallest answer and the number of answers, then by
-   submission into a map from item code to answer. A submission is known by a 128-bit hash of its index
-   columns, so keys are two integers. With ``on_duplicate='first'`` the first level combines in the
+   aggregated by submission into a map from item code to answer. A submission is known by a 128-bit hash of its index
+   columns, so keys are two integers. With ``on_duplicate='first'`` a level before, by (submission, item), finds the smallest answer; it combines in the
    map tasks, so an item answered any number of times costs one row of each task; answers are sorted and shuffled
    without the index columns, which are made distinct in a scan of their own and joined to the maps. With ``'fail'``, where every (submission,
-   item) has one answer or the job fails, rows are dealt by submission once, ``ANSWERS_A_TASK`` of them to a task, and both
-   levels need no shuffle of their own. The second level holds at most one answer of each item.
+   item) has one answer or the job fails, rows are dealt by submission once, ``ANSWERS_A_TASK`` of them to a task, and collected
+   there; the job fails when a submission's collected answers name an item twice.
 3. The columns are read from the map: work per answer row does not depend on the number of columns, and
    there is no limit on it. The duplicate check is a filter, so no projection removes it.
 
